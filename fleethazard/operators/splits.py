@@ -17,8 +17,8 @@ def distinct_engines(df: DataFrame) -> DataFrame:
     return df.select("engine_id").distinct()
 
 
-def engine_hash(seed: int, engine: Column = F.col("engine_id")) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), engine.cast("string")))
+def engine_hash(seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("engine_id").cast("string")))
 
 
 def hash_rank(engines: DataFrame, seed: int) -> DataFrame:
