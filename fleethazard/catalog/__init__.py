@@ -1,2 +1,2 @@
 from fleethazard.catalog.base import ORACLES, QUERIES  # noqa: F401
-from fleethazard.catalog import tables  # noqa: F401
+from fleethazard.catalog import evaluation, tables, windows  # noqa: F401
