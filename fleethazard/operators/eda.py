@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleethazard.operators.labeling import with_failure_cycle
@@ -78,10 +78,15 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every pair (i < j) in long form, in one pass; null for constant columns."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        """Over the rows that hold both values; `corr` itself fails on constants in ANSI mode."""
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+    wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")).alias("r"))
-        for i, (a, b) in enumerate(pairs)
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)
     ])
     return wide.select(F.inline(cells))
 

@@ -63,6 +63,6 @@ def run_backtest(full: DataFrame, profile: Profile) -> dict:
         "metrics": metrics_long(compute_metrics(test, F.col("threshold"), group=["fold", "model"]), ["fold", "model"]),
         "errors": top_errors(predicted, profile.horizon_n, spec.early_alarm_slack, 20, group=["fold"]),
         "calibration": calibration_bins(test, spec.calibration_bins, spec.calibration_strategy, group=["fold"]),
-        "folds": folds.groupBy("fold").pivot("role", ["train", "val", "test"]).agg(F.count("*")),
+        "folds": folds.groupBy("fold").pivot("role", ["train", "val", "test"]).agg(F.count(F.lit(1))),
         "thresholds": thresholds,
     }
