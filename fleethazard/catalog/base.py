@@ -17,6 +17,7 @@ from fleethazard.sources.fleets import processed_fleet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+RAW: dict[str, Query] = {}  # the same queries before rounding
 ORACLES: dict[str, str] = {}
 
 DEFAULT = Profile()
@@ -47,7 +48,7 @@ def query(name: str, sql: str | None = None, doubles: Sequence[str] | dict[str,
 
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = run
+        QUERIES[name], RAW[name] = run, fn
         if sql is not None:
             fixes = ", ".join(f'round("{c}", {n}) + 0e0 AS "{c}"' for c, n in digits.items())
             ORACLES[name] = f"SELECT * REPLACE ({fixes}) FROM ({sql})" if fixes else sql

@@ -54,7 +54,7 @@ STAT_COLUMNS = feature_columns(["sensor_1", "sensor_3"], (7,), ALL_STATS, (), ()
        {c: {"sensor_1__roll7__var": 5, "sensor_3__roll7__var": 2}.get(c, 3 if c.endswith("std") else 5) for c in STAT_COLUMNS})
 def _(spark, d):
     df = events(spark, d).select(*KEY, "sensor_1", "sensor_3")
-    return feature_frame(df, FeatureSpec(windows=(7,), stats=ALL_STATS, lags=(), deltas=()))
+    return feature_frame(df, FeatureSpec(windows=(7,), stats=ALL_STATS, lags=(), deltas=()), "frames")
 
 
 @query("rolling_with_gaps", f"""WITH {EV}, g AS (SELECT engine_id, cycle, CASE WHEN sensor_2 >= 10 THEN sensor_1 END AS sensor_1 FROM ev)
@@ -62,7 +62,7 @@ def _(spark, d):
 def _(spark, d):
     """Missing values inside frames: a statistic waits until its window is complete."""
     df = events(spark, d).select(*KEY, F.when(F.col("sensor_2") >= 10, F.col("sensor_1")).alias("sensor_1"))
-    return feature_frame(df, FeatureSpec(windows=(3, 5)), method="running")
+    return feature_frame(df, FeatureSpec(windows=(3, 5)))
 
 
 @query("lag_feature", f"WITH {LI} {feature_sql(LINE_SIGNALS, 'li', (), (), (1, 5), ())}", {
@@ -77,14 +77,15 @@ def _(spark, d):
     return feature_frame(lines(spark, d), FeatureSpec(windows=(), stats=(), lags=(), deltas=(1,)))
 
 
-@query("build_tabular_features", LINE_ROLL, LINE_PLACES)
+@query("build_tabular_features", LINE_ROLL, RUNNING_PLACES)
 def _(spark, d):
     return build_tabular_features(lines(spark, d), D, DEFAULT.window_l)
 
 
-@query("build_tabular_features_running", LINE_ROLL, RUNNING_PLACES)
+@query("build_tabular_features_frames", LINE_ROLL, LINE_PLACES)
 def _(spark, d):
-    return build_tabular_features(lines(spark, d), D, DEFAULT.window_l, method="running")
+    """The same table from sliding frames."""
+    return build_tabular_features(lines(spark, d), D, DEFAULT.window_l, method="frames")
 
 
 @query("training_table_labeled_history", f"""WITH {EVL}, f AS ({feature_sql(EVENT_SIGNALS, 'evl', S.windows,

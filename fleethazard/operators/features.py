@@ -31,16 +31,18 @@ _FRAME_STATS: dict[str, Callable[[Column], Column]] = {
 
 def rolling_stat(signal: str, window: int, stat: str, along: WindowSpec) -> Column:
     """``stat`` of the last ``window`` rows, null while fewer than ``window`` of them hold a value."""
+    full = F.count(signal).over(along.rowsBetween(-(window - 1), 0)) >= window
+    return F.when(full, _frame_value(signal, window, stat, along))
+
+
+def _frame_value(signal: str, window: int, stat: str, along: WindowSpec) -> Column:
     frame = along.rowsBetween(-(window - 1), 0)
-    values = F.col(signal)
-    full = F.count(values).over(frame) >= window
     if stat == "median":
-        ordered = F.array_sort(F.collect_list(values).over(frame))
-        middle = (F.element_at(ordered, (window - 1) // 2 + 1) + F.element_at(ordered, window // 2 + 1)) / 2.0
-        return F.when(full, middle)
+        ordered = F.array_sort(F.collect_list(signal).over(frame))  # `window` values at most
+        return (F.get(ordered, F.lit((window - 1) // 2)) + F.get(ordered, F.lit(window // 2))) / 2.0
     if stat not in _FRAME_STATS:
         raise ValueError(f"Unknown stat {stat!r}; choose one of {sorted([*_FRAME_STATS, 'median'])}")
-    return F.when(full, _FRAME_STATS[stat](values).over(frame).cast("double"))
+    return _FRAME_STATS[stat](F.col(signal)).over(frame).cast("double")
 
 
 def lag_feature(signal: str, k: int, along: WindowSpec) -> Column:
@@ -51,61 +53,77 @@ def delta_feature(signal: str, k: int, along: WindowSpec) -> Column:
     return F.col(signal) - F.lag(signal, k).over(along)
 
 
-def _running_columns(df: DataFrame, signals: Sequence[str], spec: FeatureSpec,
+def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
+                   along: WindowSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """Rolling statistics from sliding frames: work per row grows with the window. One count serves all stats."""
+    values = {}
+    for s in signals:
+        for w in windows:
+            values[f"_k_{s}_{w}"] = F.count(s).over(along.rowsBetween(-(w - 1), 0))
+            values |= {f"_v_{roll_name(s, w, t)}": _frame_value(s, w, t, along) for t in stats}
+    out = {roll_name(s, w, t): F.when(F.col(f"_k_{s}_{w}") >= w, F.col(f"_v_{roll_name(s, w, t)}"))
+           for s in signals for w in windows for t in stats}
+    return df.withColumns(values), out
+
+
+def _running_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
                      along: WindowSpec) -> tuple[DataFrame, dict[str, Column]]:
-    """Rolling mean and std as differences of running sums: constant work per row for any window.
+    """Rolling statistics as differences of running sums: constant work per row for any window.
 
     Values are taken relative to the first value of the block, so a constant
     signal gives exactly 0 and large offsets do not cancel.
     """
     sofar = along.rowsBetween(Window.unboundedPreceding, 0)
-    first = {s: F.first(s, ignorenulls=True).over(sofar) for s in signals}
-    df = df.withColumns({f"_f_{s}": c for s, c in first.items()})
-    df = df.withColumns({f"_c_{s}": F.col(s) - F.col(f"_f_{s}") for s in signals})
+    df = df.withColumns({f"_f_{s}": F.first(s, ignorenulls=True).over(sofar) for s in signals})
     sums = {}
     for s in signals:
-        c = F.col(f"_c_{s}")
-        sums |= {f"_n_{s}": F.count(c).over(sofar), f"_s_{s}": F.sum(c).over(sofar), f"_q_{s}": F.sum(c * c).over(sofar)}
+        c = F.col(s) - F.col(f"_f_{s}")
+        sums |= {f"_n_{s}": F.count(s).over(sofar), f"_s_{s}": F.sum(c).over(sofar), f"_q_{s}": F.sum(c * c).over(sofar)}
     df = df.withColumns(sums)
+    df = df.withColumns({
+        f"_{k}_{s}_{w}": F.coalesce(F.col(f"_{k}_{s}"), F.lit(0)) - F.coalesce(F.lag(f"_{k}_{s}", w).over(along), F.lit(0))
+        for s in signals for w in windows for k in "nsq"
+    })
 
     out: dict[str, Column] = {}
     for s in signals:
-        for w in spec.windows:
-            n, total, squares = (
-                F.coalesce(F.col(f"_{k}_{s}"), F.lit(0)) - F.coalesce(F.lag(f"_{k}_{s}", w).over(along), F.lit(0))
-                for k in "nsq"
-            )
-            full = n >= w
-            if "mean" in spec.stats:
-                out[roll_name(s, w, "mean")] = F.when(full, F.col(f"_f_{s}") + total / w)
-            if "std" in spec.stats:
-                # one value has no sample deviation
-                spread = F.sqrt(F.greatest(squares - total * total / w, F.lit(0.0)) / (w - 1)) if w > 1 else F.lit(None)
-                out[roll_name(s, w, "std")] = F.when(full, spread).cast("double")
+        for w in windows:
+            n, total, squares = (F.col(f"_{k}_{s}_{w}") for k in "nsq")
+            # one value has no sample variance
+            var = F.greatest(squares - total * total / w, F.lit(0.0)) / (w - 1) if w > 1 else F.lit(None).cast("double")
+            mean = F.col(f"_f_{s}") + total / w
+            values = {"mean": mean, "sum": mean * w, "var": var, "std": F.sqrt(var), "count": n.cast("double")}
+            out |= {roll_name(s, w, t): F.when(n >= w, values[t]) for t in stats}
     return df, out
 
 
-def feature_frame(df: DataFrame, spec: FeatureSpec, method: str = "frames",
-                  keep: Sequence[str] = ()) -> DataFrame:
-    """All features of every row: key, kept columns, then feature columns in name order."""
+_RUNNING_STATS = ("mean", "sum", "var", "std", "count")
+
+
+def feature_frame(df: DataFrame, spec: FeatureSpec, method: str = "running", keep: Sequence[str] = ()) -> DataFrame:
+    """All features of every row: key, kept columns, then feature columns in name order.
+
+    ``method='running'`` derives mean, sum, var, std and count from running sums
+    (other statistics still use frames); ``'frames'`` re-aggregates every frame.
+    """
     if method not in ("frames", "running"):
         raise ValueError(f"method must be 'frames' or 'running', got {method}")
     signals = signal_columns(df)
-    running = method == "running" and set(spec.stats) <= {"mean", "std"}
+    by_sums = [t for t in spec.stats if method == "running" and t in _RUNNING_STATS]
+    by_frames = [t for t in spec.stats if t not in by_sums]
     rows, parts = with_halo(
         df.select("engine_id", "cycle", *keep, *signals), spec.history(),
-        **({"shift": RUNNING_SHIFT} if running else {}),
+        **({"shift": RUNNING_SHIFT} if by_sums else {}),
     )
     along = Window.partitionBy(*parts).orderBy("cycle")
 
     features: dict[str, Column] = {}
-    if running:
-        rows, features = _running_columns(rows, signals, spec, along)
-    else:
-        for s in signals:
-            for w in spec.windows:
-                for stat in spec.stats:
-                    features[roll_name(s, w, stat)] = rolling_stat(s, w, stat, along)
+    if by_sums:
+        rows, found = _running_columns(rows, signals, spec.windows, by_sums, along)
+        features |= found
+    if by_frames:
+        rows, found = _frame_columns(rows, signals, spec.windows, by_frames, along)
+        features |= found
     for s in signals:
         features |= {lag_name(s, k): lag_feature(s, k, along) for k in spec.lags}
         features |= {delta_name(s, k): delta_feature(s, k, along) for k in spec.deltas}
@@ -121,9 +139,9 @@ def filter_min_history(df: DataFrame, spec: FeatureSpec, window_l: int) -> DataF
 
 
 def build_tabular_features(df: DataFrame, spec: FeatureSpec, window_l: int, filter_after: bool = True,
-                           id_col: str = "engine_id", time_col: str = "cycle", method: str = "frames",
+                           id_col: str = "engine_id", time_col: str = "cycle", method: str = "running",
                            keep: Sequence[str] = ()) -> DataFrame:
-    """The feature table. ``method='running'`` computes mean and std from running sums (faster, within 1e-9)."""
+    """The feature table, from the first cycle on at which a gap-free engine has every feature."""
     renamed = df.withColumnsRenamed({id_col: "engine_id", time_col: "cycle"})
     features = feature_frame(renamed, spec, method, keep)
     if filter_after:
