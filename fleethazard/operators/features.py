@@ -2,13 +2,16 @@
 
 All frames are ROWS frames along (engine, cycle), so one exchange and one sort
 serve every feature. A statistic is null until its window holds ``w`` values.
+
+Expressions are built as SQL text: a wide fleet has hundreds of them, and one
+`selectExpr` takes them all in a single call.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import delta_name, lag_name, roll_name, signal_columns
@@ -18,88 +21,90 @@ from fleethazard.params import FeatureSpec
 # running sums restart at least every 2**RUNNING_SHIFT cycles, which bounds their rounding error
 RUNNING_SHIFT = 10
 
-_FRAME_STATS: dict[str, Callable[[Column], Column]] = {
-    "mean": F.avg,
-    "std": F.stddev_samp,
-    "var": F.var_samp,
-    "sum": F.sum,
-    "min": F.min,
-    "max": F.max,
-    "count": F.count,
-}
+# fixed values: statistic name -> SQL aggregate
+_FRAME_STATS = {"mean": "avg", "std": "stddev_samp", "var": "var_samp", "sum": "sum", "min": "min", "max": "max", "count": "count"}
+_RUNNING_STATS = ("mean", "sum", "var", "std", "count")
+
 
+def along(parts: Sequence[str]) -> str:
+    """Window order of an engine (or a block of it), without the closing bracket."""
+    return f"(PARTITION BY {', '.join(parts)} ORDER BY cycle"
 
-def rolling_stat(signal: str, window: int, stat: str, along: WindowSpec) -> Column:
-    """``stat`` of the last ``window`` rows, null while fewer than ``window`` of them hold a value."""
-    full = F.count(signal).over(along.rowsBetween(-(window - 1), 0)) >= window
-    return F.when(full, _frame_value(signal, window, stat, along))
 
+def frame(window: int, order: str) -> str:
+    return f"OVER {order} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
 
-def _frame_value(signal: str, window: int, stat: str, along: WindowSpec) -> Column:
-    frame = along.rowsBetween(-(window - 1), 0)
+
+def rolling_stat(signal: str, window: int, stat: str, order: str) -> str:
+    """``stat`` of the values in the last ``window`` rows, however many they are."""
+    over = frame(window, order)
     if stat == "median":
-        ordered = F.array_sort(F.collect_list(signal).over(frame))  # `window` values at most
-        return (F.get(ordered, F.lit((window - 1) // 2)) + F.get(ordered, F.lit(window // 2))) / 2.0
+        values = f"array_sort(collect_list({signal}) {over})"  # `window` values at most
+        return f"(get({values}, {(window - 1) // 2}) + get({values}, {window // 2})) / 2D"
     if stat not in _FRAME_STATS:
         raise ValueError(f"Unknown stat {stat!r}; choose one of {sorted([*_FRAME_STATS, 'median'])}")
-    return _FRAME_STATS[stat](F.col(signal)).over(frame).cast("double")
+    return f"CAST({_FRAME_STATS[stat]}({signal}) {over} AS DOUBLE)"
+
 
+def lag_feature(signal: str, k: int, order: str) -> str:
+    return f"lag({signal}, {k}) OVER {order})"
 
-def lag_feature(signal: str, k: int, along: WindowSpec) -> Column:
-    return F.lag(signal, k).over(along)
 
+def delta_feature(signal: str, k: int, order: str) -> str:
+    return f"{signal} - lag({signal}, {k}) OVER {order})"
 
-def delta_feature(signal: str, k: int, along: WindowSpec) -> Column:
-    return F.col(signal) - F.lag(signal, k).over(along)
+
+def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in columns.items()])
 
 
 def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
-                   along: WindowSpec) -> tuple[DataFrame, dict[str, Column]]:
+                   order: str) -> tuple[DataFrame, dict[str, str]]:
     """Rolling statistics from sliding frames: work per row grows with the window. One count serves all stats."""
     values = {}
     for s in signals:
         for w in windows:
-            values[f"_k_{s}_{w}"] = F.count(s).over(along.rowsBetween(-(w - 1), 0))
-            values |= {f"_v_{roll_name(s, w, t)}": _frame_value(s, w, t, along) for t in stats}
-    out = {roll_name(s, w, t): F.when(F.col(f"_k_{s}_{w}") >= w, F.col(f"_v_{roll_name(s, w, t)}"))
+            values[f"_k_{s}_{w}"] = f"count({s}) {frame(w, order)}"
+            values |= {f"_v_{roll_name(s, w, t)}": rolling_stat(s, w, t, order) for t in stats}
+    out = {roll_name(s, w, t): f"CASE WHEN _k_{s}_{w} >= {w} THEN _v_{roll_name(s, w, t)} END"
            for s in signals for w in windows for t in stats}
-    return df.withColumns(values), out
+    return _with(df, values), out
 
 
 def _running_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
-                     along: WindowSpec) -> tuple[DataFrame, dict[str, Column]]:
+                     order: str) -> tuple[DataFrame, dict[str, str]]:
     """Rolling statistics as differences of running sums: constant work per row for any window.
 
     Values are taken relative to the first value of the block, so a constant
     signal gives exactly 0 and large offsets do not cancel.
     """
-    sofar = along.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumns({f"_f_{s}": F.first(s, ignorenulls=True).over(sofar) for s in signals})
+    sofar = f"OVER {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    df = _with(df, {"_row": f"row_number() OVER {order})", **{f"_f_{s}": f"first({s}, true) {sofar}" for s in signals}})
     sums = {}
     for s in signals:
-        c = F.col(s) - F.col(f"_f_{s}")
-        sums |= {f"_n_{s}": F.count(s).over(sofar), f"_s_{s}": F.sum(c).over(sofar), f"_q_{s}": F.sum(c * c).over(sofar)}
-    df = df.withColumns(sums)
-    df = df.withColumns({
-        f"_{k}_{s}_{w}": F.coalesce(F.col(f"_{k}_{s}"), F.lit(0)) - F.coalesce(F.lag(f"_{k}_{s}", w).over(along), F.lit(0))
-        for s in signals for w in windows for k in "nsq"
+        sums |= {
+            f"_s_{s}": f"sum({s} - _f_{s}) {sofar}",
+            f"_q_{s}": f"sum(({s} - _f_{s}) * ({s} - _f_{s})) {sofar}",
+            # the newest row without a value: a window is full once it starts after it
+            f"_gap_{s}": f"max(CASE WHEN {s} IS NULL THEN _row END) {sofar}",
+        }
+    df = _with(df, sums)
+    df = _with(df, {
+        f"_{k}_{s}_{w}": f"coalesce(_{k}_{s}, 0D) - coalesce(lag(_{k}_{s}, {w}) OVER {order}), 0D)"
+        for s in signals for w in windows for k in "sq"
     })
 
-    out: dict[str, Column] = {}
+    out = {}
     for s in signals:
         for w in windows:
-            n, total, squares = (F.col(f"_{k}_{s}_{w}") for k in "nsq")
+            mean = f"_f_{s} + _s_{s}_{w} / {w}"
             # one value has no sample variance
-            var = F.greatest(squares - total * total / w, F.lit(0.0)) / (w - 1) if w > 1 else F.lit(None).cast("double")
-            mean = F.col(f"_f_{s}") + total / w
-            values = {"mean": mean, "sum": mean * w, "var": var, "std": F.sqrt(var), "count": n.cast("double")}
-            out |= {roll_name(s, w, t): F.when(n >= w, values[t]) for t in stats}
+            var = f"greatest(_q_{s}_{w} - _s_{s}_{w} * _s_{s}_{w} / {w}, 0D) / {w - 1}" if w > 1 else "CAST(NULL AS DOUBLE)"
+            values = {"mean": mean, "sum": f"({mean}) * {w}", "var": var, "std": f"sqrt({var})", "count": f"{w}D"}
+            out |= {roll_name(s, w, t): f"CASE WHEN _row - coalesce(_gap_{s}, 0) >= {w} THEN {values[t]} END" for t in stats}
     return df, out
 
 
-_RUNNING_STATS = ("mean", "sum", "var", "std", "count")
-
-
 def feature_frame(df: DataFrame, spec: FeatureSpec, method: str = "running", keep: Sequence[str] = ()) -> DataFrame:
     """All features of every row: key, kept columns, then feature columns in name order.
 
@@ -115,22 +120,22 @@ def feature_frame(df: DataFrame, spec: FeatureSpec, method: str = "running", kee
         df.select("engine_id", "cycle", *keep, *signals), spec.history(),
         **({"shift": RUNNING_SHIFT} if by_sums else {}),
     )
-    along = Window.partitionBy(*parts).orderBy("cycle")
+    order = along(parts)
 
-    features: dict[str, Column] = {}
+    features: dict[str, str] = {}
     if by_sums:
-        rows, found = _running_columns(rows, signals, spec.windows, by_sums, along)
+        rows, found = _running_columns(rows, signals, spec.windows, by_sums, order)
         features |= found
     if by_frames:
-        rows, found = _frame_columns(rows, signals, spec.windows, by_frames, along)
+        rows, found = _frame_columns(rows, signals, spec.windows, by_frames, order)
         features |= found
     for s in signals:
-        features |= {lag_name(s, k): lag_feature(s, k, along) for k in spec.lags}
-        features |= {delta_name(s, k): delta_feature(s, k, along) for k in spec.deltas}
+        features |= {lag_name(s, k): lag_feature(s, k, order) for k in spec.lags}
+        features |= {delta_name(s, k): delta_feature(s, k, order) for k in spec.deltas}
 
     kept = [c for c in ("_halo", "_block") if c in rows.columns]
-    named = [features[n].alias(n) for n in sorted(features)]
-    return drop_halo(rows.select("engine_id", "cycle", *keep, *kept, *named))
+    named = [f"{features[n]} AS `{n}`" for n in sorted(features)]
+    return drop_halo(rows.selectExpr("engine_id", "cycle", *keep, *kept, *named))
 
 
 def filter_min_history(df: DataFrame, spec: FeatureSpec, window_l: int) -> DataFrame:
@@ -167,7 +172,7 @@ def last_window_features(df: DataFrame, spec: FeatureSpec, window_l: int) -> Dat
                 if stat == "std":
                     features[roll_name(s, w, stat)] = F.when(F.count(x) > 1, F.stddev_samp(x)).otherwise(0.0)
                 else:
-                    features[roll_name(s, w, stat)] = _FRAME_STATS[stat](x).cast("double")
+                    features[roll_name(s, w, stat)] = getattr(F, _FRAME_STATS[stat])(x).cast("double")
         features |= {lag_name(s, k): at(s, k + 1) for k in spec.lags}
         features |= {delta_name(s, k): at(s, 1) - at(s, k + 1) for k in spec.deltas}
     return recent.groupBy("engine_id").agg(

@@ -33,7 +33,7 @@ def lookup_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "i
     Beyond ``max_rows`` the join is left to Spark, where adaptive execution
     splits the partitions of a hot key.
     """
-    small = side.limit(max_rows + 1).count() <= max_rows
+    small = side.count() <= max_rows
     return df.join(F.broadcast(side) if small else side, list(on), how)
 
 
