@@ -125,3 +125,22 @@ def _(spark, d):
   WHERE engine_id IN (SELECT DISTINCT engine_id FROM li ORDER BY 1 LIMIT 3)""")
 def _(spark, d):
     return eda.sample_series(lines(spark, d), ["sensor_1", "sensor_2"])
+
+
+@query("eda_histogram_positives", f"""WITH {EVL}, ps AS (SELECT sum(label)::BIGINT + engine_id % 7 AS x FROM evl GROUP BY engine_id), {_histogram_sql('x', 'ps', 20)}""",
+       ["low", "high"])
+def _(spark, d):
+    """Positives per engine (shifted by engine, as gap-free engines all have the same number)."""
+    per_engine = eda.positives_per_engine(events_labeled(spark, d)).withColumn("x", F.col("positives") + F.col("engine_id") % 7)
+    return eda.histogram(per_engine, "x", 20)
+
+
+@query("eda_histogram_settings", f"""WITH {EV}, st AS (SELECT op_setting_1 AS x FROM ev), {_histogram_sql('x', 'st', 30)}""", ["low", "high"])
+def _(spark, d):
+    return eda.histogram(events(spark, d), "op_setting_1", 30)
+
+
+@query("eda_constant_histogram", f"WITH {EV} SELECT 15::BIGINT AS bin, 100e0 AS low, 9.95e1 + 16 * 1e0 / 30 AS high, count(*) AS count FROM ev", ["low", "high"])
+def _(spark, d):
+    """A constant setting falls into the middle bin of a unit range."""
+    return eda.histogram(events(spark, d), "op_setting_3", 30)

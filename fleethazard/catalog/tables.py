@@ -11,7 +11,7 @@ from fleethazard.catalog.base import (
 )
 from fleethazard.functions.columns import model_feature_columns, sequence_feature_columns, signal_columns
 from fleethazard.functions.policy import apply_policy
-from fleethazard.functions.scalar import nonfinite_to_null, predict_at, risk_bucket, sigmoid
+from fleethazard.functions.scalar import is_finite, nonfinite_to_null, predict_at, risk_bucket, sigmoid
 from fleethazard.operators.features import build_tabular_features, feature_frame, filter_min_history
 from fleethazard.operators.metrics import compute_metrics, metrics_long
 from fleethazard.operators.requests import parse_window_json, request_features, validate_window_request
@@ -330,3 +330,9 @@ def _(spark, d):
 @query("float32_cast", f"WITH {LI} SELECT engine_id, cycle, CAST(CAST(sensor_2 AS FLOAT) AS DOUBLE) AS x FROM li", ["x"], 4)
 def _(spark, d):
     return lines(spark, d).select(*KEY, F.col("sensor_2").cast("float").cast("double").alias("x"))
+
+
+@query("isfinite", f"WITH {EV} SELECT engine_id, cycle, isfinite({SPOILED}) AS finite FROM ev")
+def _(spark, d):
+    df = events(spark, d)
+    return df.select(*KEY, is_finite(_spoiled(df)).alias("finite"))

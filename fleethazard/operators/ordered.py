@@ -66,6 +66,8 @@ def with_halo(df: DataFrame, rows: int, keys: Sequence[str] = (KEY,), order: str
 
     A scan of the order column alone tells whether any key reaches past one
     block; when none does, the frame stays as it is and costs one exchange.
+    Where order values are so sparse that the added rows would outweigh the
+    rest, neighbouring blocks are merged by row count first.
     """
     keys = list(keys)
     if _one_block(df, order, shift):
@@ -76,6 +78,10 @@ def with_halo(df: DataFrame, rows: int, keys: Sequence[str] = (KEY,), order: str
         return home.withColumn(_HALO, F.lit(False)), keys + [_BLOCK]
 
     blocks = _block_summary(df, keys, order, shift)
+    # a block receives `rows` rows, or all that come before it
+    added, total = blocks.agg(F.sum(F.least(F.lit(rows), F.col("_start"))), F.sum("_n")).first()
+    if 4 * added > total:
+        home, blocks = _merge_blocks(home, blocks, keys, shift)
     following = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(1, rows)
     targets = (
         blocks.withColumn("_next", F.collect_list(F.struct(_BLOCK, "_start")).over(following))
@@ -97,6 +103,18 @@ def with_halo(df: DataFrame, rows: int, keys: Sequence[str] = (KEY,), order: str
     return home.withColumn(_HALO, F.lit(False)).unionByName(tails), keys + [_BLOCK]
 
 
+def _merge_blocks(home: DataFrame, blocks: DataFrame, keys: list[str], shift: int) -> tuple[DataFrame, DataFrame]:
+    """Join neighbouring blocks that start within the same ``2**shift`` rows; a merged block has under twice as many."""
+    chunk = F.shiftright("_start", shift).alias("_chunk")
+    members = blocks.select(*keys, _BLOCK, chunk)
+    merged = blocks.groupBy(*keys, chunk).agg(
+        F.sum("_n").alias("_n"), F.max("_end").alias("_end"), F.min("_start").alias("_start"))
+    return (
+        lookup_join(home, members, [*keys, _BLOCK]).drop(_BLOCK).withColumnRenamed("_chunk", _BLOCK),
+        merged.withColumnRenamed("_chunk", _BLOCK),
+    )
+
+
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.where(~F.col(_HALO)).drop(_HALO, _BLOCK)
 

@@ -16,14 +16,14 @@ from fleethazard.operators.splits import expanding_folds, train_val_engines
 from fleethazard.operators.sweep import ranking_metrics, select_threshold_max_precision
 from fleethazard.params import Profile
 from fleethazard.plans.tables import training_table
-from fleethazard.session import checkpointed
+from fleethazard.session import checkpointed, written
 
 KEYS = ["engine_id", "cycle", "label", "remaining", "split"]
 
 
 def _run_fold(table: DataFrame, roles: DataFrame, profile: Profile, features: list[str]) -> tuple[DataFrame, float]:
     """Test rows scored by the fold's best candidate, and the threshold."""
-    rows = checkpointed(lookup_join(table, roles, ["engine_id"]))  # a fold holds a configured number of engines
+    rows = written(lookup_join(table, roles, ["engine_id"]), "fold")  # a fold holds a configured number of engines
     train = rows.where(F.col("split") == "train")
     names = [c for c in profile.backtest.candidates if c in FITTERS]
     if not names:
@@ -41,7 +41,7 @@ def _run_fold(table: DataFrame, roles: DataFrame, profile: Profile, features: li
 def run_backtest(full: DataFrame, profile: Profile) -> dict:
     """``metrics, errors, calibration, thresholds`` with ``fold`` as a column, or a message when no fold fits."""
     spec = profile.backtest
-    table = checkpointed(training_table(full, profile))
+    table = written(training_table(full, profile), "training")
     require_valid_features(table.drop("label", "remaining", "failure_cycle"), profile.window_l)
     features = model_feature_columns(table)
     folds = expanding_folds(table, spec.n_folds, spec.train_min_engines, spec.test_engines_per_fold)

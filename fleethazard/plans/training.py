@@ -26,14 +26,15 @@ from fleethazard.operators.metrics import (
     select_best_model,
     topk_lift,
 )
+from fleethazard.operators.ordered import lookup_join
 from fleethazard.operators.quality import require_valid_features
+from fleethazard.operators.scaling import check_finite, fit_median_imputer, impute_median, median_params
 from fleethazard.operators.sequences import build_sequence_pipeline
 from fleethazard.operators.splits import assign_split, cap_engines_per_split, fit_split, split_engines
-from fleethazard.operators.ordered import lookup_join
 from fleethazard.operators.sweep import ranking_metrics, select_threshold_highest, select_threshold_max_precision
 from fleethazard.params import Profile
 from fleethazard.plans.tables import training_table
-from fleethazard.session import checkpointed
+from fleethazard.session import checkpointed, written
 from fleethazard.sources.registry import save_model_version
 
 SCORED = ["engine_id", "cycle", "label", "remaining", "split"]
@@ -41,7 +42,7 @@ SCORED = ["engine_id", "cycle", "label", "remaining", "split"]
 
 def prepared_table(full: DataFrame, profile: Profile, history: str = "full") -> DataFrame:
     """Checked training table with its split, written once for the many reads that follow."""
-    table = checkpointed(assign_split(training_table(full, profile, history), fit_split(full, profile.split)))
+    table = written(assign_split(training_table(full, profile, history), fit_split(full, profile.split)), "training")
     if history == "full":
         require_valid_features(table.drop("split", "label", "remaining", "failure_cycle"), profile.window_l)
     return table
@@ -96,7 +97,7 @@ def train_window_model(full: DataFrame, profile: Profile, caps: dict[str, int |
     split = checkpointed(split)
     parts = build_sequence_pipeline(labeled, split.where(F.col("split") == "train"), profile.window_l, keep=["remaining"])
     n = len(parts["feature_columns"])
-    windows = checkpointed(lookup_join(parts["windows"], split.select("engine_id", "split"), ["engine_id"]))
+    windows = written(lookup_join(parts["windows"], split.select("engine_id", "split"), ["engine_id"]), "windows")
     model = fit_window_classifier(windows.where(F.col("split") == "train"), profile.window_l, n, profile.models)
     scored = predict_window_proba(model, windows, profile.window_l, n).withColumnRenamed("pred_cycle", "cycle")
     scored = checkpointed(scored)
@@ -117,8 +118,6 @@ def train_window_model(full: DataFrame, profile: Profile, caps: dict[str, int |
 
 def run_anomaly(full: DataFrame, profile: Profile, history: str = "labeled") -> dict:
     """Impute by train medians, fit the forest on train, score every split, report the top fractions."""
-    from fleethazard.operators.scaling import check_finite, fit_median_imputer, impute_median, median_params
-
     table = prepared_table(full, profile, history)
     features = model_feature_columns(table, ["split"])
     if not features:

@@ -61,7 +61,7 @@ def lineitem_fleet(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -
 def events_fleet(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Engine = user, cycle = event order, three settings (one constant) and three sensors; keeps ``event_id``."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("user_id", "engine_id")
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    hour = F.unix_date(F.to_date("ts")) * 24 + F.hour("ts")
     ranked = number_cycles(rows, hour, ["ts", "event_id"], hot_rows)
     codes = F.create_map(*[F.lit(x) for pair in EVENT_CODES.items() for x in pair])
     return ranked.select(

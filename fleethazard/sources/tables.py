@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import RAW_COLUMNS
@@ -21,9 +21,13 @@ def scan_raw_sensor_text(spark: SparkSession, path: str, columns: Sequence[str]
     lines = spark.read.text(path).where(F.trim("value") != "").select(fields.alias("f"))
     width = F.when(F.size("f") == len(columns), F.col("f")).otherwise(
         F.raise_error(F.concat(F.lit(f"expected {len(columns)} fields, got "), F.size("f").cast("string"))))
-    return lines.select(width.alias("f")).select(*[
-        F.col("f")[i].cast("long" if i < 2 else "double").alias(c) for i, c in enumerate(columns)
-    ])
+
+    def typed(i: int, kind: str) -> Column:
+        text = F.col("f")[i]
+        bad = F.raise_error(F.concat(F.lit(f"{columns[i]} is no {kind}: "), text))
+        return F.coalesce(text.try_cast(kind), bad.cast(kind)).alias(columns[i])
+
+    return lines.select(width.alias("f")).select(*[typed(i, "long" if i < 2 else "double") for i in range(len(columns))])
 
 
 def write_raw_sensor_text(df: DataFrame, path: str) -> None:

@@ -92,7 +92,7 @@ def test_training_table_in_one_pass_equals_the_join(wearing):
     from fleethazard.plans.tables import join_features_labels
 
     one = training_table(wearing, PROFILE, method="frames").select("engine_id", "cycle", "label", "sensor_1__roll10__std")
-    two = join_features_labels(build_tabular_features(wearing, PROFILE.features, 10), label_horizon(wearing, 8, 10)).select(*one.columns)
+    two = join_features_labels(build_tabular_features(wearing, PROFILE.features, 10, method="frames"), label_horizon(wearing, 8, 10)).select(*one.columns)
     assert one.exceptAll(two).isEmpty() and one.count() == two.count()
 
 
