@@ -82,7 +82,8 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def pearson(a: str, b: str) -> Column:
         """Over the rows that hold both values; `corr` itself fails on constants in ANSI mode."""
         x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y)))
 
     wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(*[

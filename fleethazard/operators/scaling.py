@@ -18,7 +18,7 @@ from fleethazard.operators.ordered import running_totals
 
 def _long_form(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
     """One-row aggregate of several statistics per column, as one row per column."""
-    wide = df.agg(*[f(F.col(c)).alias(f"{c}|{name}") for c in columns for name, f in stats.items()])
+    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, f in stats.items()])
     rows = F.array(*[
         F.struct(F.lit(c).alias("feature"), *[F.col(f"`{c}|{name}`").alias(name) for name in stats]) for c in columns
     ])
@@ -26,14 +26,18 @@ def _long_form(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
 
 
 def fit_scaler(train: DataFrame, feature_columns: Sequence[str]) -> DataFrame:
-    """``feature, mean, std`` over the train rows: population deviation, a deviation of 0 becomes 1."""
+    """``feature, mean, std`` over the train rows: population deviation; a constant feature gets deviation 1.
+
+    Constancy is read from the extremes: merged partial deviations of a constant may be a rounding error above 0.
+    """
     if not feature_columns:
         raise ValueError("feature_columns must not be empty")
     require_columns(train, feature_columns)
     if train.isEmpty():
         raise ValueError("No rows found for train_engine_ids")
-    fitted = _long_form(train, feature_columns, {"mean": F.avg, "std": F.stddev_pop})
-    return fitted.withColumn("std", F.when(F.col("std") == 0.0, 1.0).otherwise(F.col("std")))
+    fitted = _long_form(train, feature_columns, {"mean": F.avg, "std": F.stddev_pop, "low": F.min, "high": F.max})
+    constant = (F.col("low") == F.col("high")) | (F.col("std") == 0.0)
+    return fitted.select("feature", "mean", F.when(constant, 1.0).otherwise(F.col("std")).alias("std"))
 
 
 def scaler_params(fitted: DataFrame) -> dict:

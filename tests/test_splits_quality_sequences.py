@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import RAW_COLUMNS
+from fleethazard.operators.eda import correlation
 from fleethazard.operators.quality import (
     check_expected_columns, check_monotonic_cycle, require_monotonic_cycle, require_no_duplicates, require_sorted_by_key,
     require_valid_features, validate_tabular_features,
@@ -252,3 +253,12 @@ def test_raw_text(spark, tmp_path):
     (tmp_path / "twice.txt").write_text(f"{line}\n{line}\n")
     with pytest.raises(ValueError, match="duplicate"):
         ingest_processed(spark, str(tmp_path / "twice.txt"), str(tmp_path / "out2"))
+
+
+def test_a_constant_stays_constant_over_many_partitions(spark):
+    """Partial deviations merge with rounding errors; the scaler must not divide by them."""
+    df = spark.range(10_000, numPartitions=17).select(
+        F.col("id").alias("engine_id"), F.lit(1).cast("long").alias("cycle"), F.lit(100.1).alias("sensor_1"), F.rand(1).alias("sensor_2"))
+    params = scaler_params(fit_scaler(df.where("engine_id % 3 = 0"), ["sensor_1", "sensor_2"]))
+    assert params["std"][0] == 1.0 and params["std"][1] < 1.0
+    assert correlation(df, ["sensor_1", "sensor_2"]).first().r is None
