@@ -19,7 +19,7 @@ from fleethazard.plans.scoring import score_latest_windows
 from fleethazard.plans.training import (
     compare_models, importance_report, prepared_table, run_anomaly, train_select_report, train_window_model,
 )
-from fleethazard.sources.registry import load_active_model
+from fleethazard.sources.registry import load_active_model, save_model_version, set_active_version
 from fleethazard.streaming.alerts import stream_score_alerts
 from fleethazard.streaming.features import ROCKSDB, stream_features
 
@@ -126,11 +126,25 @@ def _saved(spark, d) -> str:
     return root
 
 
-@query("save_load_model")
+@query("save_model_version")
 def _(spark, d):
-    """Save, activate, load, and score with the loaded model."""
+    """What is on disk after two saves: each version's metadata and which one is active."""
+    root = _saved(spark, d)
+    model, metadata = load_active_model(spark, "tabular", root)
+    save_model_version(spark, "tabular", "v2", model, {**metadata, "threshold": 0.5}, root)
+    rows = []
+    for version in ("v1", "v2"):
+        set_active_version(spark, "tabular", version, root)
+        _, found = load_active_model(spark, "tabular", root)
+        rows.append((found["version"], found["model_type"], len(found["feature_columns"]), float(found["threshold"])))
+    return spark.createDataFrame(rows, "version string, model_type string, n_features int, threshold double")
+
+
+@query("load_active_model")
+def _(spark, d):
+    """Save, activate, load, and score the newest windows with the loaded model."""
     model, metadata = load_active_model(spark, "tabular", _saved(spark, d))
-    return score_latest_windows(events(spark, d), model, metadata, TRIAL).drop("cycle")
+    return score_latest_windows(events(spark, d), model, metadata, TRIAL)
 
 
 @query("score_latest_windows")

@@ -18,7 +18,7 @@ def signal_columns(df: DataFrame) -> list[str]:
     found = [f.name for f in df.schema.fields
              if f.name.startswith(SIGNAL_PREFIXES) and isinstance(f.dataType, T.NumericType)]
     if not found:
-        raise ValueError("No signal columns found: names must start with 'op_setting_' or 'sensor_'")
+        raise ValueError(f"table has no numeric column that starts with one of {SIGNAL_PREFIXES}")
     return found
 
 
@@ -36,7 +36,7 @@ def model_feature_columns(df: DataFrame, also_exclude: Iterable[str] = ()) -> li
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"table lacks the columns {missing}")
 
 
 def roll_name(signal: str, window: int, stat: str) -> str:

@@ -33,7 +33,7 @@ def predict_at(score: Column, threshold: Column | float) -> Column:
 
 def risk_bucket(score: Column, cutoffs: Sequence[float]) -> Column:
     if len(cutoffs) != 2:
-        raise ValueError("bucket_cutoffs must have exactly 2 values")
+        raise ValueError("three buckets need two cut-offs")
     low, high = (float(c) for c in cutoffs)
     return F.when(score < low, "low").when(score < high, "med").otherwise("high")
 

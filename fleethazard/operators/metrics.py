@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleethazard.functions.columns import require_columns
 from fleethazard.functions.scalar import ceil_count, digitize, linspace_edges, logit_loss, predict_at, ratio
 from fleethazard.operators.ordered import exact_quantiles, global_rank, lookup_join
 from fleethazard.operators.sweep import ranking_metrics
@@ -104,9 +105,9 @@ def eval_sequence_metrics(df: DataFrame, order: Sequence[Column], threshold: flo
 
 def _check_bins(n_bins: int, strategy: str) -> None:
     if n_bins < 2:
-        raise ValueError(f"n_bins must be >= 2, got {n_bins}")
+        raise ValueError(f"n_bins must be at least 2: {n_bins}")
     if strategy not in ("uniform", "quantile"):
-        raise ValueError(f"strategy must be 'uniform' or 'quantile', got {strategy}")
+        raise ValueError(f"strategy must be uniform or quantile: {strategy}")
 
 
 def calibration_edges(df: DataFrame, n_bins: int = 10, strategy: str = "quantile", score: str = "y_proba",
@@ -214,9 +215,7 @@ def fp_kind(remaining: Column, horizon_n: int, early_alarm_slack: int) -> Column
 def top_errors(df: DataFrame, horizon_n: int = 30, early_alarm_slack: int = 10, top_k: int = 20,
                group: Sequence[str] = ()) -> DataFrame:
     """The ``top_k`` false positives and the ``top_k`` false negatives, highest probability first."""
-    missing = [c for c in ("engine_id", "cycle", "label", "y_proba", "y_pred") if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    require_columns(df, ["engine_id", "cycle", "label", "y_proba", "y_pred"])
     if "remaining" not in df.columns:
         df = df.withColumn("remaining", F.lit(None).cast("long"))
     wrong = df.where(F.col("y_pred") != F.col("label")).withColumn(

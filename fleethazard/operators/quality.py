@@ -14,10 +14,10 @@ from fleethazard.operators.ordered import drop_halo, with_halo
 def check_expected_columns(df: DataFrame, expected: Sequence[str]) -> None:
     missing = sorted(set(expected) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing columns: {missing}")
+        raise ValueError(f"columns not found: {missing}")
     extra = sorted(set(df.columns) - set(expected))
     if extra:
-        raise ValueError(f"Unexpected columns: {extra}")
+        raise ValueError(f"columns not expected: {extra}")
 
 
 def check_no_duplicates(df: DataFrame, keys: Sequence[str] = ("engine_id", "cycle")) -> DataFrame:
@@ -31,7 +31,7 @@ def check_no_duplicates(df: DataFrame, keys: Sequence[str] = ("engine_id", "cycl
 def require_no_duplicates(df: DataFrame, keys: Sequence[str] = ("engine_id", "cycle")) -> None:
     n = check_no_duplicates(df, keys).first()["duplicate_rows"]
     if n:
-        raise ValueError(f"Found {n} duplicate rows on keys {list(keys)}")
+        raise ValueError(f"{n} rows share their key {list(keys)} with a duplicate")
 
 
 def check_monotonic_cycle(df: DataFrame, ordinal: str) -> DataFrame:
@@ -45,7 +45,7 @@ def check_monotonic_cycle(df: DataFrame, ordinal: str) -> DataFrame:
 def require_monotonic_cycle(df: DataFrame, ordinal: str) -> None:
     bad = check_monotonic_cycle(df, ordinal).first()
     if bad is not None:
-        raise ValueError(f"Cycle not strictly monotonic for engine_id={bad['engine_id']}")
+        raise ValueError(f"cycles of engine {bad['engine_id']} are not monotonic in ingest order")
 
 
 def check_sorted_by_key(df: DataFrame, ordinal: str) -> DataFrame:
@@ -59,7 +59,7 @@ def check_sorted_by_key(df: DataFrame, ordinal: str) -> DataFrame:
 
 def require_sorted_by_key(df: DataFrame, ordinal: str) -> None:
     if check_sorted_by_key(df, ordinal).first()["violations"]:
-        raise ValueError("DataFrame not sorted by (engine_id, cycle)")
+        raise ValueError("rows do not arrive in key order")
 
 
 def validate_tabular_features(df: DataFrame, window_l: int, id_col: str = "engine_id",
@@ -73,7 +73,7 @@ def validate_tabular_features(df: DataFrame, window_l: int, id_col: str = "engin
     require_columns(df, [id_col, time_col])
     features = [c for c in df.columns if c not in (id_col, time_col)]
     if not features:
-        raise ValueError("No feature columns found")
+        raise ValueError("the table holds no features")
     counted = df.agg(*[
         agg for c in features for agg in (
             F.count_if(F.abs(c) == float("inf")).alias(f"inf|{c}"),

@@ -31,10 +31,10 @@ def fit_scaler(train: DataFrame, feature_columns: Sequence[str]) -> DataFrame:
     Constancy is read from the extremes: merged partial deviations of a constant may be a rounding error above 0.
     """
     if not feature_columns:
-        raise ValueError("feature_columns must not be empty")
+        raise ValueError("a scaler needs at least one feature")
     require_columns(train, feature_columns)
     if train.isEmpty():
-        raise ValueError("No rows found for train_engine_ids")
+        raise ValueError("the train engines have no rows")
     fitted = _long_form(train, feature_columns, {"mean": F.avg, "std": F.stddev_pop, "low": F.min, "high": F.max})
     constant = (F.col("low") == F.col("high")) | (F.col("std") == 0.0)
     return fitted.select("feature", "mean", F.when(constant, 1.0).otherwise(F.col("std")).alias("std"))
@@ -53,10 +53,10 @@ def scaler_params(fitted: DataFrame) -> dict:
 def standardize(df: DataFrame, params: dict) -> DataFrame:
     """(x - mean) / std for every feature of ``params``."""
     if any(k not in params for k in ("feature_columns", "mean", "std")):
-        raise ValueError("scaler params must contain feature_columns, mean, std")
+        raise ValueError("a scaler is described by feature_columns, mean and std")
     names, mean, std = params["feature_columns"], params["mean"], params["std"]
     if not len(names) == len(mean) == len(std):
-        raise ValueError("scaler params lengths mismatch (feature_columns/mean/std)")
+        raise ValueError("feature_columns, mean and std differ in length")
     require_columns(df, names)
     return df.withColumns({
         c: (F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(names, mean, std)
@@ -73,7 +73,7 @@ def fit_median_imputer(train: DataFrame, feature_columns: Sequence[str]) -> Data
     sketched = clean.agg(*[F.percentile_approx(c, [0.497, 0.503], 2000).alias(c) for c in feature_columns]).first()
     empty = [c for c in feature_columns if sketched[c] is None]
     if empty:
-        raise ValueError(f"Train median is NaN for columns: {empty[:20]}")
+        raise ValueError(f"no finite train value to take a median of: {empty[:20]}")
     low, high = ({c: float(sketched[c][i]) for c in feature_columns} for i in (0, 1))
     below = clean.agg(
         *[F.count(c).alias(f"n|{c}") for c in feature_columns],
@@ -126,4 +126,4 @@ def check_finite(df: DataFrame, feature_columns: Sequence[str], what: str = "fea
     for c in feature_columns:
         bad = bad | ~F.coalesce(is_finite(F.col(c)), F.lit(False))
     if not df.where(bad).isEmpty():
-        raise ValueError(f"Non-finite values found in {what}")
+        raise ValueError(f"{what}: some values are missing or infinite")

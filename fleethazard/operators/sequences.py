@@ -17,7 +17,7 @@ CHUNK_ROWS = 4096
 
 def _check_length(window_length: int) -> None:
     if window_length < 1:
-        raise ValueError("window_length must be >= 1")
+        raise ValueError("a window has at least one row")
 
 
 def engine_position(df: DataFrame) -> DataFrame:
@@ -90,11 +90,11 @@ def extract_window(df: DataFrame, feature_columns: Sequence[str], engine_id: int
     engine = df.where(F.col("engine_id") == engine_id)
     n = engine.count()
     if n == 0:
-        raise KeyError(f"engine_id not found: {engine_id}")
+        raise KeyError(f"no rows of engine {engine_id}")
     if not 0 <= end_pos < n:
-        raise ValueError(f"end_pos out of range: {end_pos} (T={n})")
+        raise ValueError(f"end_pos {end_pos} is out of range for {n} rows")
     if end_pos < window_length - 1:
-        raise ValueError("end_pos must be >= window_length - 1")
+        raise ValueError(f"the first window ends at window_length - 1, not at {end_pos}")
     return (
         with_position(engine.select("engine_id", "cycle", *feature_columns), "pos")
         .where(F.col("pos").between(end_pos - window_length + 1, end_pos))
@@ -137,14 +137,14 @@ def build_sequence_pipeline(df: DataFrame, train: DataFrame, window_length: int,
     """
     feature_columns = sequence_feature_columns(df)
     if not feature_columns:
-        raise ValueError("No feature columns found (must start with op_setting_ or sensor_)")
+        raise ValueError("table has no signal columns")
     params = scaler_params(fit_scaler(lookup_join(df, train.select("engine_id"), ["engine_id"], "left_semi"),
                                       feature_columns))
     scaled = standardize(df, params)
     check_finite(scaled, feature_columns, "scaled sequences")
     index = sequence_index(scaled, window_length)
     if index.isEmpty():
-        raise ValueError("No valid windows in index (check window_length vs cycles)")
+        raise ValueError("no engine is long enough for a window")
     return {
         "feature_columns": feature_columns,
         "scaler_params": params,

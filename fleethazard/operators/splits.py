@@ -47,7 +47,7 @@ def hash_rank(engines: DataFrame, seed: int) -> DataFrame:
 def _check_ratios(spec: SplitSpec) -> None:
     total = spec.train + spec.val + spec.test
     if abs(total - 1.0) > 1e-6:
-        raise ValueError(f"Ratios must sum to 1.0, got {total}")
+        raise ValueError(f"split ratios add up to {total}, not to 1")
 
 
 def _cuts(n: Column, spec: SplitSpec) -> tuple[Column, Column]:
@@ -61,7 +61,7 @@ def split_engines(engines: DataFrame, spec: SplitSpec = SplitSpec()) -> DataFram
     _check_ratios(spec)
     engines = distinct_engines(engines)
     if engines.isEmpty():
-        raise ValueError("engine_ids cannot be empty")
+        raise ValueError("there is no engine to split")
     val_from, test_from = _cuts(F.col("n_engines"), spec)
     rank = F.col("rank")
     return hash_rank(engines, spec.seed).select(
@@ -93,7 +93,7 @@ def fit_split(engines: DataFrame, spec: SplitSpec = SplitSpec()) -> SplitCuts:
     _check_ratios(spec)
     engines = distinct_engines(engines)
     if engines.isEmpty():
-        raise ValueError("engine_ids cannot be empty")
+        raise ValueError("there is no engine to split")
     val_from, test_from = _cuts(F.col("n_engines"), spec)
     rank = F.col("rank")
     found = (
@@ -123,7 +123,7 @@ def cap_engines_per_split(split: DataFrame, caps: dict[str, int | None]) -> Data
     present = {r["split"] for r in capped.select("split").distinct().collect()}
     for name in SPLITS:
         if name not in present:
-            raise ValueError(f"Empty {name} split")
+            raise ValueError(f"no engine is left in split {name}")
     return capped
 
 

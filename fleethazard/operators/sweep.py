@@ -129,8 +129,7 @@ def _required(found: DataFrame, target_recall: float, min_precision: float) -> f
     value = found.first()["threshold"]
     if value is None:
         raise PolicyError(
-            f"No threshold satisfies target_recall={target_recall} and min_precision={min_precision}. "
-            "Model too weak for policy.")
+            f"Model too weak for policy: recall {target_recall} and precision {min_precision} are never reached together")
     return float(value)
 
 

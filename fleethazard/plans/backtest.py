@@ -27,7 +27,7 @@ def _run_fold(table: DataFrame, roles: DataFrame, profile: Profile, features: li
     train = rows.where(F.col("split") == "train")
     names = [c for c in profile.backtest.candidates if c in FITTERS]
     if not names:
-        raise ValueError("No valid model candidate selected")
+        raise ValueError("none of the candidates names a known model")
     fitted = [predict_proba(FITTERS[c](train, features, profile.models), rows.where(F.col("split") != "train"))
               .select(F.lit(c).alias("model"), *KEYS, "y_proba") for c in names]
     scored = checkpointed(reduce(DataFrame.unionByName, fitted))
@@ -48,13 +48,13 @@ def run_backtest(full: DataFrame, profile: Profile) -> dict:
     folds = checkpointed(train_val_engines(folds, spec.val_ratio))
     numbers = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
     if not numbers:
-        return {"message": "No folds were generated (check backtest config vs. available engines)."}
+        return {"message": "The fleet is too small for a single fold."}
 
     tests, thresholds = [], {}
     for number in numbers:
         roles = folds.where(F.col("fold") == number).select("engine_id", F.col("role").alias("split"))
         if roles.where(F.col("split") == "val").isEmpty():
-            raise ValueError("val_engines is empty. Increase train_min_engines or val_ratio")
+            raise ValueError("a fold has no engine left to validate on; raise train_min_engines or val_ratio")
         scored, thresholds[number] = _run_fold(table, roles, profile, features)
         tests.append(scored.withColumn("fold", F.lit(number)).withColumn("threshold", F.lit(thresholds[number])))
     test = reduce(DataFrame.unionByName, tests)

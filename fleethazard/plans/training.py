@@ -54,7 +54,7 @@ def fit_candidates(table: DataFrame, profile: Profile, candidates: Sequence[str]
     train = table.where(F.col("split") == "train")
     models = {c: FITTERS[c](train, features, profile.models) for c in candidates if c in FITTERS}
     if not models:
-        raise ValueError("No valid model candidate selected")
+        raise ValueError("none of the candidates names a known model")
     scored = [predict_proba(m, table).select(F.lit(c).alias("model"), *SCORED, "y_proba") for c, m in models.items()]
     return models, checkpointed(reduce(DataFrame.unionByName, scored))
 
@@ -121,7 +121,7 @@ def run_anomaly(full: DataFrame, profile: Profile, history: str = "labeled") ->
     table = prepared_table(full, profile, history)
     features = model_feature_columns(table, ["split"])
     if not features:
-        raise ValueError("No feature columns found")
+        raise ValueError("the table holds no features")
     train = table.where(F.col("split") == "train")
     filled = impute_median(table, median_params(fit_median_imputer(train, features)))
     check_finite(filled, features, "features after imputation")
