@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import require_columns
 from fleethazard.operators.ordered import drop_halo, with_halo
+from fleethazard.operators.scaling import count_cells
 
 
 def check_expected_columns(df: DataFrame, expected: Sequence[str]) -> None:
@@ -74,20 +75,15 @@ def validate_tabular_features(df: DataFrame, window_l: int, id_col: str = "engin
     features = [c for c in df.columns if c not in (id_col, time_col)]
     if not features:
         raise ValueError("the table holds no features")
-    counted = df.agg(*[
-        agg for c in features for agg in (
-            F.count_if(F.abs(c) == float("inf")).alias(f"inf|{c}"),
-            F.count_if((F.col(c).isNull() | F.isnan(c)) & (F.col(time_col) >= window_l)).alias(f"nan|{c}"),
-        )
-    ])
-    cells = F.array(*[
-        F.struct(F.lit(check).alias("check"), F.lit(c).alias("column"), F.col(f"`{key}|{c}`").alias("violations"))
-        for c in features for check, key in (("non_finite", "inf"), ("missing", "nan"))
-    ])
+    late = F.col(time_col) >= window_l
+    per_column = count_cells(df, features, {
+        "non_finite": lambda v, i: F.abs(v) == float("inf"),
+        "missing": lambda v, i: (v.isNull() | F.isnan(v)) & late,
+    }).withColumnsRenamed({"test": "check", "n": "violations"})
     duplicates = check_no_duplicates(df, [id_col, time_col]).select(
         F.lit("duplicate_key").alias("check"), F.lit(f"{id_col},{time_col}").alias("column"),
         F.col("duplicate_rows").alias("violations"))
-    return counted.select(F.inline(cells)).unionByName(duplicates)
+    return per_column.unionByName(duplicates)
 
 
 def require_valid_features(df: DataFrame, window_l: int) -> None:

@@ -6,9 +6,11 @@ with literals: no join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import require_columns
@@ -16,28 +18,45 @@ from fleethazard.functions.scalar import is_finite, nonfinite_to_null
 from fleethazard.operators.ordered import running_totals
 
 
-def _long_form(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
-    """One-row aggregate of several statistics per column, as one row per column."""
-    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}|{name}") for c in columns for name, f in stats.items()])
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), *[F.col(f"`{c}|{name}`").alias(name) for name in stats]) for c in columns
-    ])
-    return wide.select(F.inline(rows))
+def _cells(columns: Sequence[str]) -> Column:
+    """The columns of a row as one array: hundreds of columns are then one expression, not hundreds."""
+    return F.array(*[F.col(c).cast("double") for c in columns])
+
+
+def count_cells(df: DataFrame, columns: Sequence[str], tests: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """How many rows pass each test in each column: ``test, column, n``. A test takes a value and its column number."""
+    def flag(test):
+        return F.transform(_cells(columns), lambda v, i: F.when(test(v, i), 1.0).otherwise(0.0))
+
+    flags = [flag(test) for test in tests.values()]
+    counted = df.select(array_to_vector(F.concat(*flags)).alias("_v")).agg(
+        Summarizer.metrics("numNonZeros").summary(F.col("_v")).alias("_s"))
+    names = F.array(*[F.struct(F.lit(t).alias("test"), F.lit(c).alias("column")) for t in tests for c in columns])
+    rows = F.arrays_zip(names.alias("of"), vector_to_array(F.col("_s.numNonZeros")).alias("n"))
+    return counted.select(F.inline(rows)).select("of.test", "of.column", F.col("n").cast("long").alias("n"))
 
 
 def fit_scaler(train: DataFrame, feature_columns: Sequence[str]) -> DataFrame:
     """``feature, mean, std`` over the train rows: population deviation; a constant feature gets deviation 1.
 
-    Constancy is read from the extremes: merged partial deviations of a constant may be a rounding error above 0.
+    Constancy is read from the extremes: merged partial deviations of a
+    constant may be a rounding error above 0. A missing value makes its
+    feature's statistics NaN.
     """
     if not feature_columns:
         raise ValueError("a scaler needs at least one feature")
     require_columns(train, feature_columns)
     if train.isEmpty():
         raise ValueError("the train engines have no rows")
-    fitted = _long_form(train, feature_columns, {"mean": F.avg, "std": F.stddev_pop, "low": F.min, "high": F.max})
-    constant = (F.col("low") == F.col("high")) | (F.col("std") == 0.0)
-    return fitted.select("feature", "mean", F.when(constant, 1.0).otherwise(F.col("std")).alias("std"))
+    known = F.transform(_cells(feature_columns), lambda v: F.coalesce(v, F.lit(float("nan"))))
+    summary = train.select(array_to_vector(known).alias("_v")).agg(
+        Summarizer.metrics("count", "mean", "variance", "min", "max").summary(F.col("_v")).alias("s"))
+    columns = [F.array(*[F.lit(c) for c in feature_columns]).alias("feature")]
+    columns += [vector_to_array(F.col(f"s.{m}")).alias(m) for m in ("mean", "variance", "min", "max")]
+    long = summary.select(F.col("s.count").alias("n"), F.inline(F.arrays_zip(*columns)))
+    population = F.sqrt(F.col("variance") * (F.col("n") - 1) / F.col("n"))
+    constant = (F.col("min") == F.col("max")) | (F.col("variance") == 0.0)
+    return long.select("feature", "mean", F.when(constant, 1.0).otherwise(population).alias("std"))
 
 
 def scaler_params(fitted: DataFrame) -> dict:
@@ -69,30 +88,27 @@ def fit_median_imputer(train: DataFrame, feature_columns: Sequence[str]) -> Data
     A sketch brackets every median; only values inside the brackets (well under
     1% of each column, ties collapsed) are ordered exactly.
     """
-    clean = train.select(*[nonfinite_to_null(F.col(c)).alias(c) for c in feature_columns])
+    clean = train.select(*[nonfinite_to_null(F.col(c).cast("double")).alias(c) for c in feature_columns])
     sketched = clean.agg(*[F.percentile_approx(c, [0.497, 0.503], 2000).alias(c) for c in feature_columns]).first()
     empty = [c for c in feature_columns if sketched[c] is None]
     if empty:
         raise ValueError(f"no finite train value to take a median of: {empty[:20]}")
-    low, high = ({c: float(sketched[c][i]) for c in feature_columns} for i in (0, 1))
-    below = clean.agg(
-        *[F.count(c).alias(f"n|{c}") for c in feature_columns],
-        *[F.count_if(F.col(c) < low[c]).alias(f"b|{c}") for c in feature_columns],
-    ).first()
-
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.when(F.col(c).between(low[c], high[c]), F.col(c).cast("double")).alias("value"))
-        for c in feature_columns
-    ])
+    low, high = (F.array(*[F.lit(float(sketched[c][end])) for c in feature_columns]) for end in (0, 1))
+    counts = {(r["test"], r["column"]): r["n"] for r in count_cells(clean, feature_columns, {
+        "n": lambda v, i: v.isNotNull(), "below": lambda v, i: v < low[i]}).collect()}
+
+    bracketed = F.transform(_cells(feature_columns), lambda v, i: F.struct(
+        i.alias("_i"), F.when((v >= low[i]) & (v <= high[i]), v).alias("value")))
+    names = F.array(*[F.lit(c) for c in feature_columns])
     inside = (
-        clean.select(F.inline(F.filter(cells, lambda x: x["value"].isNotNull())))
-        .groupBy("feature", "value").agg(F.count("*").alias("_n"))
+        clean.select(F.inline(F.filter(bracketed, lambda x: x["value"].isNotNull())))
+        .groupBy(names[F.col("_i")].alias("feature"), "value").agg(F.count("*").alias("_n"))
     )
     ranked = running_totals(inside, [F.col("value")], {"_upto": "_n"}, ["feature"])
     numbers = F.create_map(*[
         F.lit(x) if isinstance(x, str) else x
         for c in feature_columns
-        for x in (c, F.struct(F.lit(below[f"n|{c}"]).alias("n"), F.lit(below[f"b|{c}"]).alias("below")))
+        for x in (c, F.struct(F.lit(counts["n", c]).alias("n"), F.lit(counts["below", c]).alias("below")))
     ])
     at = numbers[F.col("feature")]
     first, upto = at["below"] + F.col("_upto") - F.col("_n"), at["below"] + F.col("_upto")
@@ -116,14 +132,13 @@ def impute_median(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 
 def nonfinite_counts(df: DataFrame, feature_columns: Sequence[str], by: Sequence[str] = ("split",)) -> DataFrame:
     """Missing and infinite values per split, over all features."""
-    missing = sum((F.when(F.col(c).isNull() | F.isnan(c), 1).otherwise(0) for c in feature_columns), F.lit(0))
-    infinite = sum((F.when(F.abs(c) == float("inf"), 1).otherwise(0) for c in feature_columns), F.lit(0))
+    cells = _cells(feature_columns)
+    missing = F.size(F.filter(cells, lambda v: v.isNull() | F.isnan(v)))
+    infinite = F.size(F.filter(cells, lambda v: F.abs(v) == float("inf")))
     return df.groupBy(*by).agg(F.sum(missing).cast("long").alias("n_nan"), F.sum(infinite).cast("long").alias("n_inf"))
 
 
 def check_finite(df: DataFrame, feature_columns: Sequence[str], what: str = "features") -> None:
-    bad = F.lit(False)
-    for c in feature_columns:
-        bad = bad | ~F.coalesce(is_finite(F.col(c)), F.lit(False))
-    if not df.where(bad).isEmpty():
+    cells = _cells(feature_columns)
+    if not df.where(F.exists(cells, lambda v: ~F.coalesce(is_finite(v), F.lit(False)))).isEmpty():
         raise ValueError(f"{what}: some values are missing or infinite")
