@@ -12,7 +12,7 @@ from fleethazard.catalog.base import (
 from fleethazard.operators.features import build_tabular_features, feature_frame, last_window_features
 from fleethazard.operators.labeling import with_failure_cycle
 from fleethazard.operators.sequences import (
-    build_sequence_pipeline, engine_arrays, engine_position, extract_window, sequence_index, sequence_windows,
+    CHUNK_ROWS, build_sequence_pipeline, engine_arrays, engine_position, extract_window, sequence_index, sequence_windows,
 )
 from fleethazard.operators.splits import split_engines
 from fleethazard.params import FeatureSpec
@@ -153,9 +153,10 @@ def _(spark, d):
     return _window_digest(parts["windows"], len(parts["feature_columns"]))
 
 
-@query("engine_arrays", f"""WITH {EVL} SELECT engine_id, 0::BIGINT AS start_pos, count(*)::INTEGER AS n, min(cycle) AS first_cycle,
-  max(cycle) AS last_cycle, arg_min(sensor_1, cycle)::FLOAT::DOUBLE AS x_first, arg_max(sensor_3, cycle)::FLOAT::DOUBLE AS x_last,
-  sum(label)::BIGINT AS positives, max(remaining)::DOUBLE AS first_remaining FROM evl GROUP BY engine_id""", ["x_first", "x_last"], 4)
+@query("engine_arrays", f"""WITH {EVL}, ps AS (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle) - 1 AS pos FROM evl)
+  SELECT engine_id, (pos // {CHUNK_ROWS} * {CHUNK_ROWS})::BIGINT AS start_pos, count(*)::INTEGER AS n, min(cycle) AS first_cycle,
+    max(cycle) AS last_cycle, arg_min(sensor_1, cycle)::FLOAT::DOUBLE AS x_first, arg_max(sensor_3, cycle)::FLOAT::DOUBLE AS x_last,
+    sum(label)::BIGINT AS positives, max(remaining)::DOUBLE AS first_remaining FROM ps GROUP BY ALL""", ["x_first", "x_last"], 4)
 def _(spark, d):
     arrays = engine_arrays(events_labeled(spark, d), EVENT_SIGNALS)
     n = len(EVENT_SIGNALS)
