@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleethazard.llm.bpe import bpe_encode
 from fleethazard.llm.decontamination import decontaminate
 from fleethazard.llm.line_dedup import line_dedup
 from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
+from fleethazard.llm.simhash import simhash_groups
 from fleethazard.llm.support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +33,22 @@ def sha256(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+# ---------------------------------------------------------------- 5 BPE
+
+def tokenizer_path() -> str:
+    """The vocabulary of the contract; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe_encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # ---------------------------------------------------------------- 6 line dedup
 
 LINES_SQL = """
@@ -80,6 +98,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+# ---------------------------------------------------------------- 8 SimHash near-dedup
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = simhash_groups(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 # ---------------------------------------------------------------- 9 sharding
 
 @query("op9_sharding")
