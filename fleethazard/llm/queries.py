@@ -13,6 +13,7 @@ from fleethazard.llm.line_dedup import line_dedup
 from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
 from fleethazard.llm.simhash import simhash_groups
+from fleethazard.llm.substring_dedup import substring_dedup
 from fleethazard.llm.support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,26 @@ def sha256(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+# ---------------------------------------------------------------- 3 substring dedup
+
+WINDOWS_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20),
+p AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM s),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS i FROM p WHERE nth > 1),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT e.doc_id, word, e.i, g.i IS NOT NULL AS gone FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.i = g.i),
+o AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN o ON d.doc_id = o.doc_id"""
+
+
+@query("op3_substring_dedup", WINDOWS_SQL)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", sha256("text").alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 5 BPE
 
 def tokenizer_path() -> str:
