@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from fleethazard.llm.bpe import bpe_encode
 from fleethazard.llm.decontamination import decontaminate
+from fleethazard.llm.language_id import document_evidence, fit_text_model, identify_language, page_evidence
 from fleethazard.llm.line_dedup import line_dedup
+from fleethazard.llm.quality_classifier import classify_quality
 from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
 from fleethazard.llm.simhash import simhash_groups
@@ -34,6 +36,19 @@ def sha256(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+# ---------------------------------------------------------------- 1 language ID
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page and every document; the text model learns from the documents' declared languages."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_text_model(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    none = F.lit(None).cast("long")
+    rows = (page_evidence(table(spark, sf_dir, "pages")).withColumns({"doc_id": none, "page_id": F.col("id")})
+            .unionByName(document_evidence(docs).withColumns({"doc_id": F.col("id"), "page_id": none})))
+    return identify_language(rows.drop("id"), model, ["doc_id", "page_id"])
+
+
 # ---------------------------------------------------------------- 3 substring dedup
 
 WINDOWS_SQL = """
@@ -54,6 +69,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", sha256("text").alias("kept_sha256"))
 
 
+# ---------------------------------------------------------------- 4 quality classifier
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "text_score", "metadata_score", "score", "kept")
+
+
 # ---------------------------------------------------------------- 5 BPE
 
 def tokenizer_path() -> str:
