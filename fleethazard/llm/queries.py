@@ -16,6 +16,7 @@ from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
 from fleethazard.llm.simhash import simhash_groups
 from fleethazard.llm.substring_dedup import substring_dedup
+from fleethazard.llm.suffix_dedup import suffix_dedup
 from fleethazard.llm.support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +50,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(rows.drop("id"), model, ["doc_id", "page_id"])
 
 
+# ---------------------------------------------------------------- 2 suffix-array dedup
+
+@query("op2_suffix_array_dedup")
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 3 substring dedup
 
 WINDOWS_SQL = """
