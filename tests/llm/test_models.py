@@ -1,0 +1,143 @@
+"""Language ID, quality classifier, BPE, and the pipeline."""
+
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from fleethazard.llm.bpe import WordBpe, bpe_encode
+from fleethazard.llm.language_id import fit_text_model, identify_language, page_evidence
+from fleethazard.llm.quality_classifier import classify_quality, co_train
+from fleethazard.llm.queries import tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    return WordBpe(open(tokenizer_path(), encoding="utf-8").read()), Tokenizer.from_file(tokenizer_path())
+
+
+def test_bpe_equals_the_library(docs, odd_rows, spark):
+    library = Tokenizer.from_file(tokenizer_path())
+    rows = odd_rows + [(50, "It's <|endoftext|>Foo's ΣΑΣ İI a\x1cb\x85 é ﬁ 漢字12 ½"), (51, "<|startoftext|><|endoftext|>")]
+    real = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = bpe_encode(docs(rows + real), tokenizer_path()).collect()
+    assert len(got) == len(rows + real)
+    for r in got:
+        want = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r["ids"], "<u4").tolist() == want and r["n_tokens"] == len(want)
+        assert r["decoded"] == library.decode(want, skip_special_tokens=False)
+
+
+def test_every_character(bpe):
+    own, library = bpe
+    for c in [*range(1, 0xD800, 7), *range(0xE000, 0x20000, 61), *range(0x20, 0x250)]:
+        text = f"a{chr(c)}b 1{chr(c)}"
+        ids, decoded = own.encode(text)
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, hex(c)
+        assert own.decode(ids) == decoded
+
+
+def test_cuts_never_lie_inside_a_token(bpe):
+    own, _ = bpe
+    rng = random.Random(2)
+    for token in rng.sample(sorted(own.vocab), 3000):
+        assert own.cuts(own._symbols(token)) == []
+    for _ in range(500):
+        symbols = own._symbols("".join(rng.choice("abcqxzjé") for _ in range(12)) + "</w>")
+        edges = [0, *own.cuts(symbols), len(symbols)]
+        assert [t for a, b in zip(edges, edges[1:]) for t in own.merge(symbols[a:b])] == own.merge(symbols)
+
+
+def pages(spark):
+    words = {"en": "the of and that with for this", "de": "der die und nicht ist das ein", "fr": "le la les des une dans est"}
+    rng = random.Random(1)
+    text = lambda lang, n: " ".join(rng.choice(words[lang].split()) for _ in range(n))
+    samples = [(i, text(lang, 40), lang) for i, lang in enumerate(["en", "de", "fr"] * 30)]
+    rows = [(i, f"http://www.site{i % 4}.example.{'de' if lang == 'de' else 'com'}/x", f'<html lang="{lang}"><script>the of</script><p>{text(lang, 30)}</p>')
+            for i, lang in enumerate(["en", "de", "fr"] * 20)]
+    return (spark.createDataFrame(samples, "id long, text string, lang string"),
+            spark.createDataFrame(rows, "page_id long, url string, html string"), [s[2] for s in samples])
+
+
+def test_language_of_pages(spark):
+    samples, table, langs = pages(spark)
+    model = fit_text_model(samples)
+    extra = spark.createDataFrame([(900, None, None), (901, "", ""), (902, "no address", "<b>der die und nicht das</b>"),
+                                   (903, "http://www.site1.example.de/q", '<html lang="de"></html>'), (903, "http://www.site1.example.de/q", '<html lang="de"></html>')], table.schema)
+    got = identify_language(page_evidence(table.union(extra)), model, ["id"]).collect()
+    assert len(got) == 65
+    said = {r["id"]: r["lang"] for r in got}
+    assert [said[i] for i in range(60)] == langs[:60]
+    assert said[902] == said[903] == "de" and said[900] in ("en", "de", "fr")
+    assert all(0 <= r["confidence"] <= 1 for r in got)
+
+
+def test_language_without_rows_or_model(spark):
+    samples, table, _ = pages(spark)
+    model = fit_text_model(samples)
+    assert identify_language(page_evidence(table.limit(0)), model, ["id"]).count() == 0
+    none = fit_text_model(samples.limit(0))
+    assert {r["lang"] for r in identify_language(page_evidence(table), none, ["id"]).collect()} == {None}
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = fit_text_model(docs.where("doc_id % 2 = 0").selectExpr("doc_id AS id", "text", "lang"))
+    held = docs.where("doc_id % 2 = 1").selectExpr("doc_id AS id", "text", "string(null) AS declared", "string(null) AS suffix",
+                                                   "string(null) AS host", "string(null) AS domain")
+    said = identify_language(held, model, ["id"]).join(docs.selectExpr("doc_id AS id", "lang AS want"), "id").collect()
+    assert np.mean([r["lang"] == r["want"] for r in said]) > 0.98
+
+
+def test_quality_on_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    scored = classify_quality(docs, labels.where("doc_id % 3 > 0"))
+    held = scored.join(labels.where("doc_id % 3 = 0"), "doc_id").collect()
+    assert np.mean([r["kept"] == (r["quality"] == 1) for r in held]) > 0.93
+    assert np.mean([r["kept"] for r in held if r["quality"] == 1]) > 0.97
+
+
+def test_quality_of_odd_rows(docs, odd_rows, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = classify_quality(docs(odd_rows), labels).collect()
+    assert len(got) == len(odd_rows) and all(r["kept"] and r["score"] == 0.5 for r in got)
+    rng = random.Random(1)
+    good = [(i, " ".join(f"w{rng.randint(0, 999)}" for _ in range(60))) for i in range(100, 200)]
+    bad = [(i, "SPAM!! " * rng.randint(20, 60)) for i in range(200, 300)]
+    labels = spark.createDataFrame([(i, int(i < 200), 0) for i in range(100, 300)] + [(None, 1, 0), (100, None, 0), (100, 1, 0)], labels.schema)
+    got = classify_quality(docs(good + bad + odd_rows), labels).collect()
+    assert len(got) == 200 + len(odd_rows)
+    assert all(r["kept"] == (r["doc_id"] < 200) for r in got if (r["doc_id"] or 0) >= 100)
+    assert classify_quality(docs([]), labels).count() == 0
+
+
+def test_views_teach_each_other():
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 4000)
+    text = np.c_[y + rng.normal(0, 0.4, 4000), rng.normal(0, 1, 4000)]
+    meta = np.c_[y + rng.normal(0, 0.6, 4000), rng.normal(0, 1, 4000)]
+    label = np.where(np.arange(4000) < 400, y, -1)
+    model = co_train(text, meta, label, np.arange(4000) % 5, rounds=3, confidence=0.9, per_round=500)
+    both = sum(c.logit(m.logit(v)[:, None]) for c, m, v in zip(model.calibrate, (model.text, model.metadata), (text, meta))) - model.prior
+    assert ((both > 0) == (y == 1))[400:].mean() > 0.9
+    assert co_train(text, meta, np.full(4000, -1), np.arange(4000) % 5, 3, 0.9, 10) is None
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, now, SF)
+        assert after.columns == docs.columns, name
+        assert after.count() <= now.count()
+        now = spark.createDataFrame(after.collect(), docs.schema)
+    last = corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
+    assert 0 < len(last) == now.count() < docs.count()
+    assert {r["doc_id"]: r["n_tokens"] for r in last} == {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, SF).collect()}
