@@ -21,11 +21,11 @@ RAW: dict[str, Query] = {}  # the same queries before rounding
 ORACLES: dict[str, str] = {}
 
 DEFAULT = Profile()
-# random test signals do not reach the default precision; fits are kept short
+# random test signals do not reach the default precision
 TRIAL = Profile(
     horizon_n=SHORT.horizon_n, window_l=SHORT.window_l, features=SHORT.features,
     policy=PolicySpec(target_recall=0.85, min_precision=0.05),
-    models=ModelSpec(logreg_max_iter=50, gbt_trees=5, mlp_epochs=10),
+    models=ModelSpec(),
     backtest=BacktestSpec(),
 )
 EVENT_SIGNALS = [f"op_setting_{i}" for i in (1, 2, 3)] + [f"sensor_{i}" for i in (1, 2, 3)]

@@ -256,13 +256,13 @@ def _(spark, d):
 
 def _history(spark, d):
     """A training history per split: one epoch per cycle of remaining life, its loss and PR-AUC from the events."""
-    df = scored(spark, d).where("model = 'a' AND remaining < 30")
+    df = scored(spark, d).where("model = 'a'")
     return df.groupBy("split", F.col("remaining").alias("epoch")).agg(
         (F.floor(F.avg("y_proba") * 20) / 20).alias("val_pr_auc"), (F.count("*") / 100).alias("val_loss"))
 
 
 @query("early_stop_best_epoch", f"""WITH RECURSIVE {SC}, h AS (SELECT split, remaining AS epoch, floor(avg(y_proba) * 20) / 20 AS val_pr_auc,
-    count(*) / 1e2 AS val_loss FROM sc WHERE model = 'a' AND remaining < 30 GROUP BY ALL),
+    count(*) / 1e2 AS val_loss FROM sc WHERE model = 'a' GROUP BY ALL),
   walk AS (SELECT split, epoch, val_pr_auc AS a, val_loss AS l, epoch AS best, 0 AS stale FROM h WHERE epoch = 0
     UNION ALL
     SELECT w.split, h.epoch,

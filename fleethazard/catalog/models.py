@@ -23,7 +23,7 @@ from fleethazard.sources.registry import load_active_model, save_model_version,
 from fleethazard.streaming.alerts import stream_score_alerts
 from fleethazard.streaming.features import ROCKSDB, stream_features
 
-FOREST_FEATURES = ["sensor_1", "sensor_2", "sensor_3"]
+FOREST_FEATURES = EVENT_SIGNALS
 
 
 def _fitted(spark, d, kind):

@@ -31,10 +31,9 @@ EV_FEATURES = feature_columns(EVENT_SIGNALS, S.windows)
 EV_PLACES = feature_places(EV_FEATURES)
 
 
-@query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice FROM lineitem")
+@query("scan_parquet", "SELECT * FROM lineitem")
 def _(spark, d):
-    return scan_parquet(spark, f"{d}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    return scan_parquet(spark, f"{d}/lineitem.parquet")
 
 
 @query("scan_label_columns", f"WITH {EVL} SELECT engine_id, cycle, label, remaining FROM evl")
@@ -152,11 +151,11 @@ def _(spark, d):
 
 
 def _request_bodies(spark, d):
-    """The rows of every engine's first window as a JSON request; short engines and wild values give faulty ones."""
-    # the window of engine e has 10 rows, 9 when its first reading is above 30
-    first = F.max(F.when(F.col("cycle") == 1, F.col("sensor_1")))
-    rows = events(spark, d).where(F.col("cycle") <= SHORT.window_l)
-    steps = rows.groupBy("engine_id").agg(
+    """All rows as JSON requests of ten cycles each; short blocks and wild values give faulty ones."""
+    # a window has 10 rows, 9 when its first reading is above 30
+    first = F.max(F.when(F.col("cycle") % 10 == 1, F.col("sensor_1")))
+    block = F.expr("engine_id * 1000000 + (cycle - 1) div 10")
+    steps = events(spark, d).groupBy(block.alias("engine_id")).agg(
         F.array_sort(F.collect_list(F.struct("cycle", "sensor_1", "sensor_2", "sensor_3"))).alias("steps"),
         first.alias("first"))
     row = lambda s: F.create_map(
@@ -166,8 +165,8 @@ def _request_bodies(spark, d):
     return steps.select(F.col("engine_id").alias("request_id"), F.to_json(F.struct(window.alias("window"))).alias("body"))
 
 
-REQ = f"""{EV}, fr AS (SELECT *, max(CASE WHEN cycle = 1 THEN sensor_1 END) OVER (PARTITION BY engine_id) AS first
-  FROM ev WHERE cycle <= 10),
+REQ = f"""{EV}, bk AS (SELECT * REPLACE (engine_id * 1000000 + (cycle - 1) // 10 AS engine_id, (cycle - 1) % 10 + 1 AS cycle) FROM ev),
+fr AS (SELECT *, max(CASE WHEN cycle = 1 THEN sensor_1 END) OVER (PARTITION BY engine_id) AS first FROM bk),
 rq AS (SELECT * FROM fr WHERE cycle <= CASE WHEN first > 30 THEN 9 ELSE 10 END),
 rr AS (SELECT engine_id AS request_id,
   CASE WHEN count(*) <> 10 THEN 'wrong length' WHEN max((sensor_2 = 99)::INT) = 1 THEN 'missing keys'

@@ -22,9 +22,8 @@ from fleethazard.plans.tables import training_table
 S = SHORT.features
 D = DEFAULT.features
 LINE_FEATURES = feature_columns(LINE_SIGNALS, D.windows)
-# sample deviations of prices: 12 significant digits leave 3 places beyond doubt, 2 for running sums
+# sample deviations of prices: 12 significant digits leave 3 places beyond doubt
 LINE_PLACES = {c: 3 if c.endswith("__std") else 5 for c in LINE_FEATURES}
-RUNNING_PLACES = {c: 2 if c.startswith("sensor_2") and c.endswith("__std") else 4 for c in LINE_FEATURES}
 LINE_ROLL = f"WITH {LI} SELECT * FROM ({feature_sql(LINE_SIGNALS, 'li', D.windows)}) WHERE cycle >= 50"
 
 
@@ -54,7 +53,7 @@ STAT_COLUMNS = feature_columns(["sensor_1", "sensor_3"], (7,), ALL_STATS, (), ()
        {c: {"sensor_1__roll7__var": 5, "sensor_3__roll7__var": 2}.get(c, 3 if c.endswith("std") else 5) for c in STAT_COLUMNS})
 def _(spark, d):
     df = events(spark, d).select(*KEY, "sensor_1", "sensor_3")
-    return feature_frame(df, FeatureSpec(windows=(7,), stats=ALL_STATS, lags=(), deltas=()), "frames")
+    return feature_frame(df, FeatureSpec(windows=(7,), stats=ALL_STATS, lags=(), deltas=()))
 
 
 @query("rolling_with_gaps", f"""WITH {EV}, g AS (SELECT engine_id, cycle, CASE WHEN sensor_2 >= 10 THEN sensor_1 END AS sensor_1 FROM ev)
@@ -65,6 +64,26 @@ def _(spark, d):
     return feature_frame(df, FeatureSpec(windows=(3, 5)))
 
 
+SPOILED = "CASE WHEN sensor_2 < 10 THEN NULL ELSE sensor_1 END"
+SHIFTED = "sensor_1 + CASE WHEN cycle > 10 THEN 1e8 ELSE 0e0 END"
+
+
+@query("rolling_nonfinite", f"""WITH {EV}, g AS (SELECT engine_id, cycle, {SPOILED} AS sensor_1 FROM ev)
+  {feature_sql(['sensor_1'], 'g', (3, 5))}""", feature_places(feature_columns(["sensor_1"], (3, 5))))
+def _(spark, d):
+    """NaN and infinities inside frames count as missing, and are forgotten once the frame has passed them."""
+    wild = F.when(F.col("sensor_2") < 5, float("nan")).when(F.col("sensor_2") < 10, float("inf")).otherwise(F.col("sensor_1"))
+    return feature_frame(events(spark, d).select(*KEY, wild.alias("sensor_1")), FeatureSpec(windows=(3, 5)))
+
+
+@query("rolling_level_shift", f"""WITH {EV}, g AS (SELECT engine_id, cycle, {SHIFTED} AS sensor_1 FROM ev)
+  {feature_sql(['sensor_1'], 'g', (5,))}""", {c: 2 if c.endswith("std") else 4 for c in feature_columns(["sensor_1"], (5,))})
+def _(spark, d):
+    """A step of 1e8: deviations after it are those of the noise."""
+    step = F.col("sensor_1") + F.when(F.col("cycle") > 10, 1e8).otherwise(0.0)
+    return feature_frame(events(spark, d).select(*KEY, step.alias("sensor_1")), FeatureSpec(windows=(5,)))
+
+
 @query("lag_feature", f"WITH {LI} {feature_sql(LINE_SIGNALS, 'li', (), (), (1, 5), ())}", {
     c: 6 for c in feature_columns(LINE_SIGNALS, (), (), (1, 5), ())})
 def _(spark, d):
@@ -77,7 +96,7 @@ def _(spark, d):
     return feature_frame(lines(spark, d), FeatureSpec(windows=(), stats=(), lags=(), deltas=(1,)))
 
 
-@query("build_tabular_features", LINE_ROLL, RUNNING_PLACES)
+@query("build_tabular_features", LINE_ROLL, LINE_PLACES)
 def _(spark, d):
     return build_tabular_features(lines(spark, d), D, DEFAULT.window_l)
 
@@ -85,7 +104,7 @@ def _(spark, d):
 @query("build_tabular_features_frames", LINE_ROLL, LINE_PLACES)
 def _(spark, d):
     """The same table from sliding frames."""
-    return build_tabular_features(lines(spark, d), D, DEFAULT.window_l, method="frames")
+    return build_tabular_features(lines(spark, d), D, DEFAULT.window_l)
 
 
 @query("training_table_labeled_history", f"""WITH {EVL}, f AS ({feature_sql(EVENT_SIGNALS, 'evl', S.windows,
@@ -93,7 +112,7 @@ def _(spark, d):
        feature_places(feature_columns(EVENT_SIGNALS, S.windows)))
 def _(spark, d):
     """Features built after labelling has dropped the first cycles: leading frames are null."""
-    return training_table(events(spark, d), SHORT, "labeled", method="frames")
+    return training_table(events(spark, d), SHORT, "labeled")
 
 
 @query("failure_cycle", f"WITH {LI} SELECT *, max(cycle) OVER (PARTITION BY engine_id) AS failure_cycle FROM li")
@@ -191,13 +210,14 @@ def _(spark, d):
     return latest_window_features(lines(spark, d), DEFAULT)
 
 
-@query("short_window_features", f"""WITH {EV}, h AS (SELECT * FROM ev WHERE cycle <= 2)
+@query("short_window_features", f"""WITH {EV}, h AS (SELECT engine_id * 1000000 + (cycle - 1) // 2 AS engine_id, cycle, sensor_1 FROM ev)
   SELECT engine_id, max(cycle) AS cycle, avg(sensor_1) AS sensor_1__roll5__mean,
     CASE WHEN count(*) > 1 THEN stddev_samp(sensor_1) ELSE 0e0 END AS sensor_1__roll5__std FROM h GROUP BY engine_id""",
        {"sensor_1__roll5__mean": 5, "sensor_1__roll5__std": 4})
 def _(spark, d):
-    """Windows longer than the rows at hand are cut short."""
-    df = events(spark, d).where("cycle <= 2").select(*KEY, "sensor_1")
+    """Windows longer than the rows at hand are cut short: every engine in pieces of two cycles."""
+    piece = F.expr("engine_id * 1000000 + (cycle - 1) div 2").alias("engine_id")
+    df = events(spark, d).select(piece, "cycle", "sensor_1")
     return last_window_features(df, FeatureSpec(windows=(5,), lags=(), deltas=()), 10).drop("rows_seen")
 
 

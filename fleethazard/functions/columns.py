@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# fixed values: prefixes of signals, columns that are no features
 SIGNAL_PREFIXES = ("op_setting_", "sensor_")
 NOT_FEATURES = ("engine_id", "cycle", "label", "remaining", "failure_cycle")
 # fixed values: the raw record layout
@@ -39,6 +40,7 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"table lacks the columns {missing}")
 
 
+# fixed values: the formats of feature names
 def roll_name(signal: str, window: int, stat: str) -> str:
     return f"{signal}__roll{window}__{stat}"
 

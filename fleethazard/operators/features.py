@@ -15,15 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import delta_name, lag_name, roll_name, signal_columns
+from fleethazard.functions.scalar import nonfinite_to_null
 from fleethazard.operators.ordered import drop_halo, with_halo
 from fleethazard.params import FeatureSpec
 
-# running sums restart at least every 2**RUNNING_SHIFT cycles, which bounds their rounding error
-RUNNING_SHIFT = 10
-
-# fixed values: statistic name -> SQL aggregate
+# statistic name -> SQL aggregate
 _FRAME_STATS = {"mean": "avg", "std": "stddev_samp", "var": "var_samp", "sum": "sum", "min": "min", "max": "max", "count": "count"}
-_RUNNING_STATS = ("mean", "sum", "var", "std", "count")
 
 
 def along(parts: Sequence[str]) -> str:
@@ -71,64 +68,23 @@ def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int]
     return _with(df, values), out
 
 
-def _running_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
-                     order: str) -> tuple[DataFrame, dict[str, str]]:
-    """Rolling statistics as differences of running sums: constant work per row for any window.
-
-    Values are taken relative to the first value of the block, so a constant
-    signal gives exactly 0 and large offsets do not cancel.
-    """
-    sofar = f"OVER {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    df = _with(df, {"_row": f"row_number() OVER {order})", **{f"_f_{s}": f"first({s}, true) {sofar}" for s in signals}})
-    sums = {}
-    for s in signals:
-        sums |= {
-            f"_s_{s}": f"sum({s} - _f_{s}) {sofar}",
-            f"_q_{s}": f"sum(({s} - _f_{s}) * ({s} - _f_{s})) {sofar}",
-            # the newest row without a value: a window is full once it starts after it
-            f"_gap_{s}": f"max(CASE WHEN {s} IS NULL THEN _row END) {sofar}",
-        }
-    df = _with(df, sums)
-    df = _with(df, {
-        f"_{k}_{s}_{w}": f"coalesce(_{k}_{s}, 0D) - coalesce(lag(_{k}_{s}, {w}) OVER {order}), 0D)"
-        for s in signals for w in windows for k in "sq"
-    })
-
-    out = {}
-    for s in signals:
-        for w in windows:
-            mean = f"_f_{s} + _s_{s}_{w} / {w}"
-            # one value has no sample variance
-            var = f"greatest(_q_{s}_{w} - _s_{s}_{w} * _s_{s}_{w} / {w}, 0D) / {w - 1}" if w > 1 else "CAST(NULL AS DOUBLE)"
-            values = {"mean": mean, "sum": f"({mean}) * {w}", "var": var, "std": f"sqrt({var})", "count": f"{w}D"}
-            out |= {roll_name(s, w, t): f"CASE WHEN _row - coalesce(_gap_{s}, 0) >= {w} THEN {values[t]} END" for t in stats}
-    return df, out
+def _finite(df: DataFrame, signals: Sequence[str]) -> list[Column]:
+    """The signals with NaN and infinities as null: a reading that is no number is missing."""
+    kinds = dict(df.dtypes)
+    return [nonfinite_to_null(F.col(s)).alias(s) if kinds[s] in ("double", "float") else F.col(s) for s in signals]
 
 
-def feature_frame(df: DataFrame, spec: FeatureSpec, method: str = "running", keep: Sequence[str] = ()) -> DataFrame:
+def feature_frame(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = ()) -> DataFrame:
     """All features of every row: key, kept columns, then feature columns in name order.
 
-    ``method='running'`` derives mean, sum, var, std and count from running sums
-    (other statistics still use frames); ``'frames'`` re-aggregates every frame.
+    Each frame is aggregated from its own rows, so a feature depends on the
+    rows of its frames alone: not on level shifts before them, on other
+    engines, or on how an engine is cut into blocks.
     """
-    if method not in ("frames", "running"):
-        raise ValueError(f"method must be 'frames' or 'running', got {method}")
     signals = signal_columns(df)
-    by_sums = [t for t in spec.stats if method == "running" and t in _RUNNING_STATS]
-    by_frames = [t for t in spec.stats if t not in by_sums]
-    rows, parts = with_halo(
-        df.select("engine_id", "cycle", *keep, *signals), spec.history(),
-        **({"shift": RUNNING_SHIFT} if by_sums else {}),
-    )
+    rows, parts = with_halo(df.select("engine_id", "cycle", *keep, *_finite(df, signals)), spec.history())
     order = along(parts)
-
-    features: dict[str, str] = {}
-    if by_sums:
-        rows, found = _running_columns(rows, signals, spec.windows, by_sums, order)
-        features |= found
-    if by_frames:
-        rows, found = _frame_columns(rows, signals, spec.windows, by_frames, order)
-        features |= found
+    rows, features = _frame_columns(rows, signals, spec.windows, spec.stats, order)
     for s in signals:
         features |= {lag_name(s, k): lag_feature(s, k, order) for k in spec.lags}
         features |= {delta_name(s, k): delta_feature(s, k, order) for k in spec.deltas}
@@ -144,11 +100,11 @@ def filter_min_history(df: DataFrame, spec: FeatureSpec, window_l: int) -> DataF
 
 
 def build_tabular_features(df: DataFrame, spec: FeatureSpec, window_l: int, filter_after: bool = True,
-                           id_col: str = "engine_id", time_col: str = "cycle", method: str = "running",
+                           id_col: str = "engine_id", time_col: str = "cycle",
                            keep: Sequence[str] = ()) -> DataFrame:
     """The feature table, from the first cycle on at which a gap-free engine has every feature."""
     renamed = df.withColumnsRenamed({id_col: "engine_id", time_col: "cycle"})
-    features = feature_frame(renamed, spec, method, keep)
+    features = feature_frame(renamed, spec, keep)
     if filter_after:
         features = filter_min_history(features, spec, window_l)
     return features.withColumnsRenamed({"engine_id": id_col, "cycle": time_col})
@@ -162,7 +118,7 @@ def last_window_features(df: DataFrame, spec: FeatureSpec, window_l: int) -> Dat
     """
     signals = signal_columns(df)
     newest = Window.partitionBy("engine_id").orderBy(F.col("cycle").desc())
-    recent = df.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= window_l)
+    recent = df.select("engine_id", "cycle", *_finite(df, signals)).withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= window_l)
     at = lambda s, back: F.max(F.when(F.col("_back") == back, F.col(s)))
     features: dict[str, Column] = {}
     for s in signals:
@@ -171,8 +127,10 @@ def last_window_features(df: DataFrame, spec: FeatureSpec, window_l: int) -> Dat
             for stat in spec.stats:
                 if stat == "std":
                     features[roll_name(s, w, stat)] = F.when(F.count(x) > 1, F.stddev_samp(x)).otherwise(0.0)
+                elif stat == "median" or stat in _FRAME_STATS:
+                    features[roll_name(s, w, stat)] = getattr(F, _FRAME_STATS.get(stat, stat))(x).cast("double")
                 else:
-                    features[roll_name(s, w, stat)] = getattr(F, _FRAME_STATS[stat])(x).cast("double")
+                    raise ValueError(f"Unknown stat {stat!r}; choose one of {sorted([*_FRAME_STATS, 'median'])}")
         features |= {lag_name(s, k): at(s, k + 1) for k in spec.lags}
         features |= {delta_name(s, k): at(s, 1) - at(s, k + 1) for k in spec.deltas}
     return recent.groupBy("engine_id").agg(

@@ -64,15 +64,15 @@ def require_sorted_by_key(df: DataFrame, ordinal: str) -> None:
 
 
 def validate_tabular_features(df: DataFrame, window_l: int, id_col: str = "engine_id",
-                              time_col: str = "cycle") -> DataFrame:
+                              time_col: str = "cycle", ordinal: str | None = None) -> DataFrame:
     """``check, column, violations`` of a feature table, one row per check and column; 0 means passed.
 
     Checks: key uniqueness, infinite values anywhere, missing values at or
-    after ``window_l``. (Row order is no property of a DataFrame; see
-    `check_sorted_by_key` for files.)
+    after ``window_l``. Row order is no property of a DataFrame: it is checked
+    if a column ``ordinal`` tells it.
     """
     require_columns(df, [id_col, time_col])
-    features = [c for c in df.columns if c not in (id_col, time_col)]
+    features = [c for c in df.columns if c not in (id_col, time_col, ordinal)]
     if not features:
         raise ValueError("the table holds no features")
     late = F.col(time_col) >= window_l
@@ -83,7 +83,12 @@ def validate_tabular_features(df: DataFrame, window_l: int, id_col: str = "engin
     duplicates = check_no_duplicates(df, [id_col, time_col]).select(
         F.lit("duplicate_key").alias("check"), F.lit(f"{id_col},{time_col}").alias("column"),
         F.col("duplicate_rows").alias("violations"))
-    return per_column.unionByName(duplicates)
+    found = per_column.unionByName(duplicates)
+    if ordinal is not None:
+        keyed = df.withColumnsRenamed({id_col: "engine_id", time_col: "cycle"})
+        found = found.unionByName(check_sorted_by_key(keyed, ordinal).select(
+            F.lit("row_order").alias("check"), F.lit(ordinal).alias("column"), F.col("violations").cast("long").alias("violations")))
+    return found
 
 
 def require_valid_features(df: DataFrame, window_l: int) -> None:

@@ -23,7 +23,7 @@ KEYS = ["engine_id", "cycle", "label", "remaining", "split"]
 
 def _run_fold(table: DataFrame, roles: DataFrame, profile: Profile, features: list[str]) -> tuple[DataFrame, float]:
     """Test rows scored by the fold's best candidate, and the threshold."""
-    rows = written(lookup_join(table, roles, ["engine_id"]), "fold")  # a fold holds a configured number of engines
+    rows = lookup_join(table, roles, ["engine_id"])  # the table is written once; a fold is a filter on it
     train = rows.where(F.col("split") == "train")
     names = [c for c in profile.backtest.candidates if c in FITTERS]
     if not names:

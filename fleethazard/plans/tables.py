@@ -20,7 +20,7 @@ def join_remaining_left(scored: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.join(labels.select("engine_id", "cycle", "remaining"), ["engine_id", "cycle"], "left")
 
 
-def training_table(full: DataFrame, profile: Profile, history: str = "full", method: str = "running") -> DataFrame:
+def training_table(full: DataFrame, profile: Profile, history: str = "full") -> DataFrame:
     """Features, ``remaining`` and ``label`` in one pass over the sensor table.
 
     ``history='full'`` lets features look back over all cycles; ``'labeled'``
@@ -30,9 +30,9 @@ def training_table(full: DataFrame, profile: Profile, history: str = "full", met
         raise ValueError(f"history must be 'full' or 'labeled', got {history}")
     if history == "labeled":
         base = label_horizon(full, profile.horizon_n, profile.window_l)
-        return build_tabular_features(base, profile.features, profile.window_l, method=method,
+        return build_tabular_features(base, profile.features, profile.window_l,
                                       keep=["failure_cycle", "remaining", "label"])
     rows = with_failure_cycle(full).withColumn("remaining", F.col("failure_cycle") - F.col("cycle"))
     rows = rows.withColumn("label", fails_within(F.col("remaining"), profile.horizon_n))
-    return build_tabular_features(rows, profile.features, profile.window_l, method=method,
+    return build_tabular_features(rows, profile.features, profile.window_l,
                                   keep=["failure_cycle", "remaining", "label"])

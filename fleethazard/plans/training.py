@@ -105,7 +105,9 @@ def train_window_model(full: DataFrame, profile: Profile, caps: dict[str, int |
         scored.where(F.col("split") == "val"), profile.policy.target_recall, profile.policy.min_precision)
     order = [F.col("engine_id"), F.col("cycle")]
     report = eval_sequence_metrics(scored, order, threshold, group=["split"])
+    val = report.where(F.col("split") == "val").first()
     metadata = {
+        "featureset_version": profile.featureset_version, "val_metrics": val.asDict() if val else None,
         "model_type": "mlp", "hparams": {"window_l": profile.window_l, "n_features": n}, "threshold": threshold,
         "feature_columns": parts["feature_columns"], "bucket_cutoffs": list(profile.policy.bucket_cutoffs),
         "target_recall": profile.policy.target_recall, "min_precision": profile.policy.min_precision,

@@ -35,13 +35,34 @@ def shared_dir(spark: SparkSession) -> str:
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="fleethazard-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark can write."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place in one step: readers see the old content or the new."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    files = target.getFileSystem(conf)
+    out = files.create(fresh, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files_at = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
+    files_at.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so later reads see the same rows in the same partitions."""
     spark = df.sparkSession

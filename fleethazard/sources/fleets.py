@@ -17,7 +17,7 @@ from fleethazard.session import shared_dir
 
 HOT_ROWS = 1_000_000  # engines with more rows are ranked block by block
 
-# fixed values: event type codes
+# event type codes
 EVENT_CODES = {"view": 1.0, "click": 2.0, "signup": 3.0, "purchase": 4.0, "error": 5.0}
 
 

@@ -8,7 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
-REQUIRED = ("model_type", "feature_columns", "threshold", "bucket_cutoffs")
+from fleethazard.session import replace_text
+
+# fixed values: the keys of the metadata contract
+REQUIRED = ("model_type", "featureset_version", "horizon_n", "window_l", "feature_columns", "threshold", "bucket_cutoffs",
+            "target_recall", "min_precision", "val_metrics")
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -23,7 +27,7 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 
 def set_active_version(spark: SparkSession, name: str, version: str, root: str) -> None:
-    _write_text(spark, f"{root}/{name}/ACTIVE", version)
+    replace_text(spark, f"{root}/{name}/ACTIVE", version)
 
 
 def get_active_version(spark: SparkSession, name: str, root: str) -> str:
@@ -43,6 +47,7 @@ def check_metadata(metadata: dict) -> None:
 
 def save_model_version(spark: SparkSession, name: str, version: str, model: PipelineModel, metadata: dict, root: str,
                        set_active: bool = True) -> str:
+    check_metadata(metadata)
     folder = f"{root}/{name}/{version}"
     model.write().overwrite().save(f"{folder}/model")
     _write_text(spark, f"{folder}/metadata", json.dumps(metadata, sort_keys=True))

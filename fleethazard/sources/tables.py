@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import RAW_COLUMNS
+from fleethazard.functions.scalar import nonfinite_to_null
 from fleethazard.operators.quality import check_expected_columns, require_no_duplicates
+from fleethazard.session import remove
 
 
 def scan_raw_sensor_text(spark: SparkSession, path: str, columns: Sequence[str] = tuple(RAW_COLUMNS)) -> DataFrame:
     """Headerless whitespace-delimited text: two integer key columns, then doubles.
 
     Blank lines and trailing blanks are tolerated; a value of the wrong type or
-    a line of the wrong width fails the job.
+    a line of the wrong width fails the job. NaN and infinities become null.
     """
     fields = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
     lines = spark.read.text(path).where(F.trim("value") != "").select(fields.alias("f"))
@@ -25,7 +27,8 @@ def scan_raw_sensor_text(spark: SparkSession, path: str, columns: Sequence[str]
     def typed(i: int, kind: str) -> Column:
         text = F.col("f")[i]
         bad = F.raise_error(F.concat(F.lit(f"{columns[i]} is no {kind}: "), text))
-        return F.coalesce(text.try_cast(kind), bad.cast(kind)).alias(columns[i])
+        value = F.coalesce(text.try_cast(kind), bad.cast(kind))
+        return (nonfinite_to_null(value) if kind == "double" else value).alias(columns[i])
 
     return lines.select(width.alias("f")).select(*[typed(i, "long" if i < 2 else "double") for i in range(len(columns))])
 
@@ -57,8 +60,13 @@ def ingest_processed(spark: SparkSession, raw_path: str, out_path: str,
     """
     df = scan_raw_sensor_text(spark, raw_path, columns)
     check_expected_columns(df, columns)
-    require_no_duplicates(df)
-    return write_key_ordered(df, out_path)
+    table = write_key_ordered(df, out_path)
+    try:
+        require_no_duplicates(table)  # on the Parquet: the text is parsed once
+    except ValueError:
+        remove(spark, out_path)
+        raise
+    return table
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -28,10 +28,9 @@ def test_label_needs_keys(spark):
         label_horizon(spark.createDataFrame([(1,)], "engine_id long"))
 
 
-@pytest.mark.parametrize("method", ["frames", "running"])
-def test_hand_computed_features(fleet, method):
+def test_hand_computed_features(fleet):
     df = fleet({1: [10, 20, 30, 40, 50, 60]})
-    row = build_tabular_features(df, SMALL, 1, filter_after=False, method=method).where("cycle = 4").first()
+    row = build_tabular_features(df, SMALL, 1, filter_after=False).where("cycle = 4").first()
     assert (row["sensor_1__roll3__mean"], row["sensor_1__lag1"], row["sensor_1__delta1"]) == (30.0, 30.0, 10.0)
 
 
@@ -66,8 +65,7 @@ def _pandas_features(pdf, spec):
     return out
 
 
-@pytest.mark.parametrize("method", ["frames", "running"])
-def test_features_equal_pandas_with_nulls_and_gaps(spark, monkeypatch, method):
+def test_features_equal_pandas_with_nulls_and_gaps(spark, monkeypatch):
     """Small blocks force the halo path; one engine holds a third of the rows."""
     rng = np.random.default_rng(3)
     frames = []
@@ -80,7 +78,7 @@ def test_features_equal_pandas_with_nulls_and_gaps(spark, monkeypatch, method):
     monkeypatch.setattr(feature_module, "with_halo", lambda df, rows, **k: original(df, rows, shift=6))
     spec = FeatureSpec(windows=(1, 3, 10), stats=("mean", "std"), lags=(1, 5), deltas=(1, 4))
     clean = spark.createDataFrame(pdf).withColumn("sensor_1", F.when(~F.isnan("sensor_1"), F.col("sensor_1")))
-    got = feature_frame(clean, spec, method).toPandas().sort_values(["engine_id", "cycle"]).reset_index(drop=True)
+    got = feature_frame(clean, spec).toPandas().sort_values(["engine_id", "cycle"]).reset_index(drop=True)
     want = _pandas_features(pdf, spec)[got.columns]
     pd.testing.assert_frame_equal(got, want, rtol=1e-9, atol=1e-9, check_dtype=False)
 
@@ -97,12 +95,30 @@ def test_unknown_statistic(fleet):
         feature_frame(fleet({1: [1, 2]}), FeatureSpec(stats=("mode",)))
 
 
-def test_running_sums_are_exact_for_a_constant_and_close_for_a_large_offset(fleet):
-    df = fleet({1: [100.1] * 60, 2: [1e6 + (i % 7) * 0.1 for i in range(60)]})
-    fast, exact = (feature_frame(df, FeatureSpec(), m).toPandas().set_index(["engine_id", "cycle"]).sort_index() for m in ("running", "frames"))
-    constant = fast.loc[1].filter(like="std").dropna()
-    assert (constant == 0.0).all().all()
-    pd.testing.assert_frame_equal(fast, exact, rtol=1e-9, atol=1e-7)
+def test_a_constant_has_no_deviation_and_a_step_leaves_no_trace(fleet):
+    noise = [(i * 37 % 11) / 11 for i in range(100)]
+    df = fleet({1: [100.1] * 60, 2: [x + (1e8 if i >= 50 else 0) for i, x in enumerate(noise)]})
+    spec = FeatureSpec(windows=(10,), lags=(), deltas=())
+    got = feature_frame(df, spec).toPandas().set_index(["engine_id", "cycle"])["sensor_1__roll10__std"].sort_index()
+    assert (got.loc[1].dropna() == 0.0).all()
+    np.testing.assert_allclose(got.loc[(2, 100)], np.std(noise[90:], ddof=1), rtol=1e-6)
+
+
+def test_nonfinite_readings_are_missing_and_forgotten(fleet):
+    values = [1.0, 2.0, 3.0, 4.0, 5.0, float("nan"), 7.0, 8.0, 9.0, float("inf"), 11.0, 12.0, 13.0]
+    null = [v if np.isfinite(v) else None for v in values]
+    spec = FeatureSpec(windows=(3,), stats=("mean", "std", "median"), lags=(1,), deltas=(1,))
+    a, b = (feature_frame(fleet({1: v}), spec).orderBy("cycle").collect() for v in (values, null))
+    assert a == b and a[8]["sensor_1__roll3__mean"] == 8.0 and a[6]["sensor_1__roll3__mean"] is None
+    assert last_window_features(fleet({1: values}), spec, 5).collect() == last_window_features(fleet({1: null}), spec, 5).collect()
+
+
+def test_another_long_engine_changes_nothing(fleet):
+    spec = FeatureSpec(windows=(10,))
+    short = {1: [1e6 + (i * 7 % 13) * 0.1 for i in range(60)]}
+    alone = feature_frame(fleet(short), spec).orderBy("cycle").collect()
+    beside = feature_frame(fleet({**short, 2: range(1500)}), spec).where("engine_id = 1").orderBy("cycle").collect()
+    assert alone == beside
 
 
 def test_last_window_equals_batch_when_the_window_is_full(fleet):

@@ -91,8 +91,8 @@ def test_training_table_in_one_pass_equals_the_join(wearing):
     from fleethazard.operators.labeling import label_horizon
     from fleethazard.plans.tables import join_features_labels
 
-    one = training_table(wearing, PROFILE, method="frames").select("engine_id", "cycle", "label", "sensor_1__roll10__std")
-    two = join_features_labels(build_tabular_features(wearing, PROFILE.features, 10, method="frames"), label_horizon(wearing, 8, 10)).select(*one.columns)
+    one = training_table(wearing, PROFILE).select("engine_id", "cycle", "label", "sensor_1__roll10__std")
+    two = join_features_labels(build_tabular_features(wearing, PROFILE.features, 10), label_horizon(wearing, 8, 10)).select(*one.columns)
     assert one.exceptAll(two).isEmpty() and one.count() == two.count()
 
 
@@ -122,11 +122,17 @@ def test_registry_errors(spark, wearing, tmp_path):
     set_active_version(spark, "seq", "v2", str(tmp_path))
     assert get_active_version(spark, "seq", str(tmp_path)) == "v2"
     model = fit_logreg(wearing.withColumn("label", (F.col("sensor_1") > 3).cast("int")), ["sensor_1"], ModelSpec(logreg_max_iter=2))
-    good = {"model_type": "logreg", "feature_columns": ["sensor_1"], "threshold": 0.5, "bucket_cutoffs": [0.2, 0.5]}
+    good = {"model_type": "logreg", "featureset_version": "v1", "horizon_n": 8, "window_l": 10, "feature_columns": ["sensor_1"],
+            "threshold": 0.5, "bucket_cutoffs": [0.2, 0.5], "target_recall": 0.85, "min_precision": 0.3, "val_metrics": None}
     for change, message in (({"threshold": 1.5}, "threshold"), ({"bucket_cutoffs": [0.5, 0.2]}, "bucket_cutoffs")):
-        save_model_version(spark, "m", "v1", model, {**good, **change}, str(tmp_path))
         with pytest.raises(ValueError, match=message):
-            load_active_model(spark, "m", str(tmp_path))
+            save_model_version(spark, "m", "v1", model, {**good, **change}, str(tmp_path))
+    for key in good:
+        with pytest.raises(ValueError, match=key):
+            save_model_version(spark, "m", "v1", model, {k: v for k, v in good.items() if k != key}, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        get_active_version(spark, "m", str(tmp_path))
+    save_model_version(spark, "m", "v1", model, good, str(tmp_path))
     save_model_version(spark, "m", "v2", model, good, str(tmp_path), set_active=False)
     assert get_active_version(spark, "m", str(tmp_path)) == "v1"
 
