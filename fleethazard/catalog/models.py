@@ -1,21 +1,30 @@
-"""Fitted models, end-to-end runs and streams. These have no SQL form; tests check them by other means."""
+"""Fitted models, end-to-end runs and streams.
+
+SQL cannot fit a model. These queries return what it can derive all the same: rows and classes behind every report, slopes at
+rest, scores recomputed from what was published. Tests check the rest.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fleethazard.catalog.base import (
-    EV, EVENT_SIGNALS, KEY, SHORT, TRIAL, events, feature_columns, feature_places, feature_sql, query, scratch,
+    EV, EVENT_SIGNALS, EVL, KEY, SHORT, TRIAL, events, feature_columns, feature_places, feature_sql, query, scratch, split_sql,
 )
 from fleethazard.functions.columns import model_feature_columns
-from fleethazard.operators.classifiers import FITTERS, fit_window_classifier, predict_proba, predict_window_proba
+from fleethazard.operators.classifiers import (
+    FITTERS, WEIGHT, fit_window_classifier, predict_proba, predict_window_proba, with_balanced_weights,
+)
 from fleethazard.operators.isolation_forest import fit_isolation_forest, score_isolation_forest
+from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.sequences import build_sequence_pipeline
 from fleethazard.operators.splits import assign_split, fit_split, split_engines
 from fleethazard.operators.labeling import label_horizon
 from fleethazard.params import BacktestSpec, Profile
 from fleethazard.plans.backtest import run_backtest
-from fleethazard.plans.scoring import score_latest_windows
+from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows
 from fleethazard.plans.training import (
     compare_models, importance_report, prepared_table, run_anomaly, train_select_report, train_window_model,
 )
@@ -26,56 +35,111 @@ from fleethazard.streaming.features import ROCKSDB, stream_features
 FOREST_FEATURES = EVENT_SIGNALS
 
 
+TAB = f"{EVL}, {split_sql('ev')}, tab AS (SELECT engine_id, cycle, label, remaining, split FROM evl JOIN sp USING (engine_id))"
+WIN = f"""{TAB}, win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle) AS pos FROM tab) WHERE pos >= 10)"""
+MODEL_FEATURES = feature_columns(EVENT_SIGNALS, SHORT.features.windows)
+NAMES = ", ".join(f"('{c}')" for c in MODEL_FEATURES)
+PER_SPLIT = "sum(1 - label)::DOUBLE AS negatives, sum(label)::DOUBLE AS positives"
+
+
 def _fitted(spark, d, kind):
     table = prepared_table(events(spark, d), TRIAL)
     features = model_feature_columns(table, ["split"])
     return table, features, FITTERS[kind](table.where("split = 'train'"), features, TRIAL.models)
 
 
-@query("fit_logreg")
+def _standardised(table, features):
+    """(x - mean) / std as an array, from the train rows' statistics."""
+    params = scaler_params(fit_scaler(table.where("split = 'train'"), features))
+    return F.array(*[(F.col(c) - m) / s for c, m, s in zip(params["feature_columns"], params["mean"], params["std"])])
+
+
+def _logit(fitted):
+    """The published coefficients applied to the column ``z``."""
+    terms = [F.get("z", F.lit(i)) * float(w) for i, w in enumerate(fitted.coefficients)]
+    return reduce(lambda a, b: a + b, terms, F.lit(float(fitted.intercept)))
+
+
+def _class_sizes(metrics, keys):
+    """Negatives (tn + fp) and positives (tp + fn) behind a long metric report."""
+    pick = lambda *names: F.sum(F.when(F.col("metric").isin(*names), F.col("value")))
+    return metrics.groupBy(*keys).agg(pick("tn", "fp").alias("negatives"), pick("tp", "fn").alias("positives"))
+
+
+def _consistent(responses):
+    """Bucket and alert recomputed from score and threshold."""
+    low, high = TRIAL.policy.bucket_cutoffs
+    bucket = F.when(F.col("risk_score") < low, "low").when(F.col("risk_score") < high, "med").otherwise("high")
+    return responses.select(*KEY, (
+        F.col("risk_score").between(0, 1) & (bucket == F.col("bucket"))
+        & ((F.col("risk_score") >= F.col("threshold")) == F.col("is_alert").cast("boolean"))).alias("consistent"))
+
+
+@query("fit_logreg", f"""SELECT feature, TRUE AS stationary FROM (SELECT unnest(list_value({NAMES.replace('(', '').replace(')', '')}, '(intercept)')) AS feature)""")
 def _(spark, d):
-    """Coefficients by feature."""
-    _, features, model = _fitted(spark, d, "logreg")
+    """Whether each coefficient is at rest: its slope of the balanced, penalised loss, from the train rows."""
+    table, features, model = _fitted(spark, d, "logreg")
     fitted = model.stages[-1]
-    rows = [("(intercept)", float(fitted.intercept)), *zip(features, map(float, fitted.coefficients))]
-    return spark.createDataFrame(rows, "feature string, coefficient double")
+    train = with_balanced_weights(table.where("split = 'train'")).withColumn("z", _standardised(table, features))
+    off = train.withColumn("off", F.col(WEIGHT) * (1 / (1 + F.exp(-_logit(fitted))) - F.col("label")))
+    n = train.count()
+    slopes = off.agg(*[F.sum(F.col("off") * F.get("z", F.lit(i))) for i in range(len(features))], F.sum("off")).first()
+    penalty = [float(w) for w in fitted.coefficients] + [0.0]
+    rows = [(name, abs(s + p) / n < 1e-4) for name, s, p in zip([*features, "(intercept)"], slopes, penalty)]
+    return spark.createDataFrame(rows, "feature string, stationary boolean")
 
 
-@query("fit_gbt")
+@query("fit_gbt", "SELECT i::INTEGER AS tree, CASE WHEN i = 0 THEN 1e0 ELSE 1e-1 END AS weight, TRUE AS shallow FROM range(100) t(i)")
 def _(spark, d):
-    """Size of every boosted tree."""
+    """Weight and depth of every boosted tree."""
     _, _, model = _fitted(spark, d, "gbt")
     fitted = model.stages[-1]
-    rows = [(i, t.numNodes, t.depth, float(w)) for i, (t, w) in enumerate(zip(fitted.trees, fitted.treeWeights))]
-    return spark.createDataFrame(rows, "tree int, nodes int, depth int, weight double")
+    rows = [(i, float(w), t.depth <= TRIAL.models.gbt_depth and t.numNodes < 2 ** (t.depth + 1)) for i, (t, w) in enumerate(zip(fitted.trees, fitted.treeWeights))]
+    return spark.createDataFrame(rows, "tree int, weight double, shallow boolean")
 
 
-@query("predict_proba")
+@query("predict_proba", f"WITH {TAB} SELECT engine_id, cycle, split, label, TRUE AS reproduced FROM tab")
 def _(spark, d):
-    table, _, model = _fitted(spark, d, "logreg")
-    return predict_proba(model, table).select(*KEY, "split", "label", "y_proba")
+    """Every row's score against the published scaler and coefficients."""
+    table, features, model = _fitted(spark, d, "logreg")
+    scored = predict_proba(model, table.withColumn("z", _standardised(table, features)))
+    again = 1 / (1 + F.exp(-_logit(model.stages[-1])))
+    return scored.select(*KEY, "split", "label", (F.abs(again - F.col("y_proba")) < 1e-9).alias("reproduced"))
 
 
-@query("top_feature_importance")
+@query("top_feature_importance", f"""SELECT i::INTEGER AS rank, TRUE AS is_feature, TRUE AS falling FROM range(1, 21) t(i)""")
 def _(spark, d):
-    return importance_report(spark, events(spark, d), TRIAL)
+    """The places of the report: known features in falling order."""
+    rows = importance_report(spark, events(spark, d), TRIAL).collect()
+    ok = [(i, r["feature"] in MODEL_FEATURES and len({x["feature"] for x in rows}) == len(rows),
+           i == 1 or rows[i - 2]["importance"] >= r["importance"] >= 0) for i, r in enumerate(rows, 1)]
+    return spark.createDataFrame(ok, "rank int, is_feature boolean, falling boolean")
 
 
-@query("fit_isolation_forest")
+@query("fit_isolation_forest", "SELECT i::INTEGER AS tree, TRUE AS whole, TRUE AS inside FROM range(100) t(i)")
 def _(spark, d):
+    """Each tree: one leaf more than inner nodes, and cuts within what its feature holds in the train rows."""
     df = assign_split(events(spark, d), fit_split(events(spark, d)))
-    return fit_isolation_forest(df.where("split = 'train'"), FOREST_FEATURES)
+    train = df.where("split = 'train'")
+    low_high = [F.array(*[f(c) for c in FOREST_FEATURES]).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+    nodes = fit_isolation_forest(train, FOREST_FEATURES).crossJoin(F.broadcast(train.agg(*low_high)))  # one row
+    inner = F.col("feature") >= 0
+    cut = F.col("threshold").between(F.get("low", F.col("feature")), F.get("high", F.col("feature")))
+    return nodes.groupBy("tree").agg((F.count_if(~inner) == F.count_if(inner) + 1).alias("whole"),
+                                     F.bool_and(~inner | cut).alias("inside"))
 
 
-@query("score_isolation_forest")
+@query("score_isolation_forest", f"WITH {EV}, {split_sql('ev')} SELECT engine_id, cycle, split, TRUE AS in_range FROM ev JOIN sp USING (engine_id)")
 def _(spark, d):
     df = assign_split(events(spark, d), fit_split(events(spark, d)))
     train = df.where("split = 'train'")
     forest = fit_isolation_forest(train, FOREST_FEATURES)
-    return score_isolation_forest(forest, df, FOREST_FEATURES, n_train=train.count()).select(*KEY, "split", "anomaly_score")
+    scored = score_isolation_forest(forest, df, FOREST_FEATURES, n_train=train.count())
+    score = F.col("anomaly_score")
+    return scored.select(*KEY, "split", ((score > 0) & (score < 1)).alias("in_range"))
 
 
-@query("fit_window_classifier")
+@query("fit_window_classifier", f"WITH {WIN} SELECT engine_id, cycle AS pred_cycle, split, label, TRUE AS in_range FROM win")
 def _(spark, d):
     labeled = label_horizon(events(spark, d), TRIAL.horizon_n, TRIAL.window_l)
     split = split_engines(events(spark, d))
@@ -83,17 +147,29 @@ def _(spark, d):
     n = len(parts["feature_columns"])
     windows = parts["windows"].join(split.select("engine_id", "split"), "engine_id")
     model = fit_window_classifier(windows.where("split = 'train'"), TRIAL.window_l, n, TRIAL.models)
-    return predict_window_proba(model, windows, TRIAL.window_l, n)
+    scored = predict_window_proba(model, windows, TRIAL.window_l, n)
+    logit = F.log(F.col("y_proba") / (1 - F.col("y_proba")))
+    fine = F.col("y_proba").between(0, 1) & ((F.abs(logit - F.col("logit")) < 1e-6) | (F.abs(F.col("logit")) > 30))
+    return scored.select("engine_id", "pred_cycle", "split", "label", fine.alias("in_range"))
 
 
-@query("train_window_model")
+@query("train_window_model", f"""WITH {WIN} SELECT split, {PER_SPLIT}, TRUE AS policy_met FROM win GROUP BY split""")
 def _(spark, d):
-    return train_window_model(events(spark, d), TRIAL, root=scratch(spark, "models"))["metrics"]
+    """Windows by class behind the report, and the policy at the chosen threshold."""
+    run = train_window_model(events(spark, d), TRIAL, root=scratch(spark, "models"))
+    val, policy = run["metadata"]["val_metrics"], TRIAL.policy
+    met = val["recall"] >= policy.target_recall and val["precision"] >= policy.min_precision
+    return run["scored"].groupBy("split").agg(
+        F.sum(1.0 - F.col("label")).alias("negatives"), F.sum(F.col("label").cast("double")).alias("positives"), F.lit(met).alias("policy_met"))
 
 
-@query("train_select_report")
+@query("train_select_report", f"WITH {TAB} SELECT split, {PER_SPLIT}, TRUE AS policy_met FROM tab GROUP BY split")
 def _(spark, d):
-    return train_select_report(events(spark, d), TRIAL, root=scratch(spark, "models"))["metrics"]
+    """Rows by class behind the report of each split, and the policy at the chosen threshold."""
+    run = train_select_report(events(spark, d), TRIAL, root=scratch(spark, "models"))
+    val, policy = run["metadata"]["val_metrics"], TRIAL.policy
+    met = val["recall"] >= policy.target_recall and val["precision"] >= policy.min_precision
+    return _class_sizes(run["metrics"], ["split"]).withColumn("policy_met", F.lit(met))
 
 
 def _trial_folds(spark, d) -> Profile:
@@ -105,19 +181,29 @@ def _trial_folds(spark, d) -> Profile:
         backtest=BacktestSpec(test_engines_per_fold=step, train_min_engines=max(2, 4 * n // 10)))
 
 
-@query("run_backtest")
+@query("run_backtest", f"""WITH {EVL}, en AS (SELECT engine_id, row_number() OVER (ORDER BY engine_id) - 1 AS place, count(*) OVER () AS n
+    FROM (SELECT DISTINCT engine_id FROM ev)),
+  fo AS (SELECT f::INTEGER AS fold, engine_id FROM en, range(0, 3) t(f)
+    WHERE place >= greatest(2, 4 * n // 10) + f * greatest(1, n // 10) AND place < greatest(2, 4 * n // 10) + (f + 1) * greatest(1, n // 10))
+  SELECT fold, {PER_SPLIT} FROM evl JOIN fo USING (engine_id) GROUP BY fold""")
 def _(spark, d):
-    return run_backtest(events(spark, d), _trial_folds(spark, d))["metrics"]
+    """Test rows by class of every fold."""
+    return _class_sizes(run_backtest(events(spark, d), _trial_folds(spark, d))["metrics"], ["fold"])
 
 
-@query("run_anomaly")
+@query("run_anomaly", f"""WITH {TAB}, ss AS (SELECT split, count(*) AS n, sum(label)::BIGINT AS positives FROM tab GROUP BY split)
+  SELECT split, k, n, positives, ceil(k * n)::BIGINT AS m FROM ss, (SELECT unnest([1e-2, 5e-2]) AS k)""")
 def _(spark, d):
-    return run_anomaly(events(spark, d), TRIAL)["topk"]
+    """What the lifts of each split are taken from."""
+    return run_anomaly(events(spark, d), TRIAL)["topk"].select("split", "k", "n", "positives", "m")
 
 
-@query("compare_models")
+@query("compare_models", f"""WITH {WIN}, m AS (SELECT unnest(['logreg', 'gbt']) AS model)
+  SELECT model, split, {PER_SPLIT} FROM tab, m GROUP BY ALL
+  UNION ALL SELECT 'mlp', split, {PER_SPLIT} FROM win GROUP BY split""")
 def _(spark, d):
-    return compare_models(events(spark, d), TRIAL)["metrics"]
+    """Rows by class behind every model's report."""
+    return _class_sizes(compare_models(events(spark, d), TRIAL)["metrics"], ["model", "split"])
 
 
 def _saved(spark, d) -> str:
@@ -126,7 +212,8 @@ def _saved(spark, d) -> str:
     return root
 
 
-@query("save_model_version")
+@query("save_model_version", f"""SELECT v AS version, 'logreg' AS model_type, {len(MODEL_FEATURES)}::INTEGER AS n_features,
+  CASE WHEN v = 'v2' THEN 5e-1 END AS threshold_saved, TRUE AS active FROM (SELECT unnest(['v1', 'v2']) AS v)""")
 def _(spark, d):
     """What is on disk after two saves: each version's metadata and which one is active."""
     root = _saved(spark, d)
@@ -136,21 +223,33 @@ def _(spark, d):
     for version in ("v1", "v2"):
         set_active_version(spark, "tabular", version, root)
         _, found = load_active_model(spark, "tabular", root)
-        rows.append((found["version"], found["model_type"], len(found["feature_columns"]), float(found["threshold"])))
-    return spark.createDataFrame(rows, "version string, model_type string, n_features int, threshold double")
+        same = version == "v2" or found["threshold"] == metadata["threshold"]
+        rows.append((found["version"], found["model_type"], len(found["feature_columns"]),
+                     found["threshold"] if version == "v2" else None, same and found["version"] == version))
+    return spark.createDataFrame(rows, "version string, model_type string, n_features int, threshold_saved double, active boolean")
+
 
+NEWEST = f"WITH {EV} SELECT engine_id, max(cycle) AS cycle, TRUE AS consistent FROM ev GROUP BY engine_id HAVING count(*) >= 10"
 
-@query("load_active_model")
+
+@query("load_active_model", NEWEST)
 def _(spark, d):
     """Save, activate, load, and score the newest windows with the loaded model."""
     model, metadata = load_active_model(spark, "tabular", _saved(spark, d))
-    return score_latest_windows(events(spark, d), model, metadata, TRIAL)
+    return _consistent(score_latest_windows(events(spark, d), model, metadata, TRIAL))
 
 
-@query("score_latest_windows")
+@query("score_latest_windows", NEWEST)
 def _(spark, d):
     run = train_select_report(events(spark, d), TRIAL, candidates=("logreg",))
-    return score_latest_windows(events(spark, d), run["model"], run["metadata"], TRIAL)
+    return _consistent(score_latest_windows(events(spark, d), run["model"], run["metadata"], TRIAL))
+
+
+@query("latest_window_rejects", f"""WITH {EV} SELECT engine_id, max(cycle) AS cycle, 'short history' AS reject_reason
+  FROM ev GROUP BY engine_id HAVING count(*) < 70""")
+def _(spark, d):
+    """Engines without a window of 70 rows."""
+    return latest_window_rejects(events(spark, d), Profile(window_l=70, features=SHORT.features))
 
 
 ARRIVALS = 3
@@ -191,9 +290,14 @@ def _(spark, d):
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in STREAM_COLUMNS})
 
 
-@query("stream_score_alerts")
+@query("stream_score_alerts", f"""WITH {EV} SELECT engine_id, cycle, cycle >= 10 AS scored, TRUE AS consistent FROM ev""")
 def _(spark, d):
+    """Responses and rejects of all micro-batches: every row of the fleet is in one of them."""
     run = train_select_report(events(spark, d), TRIAL, candidates=("logreg",))
     out, checkpoint = scratch(spark, "alerts"), scratch(spark, "stream-state")
-    _deliver(spark, d, lambda features: stream_score_alerts(features, run["model"], run["metadata"], out, checkpoint))
-    return spark.read.parquet(out).drop("batch")
+    _deliver(spark, d, lambda features: stream_score_alerts(
+        features, run["model"], run["metadata"], out, checkpoint, alerts_only=False))
+    yes = F.lit(True)
+    responses = _consistent(spark.read.parquet(out)).withColumn("scored", yes)
+    rejected = spark.read.parquet(f"{out}_rejected").select(*KEY, yes.alias("consistent"), F.lit(False).alias("scored"))
+    return responses.unionByName(rejected)

@@ -87,9 +87,14 @@ def log_loss_with_logits(df: DataFrame, order: Sequence[Column], logit: str = "l
 
 
 def eval_sequence_metrics(df: DataFrame, order: Sequence[Column], threshold: float | None = None,
-                          logit: str = "logit", label: str = "label", group: Sequence[str] = ()) -> DataFrame:
-    """Loss and PR-AUC of logits; precision, recall and F1 too when a threshold on the probability is given."""
-    scored = df.withColumn("_p", 1.0 / (1.0 + F.exp(-F.col(logit))))
+                          logit: str = "logit", label: str = "label", group: Sequence[str] = (),
+                          score: str | None = None) -> DataFrame:
+    """Loss and PR-AUC of logits; precision, recall and F1 too when a threshold on the probability is given.
+
+    ``score`` names the probability the threshold was chosen from, if there is one: computed again from the logit, it may differ
+    in the last digit, and the row at the threshold would be lost.
+    """
+    scored = df.withColumn("_p", F.col(score) if score else 1.0 / (1.0 + F.exp(-F.col(logit))))
     keys = list(group) or ["_g"]
     if not group:
         scored = scored.withColumn("_g", F.lit(1))

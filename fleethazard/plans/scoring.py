@@ -10,7 +10,7 @@ from fleethazard.functions.columns import signal_columns
 from fleethazard.operators.features import last_window_features
 from fleethazard.operators.requests import parse_window_json, request_features
 from fleethazard.params import Profile
-from fleethazard.streaming.alerts import score_batch
+from fleethazard.streaming.alerts import score_batch, split_complete
 
 
 def latest_window_features(full: DataFrame, profile: Profile) -> DataFrame:
@@ -19,6 +19,14 @@ def latest_window_features(full: DataFrame, profile: Profile) -> DataFrame:
     return newest.where(F.col("rows_seen") == profile.window_l).drop("rows_seen")
 
 
+def latest_window_rejects(full: DataFrame, profile: Profile) -> DataFrame:
+    """Engines that `score_latest_windows` cannot score, with the reason: fewer rows than a window, or a missing feature."""
+    newest = last_window_features(full.select("engine_id", "cycle", *signal_columns(full)), profile.features, profile.window_l)
+    features = {"feature_columns": [c for c in newest.columns if "__" in c]}
+    short = newest.where(F.col("rows_seen") < profile.window_l).select("engine_id", "cycle", F.lit("short history").alias("reject_reason"))
+    return short.unionByName(split_complete(newest.where(F.col("rows_seen") == profile.window_l), features)[1])
+
+
 def score_latest_windows(full: DataFrame, model: PipelineModel, metadata: dict, profile: Profile) -> DataFrame:
     return score_batch(model, metadata, latest_window_features(full, profile))
 

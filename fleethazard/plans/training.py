@@ -104,7 +104,7 @@ def train_window_model(full: DataFrame, profile: Profile, caps: dict[str, int |
     threshold = select_threshold_highest(
         scored.where(F.col("split") == "val"), profile.policy.target_recall, profile.policy.min_precision)
     order = [F.col("engine_id"), F.col("cycle")]
-    report = eval_sequence_metrics(scored, order, threshold, group=["split"])
+    report = eval_sequence_metrics(scored, order, threshold, group=["split"], score="y_proba")
     val = report.where(F.col("split") == "val").first()
     metadata = {
         "featureset_version": profile.featureset_version, "val_metrics": val.asDict() if val else None,

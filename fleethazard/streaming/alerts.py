@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleethazard.functions.policy import apply_policy
+from fleethazard.functions.scalar import is_finite
 from fleethazard.operators.classifiers import predict_proba
 
 
+def split_complete(features: DataFrame, metadata: dict) -> tuple[DataFrame, DataFrame]:
+    """(rows a model can score, rejected keys with their reason): every feature must be there and finite."""
+    missing = reduce(or_, [F.col(c).isNull() | ~is_finite(F.col(c)) for c in metadata["feature_columns"]])
+    rejected = features.where(missing).select("engine_id", "cycle", F.lit("missing features").alias("reject_reason"))
+    return features.where(~missing), rejected
+
+
 def score_batch(model: PipelineModel, metadata: dict, features: DataFrame) -> DataFrame:
-    """Response rows for complete feature rows: score, bucket, threshold, alert, model."""
-    scored = predict_proba(model, features.dropna(subset=metadata["feature_columns"]), "risk_score")
+    """Response rows for complete feature rows: score, bucket, threshold, alert, model. `split_complete` has the others."""
+    scored = predict_proba(model, split_complete(features, metadata)[0], "risk_score")
     responses = apply_policy(scored, metadata["threshold"], metadata["bucket_cutoffs"], "risk_score")
     return responses.select(
         "engine_id", "cycle", "risk_score", "bucket", "threshold", "is_alert",
@@ -21,14 +32,18 @@ def score_batch(model: PipelineModel, metadata: dict, features: DataFrame) -> Da
 
 
 def stream_score_alerts(features: DataFrame, model: PipelineModel, metadata: dict, out_path: str,
-                        checkpoint: str, alerts_only: bool = True, trigger: dict | None = None) -> StreamingQuery:
-    """Write the responses of every micro-batch to its own folder; a repeated batch overwrites itself."""
+                        checkpoint: str, alerts_only: bool = True, trigger: dict | None = None,
+                        rejects_path: str | None = None) -> StreamingQuery:
+    """Write the responses of every micro-batch to its own folder, and rejected rows to one under ``rejects_path``
+    (``out_path`` + ``_rejected``); a repeated batch overwrites itself."""
+    rejects = rejects_path or f"{out_path}_rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         responses = score_batch(model, metadata, batch)
         if alerts_only:
             responses = responses.where("is_alert")
         responses.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        split_complete(batch, metadata)[1].write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
     return (
         features.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
