@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from functools import wraps
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from fleethazard.operators.labeling import label_horizon
 from fleethazard.operators.splits import assign_split, fit_split
 from fleethazard.params import BacktestSpec, ModelSpec, PolicySpec, Profile, SHORT
-from fleethazard.session import shared_dir
+from fleethazard.session import scratch  # noqa: F401  (for the query modules)
 from fleethazard.sources.fleets import processed_fleet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,11 +56,6 @@ def query(name: str, sql: str | None = None, doubles: Sequence[str] | dict[str,
     return register
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh folder beside the checkpoints."""
-    return f"{shared_dir(spark)}/tables/{what}-{uuid.uuid4().hex}"
-
-
 # ---------------------------------------------------------------- test inputs, in Spark
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,8 +106,9 @@ def sensor_variability(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, engines and distinct values per column."""
-    return df.agg(F.count("*").alias("n_rows"), F.count_distinct("engine_id").alias("n_engines"),
-                  *[F.count_distinct(c).alias(f"n_{c}") for c in columns])
+    names = {"engine_id": "n_engines", **{c: f"n_{c}" for c in columns}}
+    counts = [df.select(F.col(c)).distinct().agg(F.count(c).alias(n)) for c, n in names.items()]  # one row each
+    return reduce(DataFrame.crossJoin, counts, df.agg(F.count("*").alias("n_rows")))
 
 
 def degradation_profile(df: DataFrame, sensors: Sequence[str], last_n: int = 50) -> DataFrame:

@@ -136,8 +136,25 @@ def with_position(df: DataFrame, name: str = "end_pos", keys: Sequence[str] = (K
     )
 
 
+def _part_of(value: Column, cuts: list, first: int = 0) -> Column:
+    """How many of the sorted ``cuts`` lie below ``value``, by bisection."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value > F.lit(cuts[middle]), _part_of(value, cuts[middle + 1:], first + middle + 1)).otherwise(
+        _part_of(value, cuts[:middle], first))
+
+
+def _parts(df: DataFrame, by: str, descending: bool) -> Column:
+    """The part of a row as an expression of its value: cut points from a sketch, as many as there are shuffle partitions."""
+    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.agg(F.percentile_approx(by, [i / n for i in range(1, n)], 10_000)).first()[0] or []
+    part = _part_of(F.col(by), sorted(set(cuts)))
+    return -part if descending else part
+
+
 def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
-                   group: Sequence[str] = ()) -> DataFrame:
+                   group: Sequence[str] = (), by: str | None = None, descending: bool = False) -> DataFrame:
     """Running and overall sums along ``order``, exact for any distribution of values.
 
     ``sums`` maps a name to an integer column; the result gains ``name`` (the
@@ -145,12 +162,19 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
     unique inside a group. Groups are few (models, splits, folds, features):
     the table of partition totals has at most one row per partition and group.
 
-    The range-partitioned rows are checkpointed, because the cut points come
-    from a sample and a second evaluation could cut elsewhere.
+    If the order is one numeric column, ``by`` names it (``descending`` if the
+    order is): equal values were collapsed before, so cut points on the value
+    alone part the rows evenly, and a row's part is an expression. Otherwise
+    ties may be many; the rows are range-partitioned along the whole order and
+    checkpointed, because those cut points come from a sample and a second
+    evaluation could cut elsewhere.
     """
     group = list(group)
-    cut = df.repartitionByRange(*group, *order) if group else df.repartitionByRange(*order)
-    cut = checkpointed(cut.withColumn("_part", F.spark_partition_id()))
+    if by is not None:
+        cut = df.withColumn("_part", _parts(df, by, descending))
+    else:
+        cut = df.repartitionByRange(*group, *order) if group else df.repartitionByRange(*order)
+        cut = checkpointed(cut.withColumn("_part", F.spark_partition_id()))
 
     inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -183,7 +207,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: Se
     group = list(group)
     n = F.sum(weight) if weight else F.count("*")
     counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(n.cast("long").alias("_n"))
-    ranked = running_totals(counted, [F.col(value)], {"_upto": "_n"}, group)
+    ranked = running_totals(counted, [F.col(value)], {"_upto": "_n"}, group, by=value)
     places = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"), ((F.col("_upto_total") - 1) * F.lit(float(p))).alias("at"))
         for p in probs

@@ -104,7 +104,7 @@ def fit_median_imputer(train: DataFrame, feature_columns: Sequence[str]) -> Data
         clean.select(F.inline(F.filter(bracketed, lambda x: x["value"].isNotNull())))
         .groupBy(names[F.col("_i")].alias("feature"), "value").agg(F.count("*").alias("_n"))
     )
-    ranked = running_totals(inside, [F.col("value")], {"_upto": "_n"}, ["feature"])
+    ranked = running_totals(inside, [F.col("value")], {"_upto": "_n"}, ["feature"], by="value")
     numbers = F.create_map(*[
         F.lit(x) if isinstance(x, str) else x
         for c in feature_columns

@@ -41,7 +41,7 @@ def threshold_sweep(df: DataFrame, score: str = "y_proba", label: str = "label",
     ``tp, fp, positives, total, precision, recall``.
     """
     counted = _score_counts(df, score, label, group, with_ends)
-    run = running_totals(counted, [F.col("threshold").desc()], {"tp": "pos", "predicted": "n"}, group)
+    run = running_totals(counted, [F.col("threshold").desc()], {"tp": "pos", "predicted": "n"}, group, by="threshold", descending=True)
     return run.select(
         *group, "threshold", "pos", "n", "tp",
         (F.col("predicted") - F.col("tp")).alias("fp"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,14 +51,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small text file in place in one step: readers see the old content or the new."""
+def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put a small file in place in one step: readers see the old content or the new."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     files = target.getFileSystem(conf)
     out = files.create(fresh, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(content))
     out.close()
     overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
@@ -63,6 +66,34 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     files_at.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A fresh path in the shared folder, among the tables of this application."""
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+
+
+def clean_tables(spark: SparkSession) -> None:
+    """Remove what this application has written by `written` and `scratch`; call it when no result is read any more."""
+    remove(spark, f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: a zip in the shared folder on the path of Python workers."""
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if any(name.startswith("fleethazard-") for name in context._python_includes):
+        return
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join(os.path.basename(root), os.path.relpath(full, root)))
+    path = f"{shared_dir(spark)}/packages/fleethazard-{context.applicationId}.zip"
+    replace_file(spark, path, buffer.getvalue())
+    context.addPyFile(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so later reads see the same rows in the same partitions."""
     spark = df.sparkSession
@@ -74,6 +105,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: for wide tables that are read many times, few columns at a time."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{what}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
-from fleethazard.session import replace_text
+from fleethazard.session import replace_file
 
 # fixed values: the keys of the metadata contract
 REQUIRED = ("model_type", "featureset_version", "horizon_n", "window_l", "feature_columns", "threshold", "bucket_cutoffs",
@@ -27,7 +27,7 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 
 def set_active_version(spark: SparkSession, name: str, version: str, root: str) -> None:
-    replace_text(spark, f"{root}/{name}/ACTIVE", version)
+    replace_file(spark, f"{root}/{name}/ACTIVE", version.encode())
 
 
 def get_active_version(spark: SparkSession, name: str, root: str) -> str:

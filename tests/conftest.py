@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from fleethazard.session import build_session  # noqa: E402
+from fleethazard.session import build_session, clean_tables, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +14,9 @@ def spark():
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
+    clean_tables(session)
     session.stop()
 
 
