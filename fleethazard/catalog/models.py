@@ -24,7 +24,7 @@ from fleethazard.operators.splits import assign_split, fit_split, split_engines
 from fleethazard.operators.labeling import label_horizon
 from fleethazard.params import BacktestSpec, Profile
 from fleethazard.plans.backtest import run_backtest
-from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows
+from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows, score_latest_with_network
 from fleethazard.plans.training import (
     compare_models, importance_report, prepared_table, run_anomaly, train_select_report, train_window_model,
 )
@@ -252,6 +252,20 @@ def _(spark, d):
     return latest_window_rejects(events(spark, d), Profile(window_l=70, features=SHORT.features))
 
 
+@query("score_latest_with_network", f"""WITH {EV} SELECT engine_id, max(cycle) AS cycle, TRUE AS consistent, count(*) FILTER (back <= 10 AND sensor_2 = 99) = 0 AS scored,
+  CASE WHEN count(*) FILTER (back <= 10 AND sensor_2 = 99) > 0 THEN 'not finite' END AS reject_reason
+  FROM (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle DESC) AS back FROM ev) GROUP BY engine_id""")
+def _(spark, d):
+    """Newest windows by a saved and reloaded network; readings of 99 are spoiled, and such windows come back with a reason."""
+    root, df = scratch(spark, "models"), events(spark, d)
+    train_window_model(df, TRIAL, root=root)
+    model, metadata = load_active_model(spark, "seq", root)
+    spoiled = df.withColumn("sensor_2", F.when(F.col("sensor_2") == 99, float("nan")).otherwise(F.col("sensor_2")))
+    responses, rejected = score_latest_with_network(spoiled, model, metadata)
+    scored = _consistent(responses).select(*KEY, F.lit(True).alias("scored"), "consistent", F.lit(None).cast("string").alias("reject_reason"))
+    return scored.union(rejected.select(*KEY, F.lit(False), F.lit(True), "reject_reason"))
+
+
 ARRIVALS = 3
 
 
