@@ -323,7 +323,10 @@ def _(spark, d):
 
 @query("union_splits", f"WITH {AN} SELECT engine_id, cycle, label, remaining, anomaly_score, split FROM an")
 def _(spark, d):
-    return anomaly_scored(spark, d).select(*KEY, "label", "remaining", "anomaly_score", "split")
+    """Three tables, one for each split, stacked again under their names."""
+    df = anomaly_scored(spark, d).select(*KEY, "label", "remaining", "anomaly_score", "split")
+    parts = [df.where(F.col("split") == s).drop("split").withColumn("split", F.lit(s)) for s in ("train", "val", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("float32_cast", f"WITH {LI} SELECT engine_id, cycle, CAST(CAST(sensor_2 AS FLOAT) AS DOUBLE) AS x FROM li", ["x"], 4)

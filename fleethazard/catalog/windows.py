@@ -172,12 +172,15 @@ def _(spark, d):
     return _window_digest(parts["windows"], len(parts["feature_columns"]))
 
 
-@query("engine_arrays", f"""WITH {EVL}, ps AS (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle) - 1 AS pos FROM evl)
-  SELECT engine_id, (pos // {CHUNK_ROWS} * {CHUNK_ROWS})::BIGINT AS start_pos, count(*)::INTEGER AS n, min(cycle) AS first_cycle,
+def _arrays_sql(rows):
+    return f"""WITH {EVL}, ps AS (SELECT *, row_number() OVER (PARTITION BY engine_id ORDER BY cycle) - 1 AS pos FROM evl)
+  SELECT engine_id, (pos // {rows} * {rows})::BIGINT AS start_pos, count(*)::INTEGER AS n, min(cycle) AS first_cycle,
     max(cycle) AS last_cycle, arg_min(sensor_1, cycle)::FLOAT::DOUBLE AS x_first, arg_max(sensor_3, cycle)::FLOAT::DOUBLE AS x_last,
-    sum(label)::BIGINT AS positives, max(remaining)::DOUBLE AS first_remaining FROM ps GROUP BY ALL""", ["x_first", "x_last"], 4)
-def _(spark, d):
-    arrays = engine_arrays(events_labeled(spark, d), EVENT_SIGNALS)
+    sum(label)::BIGINT AS positives, max(remaining)::DOUBLE AS first_remaining FROM ps GROUP BY ALL"""
+
+
+def _arrays(spark, d, rows):
+    arrays = engine_arrays(events_labeled(spark, d), EVENT_SIGNALS, chunk_rows=rows)
     n = len(EVENT_SIGNALS)
     return arrays.select(
         "engine_id", "start_pos", F.size("x").alias("n"), F.col("cycles")[0].alias("first_cycle"),
@@ -187,6 +190,17 @@ def _(spark, d):
         F.col("remaining")[0].cast("double").alias("first_remaining"))
 
 
+@query("engine_arrays", _arrays_sql(CHUNK_ROWS), ["x_first", "x_last"], 4)
+def _(spark, d):
+    return _arrays(spark, d, CHUNK_ROWS)
+
+
+@query("engine_arrays_chunked", _arrays_sql(16), ["x_first", "x_last"], 4)
+def _(spark, d):
+    """Histories beyond a chunk come in several rows."""
+    return _arrays(spark, d, 16)
+
+
 @query("extract_window", f"""WITH {LI} SELECT engine_id, cycle, sensor_1::FLOAT::DOUBLE AS sensor_1, sensor_2::FLOAT::DOUBLE AS sensor_2
   FROM li WHERE engine_id = 3 AND cycle BETWEEN 51 AND 100""", ["sensor_1", "sensor_2"], 4)
 def _(spark, d):
