@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleethazard.operators.classifiers import (
@@ -11,9 +12,10 @@ from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.sweep import PolicyError
 from fleethazard.params import BacktestSpec, FeatureSpec, ForestSpec, ModelSpec, PolicySpec, Profile
 from fleethazard.plans.backtest import run_backtest
-from fleethazard.plans.scoring import score_latest_windows, score_window_requests
+from fleethazard.plans.scoring import score_latest_with_network, score_latest_windows, score_window_requests
 from fleethazard.plans.tables import training_table
 from fleethazard.plans.training import compare_models, run_anomaly, train_select_report, train_window_model
+from fleethazard.streaming.alerts import split_complete
 from fleethazard.sources.registry import get_active_version, load_active_model, save_model_version, set_active_version
 
 PROFILE = Profile(
@@ -174,6 +176,28 @@ def test_window_model(wearing):
     assert out["scored"].where("split = 'train'").select("engine_id").distinct().count() == 10
 
 
+def test_newest_windows_by_the_network_and_their_rejects(spark, wearing, tmp_path):
+    out = train_window_model(wearing, PROFILE, root=str(tmp_path))
+    model, metadata = load_active_model(spark, "seq", str(tmp_path))
+    assert metadata["val_metrics"]["recall"] >= 0.85 and metadata["featureset_version"] == "v1"
+    last = F.col("cycle") == F.max("cycle").over(Window.partitionBy("engine_id"))
+    spoiled = wearing.withColumn("sensor_2", F.when((F.col("engine_id") == 3) & last, float("inf")).otherwise(F.col("sensor_2")))
+    short = wearing.where("engine_id = 1 AND cycle <= 9").withColumn("engine_id", F.lit(99).cast("long"))
+    good, bad = score_latest_with_network(spoiled.unionByName(short), model, metadata)
+    assert {r.engine_id: r.reject_reason for r in bad.collect()} == {3: "not finite", 99: "short history"}
+    want = {(r.engine_id, r.cycle): r.y_proba for r in out["scored"].collect()}
+    rows = good.collect()
+    assert len(rows) == 23
+    assert all(r.risk_score == pytest.approx(want[(r.engine_id, r.cycle)]) and r.is_alert == (r.risk_score >= r.threshold) for r in rows)
+
+
+def test_rows_a_model_cannot_score_come_back(spark):
+    df = spark.createDataFrame([(1, 1, 1.0), (1, 2, None), (1, 3, float("nan")), (1, 4, float("inf"))], "engine_id long, cycle long, a double")
+    complete, rejected = split_complete(df, {"feature_columns": ["a"]})
+    assert [r.cycle for r in complete.collect()] == [1]
+    assert sorted((r.cycle, r.reject_reason) for r in rejected.collect()) == [(c, "missing features") for c in (2, 3, 4)]
+
+
 def test_compare(wearing):
     out = compare_models(wearing, PROFILE)
     assert set(out["thresholds"]) == {"logreg", "gbt", "mlp"}

@@ -262,3 +262,10 @@ def test_a_constant_stays_constant_over_many_partitions(spark):
     params = scaler_params(fit_scaler(df.where("engine_id % 3 = 0"), ["sensor_1", "sensor_2"]))
     assert params["std"][0] == 1.0 and params["std"][1] < 1.0
     assert correlation(df, ["sensor_1", "sensor_2"]).first().r is None
+
+
+def test_feature_check_sees_the_row_order(spark):
+    rows = [(1, 1, 0.5, 0), (1, 2, 0.5, 1), (2, 1, 0.5, 3), (1, 3, 0.5, 4)]
+    df = spark.createDataFrame(rows, "engine_id long, cycle long, sensor_1__lag1 double, place long")
+    found = {r["check"]: r["violations"] for r in validate_tabular_features(df, 1, ordinal="place").collect()}
+    assert found == {"non_finite": 0, "missing": 0, "duplicate_key": 0, "row_order": 1}
