@@ -100,8 +100,9 @@ def suffix_array(text: bytes) -> list[int]:
 def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[np.ndarray]:
     """For each piece, the windows whose bytes also occur in a piece with a smaller id, from a suffix array.
 
-    Only runs of windows whose hash occurs twice go into the array."""
+    Only runs of windows whose hash occurs under two ids go into the array."""
     found = [np.zeros(0, dtype=np.int64) for _ in pieces]
+    hits: list[list[int]] = [[] for _ in pieces]
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     hashes = rolling(byte_values()[data], width)
     if not len(hashes):
@@ -110,9 +111,15 @@ def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[n
     begins = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(pieces)), lengths)[:len(hashes)]
     inside = np.arange(len(hashes)) + width <= (begins + lengths)[owner]
-    seen, where, times = np.unique(hashes[inside], return_inverse=True, return_counts=True)
     twice = np.zeros(len(hashes), dtype=bool)
-    twice[np.flatnonzero(inside)[times[where] > 1]] = True
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return found
+    at = at[np.argsort(hashes[at], kind="stable")]
+    heads = np.flatnonzero(np.r_[True, hashes[at][1:] != hashes[at][:-1]])
+    held = ids[owner[at]]
+    differ = np.minimum.reduceat(held, heads) != np.maximum.reduceat(held, heads)
+    twice[at[np.repeat(differ, np.diff(np.r_[heads, len(at)]))]] = True
     texts, origin = [], []
     cut = np.r_[True, owner[1:] != owner[:-1]]
     heads = np.flatnonzero(twice & (cut | ~np.r_[False, twice[:-1]]))
@@ -132,7 +139,7 @@ def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[n
         for at in same:
             k = owner[at]
             if ids[k] > least:
-                found[k] = np.append(found[k], at - begins[k])
+                hits[k].append(at - begins[k])
 
     for at in order.tolist():
         window, source = text[at:at + width], int(origin_of[at])
@@ -142,7 +149,7 @@ def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[n
         least = min(least, ids[owner[source]])
         same.append(source)
     settle()
-    return found
+    return [np.array(h, dtype=np.int64) for h in hits]
 
 
 def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
@@ -176,7 +183,7 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50,
-                 group_bytes: int = 16 << 20) -> DataFrame:
+                 group_bytes: int = 4 << 20) -> DataFrame:
     """All columns of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``removed`` (maximal byte intervals) and ``kept``
     (binary: the UTF-8 bytes left, which may start or end inside a character).
 
