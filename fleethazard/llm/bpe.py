@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -18,10 +18,29 @@ from tokenizers import Tokenizer
 
 from fleethazard.llm.support import packed, unpacked
 
-CACHED_WORDS = 250_000  # entries of each of the two caches of a Python worker; a full one is emptied
+CACHED_WORDS, CACHED_PIECES = 200_000, 200_000  # entries of each half of a Python worker's two caches
 ROWS_OUT = 256
 
 
+class Cache:
+    """The results of ``compute`` in two halves: a full young half becomes the old one, and what is used again returns."""
+
+    def __init__(self, compute: Callable[[str], bytes], entries: int):
+        self.compute, self.entries = compute, entries
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, key: str) -> bytes:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key) or self.compute(key)
+            if len(self.young) >= self.entries:
+                self.old = self.young.copy()
+                self.young.clear()
+            self.young[key] = got
+        return got
+
+
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
@@ -40,8 +59,7 @@ class WordBpe:
         self.library = Tokenizer.from_str(spec)
         self.packed = {t: i.to_bytes(4, "little") for i, t in self.tokens.items()}
         self.inside = {pair for token in self.vocab for pair in self._pairs(self._symbols(token))}
-        self.cache: dict[str, tuple[bytes, str]] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.words_known, self.pieces_known = Cache(self._word, CACHED_WORDS), Cache(self._piece, CACHED_PIECES)
 
     def _symbols(self, token: str) -> list[str]:
         """The base symbols of a token; a word end belongs to the symbol before it."""
@@ -60,32 +78,27 @@ class WordBpe:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merges of lowest rank first, the leftmost of equal ones first."""
-        ranks, never = self.ranks, len(self.ranks)
-        while len(symbols) > 1:
-            each = [ranks.get(pair, never) for pair in zip(symbols, symbols[1:])]
+        rank, never = self.ranks.get, len(self.ranks)
+        each = [rank(pair, never) for pair in zip(symbols, symbols[1:])]
+        while each:
             least = min(each)
             if least == never:
                 break
-            out, i, last = [], 0, len(each)
-            while i < last:
-                if each[i] == least:
-                    out.append(symbols[i] + symbols[i + 1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            if i == last:
-                out.append(symbols[i])
-            symbols = out
+            i = each.index(least)
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            del each[i]
+            if i:
+                each[i - 1] = rank((symbols[i - 1], symbols[i]), never)
+            if i < len(each):
+                each[i] = rank((symbols[i], symbols[i + 1]), never)
         return symbols
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
-        """Ids and tokens of one piece between the splits of the pattern, written in byte symbols."""
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece between the splits of the pattern, written in byte symbols."""
         symbols = list(piece)
         symbols[-1] += self.end
         edges = [0, *self.cuts(symbols), len(symbols)]
-        tokens = [t for a, b in zip(edges, edges[1:]) for t in self.merge(symbols[a:b])]
-        return b"".join([self.packed[t] for t in tokens]), " ".join(tokens)
+        return b"".join([self.packed[t] for a, b in zip(edges, edges[1:]) for t in self.merge(symbols[a:b])])
 
     def _pieces(self, part: str) -> list[str]:
         """Lower-cased pieces in byte symbols. Printable ASCII stands for itself; other text is normalised and split by the
@@ -95,38 +108,27 @@ class WordBpe:
             return [low] if low.isalpha() else self.split(low)
         return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))]
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        """Ids, as little-endian 32-bit integers, and tokens of a run without white space."""
-        found, known = [], self.known
+    def _word(self, word: str) -> bytes:
+        """Ids, as little-endian 32-bit integers, of a run without white space."""
+        found = []
         for k, part in enumerate(self.specials(word) if "<|" in word else [word]):
             if k % 2:
-                found.append((self.packed[part], part))
+                found.append(self.packed[part])
             elif part:
-                for piece in self._pieces(part):
-                    got = known.get(piece)
-                    if got is None:
-                        if len(known) >= CACHED_WORDS:
-                            known.clear()
-                        got = known[piece] = self._piece(piece)
-                    found.append(got)
-        return found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), " ".join([f[1] for f in found]))
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids of ``text`` and their decoded text: tokens joined by a space, as the file names no decoder."""
+                found += [self.pieces_known.of(piece) for piece in self._pieces(part)]
+        return b"".join(found)
+
+    def encode(self, text: str) -> bytes:
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        cache, found = self.cache, []
-        for word in self.spaces(text) if odd else text.split():
-            got = cache.get(word)
-            if got is None:
-                if len(cache) >= CACHED_WORDS:
-                    cache.clear()
-                got = cache[word] = self._word(word)
-            if got[0]:
-                found.append(got)
-        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
+        words = [w for w in self.spaces(text) if w] if odd else text.split()
+        found = list(map(self.words_known.young.get, words))
+        if None in found:
+            found = [f or self.words_known.of(w) for f, w in zip(found, words)]
+        return b"".join(found)
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(self.tokens[i] for i in memoryview(ids).cast("I"))
+        """The tokens joined by a space, as the file names no decoder."""
+        return " ".join(map(self.tokens.__getitem__, memoryview(ids).cast("I")))
 
 
 @functools.cache
@@ -150,9 +152,9 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(start, ROWS_OUT)
-                pairs = [bpe.encode(t or "") for t in part.column("text").to_pylist()]
+                ids = [bpe.encode(t or "") for t in part.column("text").to_pylist()]
                 columns = [*[part.column(c) for c in part.schema.names if c != "text"],
-                           pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.string())]
+                           pa.array(ids, pa.binary()), pa.array([bpe.decode(i) for i in ids], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*[c for c in part.schema.names if c != "text"], "ids", "decoded"])
 
     names = {"id": id_col, "text": text_col}
