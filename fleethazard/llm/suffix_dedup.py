@@ -174,7 +174,7 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
         change = np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])]
         heads = np.flatnonzero(inside & (change | ~np.r_[False, inside[:-1]]))
         tails = np.flatnonzero(inside & np.r_[change[1:] | ~inside[1:], True]) + 1
-        out["anchor"].append(least[heads] >> np.uint64(24))
+        out["anchor"].append(mixed(least[heads]) >> np.uint64(24))  # minima crowd at the low end; mixed, they fill the buckets evenly
         out["hash"].append(span_hashes(data, heads, tails + width - 1))
         out["owner"].append(owner[heads] + a)
         out["first"].append(heads - (ends - lengths)[owner[heads]])
