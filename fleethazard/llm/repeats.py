@@ -64,11 +64,11 @@ def rolling(x: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
         span *= 2
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the byte spans [start, end), from prefix sums."""
-    size = 1 << max(20, int(len(data)).bit_length())
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(byte_values()[data] * powers(BASE, size)[:len(data)], out=prefix[1:])
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans [start, end) of ``byte_values`` of a text, from prefix sums."""
+    size = 1 << max(20, int(len(values)).bit_length())
+    prefix = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * powers(BASE, size)[:len(values)], out=prefix[1:])
     return mixed((prefix[ends] - prefix[starts]) * powers(pow(BASE, -1, WORD), size)[starts] + (ends - starts).astype(np.uint64))
 
 

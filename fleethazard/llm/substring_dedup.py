@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleethazard.llm.repeats import (SPANS, bucket_edges, flags, grouped_by_id, in_id_order, mixed, pack, rolling, runs, slabs,
+from fleethazard.llm.repeats import (SPANS, bucket_edges, byte_values, flags, grouped_by_id, in_id_order, mixed, pack, rolling, runs, slabs,
                                      span_hashes, spans_array, unpack)
 from fleethazard.llm.support import SPACES, unpacked
 
@@ -26,7 +26,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ends = np.flatnonzero(blank & np.r_[False, ~blank[:-1]])
         edges = np.r_[0, np.cumsum([len(t) + 1 for t in texts[a:b]])]
         counts.append(np.diff(np.searchsorted(starts, edges)))
-        hashes.append(span_hashes(data, starts, ends))
+        hashes.append(span_hashes(byte_values()[data], starts, ends))
     return np.concatenate(hashes), np.concatenate(counts)
 
 

@@ -157,7 +157,8 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
     out = {k: [np.zeros(0, dtype=t)] for k, t in (("anchor", np.uint64), ("hash", np.uint64), ("owner", int), ("first", int), ("n", int))}
     for a, b in slabs(texts):
         data = np.frombuffer(b"".join(texts[a:b]), dtype=np.uint8)
-        least = mixed(rolling(byte_values()[data], GRAM))
+        values = byte_values()[data]
+        least = mixed(rolling(values, GRAM))
         if len(data) < width:
             continue
         span = 1
@@ -175,7 +176,7 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
         heads = np.flatnonzero(inside & (change | ~np.r_[False, inside[:-1]]))
         tails = np.flatnonzero(inside & np.r_[change[1:] | ~inside[1:], True]) + 1
         out["anchor"].append(mixed(least[heads]) >> np.uint64(24))  # minima crowd at the low end; mixed, they fill the buckets evenly
-        out["hash"].append(span_hashes(data, heads, tails + width - 1))
+        out["hash"].append(span_hashes(values, heads, tails + width - 1))
         out["owner"].append(owner[heads] + a)
         out["first"].append(heads - (ends - lengths)[owner[heads]])
         out["n"].append(tails - heads)
@@ -249,7 +250,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             _, ids, texts, pieces = own(left)
             hashes, index = np.unique(pieces["hash"], return_index=True)  # the first is that of the smallest id
             for kind in (COMPARE, COMPARE_WINDOWS):
-                for h, i in zip(hashes[np.isin(hashes, told(right, kind))].tolist(), index[np.isin(hashes, told(right, kind))].tolist()):
+                asked_for = told(right, kind)
+                at = np.searchsorted(hashes, asked_for)  # a group is asked only for what it has sent
+                for h, i in zip(asked_for.tolist(), index[at].tolist()):
                     k, a, n = pieces["owner"][i], pieces["first"][i], pieces["n"][i]
                     piece = texts[k][a:a + n + width - 1]
                     g, doc, anchor = left.column("g")[0].as_py(), int(ids[k]), int(pieces["anchor"][i])
