@@ -302,6 +302,18 @@ def _picked(groups: list[list[int]], width: int, part: int, parts: int):
     return F.col("fp").bitwiseAND(F.element_at(F.array(*map(F.lit, masks)), (F.shiftright("key", width) + 1).cast("int")))
 
 
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, t1, t2, fp)`` of each row, and ``(fp, first, root)`` of each fingerprint: its smallest id and the fingerprint that
+    names its component."""
+    base = packed(docs, id=id_col, text=text_col)
+    h1, h2 = hash128(F.coalesce("text", F.lit("")))
+    prints = with_fingerprint(base.select("id", h1.alias("t1"), h2.alias("t2"), "text"), shingle).drop("text")
+    prints = written(prints, "fingerprints")
+    first = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
+    roots = connected_components(hamming_links(first, distance))
+    return prints, first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    distance: int = 3) -> DataFrame:
     """``(id, t1, t2, fp, component_id)`` for each row of ``docs``: the 128-bit hash of its text, its fingerprint and the smallest
@@ -315,13 +327,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Only 64-bit fingerprints are compared, each distinct one once, so copies cost nothing however many there are. Buckets of
     more than ``HOT`` fingerprints are cut by further bits; what leaves a bucket is a forest, never all pairs.
     """
-    base = packed(docs, id=id_col, text=text_col)
-    h1, h2 = hash128(F.coalesce("text", F.lit("")))
-    prints = with_fingerprint(base.select("id", h1.alias("t1"), h2.alias("t2"), "text"), shingle).drop("text")
-    prints = written(prints, "fingerprints")
-    first = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    roots = connected_components(hamming_links(first, distance))
-    rooted = first.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    prints, rooted = _rooted(docs, id_col, text_col, shingle, distance)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = written(rooted.join(named, "root").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("id", "t1", "t2", "fp", "component_id")
@@ -330,11 +336,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                   distance: int = 3) -> DataFrame:
     """``docs`` with one row of each component of ``simhash_groups``: that with the smallest id (of rows that repeat an id, the
-    one with the smallest text hash). A component without any id keeps one of its rows."""
-    groups = simhash_groups(docs, id_col, text_col, shingle, distance)
-    chosen = (groups.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "fp", "t1", "t2").count()
-              .groupBy("component_id").agg(F.min(F.struct("t1", "t2")).alias("t"))
-              .select(F.col("component_id").alias("owner"), "t.t1", "t.t2"))
+    one with the smallest text hash). A component without any id keeps one of its rows. Components are told apart by their
+    fingerprints, not by ids, which may be null or repeat."""
+    prints, rooted = _rooted(docs, id_col, text_col, shingle, distance)
+    rank = F.struct(F.col("id").isNull().alias("last"), "id", "t1", "t2")
+    chosen = (prints.groupBy("fp").agg(F.min(rank).alias("t")).join(rooted.select("fp", "root"), "fp")
+              .groupBy("root").agg(F.min("t").alias("t")).select(F.col("t.id").alias("owner"), "t.t1", "t.t2"))
     names = {"id": id_col, "text": text_col}
     h1, h2 = hash128(F.coalesce("text", F.lit("")))
     base = packed(docs, **names).withColumns({"h1": h1, "h2": h2})

@@ -152,6 +152,15 @@ def test_simhash(docs, odd_rows, hot, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
 
 
+def test_every_component_keeps_a_row(docs):
+    """Ids that are null or repeat don't name a component: unlike texts under one id all stay."""
+    rng = random.Random(21)
+    a, b, c, d, e = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(80)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (5, c), (5, d), (8, c), (9, d), (9, d), (None, d), (7, e), (None, e)]
+    kept = [(r["doc_id"], r["text"]) for r in simhash_dedup(docs(rows)).collect()]
+    assert Counter(kept) == Counter([(None, a), (None, b), (5, c), (5, d), (7, e)])
+
+
 def test_links_of_planted_neighbours(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(-2**62, 2**62, 300)
