@@ -13,7 +13,7 @@ from fleethazard.llm.quality_rules import SYMBOLS
 from fleethazard.llm.support import LOWER, SPACES, UPPER, packed, unpacked, words_of
 
 HASHED = 16  # columns for each hashed metadata value
-FOLDS = 5  # one labelled row in five calibrates and is not trained on
+FOLDS = 5  # of each class, one labelled id in five calibrates and is not trained on
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -53,6 +53,11 @@ class Logistic:
     scale: np.ndarray
     weights: np.ndarray  # intercept last
 
+    @classmethod
+    def same(cls) -> Logistic:
+        """A single column as it is."""
+        return cls(np.zeros(1), np.ones(1), np.array([1.0, 0.0]))
+
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> Logistic:
         mean, scale = x.mean(axis=0), x.std(axis=0)
@@ -83,33 +88,55 @@ class CoTrained:
     text: Logistic
     metadata: Logistic
     calibrate: tuple[Logistic, Logistic]
-    prior: float  # log-odds of a good document
-    held_out_accuracy: float
+    prior: float  # log-odds of a good document among the labelled rows given
+    held_out_accuracy: float  # NaN if nothing was held out
+
+
+def log_odds(y: np.ndarray) -> float:
+    return float(np.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6)))
+
+
+def folds_of(label: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Folds dealt out within each class by order of ``key``, equal keys together: a class with two keys is in and out of fold 0."""
+    fold = np.zeros(len(label), dtype=np.int64)
+    for y in np.unique(label):
+        fold[label == y] = np.unique(key[label == y], return_inverse=True)[1] % FOLDS
+    return fold
 
 
 def co_train(text: np.ndarray, metadata: np.ndarray, label: np.ndarray, fold: np.ndarray, rounds: int,
-             confidence: float, per_round: int) -> CoTrained | None:
-    """Each round, each view labels the unlabelled rows (label -1) it is surest of, and the other view trains on them.
+             confidence: float, per_round: int, shift: float = 0.0) -> CoTrained | None:
+    """Each round, each view labels the unlabelled rows (label -1) it is surest of, and the other view trains on them. A row is
+    sure by its log-odds with and without the prior: a frequent class alone makes no row sure.
 
-    Rows of fold 0 train nothing: they calibrate both views, whose log-odds are added and the prior's taken off once.
-    None if the labelled rows don't show both classes in and out of fold 0."""
+    Rows of fold 0 train nothing: they calibrate both views, whose log-odds are added and the prior's taken off once. If a class
+    is missing in or out of fold 0, all labelled rows train and nothing calibrates. ``shift`` is what the log-odds of the
+    unlabelled rows have over those of the labelled ones. None if the labelled rows don't show both classes."""
     views = [text, metadata]
-    train, held = (label >= 0) & (fold > 0), (label >= 0) & (fold == 0)
-    if any(len(np.unique(label[part])) < 2 for part in (train, held)):
+    if len(np.unique(label[label >= 0])) < 2:
         return None
+    train, held = (label >= 0) & (fold > 0), (label >= 0) & (fold == 0)
+    calibrated = all(len(np.unique(label[part])) == 2 for part in (train, held))
+    if not calibrated:
+        train = label >= 0
     known = [np.where(train, label, -1), np.where(train, label, -1)]
     free = label < 0
     for _ in range(rounds):
         for k in (0, 1):
             use = known[k] >= 0
-            p = 1 / (1 + np.exp(-Logistic.fit(views[k][use], known[k][use]).logit(views[k])))
-            sure = np.flatnonzero(free & (known[1 - k] < 0) & (np.abs(2 * p - 1) >= 2 * confidence - 1))
-            sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:per_round]
-            known[1 - k][sure] = p[sure] > 0.5
+            odds = Logistic.fit(views[k][use], known[k][use]).logit(views[k])
+            alone = odds - log_odds(known[k][use])
+            odds = odds + shift
+            strength = np.where(odds * alone > 0, np.minimum(np.abs(odds), np.abs(alone)), 0.0)
+            sure = np.flatnonzero(free & (known[1 - k] < 0) & (strength >= np.log(confidence / (1 - confidence))))
+            sure = sure[np.argsort(-strength[sure], kind="stable")][:per_round]
+            known[1 - k][sure] = odds[sure] > 0
     models = [Logistic.fit(v[k >= 0], k[k >= 0]) for v, k in zip(views, known)]
-    y = label[held]
+    y = label[held] if calibrated else label[train]
+    prior = log_odds(y)
+    if not calibrated:
+        return CoTrained(models[0], models[1], (Logistic.same(), Logistic.same()), prior, float("nan"))
     calibrate = tuple(Logistic.fit(m.logit(v[held])[:, None], y) for m, v in zip(models, views))
-    prior = float(np.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6)))
     both = sum(c.logit(m.logit(v[held])[:, None]) for c, m, v in zip(calibrate, models, views)) - prior
     return CoTrained(models[0], models[1], calibrate, prior, float(((both > 0) == (y == 1)).mean()))
 
@@ -121,11 +148,13 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """All columns of ``docs`` with ``text_score``, ``metadata_score`` (calibrated), ``score`` and ``kept``
     (``score >= threshold``).
 
-    Both views are fitted on at most about ``max_labelled`` labelled and ``max_unlabelled`` other documents, taken by a hash
-    of the id; these bounds hold at every size, and all documents are scored by expressions, whole texts, without a shuffle.
-    An id with several labels counts as good only if all say so; null labels and null ids are not used for training. Null text
-    counts as empty. Without labels of both classes, all scores are 0.5 and all is kept. Input columns named like an added
-    one give way; an empty table gives an empty table.
+    Both views are fitted on at most about ``max_labelled`` labelled documents of each class and ``max_unlabelled`` other
+    documents, taken by a hash of the id; these bounds hold at every size, and all documents are scored by expressions, whole
+    texts, without a shuffle. A class within its bound is used whole; scores count the classes as the labels of ``docs`` do,
+    not as the sample does. Of each class, one id in five is held out to calibrate; if a class has one id only, nothing is.
+    An id with several labels counts as good only if all say so; null labels, null ids and labels of ids that ``docs`` lacks
+    are not used. Null text counts as empty. Without labels of both classes, all scores are 0.5 and all is kept. Input columns
+    named like an added one give way; an empty table gives an empty table.
     """
     names = {"id": id_col, "text": text_col, "host": host_col, "lang": lang_col}
     base = packed(docs, **names)
@@ -133,21 +162,30 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     slot = lambda c: F.pmod(F.xxhash64(F.lit("sample"), c), F.lit(many))
     given = labels.select(F.col(id_col).alias("owner"), F.col(label_col).alias("label")).dropna()
     given = given.groupBy("owner").agg(F.min("label").cast("int").alias("label"))
-    n_labels, n_docs = given.count(), base.count()
-    given = given.where(slot(F.col("owner")) < int(many * min(1.0, max_labelled / max(n_labels, 1))))
-    given = given.limit(2 * max_labelled)  # the hash keeps it near the bound; broadcast rows are bounded for certain
+    given = given.join(base.select("id"), F.col("owner") == F.col("id"), "left_semi")
+    n_docs = base.count()
+    n_of = {r["label"]: r["count"] for r in given.groupBy("label").count().collect()}
+    rate = lambda y: min(1.0, max_labelled / n_of[y])
+    if n_of:
+        bound = reduce(lambda c, y: c.when(F.col("label") == y, int(many * rate(y))), n_of, F)
+        given = given.where(slot(F.col("owner")) < bound)
+    given = given.limit(4 * max_labelled)  # the hash keeps it near the bounds; broadcast rows are bounded for certain
     chosen = base.join(F.broadcast(given), F.col("id") == F.col("owner"), "left")
     chosen = chosen.where(F.col("label").isNotNull() | (slot(F.col("id")) < int(many * min(1.0, max_unlabelled / max(n_docs, 1)))))
     rows, text = text_view(chosen)
     metadata = metadata_view(F.col("host"), F.col("lang"))
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS))
-    sample = rows.where("id IS NOT NULL").select("id", F.coalesce("label", F.lit(-1)).alias("label"), fold.alias("fold"),
+    key = F.xxhash64(F.lit("fold"), "id")
+    sample = rows.where("id IS NOT NULL").select("id", F.coalesce("label", F.lit(-1)).alias("label"), key.alias("key"),
                                                  F.array(*text).alias("text"), F.array(*metadata).alias("metadata")).toPandas()
     sample = sample.sort_values("id", kind="stable")
-    model = None
+    model, shift = None, 0.0
     if len(sample):
-        model = co_train(np.stack(sample["text"]), np.stack(sample["metadata"]), sample["label"].to_numpy(),
-                         sample["fold"].to_numpy(), rounds, confidence, per_round)
+        label = sample["label"].to_numpy()
+        taken = sample[label >= 0].groupby("label")["id"].nunique()
+        if len(taken) == 2:  # the sample may thin one class more than the other
+            shift = float(np.log(n_of[1] / taken[1]) - np.log(n_of[0] / taken[0]))
+        model = co_train(np.stack(sample["text"]), np.stack(sample["metadata"]), label,
+                         folds_of(label, sample["key"].to_numpy()), rounds, confidence, per_round, shift)
     done, text = text_view(base)
     if model is None:
         half = F.lit(0.5)
@@ -155,7 +193,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     logits = [c.column([m.column(v)]) for c, m, v in zip(
         model.calibrate, (model.text, model.metadata), (text, metadata_view(F.col("host"), F.col("lang"))))]
     done = done.withColumns({"text_logit": logits[0], "metadata_logit": logits[1]})
-    chance = lambda logit: F.round(1 / (1 + F.exp(-logit)), 6)
+    chance = lambda logit: F.round(1 / (1 + F.exp(-logit - shift)), 6)
     score = chance(F.col("text_logit") + F.col("metadata_logit") - model.prior)
     return unpacked(done, docs, names, {"text_score": chance(F.col("text_logit")),
                                         "metadata_score": chance(F.col("metadata_logit")), "score": score,

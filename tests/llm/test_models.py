@@ -116,6 +116,20 @@ def test_quality_of_odd_rows(docs, odd_rows, spark):
     assert classify_quality(docs([]), labels).count() == 0
 
 
+@pytest.mark.parametrize("n_bad,bound", [(1, 20_000), (2, 20_000), (60, 200), (60, 20_000)])
+def test_quality_with_a_rare_class(docs, spark, n_bad, bound):
+    """A few rejects among many labels, however thinned, still fit a model that finds many of the like."""
+    rng = random.Random(3)
+    good = [(i, " ".join(f"w{rng.randint(0, 999)}" for _ in range(60))) for i in range(2000)]
+    bad = [(i, "SPAM!! " * rng.randint(20, 60)) for i in range(5000, 5100)]
+    rows = [(i, 1, 0) for i in range(2000)] + [(5000 + i, 0, 0) for i in range(n_bad)] + [(9000 + i, 0, 0) for i in range(500)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    got = classify_quality(docs(good + bad), labels, max_labelled=bound).collect()
+    assert sum(r["kept"] for r in got if r["doc_id"] < 2000) >= 1990
+    assert sum(r["kept"] for r in got if r["doc_id"] >= 5000) <= 70
+    assert min(r["score"] for r in got if r["doc_id"] < 2000) > max(r["score"] for r in got if r["doc_id"] >= 5000)
+
+
 def test_views_teach_each_other():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 4000)
