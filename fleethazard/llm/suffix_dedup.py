@@ -183,6 +183,24 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
     return {k: np.concatenate(v) for k, v in out.items()}
 
 
+def windows_once(asked_for: np.ndarray, pieces: dict[str, np.ndarray], ids: np.ndarray, texts: list[bytes],
+                 width: int) -> tuple[dict[bytes, tuple[int, int, int]], list[tuple[int, int, int, bytes]]]:
+    """Of the pieces with the hashes ``asked_for``: the first (id, hash, place) of each different window, by id, and all others
+    with their window."""
+    hashes, index = np.unique(pieces["hash"], return_index=True)  # the first is that of the smallest id
+    index = np.sort(index[np.searchsorted(hashes, asked_for)])  # a group is asked only for what it has sent
+    first: dict[bytes, tuple[int, int, int]] = {}
+    again = []
+    for i in index.tolist():
+        k, a, h = pieces["owner"][i], int(pieces["first"][i]), int(pieces["hash"][i])
+        doc, text = int(ids[k]), texts[k]
+        for at in range(int(pieces["n"][i])):
+            window = text[a + at:a + at + width]
+            if first.setdefault(window, (doc, h, at)) != (doc, h, at):
+                again.append((doc, h, at, window))
+    return first, again
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50,
                  group_bytes: int = 4 << 20) -> DataFrame:
     """All columns of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``removed`` (maximal byte intervals) and ``kept``
@@ -195,7 +213,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The text is shuffled once, by groups of ids. Anchors and hashes of pieces travel as packed lists; whole pieces are equal if
     their 64-bit hashes and anchors are, parts of pieces by their bytes. A piece of any number of copies is sent for comparison once.
-    Anchors with more than ``SPLIT`` different pieces are compared window by window, spread by the windows' hashes.
+    Anchors with more than ``SPLIT`` different pieces are compared window by window, spread by the windows' hashes; a group
+    sends equal windows once and answers its later documents itself.
     """
     names = {"id": id_col, "text": text_col}
     base, n_groups = grouped_by_id(docs, id_col, text_col, group_bytes)
@@ -248,19 +267,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         out = []
         if left.num_rows and right.num_rows:
             _, ids, texts, pieces = own(left)
+            g = left.column("g")[0].as_py()
             hashes, index = np.unique(pieces["hash"], return_index=True)  # the first is that of the smallest id
-            for kind in (COMPARE, COMPARE_WINDOWS):
-                asked_for = told(right, kind)
-                at = np.searchsorted(hashes, asked_for)  # a group is asked only for what it has sent
-                for h, i in zip(asked_for.tolist(), index[at].tolist()):
-                    k, a, n = pieces["owner"][i], pieces["first"][i], pieces["n"][i]
-                    piece = texts[k][a:a + n + width - 1]
-                    g, doc, anchor = left.column("g")[0].as_py(), int(ids[k]), int(pieces["anchor"][i])
-                    if kind == COMPARE:
-                        out.append((anchor, g, h, 0, doc, piece))
-                    else:
-                        values = mixed(rolling(byte_values()[np.frombuffer(piece, dtype=np.uint8)], width)) >> np.uint64(24)
-                        out += [(v, g, h, at, doc, piece[at:at + width]) for at, v in enumerate(values.tolist())]
+            asked_for = told(right, COMPARE)
+            at = np.searchsorted(hashes, asked_for)  # a group is asked only for what it has sent
+            for h, i in zip(asked_for.tolist(), index[at].tolist()):
+                k, a, n = pieces["owner"][i], pieces["first"][i], pieces["n"][i]
+                out.append((int(pieces["anchor"][i]), g, h, 0, int(ids[k]), texts[k][a:a + n + width - 1]))
+            first, _ = windows_once(told(right, COMPARE_WINDOWS), pieces, ids, texts, width)
+            windows = list(first)
+            for a, b in slabs(windows):
+                data = np.frombuffer(b"".join(windows[a:b]), dtype=np.uint8)
+                values = mixed(rolling(byte_values()[data], width)[::width]) >> np.uint64(24)
+                out += [(v, g, h, at, doc, w) for v, w in zip(values.tolist(), windows[a:b]) for doc, h, at in (first[w],)]
         key = pa.array([o[0] for o in out], pa.int64())
         bucket = pa.array([(o[0] * n_groups) >> 40 for o in out], pa.int64())
         return pa.Table.from_arrays([bucket, key, pa.array([o[1] for o in out], pa.int64()),
@@ -270,16 +289,26 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def sort_suffixes(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        table = table.take(pa.array(np.argsort(table.column("key").to_numpy(), kind="stable")))
+        table = table.take(pa.array(np.lexsort((table.column("id").to_numpy(), table.column("key").to_numpy()))))
         key, ids = table.column("key").to_numpy(), table.column("id").to_numpy()
         pieces = table.column("piece").to_pylist()
+        same, seen = np.arange(len(pieces)), {}  # the first row with the same piece under the same key
+        for r, piece in enumerate(pieces):
+            if r and key[r] != key[r - 1]:
+                seen = {}
+            same[r] = seen.setdefault(piece, r)
+        different = np.flatnonzero(same == np.arange(len(pieces)))
         hits = [np.zeros(0, dtype=np.int64) for _ in pieces]
         a = size = 0
-        for b in range(1, len(pieces) + 1):
-            size += len(pieces[b - 1])
-            if b == len(pieces) or size >= BATCH and key[b] != key[b - 1]:
-                hits[a:b] = repeated_windows(pieces[a:b], ids[a:b], width)
+        for b in range(1, len(different) + 1):
+            size += len(pieces[different[b - 1]])
+            if b == len(different) or size >= BATCH and key[different[b]] != key[different[b - 1]]:
+                batch = different[a:b]
+                for r, found in zip(batch, repeated_windows([pieces[r] for r in batch], ids[batch], width)):
+                    hits[r] = found
                 a, size = b, 0
+        for r in np.flatnonzero(same != np.arange(len(pieces))):
+            hits[r] = np.arange(len(pieces[r]) - width + 1) if ids[r] > ids[same[r]] else hits[same[r]]
         g, hashes, at = table.column("g").to_numpy(), table.column("hash").to_numpy(), table.column("at").to_numpy()
         row = np.repeat(np.arange(len(pieces)), [len(h) for h in hits])
         places = np.concatenate(hits) + at[row]
@@ -301,6 +330,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             windows = [(np.repeat(pieces["owner"][gone], pieces["n"][gone]),
                         np.repeat(pieces["first"][gone], pieces["n"][gone]) + _counting(pieces["n"][gone]))]
             rows = [np.frombuffer(b, dtype="<i8").reshape(2, -1) for k, b in zip(right.column("kind").to_pylist(), right.column("hashes").to_pylist()) if k == FOUND]
+            first, again = windows_once(told(right, COMPARE_WINDOWS), pieces, ids, texts, width)
+            if again:
+                hit = {(h, at) for r in rows for h, at in zip(r[0].view(np.uint64).tolist(), r[1].tolist())}
+                later = [(h, at) for doc, h, at, w in again if doc > first[w][0] or first[w][1:] in hit]
+                rows.append(np.array([np.array([x[0] for x in later], dtype=np.uint64).view(np.int64), [x[1] for x in later]], dtype=np.int64))
             if rows:
                 found = np.concatenate(rows, axis=1)
                 found = found[:, np.argsort(found[0].view(np.uint64), kind="stable")]
@@ -334,7 +368,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     compared = base.groupBy("g").cogroup(asked.groupBy("g")).applyInArrow(
         compare, "bucket long, key long, g long, hash long, at int, id long, piece binary")
     found = compared.groupBy("bucket").applyInArrow(sort_suffixes, packed_answer)
-    verdicts = answers.where(F.col("kind") == KNOWN_BEFORE).union(found)
+    verdicts = answers.where(F.col("kind").isin(KNOWN_BEFORE, COMPARE_WINDOWS)).union(found)
     done = base.groupBy("g").cogroup(verdicts.groupBy("g")).applyInArrow(remove, schema)
     return unpacked(done, docs, names, {c: F.col(c) for c in ("n_bytes", "n_removed", "n_spans", "removed", "kept")})
 

@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import GroupedData
 
 from fleethazard.llm import simhash, suffix_dedup as suffix
 from fleethazard.llm.components import connected_components
@@ -62,6 +63,29 @@ def test_suffix_dedup(docs, odd_rows, split, monkeypatch):
     assert Counter(got) == Counter(brute_bytes(rows))
 
 
+def test_common_passage_sends_a_window_once_per_group(docs, monkeypatch):
+    """A passage amid different surroundings makes one row for each of its windows and group of ids, not one per document."""
+    monkeypatch.setattr(suffix, "SPLIT", 5)
+    rng = random.Random(8)
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 90)))
+    passage = "a banner that every third document holds, whatever is around it, and that is long"
+    rows = [(i // 2 if i < 20 else i, noise() + (passage if i % 3 else "") + noise()) for i in range(300)]
+    apply = GroupedData.applyInArrow
+
+    def watched(self, fn, schema):
+        def limited(table):
+            held = Counter(zip(table.column("g").to_pylist(), table.column("piece").to_pylist()))
+            assert max(held.values()) == 1
+            return fn(table)
+
+        return apply(self, limited if fn.__name__ == "sort_suffixes" else fn, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", watched)
+    done = suffix.suffix_dedup(docs(rows), group_bytes=8000).collect()
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in done]
+    assert Counter(got) == Counter(brute_bytes(rows))
+
+
 def test_suffix_array_by_grouping():
     rng = random.Random(5)
     for _ in range(1500):
