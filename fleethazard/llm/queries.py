@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleethazard.llm.bpe import bpe_encode
+from fleethazard.llm.clustering import cluster_vectors
 from fleethazard.llm.decontamination import decontaminate
 from fleethazard.llm.language_id import document_evidence, fit_text_model, identify_language, page_evidence
 from fleethazard.llm.line_dedup import line_dedup
@@ -201,3 +202,34 @@ FROM b LEFT JOIN x USING (doc_id)"""
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = quality_rules(table(spark, sf_dir, "documents"))
     return done.select("doc_id", *FEATURES, "base_failed", "n_line_words", "kept")
+
+
+# ---------------------------------------------------------------- 11 centroid clustering
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """Three rounds and a last assignment, each a pair of common table expressions."""
+    steps = [f"""
+v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS c FROM embeddings
+      WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY h) - 1)::INT AS cluster, c FROM
+       (SELECT c, sha256('1:' || vec_id) AS h FROM v ORDER BY h LIMIT {k}))"""]
+    far = "list_sum([(p.x - p.y) * (p.x - p.y) FOR p IN list_transform(list_zip(v.c, m.c), lambda z: {'x': z[1], 'y': z[2]})])::BIGINT"
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS (SELECT vec_id, any_value(c) AS c, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM
+        (SELECT v.vec_id, v.c, m.cluster, {far} AS d FROM v CROSS JOIN c{r} m) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT cluster, i, floor(sum(x) / count(*))::BIGINT AS x FROM
+        (SELECT cluster, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM a{r}) GROUP BY cluster, i),
+c{r + 1} AS (SELECT c{r}.cluster, coalesce(n.c, c{r}.c) AS c FROM c{r} LEFT JOIN
+          (SELECT cluster, list(x ORDER BY i) AS c FROM s{r} GROUP BY cluster) n USING (cluster))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} m USING (cluster)"""
+
+
+@query("op11_centroid_clustering", _clusters_sql())
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
