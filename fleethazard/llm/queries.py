@@ -16,6 +16,7 @@ from fleethazard.llm.quality_classifier import classify_quality
 from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
 from fleethazard.llm.simhash import simhash_groups
+from fleethazard.llm.spelling import spelling_variants, word_counts
 from fleethazard.llm.substring_dedup import substring_dedup
 from fleethazard.llm.suffix_dedup import suffix_dedup
 from fleethazard.llm.support import table
@@ -233,3 +234,41 @@ FROM a{rounds} JOIN c{rounds} m USING (cluster)"""
 @query("op11_centroid_clustering", _clusters_sql())
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# ---------------------------------------------------------------- 12 spelling variants
+
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k:
+          CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k FROM
+         (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+         GROUP BY ALL),
+codes AS (SELECT *, list_transform(string_split(doc_id || ':' || w, ''), lambda x: unicode(x)) AS u FROM runs),
+-- letters from U+00C0 on are two bytes in UTF-8
+bytes AS (SELECT *, flatten(list_transform(u, lambda x: CASE WHEN x < 128 THEN [x] ELSE [195, x - 64] END)) AS b FROM codes),
+hashed AS (SELECT w, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(b, lambda x: x::BIGINT)),
+             lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)]))) AS h FROM bytes, crc),
+vocab AS (SELECT word, sum(k)::BIGINT AS n FROM
+          (SELECT CASE WHEN h % 97 = 0 THEN w[1:(h % length(w))::BIGINT] || w[(h % length(w))::BIGINT + 2:] ELSE w END AS word, k FROM hashed)
+          WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+-- one byte for each letter, as the edit distance counts bytes
+plain AS (SELECT *, translate(word, (SELECT string_agg(chr((192 + i)::INT), '' ORDER BY i) FROM range(64) r(i)),
+          '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&()*+,-./:;<=>?@[]^_`{|') AS p FROM vocab),
+-- words one edit apart share a half: equal beginnings or equal ends
+pairs AS (SELECT a.word, b.word AS other, b.n AS other_n FROM plain a JOIN plain b
+          ON a.p[1:2] = b.p[1:2] AND abs(length(a.p) - length(b.p)) < 2 AND a.p <> b.p WHERE levenshtein(a.p, b.p) = 1
+          UNION SELECT a.word, b.word, b.n FROM plain a JOIN plain b
+          ON a.p[-2:] = b.p[-2:] AND abs(length(a.p) - length(b.p)) < 2 AND a.p <> b.p WHERE levenshtein(a.p, b.p) = 1),
+near AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+                 CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM vocab LEFT JOIN near USING (word)),
+walk AS (SELECT word, word AS place FROM forms UNION ALL
+         SELECT walk.word, forms.form FROM walk JOIN forms ON walk.place = forms.word WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, walk.place AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN walk ON walk.word = forms.word JOIN forms last ON last.word = walk.place AND last.form IS NULL"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, sf_dir, "documents"), typo_modulus=97))
