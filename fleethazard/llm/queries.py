@@ -12,6 +12,7 @@ from fleethazard.llm.clustering import cluster_vectors
 from fleethazard.llm.decontamination import decontaminate
 from fleethazard.llm.language_id import document_evidence, fit_text_model, identify_language, page_evidence
 from fleethazard.llm.line_dedup import line_dedup
+from fleethazard.llm.pii import find_personal_data
 from fleethazard.llm.quality_classifier import classify_quality
 from fleethazard.llm.quality_rules import FEATURES, quality_rules
 from fleethazard.llm.sharding import shard_documents
@@ -272,3 +273,11 @@ FROM forms JOIN walk ON walk.word = forms.word JOIN forms last ON last.word = wa
 @query("op12_spelling_variants", SPELLING_SQL)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents"), typo_modulus=97))
+
+
+# ---------------------------------------------------------------- 13 personal data
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = find_personal_data(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
