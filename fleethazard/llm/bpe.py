@@ -7,6 +7,7 @@ all such places, its fragments are encoded independently, and their tokens are c
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,8 @@ from tokenizers import Tokenizer
 from fleethazard.llm.support import packed, unpacked
 
 CACHED_WORDS, CACHED_PIECES = 200_000, 200_000  # entries of each half of a Python worker's two caches
+LONGEST_CACHED = 128  # letters; longer words and pieces seldom come again, and would fill the caches
+SHORT = 48  # fragments of more symbols are merged with a heap
 ROWS_OUT = 256
 
 
@@ -31,6 +34,8 @@ class Cache:
         self.old: dict[str, bytes] = {}
 
     def of(self, key: str) -> bytes:
+        if len(key) > LONGEST_CACHED:
+            return self.compute(key)
         got = self.young.get(key)
         if got is None:
             got = self.old.get(key) or self.compute(key)
@@ -78,6 +83,8 @@ class WordBpe:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merges of lowest rank first, the leftmost of equal ones first."""
+        if len(symbols) > SHORT:
+            return self._merge_long(symbols)
         rank, never = self.ranks.get, len(self.ranks)
         each = [rank(pair, never) for pair in zip(symbols, symbols[1:])]
         while each:
@@ -93,6 +100,31 @@ class WordBpe:
                 each[i] = rank((symbols[i], symbols[i + 1]), never)
         return symbols
 
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """The same in n log n: pairs wait in a heap by rank and place; a symbol merged away leaves its neighbours linked."""
+        rank, never, n = self.ranks.get, len(self.ranks), len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, r in enumerate(rank(pair, never) for pair in zip(symbols, symbols[1:])) if r < never]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if j >= n or not symbols[i] or rank((symbols[i], symbols[j]), never) != r:
+                continue  # one of the two has changed since
+            symbols[i], symbols[j] = symbols[i] + symbols[j], ""
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                r = rank((symbols[i], symbols[k]), never)
+                if r < never:
+                    heapq.heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0:
+                r = rank((symbols[h], symbols[i]), never)
+                if r < never:
+                    heapq.heappush(heap, (r, h))
+        return [s for s in symbols if s]
+
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece between the splits of the pattern, written in byte symbols."""
         symbols = list(piece)
@@ -140,7 +172,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     """All columns of ``docs`` with ``ids`` (binary, little-endian unsigned 32-bit), ``n_tokens`` and ``decoded``.
 
     Equal to the tokenizers library with add_special_tokens=False and decode(ids, skip_special_tokens=False). Null and
-    empty texts have no ids. Repeated rows are encoded each by itself; an empty table gives an empty table. Input columns
+    empty texts have no ids. A run without white space takes n log n, however long. Repeated rows are encoded each by itself; an empty table gives an empty table. Input columns
     named like an added one give way. Each row is encoded where it is read: no shuffle, and whole texts in batches of
     ``ROWS_OUT`` rows on the way out. The file (a few MB) is read by the driver and travels with the task.
     """

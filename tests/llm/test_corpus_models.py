@@ -1,6 +1,7 @@
 """Language ID, quality classifier, BPE, and the pipeline."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -41,6 +42,21 @@ def test_every_character(bpe):
         assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_long_runs_without_spaces(bpe):
+    own, library = bpe
+    rng = random.Random(5)
+    runs = ["a" * 1_000_000, "".join(rng.choice("etaoinshr") for _ in range(300_000)), "漢字" * 20_000, "ab" * 100_000 + "1" * 100_000]
+    for run in runs:
+        begin = time.perf_counter()
+        ids = own.encode(run)
+        assert time.perf_counter() - begin < 20
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(run, add_special_tokens=False).ids
+    for n in (*range(2, 12), 47, 48, 49, 50, 130):  # around the bounds of the two ways to merge, and of the caches
+        for _ in range(60):
+            run = "".join(rng.choice("thean") for _ in range(n))
+            assert np.frombuffer(own.encode(run), "<u4").tolist() == library.encode(run, add_special_tokens=False).ids
+
+
 def test_cuts_never_lie_inside_a_token(bpe):
     own, _ = bpe
     rng = random.Random(2)
