@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from fleethazard.llm.bpe import WordBpe, bpe_encode
 from fleethazard.llm.language_id import fit_text_model, identify_language, page_evidence
-from fleethazard.llm.quality_classifier import classify_quality, co_train
+from fleethazard.llm.quality_classifier import Logistic, Pool, classify_quality, co_train, text_features
 from fleethazard.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -146,16 +146,75 @@ def test_quality_with_a_rare_class(docs, spark, n_bad, bound):
     assert min(r["score"] for r in got if r["doc_id"] < 2000) > max(r["score"] for r in got if r["doc_id"] >= 5000)
 
 
-def test_views_teach_each_other():
+def surest_of(text, meta, free, confidence, per_round, shift=0.0):
+    """One round's choice, over arrays."""
+    had = (set(), set())
+
+    def surest(k, model, prior):
+        odds = model.logit((text, meta)[k])
+        alone, odds = odds - prior, odds + shift
+        strength = np.round(np.where(odds * alone > 0, np.minimum(abs(odds), abs(alone)), 0.0), 9)
+        rows = [i for i in free if strength[i] >= np.log(confidence / (1 - confidence)) and i not in had[1 - k]]
+        rows = [i for y in (False, True) for i in sorted((i for i in rows if (odds[i] > 0) == y), key=lambda i: (-strength[i], i))[:per_round]]
+        had[1 - k].update(rows)
+        return text[rows], meta[rows], (odds[rows] > 0).astype(int)
+
+    return surest
+
+
+def two_views():
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 4000)
     text = np.c_[y + rng.normal(0, 0.4, 4000), rng.normal(0, 1, 4000)]
-    meta = np.c_[y + rng.normal(0, 0.6, 4000), rng.normal(0, 1, 4000)]
-    label = np.where(np.arange(4000) < 400, y, -1)
-    model = co_train(text, meta, label, np.arange(4000) % 5, rounds=3, confidence=0.9, per_round=500)
+    return y, text, np.c_[y + rng.normal(0, 0.6, 4000), rng.normal(0, 1, 4000)]
+
+
+def test_views_teach_each_other():
+    y, text, meta = two_views()
+    surest = surest_of(text, meta, range(400, 4000), 0.9, 250)
+    model = co_train(text[:400], meta[:400], y[:400], np.arange(400) % 5, 3, surest)
     both = sum(c.logit(m.logit(v)[:, None]) for c, m, v in zip(model.calibrate, (model.text, model.metadata), (text, meta))) - model.prior
     assert ((both > 0) == (y == 1))[400:].mean() > 0.9
-    assert co_train(text, meta, np.full(4000, -1), np.arange(4000) % 5, 3, 0.9, 10) is None
+    assert co_train(text[:4], meta[:4], np.ones(4, dtype=int), np.arange(4) % 5, 3, surest) is None
+
+
+def test_the_surest_rows_come_from_the_whole_table(spark):
+    """Both views over two rounds, against the same choice over arrays."""
+    y, text, meta = two_views()
+    rows = [(None if i % 7 == 0 else i, i, text[i].tolist(), meta[i].tolist()) for i in range(400, 4000)]
+    pool = Pool(spark.createDataFrame(rows, "id long, mark long, text array<double>, metadata array<double>").repartition(5), 0.3, 0.9, 40)
+    brute = surest_of(text, meta, range(400, 4000), 0.9, 40, 0.3)
+    for step in range(2):
+        for k in (0, 1):
+            model = Logistic.fit((text, meta)[k][step * 100:step * 100 + 200], y[step * 100:step * 100 + 200])
+            got, want = pool.surest(k, model, 0.1), brute(k, model, 0.1)
+            order = [np.lexsort(x[0].T) for x in (got, want)]
+            assert len(want[2]) == 80 and all((g[order[0]] == w[order[1]]).all() for g, w in zip(got, want))
+
+
+def test_text_features():
+    text = "Ab c!|\n\nAb 9;é\n"
+    n, chars, lines = 5.0, 11.0, 4.0
+    assert text_features(text) == [3 / n, 2 / chars, 3 / chars, 1 / chars, 1 / chars, 1 / chars, 1 / chars, 1 / chars, np.log(n), chars / n, 3 / lines, chars, lines]
+    assert text_features(None) == text_features("") == [0.0] * 8 + [0.0, 1.0, 1.0, 1.0, 1.0]
+
+
+@pytest.mark.parametrize("values", [(1, 2), (0, 1, 2), (0, -1)])
+def test_labels_other_than_0_and_1_are_refused(docs, spark, values):
+    labels = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="must be 0 or 1"):
+        classify_quality(docs([(i, "a b") for i in range(5)]), labels)
+
+
+def test_an_id_on_many_rows_teaches_once(docs, spark):
+    """A labelled id on nine rows in ten: one of them reaches the driver, all are scored."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randint(0, 999)}" for _ in range(60))) for i in range(100)] + [(i, "SPAM!! " * rng.randint(20, 60)) for i in range(100, 200)]
+    rows += [(5, f"the same {i % 50}") for i in range(1800)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in range(0, 200, 2)] + [(5, 1)], "doc_id long, quality int")
+    got = classify_quality(docs(rows), labels).collect()
+    assert len(got) == 2000
+    assert all(r["kept"] == (r["doc_id"] < 100) for r in got if r["doc_id"] != 5)
 
 
 def test_pipeline(spark):
