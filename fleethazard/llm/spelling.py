@@ -177,6 +177,7 @@ def spelling_variants(words: DataFrame, symbols: Sequence[int] = SYMBOLS, crowd:
     Neighbourhoods move as pairs of 64-bit hashes, once for each distinct reduced word; the words join only where two
     reduced words in use are linked. Hashes that meet by chance cost a comparison and change nothing.
     """
+    words = written(words.select("word", "n"), "words")  # read twice, and often counted from a whole corpus
     pairs = near_words(words.where(F.col("word").isNotNull()).select("word", F.col("n").cast("long").alias("n")), symbols, crowd)
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     best = F.min(F.struct((-F.col("b.n")).alias("n"), F.col("b.word").alias("word")))
