@@ -22,7 +22,7 @@ from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.sequences import build_sequence_pipeline
 from fleethazard.operators.splits import assign_split, fit_split, split_engines
 from fleethazard.operators.labeling import label_horizon
-from fleethazard.params import BacktestSpec, Profile
+from fleethazard.params import BacktestSpec, FeatureSpec, Profile
 from fleethazard.plans.backtest import run_backtest
 from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows, score_latest_with_network
 from fleethazard.plans.training import (
@@ -30,7 +30,7 @@ from fleethazard.plans.training import (
 )
 from fleethazard.sources.registry import load_active_model, save_model_version, set_active_version
 from fleethazard.streaming.alerts import stream_score_alerts
-from fleethazard.streaming.features import ROCKSDB, stream_features
+from fleethazard.streaming.features import EngineRows, batch_features, parquet_sink, stream_features
 
 FOREST_FEATURES = EVENT_SIGNALS
 
@@ -278,39 +278,69 @@ def _arrivals(spark, d):
 
 def _deliver(spark, d, start):
     """Write one delivery after another; after each, run the stream until it has read everything."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     source = scratch(spark, "arrivals")
     for part in _arrivals(spark, d):
         part.write.mode("append").parquet(source)
-        stream = spark.readStream.schema(part.schema).parquet(source)
-        start(stream_features(stream, SHORT.features)).awaitTermination()
+        start(spark.readStream.schema(part.schema).parquet(source)).awaitTermination()
 
 
+STREAM_STATS = ("mean", "std", "var", "sum", "min", "max", "median", "count")
+STREAM_SIGNALS = ["sensor_1", "sensor_3"]
+STREAM_SPEC = FeatureSpec(windows=(3, 7), stats=STREAM_STATS)
 STREAM_COLUMNS = feature_columns(EVENT_SIGNALS, SHORT.features.windows)
+ALL_STREAM_COLUMNS = feature_columns(STREAM_SIGNALS, (3, 7), STREAM_STATS)
 
 
 @query("stream_features", f"WITH {EV}, f AS ({feature_sql(EVENT_SIGNALS, 'ev', SHORT.features.windows)}) SELECT *, 0::BIGINT AS dropped FROM f",
        feature_places(STREAM_COLUMNS))
 def _(spark, d):
-    """State carries every engine across three deliveries; the result equals the batch features."""
-    out, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-state")
+    """The engines' last rows carry the features across three deliveries; the result equals the batch features."""
+    out, state, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-engines"), scratch(spark, "stream-state")
+    _deliver(spark, d, lambda stream: stream_features(stream, SHORT.features, parquet_sink(out), state, checkpoint))
+    return spark.read.parquet(out).drop("batch")
 
-    def start(features):
-        return (features.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-                .outputMode("append").trigger(availableNow=True).start())
 
-    _deliver(spark, d, start)
-    df = spark.read.parquet(out)
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in STREAM_COLUMNS})
+@query("stream_all_statistics", f"WITH {EV}, f AS ({feature_sql(STREAM_SIGNALS, 'ev', (3, 7), STREAM_STATS)}) SELECT *, 0::BIGINT AS dropped FROM f",
+       {c: {"sensor_1__roll3__var": 5, "sensor_1__roll7__var": 5, "sensor_3__roll3__var": 2, "sensor_3__roll7__var": 2}.get(c, 3 if c.endswith(("std", "var")) else 5)
+        for c in ALL_STREAM_COLUMNS})
+def _(spark, d):
+    """All eight statistics, with a version of all engines after every second micro-batch."""
+    out, state, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-engines"), scratch(spark, "stream-state")
+    _deliver(spark, d, lambda stream: stream_features(
+        stream.select(*KEY, *STREAM_SIGNALS), STREAM_SPEC, parquet_sink(out), state, checkpoint, all_every=2))
+    return spark.read.parquet(out).drop("batch")
+
+
+@query("stream_late_rows", f"""WITH {EV}, f AS ({feature_sql(['sensor_1'], 'ev', (3,))}),
+  spans AS (SELECT max(cycle) // 3 + 1 AS span FROM ev),
+  late AS (SELECT engine_id, cycle, d FROM ev, spans, (SELECT unnest([1, 2]) AS d) WHERE cycle <= d * span AND cycle % 5 = 0)
+  SELECT f.*, (SELECT count(*) FROM late WHERE late.engine_id = f.engine_id AND late.d <= (f.cycle - 1) // span)::BIGINT AS dropped
+  FROM f, spans""", feature_places(feature_columns(["sensor_1"], (3,))))
+def _(spark, d):
+    """Each later delivery repeats every fifth cycle delivered before, with other values: dropped and counted, and without effect.
+    The second micro-batch is then run again, which changes nothing."""
+    out, state, checkpoint = scratch(spark, "stream-out"), scratch(spark, "stream-engines"), scratch(spark, "stream-state")
+    source, spec = scratch(spark, "arrivals"), FeatureSpec(windows=(3,))
+    df = events(spark, d).select(*KEY, "sensor_1")
+    span = df.agg(F.max("cycle")).first()[0] // ARRIVALS + 1
+    for i, part in enumerate(_arrivals(spark, d)):
+        again = df.where((F.col("cycle") <= i * span) & (F.col("cycle") % 5 == 0)).withColumn("sensor_1", F.lit(-1e9))
+        part.select(*KEY, "sensor_1").unionByName(again).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        stream_features(stream, spec, parquet_sink(out), state, checkpoint).awaitTermination()
+    engines = EngineRows(spark, state, ["sensor_1"], spec.history(), 20)
+    late = df.where((F.col("cycle") <= span) & (F.col("cycle") % 5 == 0)).withColumn("sensor_1", F.lit(-1e9))
+    batch_features(_arrivals(spark, d)[1].select(*KEY, "sensor_1").unionByName(late), 1, spec, engines, parquet_sink(out))
+    return spark.read.parquet(out).drop("batch")
 
 
 @query("stream_score_alerts", f"""WITH {EV} SELECT engine_id, cycle, cycle >= 10 AS scored, TRUE AS consistent FROM ev""")
 def _(spark, d):
     """Responses and rejects of all micro-batches: every row of the fleet is in one of them."""
     run = train_select_report(events(spark, d), TRIAL, candidates=("logreg",))
-    out, checkpoint = scratch(spark, "alerts"), scratch(spark, "stream-state")
-    _deliver(spark, d, lambda features: stream_score_alerts(
-        features, run["model"], run["metadata"], out, checkpoint, alerts_only=False))
+    out, state, checkpoint = scratch(spark, "alerts"), scratch(spark, "stream-engines"), scratch(spark, "stream-state")
+    _deliver(spark, d, lambda stream: stream_score_alerts(
+        stream, SHORT.features, run["model"], run["metadata"], out, state, checkpoint, alerts_only=False))
     yes = F.lit(True)
     responses = _consistent(spark.read.parquet(out)).withColumn("scored", yes)
     rejected = spark.read.parquet(f"{out}_rejected").select(*KEY, yes.alias("consistent"), F.lit(False).alias("scored"))

@@ -51,6 +51,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder on any file system Spark can read; none if it isn't there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
 def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
     """Put a small file in place in one step: readers see the old content or the new."""
     jvm = spark.sparkContext._jvm

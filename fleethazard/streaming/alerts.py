@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from fleethazard.functions.policy import apply_policy
 from fleethazard.functions.scalar import is_finite
 from fleethazard.operators.classifiers import predict_proba
+from fleethazard.params import FeatureSpec
+from fleethazard.streaming.features import Sink, parquet_sink, stream_features
 
 
 def split_complete(features: DataFrame, metadata: dict) -> tuple[DataFrame, DataFrame]:
@@ -31,21 +33,24 @@ def score_batch(model: PipelineModel, metadata: dict, features: DataFrame) -> Da
         F.lit(metadata.get("version", "v1")).alias("model_version"), F.lit(metadata["model_type"]).alias("model_type"))
 
 
-def stream_score_alerts(features: DataFrame, model: PipelineModel, metadata: dict, out_path: str,
-                        checkpoint: str, alerts_only: bool = True, trigger: dict | None = None,
+def alert_sink(model: PipelineModel, metadata: dict, out_path: str, alerts_only: bool = True, rejects_path: str | None = None) -> Sink:
+    """Responses of every micro-batch to a folder of its own, rejected rows to one under ``rejects_path`` (``out_path`` +
+    ``_rejected``); a repeated micro-batch overwrites itself."""
+    responses, rejects = parquet_sink(out_path), parquet_sink(rejects_path or f"{out_path}_rejected")
+
+    def write(features: DataFrame, batch_id: int) -> None:
+        features = features.persist()  # scored and searched for rejects
+        scored = score_batch(model, metadata, features)
+        responses(scored.where("is_alert") if alerts_only else scored, batch_id)
+        rejects(split_complete(features, metadata)[1], batch_id)
+        features.unpersist()
+
+    return write
+
+
+def stream_score_alerts(stream: DataFrame, spec: FeatureSpec, model: PipelineModel, metadata: dict, out_path: str,
+                        state_path: str, checkpoint: str, alerts_only: bool = True, trigger: dict | None = None,
                         rejects_path: str | None = None) -> StreamingQuery:
-    """Write the responses of every micro-batch to its own folder, and rejected rows to one under ``rejects_path``
-    (``out_path`` + ``_rejected``); a repeated batch overwrites itself."""
-    rejects = rejects_path or f"{out_path}_rejected"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        responses = score_batch(model, metadata, batch)
-        if alerts_only:
-            responses = responses.where("is_alert")
-        responses.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        split_complete(batch, metadata)[1].write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-
-    return (
-        features.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+    """Features, scores and alerts of a stream of cycles."""
+    sink = alert_sink(model, metadata, out_path, alerts_only, rejects_path)
+    return stream_features(stream, spec, sink, state_path, checkpoint, trigger)

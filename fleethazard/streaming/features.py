@@ -1,94 +1,106 @@
-"""The batch features on a stream: per-engine state holds the few rows a frame reaches back to.
+"""The batch features on a stream: each micro-batch runs through the batch operator, led by the rows its frames reach back to.
 
-Rows of a micro-batch are taken in cycle order; a cycle that is not above the
-engine's last one is dropped and counted. A group never holds more than one
-micro-batch, whose size the source's admission limits set
-(``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``); between batches an engine
-keeps ``spec.history()`` rows, however long it runs.
+The last rows of every engine are a table in the shared folder, with one version per micro-batch. A version is made from
+those before it alone, so a micro-batch that is run again after a failure gives the same features and the same version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from fleethazard.functions.columns import delta_name, lag_name, roll_name, signal_columns
+from fleethazard.functions.columns import signal_columns
+from fleethazard.functions.scalar import nonfinite_to_null
+from fleethazard.operators.features import feature_frame
 from fleethazard.params import FeatureSpec
+from fleethazard.session import folder_names
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-_STATS = {
-    "mean": lambda w: w.mean(axis=1),
-    "std": lambda w: w.std(axis=1, ddof=1) if w.shape[1] > 1 else np.full(len(w), np.nan),
-    "var": lambda w: w.var(axis=1, ddof=1) if w.shape[1] > 1 else np.full(len(w), np.nan),
-    "sum": lambda w: w.sum(axis=1),
-    "min": lambda w: w.min(axis=1),
-    "max": lambda w: w.max(axis=1),
-    "median": lambda w: np.median(w, axis=1),
-    "count": lambda w: np.where(np.isnan(w).any(axis=1), np.nan, w.shape[1]),
-}
-
-
-def feature_names(signals: Sequence[str], spec: FeatureSpec) -> list[str]:
-    names = [roll_name(s, w, t) for s in signals for w in spec.windows for t in spec.stats]
-    names += [lag_name(s, k) for s in signals for k in spec.lags]
-    names += [delta_name(s, k) for s in signals for k in spec.deltas]
-    return sorted(names)
-
-
-def _features_of(past: np.ndarray, new: np.ndarray, signals: Sequence[str], spec: FeatureSpec) -> dict[str, np.ndarray]:
-    """Features of the ``new`` rows, given the rows just before them (missing history counts as NaN)."""
-    reach = spec.history()
-    padding = np.full((reach - len(past), new.shape[1]), np.nan)
-    rows = np.vstack([padding, past, new])
-    out = {}
-    for i, s in enumerate(signals):
-        x = rows[:, i]
-        for w in spec.windows:
-            frames = sliding_window_view(x[reach - w + 1:], w)
-            for stat in spec.stats:
-                out[roll_name(s, w, stat)] = _STATS[stat](frames)
-        back = lambda k: x[reach - k:len(x) - k]
-        out |= {lag_name(s, k): back(k) for k in spec.lags}
-        out |= {delta_name(s, k): x[reach:] - back(k) for k in spec.deltas}
-    return out
-
-
-def stream_features(stream: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """``engine_id, cycle``, features, and ``dropped``: rows of the engine dropped so far."""
+Sink = Callable[[DataFrame, int], None]
+
+
+def parquet_sink(path: str) -> Sink:
+    """A folder per micro-batch; one that is run again replaces its own."""
+    return lambda features, batch_id: features.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+class EngineRows:
+    """The newest rows of every engine, in versions under ``path``: what a micro-batch changed (``changed=N``), and now and then
+    all engines (``all=N``), so that a reader needs the last such and the changes since."""
+
+    def __init__(self, spark: SparkSession, path: str, signals: list[str], rows: int, all_every: int):
+        self.spark, self.path, self.rows, self.all_every = spark, path, max(rows, 1), all_every
+        self.schema = ("engine_id long, cycle long, " + "".join(f"`{s}` double, " for s in signals)
+                       + "last_cycle long, dropped long, version long")
+
+    def before(self, batch_id: int, engines: DataFrame | None = None, all_before: int | None = None) -> DataFrame:
+        """Each engine's newest version older than ``batch_id``, of the given ``engines`` or all; ``all_before`` leaves out later
+        versions of all engines."""
+        names = folder_names(self.spark, self.path)
+        ids = lambda kind: sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+        full = max((i for i in ids("all") if i < (batch_id if all_before is None else all_before)), default=-1)
+        parts = [f"{self.path}/all={full}"] * (full >= 0) + [f"{self.path}/changed={i}" for i in ids("changed") if full < i < batch_id]
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        found = self.spark.read.schema(self.schema).parquet(*parts)
+        if engines is not None:
+            found = found.join(engines, "engine_id", "left_semi")
+        if len(parts) == 1:
+            return found
+        newest = found.groupBy("engine_id").agg(F.max("version").alias("version"))
+        return found.join(newest, ["engine_id", "version"]).select(*found.columns)
+
+    def save(self, batch_id: int, rows: DataFrame, totals: DataFrame) -> None:
+        """``rows`` (key and signals) and ``totals`` (``engine_id, last_cycle, dropped``) of the engines of a micro-batch."""
+        back = F.row_number().over(Window.partitionBy("engine_id").orderBy(F.desc("cycle")))
+        # a rank filter this small is applied per task before the shuffle
+        kept = rows.withColumn("_back", back).where(F.col("_back") <= self.rows).drop("_back")
+        kept = kept.join(totals, "engine_id").withColumn("version", F.lit(batch_id).cast("long"))
+        kept.select(*self.spark.createDataFrame([], self.schema).columns).write.mode("overwrite").parquet(f"{self.path}/changed={batch_id}")
+        if self.all_every and (batch_id + 1) % self.all_every == 0:
+            # a first attempt may have left this very version: it is written anew, and not from itself
+            self.before(batch_id + 1, all_before=batch_id).write.mode("overwrite").parquet(f"{self.path}/all={batch_id}")
+
+
+def batch_features(batch: DataFrame, batch_id: int, spec: FeatureSpec, state: EngineRows, sink: Sink) -> None:
+    """Features of one micro-batch into ``sink``, and the engines' new version."""
+    signals = signal_columns(batch)
+    values = F.struct(*[nonfinite_to_null(F.col(s).cast("double")).alias(s) for s in signals])
+    arrived = batch.groupBy("engine_id", "cycle").agg(F.min(values).alias("row"), F.count(F.lit(1)).alias("n"))
+    past = state.before(batch_id, batch.select("engine_id").distinct()).persist()
+    heads = past.groupBy("engine_id").agg(F.max("last_cycle").alias("last"), F.max("dropped").alias("dropped_before"))
+    judged = arrived.join(heads, "engine_id", "left").withColumn("late", F.coalesce(F.col("cycle") <= F.col("last"), F.lit(False))).persist()
+    totals = judged.groupBy("engine_id").agg(
+        F.greatest(F.max("last"), F.max(F.when(~F.col("late"), F.col("cycle")))).alias("last_cycle"),
+        (F.coalesce(F.max("dropped_before"), F.lit(0)) + F.sum("n") - F.count_if(~F.col("late"))).alias("dropped"))
+    fresh = judged.where("NOT late").select("engine_id", "cycle", "row.*", F.lit(False).alias("_old"))
+    rows = fresh.unionByName(past.select("engine_id", "cycle", *signals, F.lit(True).alias("_old")))
+    try:
+        features = feature_frame(rows, spec, keep=["_old"]).where("NOT _old").drop("_old")
+        sink(features.join(totals.select("engine_id", "dropped"), "engine_id"), batch_id)
+        state.save(batch_id, rows.drop("_old"), totals)
+    finally:
+        judged.unpersist()
+        past.unpersist()
+
+
+def stream_features(stream: DataFrame, spec: FeatureSpec, sink: Sink, state_path: str, checkpoint: str,
+                    trigger: dict | None = None, all_every: int = 20) -> StreamingQuery:
+    """Start a stream that hands ``engine_id, cycle``, the features of `feature_frame` and ``dropped`` (rows of the engine dropped
+    so far) to ``sink``, micro-batch by micro-batch.
+
+    A cycle that is not above the engine's last one is dropped and counted; of rows that share a cycle in one micro-batch,
+    the one with the smallest signals stays. Rows are cut into blocks as in the batch operator, so no engine, however
+    many rows it sends, is one task. Between micro-batches an engine keeps the rows its frames reach back to. ``state_path`` and
+    ``checkpoint`` belong together: neither is used without the other.
+    """
+    spark = stream.sparkSession
     signals = signal_columns(stream)
-    names = feature_names(signals, spec)
-    reach = spec.history()
-    n = len(signals)
-    output = "engine_id long, cycle long, " + ", ".join(f"`{c}` double" for c in names) + ", dropped long"
-    state_schema = "last_cycle long, dropped long, recent array<double>"
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values("cycle", kind="stable")
-        last, dropped, recent = state.get if state.exists else (None, 0, [])
-        past = np.array(recent, dtype=float).reshape(-1, n)
-        fresh = ~rows["cycle"].duplicated()
-        if last is not None:
-            fresh &= rows["cycle"] > last
-        dropped += int((~fresh).sum())
-        rows = rows[fresh]
-        new = rows[list(signals)].to_numpy(dtype=float)
-        kept = np.vstack([past, new])[-reach:] if reach else past[:0]
-        latest = int(rows["cycle"].iloc[-1]) if len(rows) else last
-        state.update((latest, dropped, kept.ravel().tolist()))
-        if len(rows):
-            features = _features_of(past, new, signals, spec)
-            yield pd.DataFrame({
-                "engine_id": np.full(len(rows), key[0]), "cycle": rows["cycle"].to_numpy(),
-                **{c: features[c] for c in names}, "dropped": np.full(len(rows), dropped),
-            })
-
-    return (
-        stream.select("engine_id", "cycle", *signals).groupBy("engine_id")
-        .applyInPandasWithState(step, output, state_schema, "append", GroupStateTimeout.NoTimeout)
-    )
+    state = EngineRows(spark, state_path, signals, spec.history(), all_every)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch_features(batch.select("engine_id", "cycle", *signals), batch_id, spec, state, sink)
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
