@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,18 +42,18 @@ def with_text_view(df: DataFrame) -> DataFrame:
     return df.withColumn("view", view("text"))
 
 
-def text_view() -> list[Column]:
-    return [F.get("view", F.lit(k)) for k in range(TEXT_FEATURES)]
+def text_view() -> Column:
+    return F.slice("view", 1, TEXT_FEATURES)
 
 
-def metadata_view() -> list[Column]:
+def metadata_view() -> Column:
     """What is known beside the words: host, declared language, length and line structure, hashed or in logarithms."""
-    def hashed(value: Column) -> list[Column]:
+    def hashed(value: Column) -> Column:
         place = F.pmod(F.xxhash64(F.coalesce(value.cast("string"), F.lit(""))), F.lit(HASHED))
-        return [(place == k).cast("double") for k in range(HASHED)]
+        return F.transform(F.sequence(F.lit(0), F.lit(HASHED - 1)), lambda k: (k == place).cast("double"))
 
     chars, n_lines = F.get("view", F.lit(TEXT_FEATURES)), F.get("view", F.lit(TEXT_FEATURES + 1))
-    return [*hashed(F.col("host")), *hashed(F.col("lang")), F.log(chars), F.log(n_lines), F.log(chars / n_lines)]
+    return F.concat(hashed(F.col("host")), hashed(F.col("lang")), F.array(F.log(chars), F.log(n_lines), F.log(chars / n_lines)))
 
 
 @dataclass
@@ -87,12 +86,13 @@ class Logistic:
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1], -30, 30)
 
-    def column(self, features: list[Column]) -> Column:
-        """The same logit as an expression on whole tables."""
+    def column(self, features: Column) -> Column:
+        """The same logit as an expression on an array of features. The weights are one constant array, so that all models share their
+        generated code and the executors' memory doesn't fill with a class for each."""
         per = self.weights[:-1] / self.scale
         start = float(self.weights[-1] - (per * self.mean).sum())
-        logit = reduce(lambda a, b: a + b, [f * float(w) for f, w in zip(features, per)], F.lit(start))
-        return F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))
+        weighted = F.zip_with(features, F.array(*[F.lit(float(w)) for w in per]), lambda x, w: x * w)
+        return F.least(F.greatest(F.aggregate(weighted, F.lit(start), lambda total, x: total + x), F.lit(-30.0)), F.lit(30.0))
 
 
 @dataclass
@@ -162,8 +162,7 @@ class Pool:
         """The ``per_round`` rows of either class that view ``k`` is surest of, out of the whole table. A row is sure by its log-odds with
         and without the prior, so a frequent class alone makes no row sure; equally sure rows go by their mark."""
         name = ("text", "metadata")[k]
-        odds = model.column([F.get(name, F.lit(i)) for i in range(len(model.mean))])
-        rows = self.rows.withColumn("odds", odds).withColumns({"alone": F.col("odds") - prior, "with": F.col("odds") + self.shift})
+        rows = self.rows.withColumn("odds", model.column(F.col(name))).withColumns({"alone": F.col("odds") - prior, "with": F.col("odds") + self.shift})
         both = F.when(F.col("with") * F.col("alone") > 0, F.least(F.abs("with"), F.abs("alone"))).otherwise(0.0)
         rows = rows.withColumn("strength", F.round(both, 9)).where(F.col("strength") >= self.least)
         if self.had[1 - k]:
@@ -216,7 +215,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         chosen = F.broadcast(written(sampled[0].union(sampled[1]), "sampled-labels"))  # 2 * max_labelled rows at most
         views = with_text_view(base.select("id", "text", "host", "lang")).select(
             "id", F.xxhash64(F.lit("mark"), "id", "text", "host", "lang").alias("mark"),
-            F.array(*text_view()).alias("text"), F.array(*metadata_view()).alias("metadata"))
+            text_view().alias("text"), metadata_view().alias("metadata"))
         views = written(views, "views")
         taught = views.join(chosen, F.col("id") == F.col("owner")).groupBy("owner").agg(
             F.first("label").alias("label"), F.min_by(F.struct("text", "metadata"), "mark").alias("row"))
@@ -230,7 +229,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     if model is None:
         half = F.lit(0.5)
         return unpacked(base, docs, names, {"text_score": half, "metadata_score": half, "score": half, "kept": F.lit(True)})
-    logits = [c.column([m.column(v)]) for c, m, v in zip(
+    logits = [c.column(F.array(m.column(v))) for c, m, v in zip(
         model.calibrate, (model.text, model.metadata), (text_view(), metadata_view()))]
     done = with_text_view(base).withColumns({"text_logit": logits[0], "metadata_logit": logits[1]})
     chance = lambda logit: F.round(1 / (1 + F.exp(-logit - shift)), 6)
