@@ -84,6 +84,33 @@ def _(spark, d):
     return feature_frame(events(spark, d).select(*KEY, step.alias("sensor_1")), FeatureSpec(windows=(5,)))
 
 
+LONG_WINDOWS, LONG_STATS = (10, 500, 5000), ("mean", "std", "sum", "min", "max", "count")
+LONG_COLUMNS = feature_columns(["sensor_1", "sensor_3"], LONG_WINDOWS, LONG_STATS, (1,), ())
+
+
+@query("rolling_long_windows", f"""WITH {LI}, lj AS (SELECT engine_id % 4 AS engine_id, engine_id * 100000 + cycle AS cycle, sensor_1, sensor_3 FROM li)
+  {feature_sql(['sensor_1', 'sensor_3'], 'lj', LONG_WINDOWS, LONG_STATS, (1,), ())}""",
+       {c: 4 if c.endswith("std") else 5 for c in LONG_COLUMNS})
+def _(spark, d):
+    """Suppliers joined to four long engines: windows up to 5,000 rows, over engines that are cut into blocks."""
+    joined = (F.col("engine_id") % 4).alias("engine_id"), (F.col("engine_id") * 100_000 + F.col("cycle")).alias("cycle")
+    df = lines(spark, d).select(*joined, "sensor_1", "sensor_3")
+    return feature_frame(df, FeatureSpec(windows=LONG_WINDOWS, stats=LONG_STATS, lags=(1,), deltas=()))
+
+
+@query("rolling_long_level_shift", f"""WITH {LI}, lj AS (SELECT engine_id % 4 AS engine_id, engine_id * 100000 + cycle AS cycle,
+    CASE WHEN sensor_3 > 9.5e-2 AND cycle = 7 THEN NULL ELSE sensor_1 + CASE WHEN engine_id > 50 THEN 1e8 ELSE 0e0 END END AS sensor_1 FROM li)
+  {feature_sql(['sensor_1'], 'lj', (500,), ('mean', 'std'), (), ())}""",
+       {"sensor_1__roll500__mean": 4, "sensor_1__roll500__std": 2})
+def _(spark, d):
+    """A step of 1e8 and spoiled readings, in windows of 500 rows."""
+    joined = (F.col("engine_id") % 4).alias("engine_id"), (F.col("engine_id") * 100_000 + F.col("cycle")).alias("cycle")
+    spoiled = (F.col("sensor_3") > 0.095) & (F.col("cycle") == 7)
+    value = F.when(spoiled, float("nan")).otherwise(F.col("sensor_1") + F.when(F.col("engine_id") > 50, 1e8).otherwise(0.0))
+    df = lines(spark, d).select(*joined, value.alias("sensor_1"))
+    return feature_frame(df, FeatureSpec(windows=(500,), stats=("mean", "std"), lags=(), deltas=()))
+
+
 @query("lag_feature", f"WITH {LI} {feature_sql(LINE_SIGNALS, 'li', (), (), (1, 5), ())}", {
     c: 6 for c in feature_columns(LINE_SIGNALS, (), (), (1, 5), ())})
 def _(spark, d):

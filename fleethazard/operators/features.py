@@ -1,7 +1,8 @@
 """Past-only features per engine: rolling statistics, lags and deltas.
 
-All frames are ROWS frames along (engine, cycle), so one exchange and one sort
-serve every feature. A statistic is null until its window holds ``w`` values.
+All frames are ROWS frames along (engine, cycle), so one exchange serves every
+feature, and one sort if all windows are short. A statistic is null until its
+window holds ``w`` values.
 
 Expressions are built as SQL text: a wide fleet has hundreds of them, and one
 `selectExpr` takes them all in a single call.
@@ -21,6 +22,11 @@ from fleethazard.params import FeatureSpec
 
 # statistic name -> SQL aggregate
 _FRAME_STATS = {"mean": "avg", "std": "stddev_samp", "var": "var_samp", "sum": "sum", "min": "min", "max": "max", "count": "count"}
+FRAME_ROWS = 64  # windows of more rows are merged from chunks; shorter frames are cheaper to aggregate as they are
+_PIECES = {  # what a statistic is merged from, beside the count
+    "mean": ("mean",), "std": ("mean", "m2"), "var": ("mean", "m2"), "sum": ("sum",), "min": ("min",), "max": ("max",), "count": ()}
+_PIECE_SQL = {"n": "count({x}) {over}", "mean": "avg({x}) {over}", "m2": "var_pop({x}) {over} * count({x}) {over}",
+              "sum": "CAST(sum({x}) {over} AS DOUBLE)", "min": "CAST(min({x}) {over} AS DOUBLE)", "max": "CAST(max({x}) {over} AS DOUBLE)"}
 
 
 def along(parts: Sequence[str]) -> str:
@@ -32,14 +38,18 @@ def frame(window: int, order: str) -> str:
     return f"OVER {order} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
 
 
+def _check_stat(stat: str) -> None:
+    if stat not in _FRAME_STATS and stat != "median":
+        raise ValueError(f"Unknown stat {stat!r}; choose one of {sorted([*_FRAME_STATS, 'median'])}")
+
+
 def rolling_stat(signal: str, window: int, stat: str, order: str) -> str:
-    """``stat`` of the values in the last ``window`` rows, however many they are."""
+    """``stat`` of the values in the last ``window`` rows, however many they are, from a sliding frame."""
+    _check_stat(stat)
     over = frame(window, order)
     if stat == "median":
         values = f"array_sort(collect_list({signal}) {over})"  # `window` values at most
         return f"(get({values}, {(window - 1) // 2}) + get({values}, {window // 2})) / 2D"
-    if stat not in _FRAME_STATS:
-        raise ValueError(f"Unknown stat {stat!r}; choose one of {sorted([*_FRAME_STATS, 'median'])}")
     return f"CAST({_FRAME_STATS[stat]}({signal}) {over} AS DOUBLE)"
 
 
@@ -55,8 +65,7 @@ def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{e} AS `{n}`" for n, e in columns.items()])
 
 
-def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
-                   order: str) -> tuple[DataFrame, dict[str, str]]:
+def _slid(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str], order: str) -> tuple[DataFrame, dict[str, str]]:
     """Rolling statistics from sliding frames: work per row grows with the window. One count serves all stats."""
     values = {}
     for s in signals:
@@ -68,6 +77,68 @@ def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int]
     return _with(df, values), out
 
 
+def _merged(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str], order: str,
+            parts: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Rolling statistics whose work per row does not depend on the window.
+
+    Rows are numbered and cut into chunks of ``w`` rows. The last ``w`` rows are the end of one chunk and the beginning of the next:
+    running aggregates from either side of a chunk (count, mean, sum of squared deviations, minimum, maximum) are at hand for
+    both, and two of them merge. Nothing is ever taken away from an aggregate, so nothing cancels.
+    """
+    pieces = ["n", *sorted({p for t in stats for p in _PIECES[t]})]
+    df = _with(df, {"_row": f"row_number() OVER {order}) - 1"})
+    for w in windows:
+        df = df.withColumn("_chunk", F.expr(f"_row DIV {w}"))
+        inside = f"(PARTITION BY {', '.join([*parts, '_chunk'])} ORDER BY cycle"
+        running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        for side, way in (("b", inside), ("e", f"{inside} DESC")):  # beginning of the chunk up to the row; row to end of the chunk
+            df = _with(df, {f"_{side}{p}_{s}_{w}": _PIECE_SQL[p].format(x=s, over=f"OVER {way} {running}") for s in signals for p in pieces})
+        df = df.drop("_chunk")
+    lagged = {f"_l{p}_{s}_{w}": f"lag(_e{p}_{s}_{w}, {w - 1}) OVER {order})" for s in signals for w in windows for p in pieces}
+    df = _with(df, lagged)
+    out = {}
+    for s in signals:
+        for w in windows:
+            first = lambda p: f"_l{p}_{s}_{w}"  # noqa: B023, E731
+            second = lambda p: f"_b{p}_{s}_{w}"  # noqa: B023, E731
+            whole = f"_row % {w} = {w - 1}"  # the frame is the chunk
+            na, nb = first("n"), second("n")
+            step = f"({second('mean')} - {first('mean')})"
+            merged = {
+                "n": f"{na} + {nb}", "sum": f"{first('sum')} + {second('sum')}",
+                # where a statistic is given, both parts together hold w values
+                "mean": f"{first('mean')} + {step} * {nb} / {w}D",
+                "m2": f"{first('m2')} + {second('m2')} + {step} * {step} * {na} * {nb} / {w}D",
+                "min": f"least({first('min')}, {second('min')})", "max": f"greatest({first('max')}, {second('max')})"}
+            got = {p: f"IF({whole}, {second(p)}, {merged[p]})" for p in pieces}
+            spread = f"{got['m2']} / {w - 1}D" if "m2" in got and w > 1 else "NULL"
+            final = {"mean": "mean", "sum": "sum", "min": "min", "max": "max"}
+            for t in stats:
+                value = {"var": spread, "std": f"sqrt({spread})", "count": f"{w}"}.get(t) or got[final[t]]
+                # all rows of the frame hold a value, or there is no statistic
+                out[roll_name(s, w, t)] = f"CASE WHEN {got['n']} >= {w} THEN CAST({value} AS DOUBLE) END"
+    return df, out
+
+
+def _frame_columns(df: DataFrame, signals: Sequence[str], windows: Sequence[int], stats: Sequence[str],
+                   order: str, parts: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with what the rolling statistics need, and an expression for each statistic. Medians are always slid."""
+    for t in stats:
+        _check_stat(t)
+    long = [w for w in windows if w > FRAME_ROWS]
+    merging = [t for t in stats if t != "median"]
+    out = {}
+    if long and merging:
+        df, out = _merged(df, signals, long, merging, order, parts)
+    slid = [w for w in windows if w not in long]
+    df, found = _slid(df, signals, slid, stats, order) if slid and stats else (df, {})
+    out |= found
+    if long and "median" in stats:
+        df, found = _slid(df, signals, long, ["median"], order)
+        out |= found
+    return df, out
+
+
 def _finite(df: DataFrame, signals: Sequence[str]) -> list[Column]:
     """The signals with NaN and infinities as null: a reading that is no number is missing."""
     kinds = dict(df.dtypes)
@@ -84,7 +155,7 @@ def feature_frame(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = ()) ->
     signals = signal_columns(df)
     rows, parts = with_halo(df.select("engine_id", "cycle", *keep, *_finite(df, signals)), spec.history())
     order = along(parts)
-    rows, features = _frame_columns(rows, signals, spec.windows, spec.stats, order)
+    rows, features = _frame_columns(rows, signals, spec.windows, spec.stats, order, parts)
     for s in signals:
         features |= {lag_name(s, k): lag_feature(s, k, order) for k in spec.lags}
         features |= {delta_name(s, k): delta_feature(s, k, order) for k in spec.deltas}

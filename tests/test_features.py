@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -146,3 +148,51 @@ def test_numbering_mixes_hot_and_cold_engines(spark):
     df = spark.createDataFrame(rows, "engine_id long, t long")
     got = number_cycles(df, F.col("t").bitwiseAND(-16), ["t"], hot_rows=100)
     assert got.where("cycle <> t + 1").isEmpty() and got.count() == len(rows)
+
+
+ALL_STATS = ("mean", "std", "var", "sum", "min", "max", "median", "count")
+
+
+def _walk(n, seed, gaps=0.0):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=n) + np.where(np.arange(n) > n // 2, 1e8, 0.0)  # a step that running sums would never forget
+    return np.where(rng.random(n) < gaps, np.nan, np.round(x, 3))
+
+
+@pytest.mark.parametrize("frame_rows,shift", [(1, 16), (1, 4), (64, 16)])
+def test_merged_windows_equal_sliding_frames(spark, monkeypatch, frame_rows, shift):
+    """Chunks of any size, whole and cut engines, missing values and a level shift."""
+    from fleethazard.operators import ordered
+
+    monkeypatch.setattr(feature_module, "FRAME_ROWS", frame_rows)
+    monkeypatch.setattr(ordered.with_halo, "__defaults__", (*ordered.with_halo.__defaults__[:-1], shift))
+    pdf = pd.concat([pd.DataFrame({"engine_id": e, "cycle": np.arange(1, n + 1), "sensor_1": _walk(n, e, gaps)})
+                     for e, n, gaps in [(1, 300, 0.0), (2, 90, 0.02), (3, 7, 0.0), (4, 1, 0.0), (5, 40, 1.0)]], ignore_index=True)
+    spec = FeatureSpec(windows=(1, 2, 3, 10, 37, 90, 128), stats=ALL_STATS, lags=(2,), deltas=())
+    df = spark.createDataFrame(pdf, "engine_id long, cycle long, sensor_1 double")
+    got = feature_frame(df, spec).toPandas().sort_values(["engine_id", "cycle"]).reset_index(drop=True)
+    for w in spec.windows:
+        for e, x in pdf.groupby("engine_id"):
+            frames = [x.sensor_1.to_numpy()[max(0, i - w + 1):i + 1] for i in range(len(x))]
+            full = [len(f) == w and not np.isnan(f).any() for f in frames]
+            mine = got[got.engine_id == e].reset_index(drop=True)
+            for stat, want in {"mean": np.mean, "sum": np.sum, "min": np.min, "max": np.max, "median": np.median, "count": len,
+                               "var": lambda f: np.var(f, ddof=1) if w > 1 else np.nan, "std": lambda f: np.std(f, ddof=1) if w > 1 else np.nan}.items():
+                expected = [want(f) if ok else np.nan for f, ok in zip(frames, full)]
+                np.testing.assert_allclose(mine[f"sensor_1__roll{w}__{stat}"].astype(float), expected, rtol=1e-7, atol=1e-6, err_msg=f"{w} {stat}")
+
+
+def test_long_windows_cost_no_more_than_short_ones(spark):
+    """20,000 cycles: a window of 5,000 rows against one of 100, within a small factor (sliding frames need 50 times the work)."""
+    df = spark.range(4).selectExpr("id AS engine_id", "explode(sequence(1, 5000)) AS cycle").selectExpr("*", "rand(7) AS sensor_1").repartition(4).cache()
+    df.count()
+
+    def seconds(w):
+        times = []
+        for _ in range(2):
+            begin = time.perf_counter()
+            feature_frame(df, FeatureSpec(windows=(w,), stats=("mean", "std", "min"), lags=(), deltas=())).write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - begin)
+        return min(times)
+
+    assert seconds(4000) < 3 * seconds(100) + 0.5
