@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import require_columns
 from fleethazard.functions.scalar import ceil_count, digitize, linspace_edges, logit_loss, predict_at, ratio
-from fleethazard.operators.ordered import exact_quantiles, global_rank, lookup_join
-from fleethazard.operators.sweep import ranking_metrics
+from fleethazard.operators.ordered import exact_quantiles, global_rank, lookup_join, running_totals
+from fleethazard.operators.sweep import ranking_metrics, ranking_of, score_counts
+from fleethazard.session import written
 
 METRICS = ("pr_auc", "roc_auc", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "brier")
 
@@ -21,9 +22,9 @@ def check_score_range(df: DataFrame, score: str = "y_proba", group: Sequence[str
     return df.groupBy(*group).agg(F.count_if(bad).alias("violations"))
 
 
-def require_score_range(df: DataFrame, score: str = "y_proba") -> None:
-    if check_score_range(df, score).first()["violations"]:
-        raise ValueError(f"{score} must be in [0, 1]")
+def require_score_range(df: DataFrame, score: str = "y_proba", name: str | None = None) -> None:
+    if not df.where(~F.coalesce(F.col(score).between(0.0, 1.0), F.lit(False))).isEmpty():
+        raise ValueError(f"{name or score} must be in [0, 1]")
 
 
 def _confusion(label: str, pred: Column) -> list[Column]:
@@ -55,16 +56,19 @@ def brier_score(df: DataFrame, score: str = "y_proba", label: str = "label", gro
 
 def compute_metrics(df: DataFrame, threshold: Column | float, score: str = "y_proba", label: str = "label",
                     group: Sequence[str] = ()) -> DataFrame:
-    """All metrics at a threshold (a value, or a column that is constant in a group)."""
-    require_score_range(df, score)
-    at = with_precision_recall_f1(df.groupBy(*group).agg(
-        *_confusion(label, predict_at(F.col(score), threshold)),
-        F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier")))
-    areas = ranking_metrics(df, score, label, group)
-    if not group:
-        at, areas = at.withColumn("_g", F.lit(1)), areas.withColumn("_g", F.lit(1))
-        return at.join(areas, "_g").select(*METRICS)
-    return at.join(areas, list(group)).select(*group, *METRICS)
+    """All metrics at a threshold (a value, or a column that is constant in a group), from one table of counts per score."""
+    keys = list(group) or ["_g"]
+    rows = df if group else df.withColumn("_g", F.lit(1))
+    given = {"at": F.max(threshold)} if isinstance(threshold, Column) else {}
+    counted = score_counts(rows, score, label, keys, **given)
+    require_score_range(counted, "threshold", score)
+    pred, s, pos = predict_at(F.col("threshold"), F.col("at") if given else threshold), F.col("threshold"), F.col("pos")
+    neg = F.col("n") - pos
+    rows_where = lambda n, y: F.sum(F.when(pred == y, n).otherwise(0)).cast("long")
+    at = with_precision_recall_f1(counted.groupBy(*keys).agg(
+        rows_where(neg, 0).alias("tn"), rows_where(neg, 1).alias("fp"), rows_where(pos, 0).alias("fn"), rows_where(pos, 1).alias("tp"),
+        (F.sum(neg * s * s + pos * (1 - s) * (1 - s)) / F.sum("n")).alias("brier")))
+    return at.join(ranking_of(counted, keys), keys).select(*group, *METRICS)
 
 
 def metrics_long(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,14 +120,14 @@ def _check_bins(n_bins: int, strategy: str) -> None:
 
 
 def calibration_edges(df: DataFrame, n_bins: int = 10, strategy: str = "quantile", score: str = "y_proba",
-                      group: Sequence[str] = (), pin_ends: bool = True) -> DataFrame:
+                      group: Sequence[str] = (), pin_ends: bool = True, weight: str | None = None) -> DataFrame:
     """``edges`` array per group: evenly spaced, or exact quantiles with the ends pinned to 0 and 1, deduplicated."""
     _check_bins(n_bins, strategy)
     if strategy == "uniform":
         groups = df.select(*group).distinct() if group else df.sparkSession.range(1).select()
         return groups.select(*group, linspace_edges(n_bins).alias("edges"))
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = exact_quantiles(df, score, probs, group)
+    q = exact_quantiles(df, score, probs, group, weight)
     if pin_ends:
         q = q.withColumn("quantile", F.when(F.col("prob") == 0.0, 0.0).when(F.col("prob") == 1.0, 1.0)
                          .otherwise(F.col("quantile")))
@@ -134,44 +138,96 @@ def calibration_bins(df: DataFrame, n_bins: int = 10, strategy: str = "quantile"
                      label: str = "label", group: Sequence[str] = (), pin_ends: bool = True) -> DataFrame:
     """``bin_idx, count, mean_pred, frac_pos`` of the non-empty right-closed bins; empty bins keep their index."""
     _check_bins(n_bins, strategy)
-    require_score_range(df, score)
     keys = list(group) or ["_g"]
-    rows = df if group else df.withColumn("_g", F.lit(1))
-    edges = calibration_edges(rows, n_bins, strategy, score, keys, pin_ends)
+    counted = score_counts(df if group else df.withColumn("_g", F.lit(1)), score, label, keys)
+    require_score_range(counted, "threshold", score)
+    edges = calibration_edges(counted, n_bins, strategy, "threshold", keys, pin_ends, weight="n")
     # an edge array per (model, split, fold)
-    binned = lookup_join(rows.select(*keys, score, label), edges, keys)
+    binned = lookup_join(counted, edges, keys)
     interior = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0)))
-    out = binned.groupBy(*keys, digitize(F.col(score), interior).alias("bin_idx")).agg(
-        F.count("*").alias("count"), F.avg(score).alias("mean_pred"), F.avg(F.col(label).cast("double")).alias("frac_pos"))
+    n = F.sum("n")
+    out = binned.groupBy(*keys, digitize(F.col("threshold"), interior).alias("bin_idx")).agg(
+        n.alias("count"), (F.sum(F.col("n") * F.col("threshold")) / n).alias("mean_pred"), (F.sum("pos") / n).alias("frac_pos"))
     return out if group else out.drop("_g")
 
 
+CYCLE_SHIFT = 16  # of rows that tie, blocks of 2^16 cycles of an engine are counted; only the last block is ordered
+
+
+def top_cuts(counted: DataFrame, ks: Sequence[float], group: Sequence[str]) -> DataFrame:
+    """Where the top ceil(k*n) rows of each group end, from a table of `score_counts`: one row per group and ``k`` with ``m``,
+    the score ``cut`` of the last row, the rows above it (``above``, ``above_pos`` with label 1), those at it (``tied, tied_pos``), and
+    ``n_rows, positives`` of the group."""
+    run = running_totals(counted, [F.col("threshold").desc()], {"upto": "n", "upto_pos": "pos"}, group, by="threshold",
+                         descending=True, at_rest=True)
+    sizes = F.array(*[F.struct(F.lit(float(k)).alias("k"), ceil_count(F.col("upto_total"), k).alias("m")) for k in ks])
+    here = F.filter(sizes, lambda c: (c["m"] <= F.col("upto")) & (c["m"] > F.col("upto") - F.col("n")))
+    return run.withColumn("_c", F.explode(here)).select(
+        *group, "_c.k", "_c.m", F.col("threshold").alias("cut"), (F.col("upto") - F.col("n")).alias("above"),
+        (F.col("upto_pos") - F.col("pos")).alias("above_pos"), F.col("n").alias("tied"), F.col("pos").alias("tied_pos"),
+        F.col("upto_total").alias("n_rows"), F.col("upto_pos_total").alias("positives"))
+
+
+def first_of_ties(ties: DataFrame, keys: Sequence[str], need: str = "need") -> DataFrame:
+    """The first ``need`` rows of ``ties`` per ``keys``, by engine and cycle.
+
+    Blocks of cycles are counted and summed along the engines; whole blocks before the last are in, and only rows of the block
+    in which the count is reached are ordered. (engine_id, cycle) is unique, so that is 2^CYCLE_SHIFT rows at most."""
+    block = F.shiftright(F.col("cycle").cast("long"), CYCLE_SHIFT).alias("_block")
+    ties = ties.withColumn("_block", block)
+    blocks = ties.groupBy(*keys, "engine_id", "_block").agg(F.count("*").cast("long").alias("_n"), F.max(need).alias("_need"))
+    run = running_totals(blocks, [F.col("engine_id"), F.col("_block")], {"_upto": "_n"}, keys, by="engine_id")
+    last = run.where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need"))).select(
+        *keys, F.col("engine_id").alias("_e"), F.col("_block").alias("_b"), (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_rest"))
+    placed = lookup_join(ties, last, keys)  # one row per key
+    before = (F.col("engine_id") < F.col("_e")) | ((F.col("engine_id") == F.col("_e")) & (F.col("_block") < F.col("_b")))
+    inside = (F.col("engine_id") == F.col("_e")) & (F.col("_block") == F.col("_b"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("cycle"))
+    edge = placed.where(inside).withColumn("_place", place).where(F.col("_place") <= F.col("_rest")).drop("_place")
+    return placed.where(before).unionByName(edge).drop("_block", "_e", "_b", "_rest")
+
+
 def top_fraction(df: DataFrame, k: float, score: str = "anomaly_score", group: Sequence[str] = ()) -> DataFrame:
-    """The ceil(k*n) highest scored rows of each group, ties by (engine_id, cycle), with their ``rank``."""
-    ranked = global_rank(df, [F.col(score).desc(), F.col("engine_id"), F.col("cycle")], group)
-    return ranked.where(F.col("rank") <= ceil_count(F.col("rank_total"), k)).drop("rank_total")
+    """The ceil(k*n) highest scored rows of each group, ties by (engine_id, cycle), with their ``rank``.
+
+    Counts per score give the score at which the selection ends; only the rows selected are ordered."""
+    keys = list(group) or ["_g"]
+    rows = df.withColumns({"_s": F.col(score).cast("double"), **({} if group else {"_g": F.lit(1)})})
+    counted = score_counts(rows.withColumn("_y", F.lit(0)), "_s", "_y", keys)
+    cuts = written(top_cuts(counted, [k], keys).select(*keys, "cut", (F.col("m") - F.col("above")).alias("need"), "tied"), "top-cuts")
+    placed = lookup_join(rows, cuts, keys)
+    whole = (F.col("need") == F.col("tied")) & F.col("_s").eqNullSafe(F.col("cut"))
+    # scores rank as Spark orders them: NaN above all numbers, null below
+    above = (F.col("_s") > F.col("cut")) | (F.col("_s").isNotNull() & F.col("cut").isNull())
+    chosen = placed.where(above | whole)
+    ties = placed.where(F.col("_s").eqNullSafe(F.col("cut")) & (F.col("need") < F.col("tied")))
+    if not cuts.where("need < tied").isEmpty():
+        chosen = chosen.unionByName(first_of_ties(ties, keys))
+    ranked = global_rank(chosen.drop("_s", "cut", "need", "tied"), [F.col(score).desc(), F.col("engine_id"), F.col("cycle")], keys)
+    return ranked.drop("rank_total", *([] if group else ["_g"]))
 
 
 def topk_lift(df: DataFrame, ks: Sequence[float] = (0.01, 0.05), score: str = "anomaly_score", label: str = "label",
               group: Sequence[str] = ("split",)) -> DataFrame:
-    """Precision, lift and capture in the top ceil(k*n) rows; lift and capture are null without positives."""
-    ranked = global_rank(df.select(*group, score, label, "engine_id", "cycle"),
-                         [F.col(score).desc(), F.col("engine_id"), F.col("cycle")], group)
-    m = lambda k: ceil_count(F.col("rank_total"), k)
-    aggregated = ranked.groupBy(*group).agg(
-        F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("positives"),
-        *[F.max(m(k)).alias(f"m{i}") for i, k in enumerate(ks)],
-        *[F.sum(F.when(F.col("rank") <= m(k), F.col(label)).otherwise(0).cast("long")).alias(f"t{i}")
-          for i, k in enumerate(ks)])
-    rows = F.array(*[
-        F.struct(F.lit(float(k)).alias("k"), F.col(f"m{i}").alias("m"), F.col(f"t{i}").alias("top_pos"))
-        for i, k in enumerate(ks)])
-    long = aggregated.select(*group, "n", "positives", F.inline(rows))
-    base = F.col("positives") / F.col("n")
-    precision = F.col("top_pos") / F.col("m")
-    return long.select(*group, "k", "n", "positives", "m", precision.alias("precision"),
+    """Precision, lift and capture in the top ceil(k*n) rows; lift and capture are null without positives.
+
+    Rows above the cut are known from counts per score; of those that tie at it, as many as are needed are looked up."""
+    rows = df.select(*group, F.col(score).cast("double").alias("_s"), label, "engine_id", "cycle")
+    cuts = written(top_cuts(score_counts(rows, "_s", label, group), ks, group), "top-cuts")
+    partly = cuts.where((F.col("m") - F.col("above") < F.col("tied")) & (F.col("tied_pos") > 0) & (F.col("tied_pos") < F.col("tied")))
+    # where all rows that tie have the same label, it doesn't matter which are taken
+    found = F.when(F.col("tied_pos") == F.col("tied"), F.col("m") - F.col("above")).otherwise(F.when(F.col("m") - F.col("above") == F.col("tied"), F.col("tied_pos")).otherwise(0))
+    if not partly.isEmpty():
+        at = partly.select(*group, "k", "cut", (F.col("m") - F.col("above")).alias("need"))
+        ties = lookup_join(rows, at, group).where(F.col("_s").eqNullSafe(F.col("cut")))
+        some = first_of_ties(ties, [*group, "k"]).groupBy(*group, "k").agg(F.sum(F.col(label).cast("long")).alias("_some"))
+        cuts = lookup_join(cuts, some, [*group, "k"], "left")
+        found = F.coalesce(F.col("_some"), found)
+    base, top_pos = F.col("positives") / F.col("n_rows"), F.col("above_pos") + found
+    precision = top_pos / F.col("m")
+    return cuts.select(*group, "k", F.col("n_rows").alias("n"), "positives", "m", precision.alias("precision"),
                        F.when(base > 0, F.try_divide(precision, base)).alias("lift"),
-                       F.try_divide(F.col("top_pos").cast("double"), F.col("positives").cast("double")).alias("capture"))
+                       F.try_divide(top_pos.cast("double"), F.col("positives").cast("double")).alias("capture"))
 
 
 def top_anomalies(df: DataFrame, top: int = 10, score: str = "anomaly_score", group: Sequence[str] = ("split",)) -> DataFrame:

@@ -17,24 +17,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleethazard.session import checkpointed
+from fleethazard.session import checkpointed, written
 
 KEY, ORDER = "engine_id", "cycle"
 BLOCK_SHIFT = 16  # a block spans 2**16 order values, so at most 65,536 rows of one engine
-BROADCAST_ROWS = 2_000_000  # sides of at most this many narrow rows are broadcast
+MAX_PARTS = 256  # value ranges a table of running totals is cut into
 
 _BLOCK, _HALO = "_block", "_halo"
 
 
-def lookup_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a narrow lookup table; broadcast it only after counting it.
-
-    Beyond ``max_rows`` the join is left to Spark, where adaptive execution
+def lookup_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a narrow lookup table, evaluated once: it is written to the shared folder, and its size there tells Spark whether it may
+    be broadcast (``spark.sql.autoBroadcastJoinThreshold``). Beyond that both sides are shuffled, and adaptive execution
     splits the partitions of a hot key.
     """
-    small = side.count() <= max_rows
-    return df.join(F.broadcast(side) if small else side, list(on), how)
+    return df.join(written(side, "lookup"), list(on), how)
 
 
 def _block_summary(df: DataFrame, keys: Sequence[str], order: str, shift: int) -> DataFrame:
@@ -146,15 +143,15 @@ def _part_of(value: Column, cuts: list, first: int = 0) -> Column:
 
 
 def _parts(df: DataFrame, by: str, descending: bool) -> Column:
-    """The part of a row as an expression of its value: cut points from a sketch, as many as there are shuffle partitions."""
-    n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """The part of a row as an expression of its value: cut points from a sketch, one for each shuffle partition, up to a bound."""
+    n = min(MAX_PARTS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = df.agg(F.percentile_approx(by, [i / n for i in range(1, n)], 10_000)).first()[0] or []
     part = _part_of(F.col(by), sorted(set(cuts)))
     return -part if descending else part
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
-                   group: Sequence[str] = (), by: str | None = None, descending: bool = False) -> DataFrame:
+                   group: Sequence[str] = (), by: str | None = None, descending: bool = False, at_rest: bool = False) -> DataFrame:
     """Running and overall sums along ``order``, exact for any distribution of values.
 
     ``sums`` maps a name to an integer column; the result gains ``name`` (the
@@ -162,15 +159,17 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
     unique inside a group. Groups are few (models, splits, folds, features):
     the table of partition totals has at most one row per partition and group.
 
-    If the order is one numeric column, ``by`` names it (``descending`` if the
-    order is): equal values were collapsed before, so cut points on the value
-    alone part the rows evenly, and a row's part is an expression. Otherwise
-    ties may be many; the rows are range-partitioned along the whole order and
+    If the order begins with a numeric column, ``by`` names it (``descending`` if
+    the order is): equal values were collapsed before, so cut points on the value
+    alone part the rows evenly, and a row's part is an expression. The rows are
+    written once, unless they are read from such a table (``at_rest``); cut
+    points, totals and running sums come from there. Otherwise ties may be many; the rows are range-partitioned along the whole order and
     checkpointed, because those cut points come from a sample and a second
     evaluation could cut elsewhere.
     """
     group = list(group)
     if by is not None:
+        df = df if at_rest else written(df, "running-totals")
         cut = df.withColumn("_part", _parts(df, by, descending))
     else:
         cut = df.repartitionByRange(*group, *order) if group else df.repartitionByRange(*order)

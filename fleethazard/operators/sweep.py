@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fleethazard.functions.scalar import ratio
 from fleethazard.operators.ordered import running_totals
+from fleethazard.session import written
 
 
 def distinct_scores(df: DataFrame, score: str = "y_proba", group: Sequence[str] = ()) -> DataFrame:
@@ -23,14 +24,30 @@ def distinct_scores(df: DataFrame, score: str = "y_proba", group: Sequence[str]
     return df.select(*group, F.col(score).alias("threshold")).unionByName(ends).distinct()
 
 
-def _score_counts(df: DataFrame, score: str, label: str, group: Sequence[str], with_ends: bool) -> DataFrame:
+def score_counts(df: DataFrame, score: str = "y_proba", label: str = "label", group: Sequence[str] = (), **more: Column) -> DataFrame:
+    """``threshold`` (a distinct score), ``pos`` and ``n`` per group, with the aggregates in ``more``, written once: whatever is asked
+    about the scores afterwards reads this table, and what made them runs a single time."""
     counted = df.groupBy(*group, F.col(score).cast("double").alias("threshold")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
-    if not with_ends:
-        return counted
-    ends = distinct_scores(df.select(*group, F.lit(0.0).alias(score)), score, group)
-    empty = ends.select(*group, "threshold", F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("n"))
-    return counted.unionByName(empty).groupBy(*group, "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"), *[c.alias(k) for k, c in more.items()])
+    return written(counted, "score-counts")
+
+
+def sweep_counts(counted: DataFrame, group: Sequence[str] = (), with_ends: bool = False) -> DataFrame:
+    """`threshold_sweep` over a table of `score_counts`."""
+    if with_ends:
+        zero = F.lit(0).cast("long")
+        ends = counted.select(*group).distinct() if group else counted.sparkSession.range(1).select()
+        ends = ends.select(*group, F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("threshold"), zero.alias("pos"), zero.alias("n"))
+        counted = counted.select(*ends.columns).unionByName(ends).groupBy(*group, "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    run = running_totals(counted, [F.col("threshold").desc()], {"tp": "pos", "predicted": "n"}, group, by="threshold",
+                         descending=True, at_rest=True)
+    return run.select(
+        *group, "threshold", "pos", "n", "tp",
+        (F.col("predicted") - F.col("tp")).alias("fp"),
+        F.col("tp_total").alias("positives"), F.col("predicted_total").alias("total"),
+        ratio(F.col("tp"), F.col("predicted")).alias("precision"),
+        ratio(F.col("tp"), F.col("tp_total")).alias("recall"),
+    )
 
 
 def threshold_sweep(df: DataFrame, score: str = "y_proba", label: str = "label", group: Sequence[str] = (),
@@ -40,15 +57,7 @@ def threshold_sweep(df: DataFrame, score: str = "y_proba", label: str = "label",
     Columns: group, ``threshold, pos, n`` (rows with exactly this score),
     ``tp, fp, positives, total, precision, recall``.
     """
-    counted = _score_counts(df, score, label, group, with_ends)
-    run = running_totals(counted, [F.col("threshold").desc()], {"tp": "pos", "predicted": "n"}, group, by="threshold", descending=True)
-    return run.select(
-        *group, "threshold", "pos", "n", "tp",
-        (F.col("predicted") - F.col("tp")).alias("fp"),
-        F.col("tp_total").alias("positives"), F.col("predicted_total").alias("total"),
-        ratio(F.col("tp"), F.col("predicted")).alias("precision"),
-        ratio(F.col("tp"), F.col("tp_total")).alias("recall"),
-    )
+    return sweep_counts(score_counts(df, score, label, group), group, with_ends)
 
 
 def pr_curve(df: DataFrame, score: str = "y_proba", label: str = "label", group: Sequence[str] = ()) -> DataFrame:
@@ -79,7 +88,12 @@ def roc_auc_of(sweep: DataFrame) -> Column:
 def ranking_metrics(df: DataFrame, score: str = "y_proba", label: str = "label",
                     group: Sequence[str] = ()) -> DataFrame:
     """``pr_auc, roc_auc`` per group."""
-    sweep = threshold_sweep(df, score, label, group, with_ends=False)
+    return ranking_of(score_counts(df, score, label, group), group)
+
+
+def ranking_of(counted: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """`ranking_metrics` over a table of `score_counts`."""
+    sweep = sweep_counts(counted, group)
     return sweep.groupBy(*group).agg(average_precision_of(sweep).alias("pr_auc"), roc_auc_of(sweep).alias("roc_auc"))
 
 

@@ -7,11 +7,11 @@ from fleethazard.functions.policy import apply_policy
 from fleethazard.functions.scalar import risk_bucket
 from fleethazard.operators.metrics import (
     brier_score, calibration_bins, compute_metrics, early_stop_best_epoch, eval_sequence_metrics, log_loss_with_logits,
-    select_best_model, top_errors, topk_lift,
+    select_best_model, top_errors, top_fraction, topk_lift,
 )
 from fleethazard.operators.sweep import (
     PolicyError, pr_curve, ranking_metrics, select_threshold_highest, select_threshold_max_precision,
-    select_threshold_target_recall, threshold_sweep,
+    select_threshold_target_recall, threshold_sweep, thresholds_max_precision,
 )
 
 
@@ -195,3 +195,58 @@ def test_early_stopping(spark, history, patience, want):
     rows = [(i, loss, auc) for i, (auc, loss) in enumerate(history)]
     out = early_stop_best_epoch(spark.createDataFrame(rows, "epoch int, val_loss double, val_pr_auc double"), patience).first()
     assert (out.best_epoch, out.best_val_pr_auc, out.epochs_run) == want
+
+
+def _ranked(pdf, ks):
+    """Top-k by sorting everything."""
+    out = {}
+    for split, x in pdf.groupby("split"):
+        x = x.sort_values(["anomaly_score", "engine_id", "cycle"], ascending=[False, True, True])
+        for k in ks:
+            m = max(1, int(np.ceil(len(x) * k)))
+            out[split, k] = (m, x[:m])
+    return out
+
+
+@pytest.mark.parametrize("shift", [16, 2])
+@pytest.mark.parametrize("levels", [1, 3, 40, 100_000])
+def test_top_rows_equal_a_full_sort(spark, monkeypatch, levels, shift):
+    """From a single score for all rows to hardly any ties; ties that end inside an engine, and inside a block of its cycles."""
+    from fleethazard.operators import metrics as module
+
+    monkeypatch.setattr(module, "CYCLE_SHIFT", shift)
+    rng = np.random.default_rng(levels)
+    n = 900
+    pdf = pd.DataFrame({"split": np.where(np.arange(n) < 700, "train", "val"), "engine_id": np.where(rng.random(n) < 0.4, 3, rng.integers(0, 9, n)),
+                        "cycle": rng.permutation(n), "label": (rng.random(n) < 0.2).astype(int), "anomaly_score": rng.integers(0, levels, n) / levels})
+    ks = (0.001, 0.013, 0.05, 0.5, 1.0)
+    want = _ranked(pdf, ks)
+    df = spark.createDataFrame(pdf).repartition(5)
+    for r in topk_lift(df, ks).collect():
+        m, top = want[r.split, r.k]
+        base = pdf[pdf.split == r.split].label.mean()
+        assert r.m == m and r.precision == pytest.approx(top.label.mean()) and r.lift == pytest.approx(top.label.mean() / base)
+    for k in (0.013, 0.5):
+        got = top_fraction(df, k, group=["split"]).toPandas().sort_values("rank")
+        for split, x in got.groupby("split"):
+            assert x["rank"].tolist() == list(range(1, want[split, k][0] + 1))
+            assert x["cycle"].tolist() == want[split, k][1]["cycle"].tolist()
+    assert top_fraction(df, 0.02).count() == 18
+
+
+def test_scored_rows_are_evaluated_once(spark):
+    """Sweeps, metrics, calibration and top-k read what they ask about from counts per score."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(400).selectExpr("id % 5 AS engine_id", "id AS cycle", "int(id % 3 = 0) AS label", "id / 400 AS y_proba", "'val' AS split")
+    df = df.mapInArrow(watched, df.schema)
+    for run, times in [(lambda: threshold_sweep(df), 1), (lambda: compute_metrics(df, 0.5), 1), (lambda: calibration_bins(df), 1),
+                       (lambda: thresholds_max_precision(df, 0.5, 0.1), 1), (lambda: topk_lift(df, score="y_proba"), 1)]:
+        before = seen.value
+        run().collect()
+        assert seen.value - before == 400 * times
