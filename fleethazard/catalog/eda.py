@@ -89,6 +89,20 @@ def _(spark, d):
     return eda.correlation(events(spark, d), EVENT_SIGNALS)
 
 
+HOLES = {"sensor_1": "CASE WHEN cycle % 3 > 0 THEN sensor_1 END", "sensor_2": "CASE WHEN cycle % 5 > 0 THEN sensor_2 END",
+         "sensor_3": "CASE WHEN engine_id % 2 = 0 THEN sensor_3 + 1e6 END"}
+
+
+@query("eda_correlation_with_missing", f"WITH {EV}, x AS (SELECT engine_id, cycle, op_setting_3, {', '.join(f'{e} AS {c}' for c, e in HOLES.items())} FROM ev), "
+       "p AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, CASE WHEN stddev_pop({a}) FILTER ({b} IS NOT NULL) > 0 AND stddev_pop({b}) FILTER ({a} IS NOT NULL) > 0 THEN corr({a}, {b}) END AS r FROM x"
+    for k, a in enumerate(["op_setting_3", *HOLES]) for b in ["op_setting_3", *HOLES][k + 1:]) + ") SELECT * FROM p", ["r"])
+def _(spark, d):
+    """Each pair over the rows that hold both values; one column is constant, one far from zero."""
+    df = events(spark, d)
+    return eda.correlation(df.select("op_setting_3", *[F.expr(e).alias(c) for c, e in HOLES.items()]), ["op_setting_3", *HOLES])
+
+
 @query("eda_high_corr_pairs", f"""WITH {LI}, x AS (SELECT *, sensor_1 + sensor_4 AS sensor_5, sensor_2 * -2 + sensor_1 AS sensor_6 FROM li), c AS (""" + " UNION ALL ".join(
     f"SELECT 'sensor_{i}' AS a, 'sensor_{j}' AS b, corr(sensor_{i}, sensor_{j}) AS r FROM x" for i in range(1, 7) for j in range(i + 1, 7))
     + ") SELECT a, b, round(r, 3) AS r FROM c WHERE abs(r) > 9e-1", ["r"])

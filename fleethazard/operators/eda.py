@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleethazard.functions.scalar import is_finite
 from fleethazard.operators.labeling import with_failure_cycle
 from fleethazard.operators.ordered import exact_quantiles, lookup_join
 
@@ -76,21 +79,51 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
+def comoments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``i, j, n, x, y, xx, yy, xy, x_low, x_high, y_low, y_high`` of every pair of columns (i < j): moments over the rows that hold both
+    values, taken around the columns' means. NaN and infinities count as missing.
+
+    Each task keeps one matrix per moment and adds its batches to it as matrix products, with masks for missing values; what is
+    shuffled is one row per task and pair. The means come from a pass of their own, so that the sums don't cancel."""
+    d = len(columns)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    means = [m or 0.0 for m in rows.agg(*[F.avg(F.when(is_finite(F.col(f"c{k}")), F.col(f"c{k}"))) for k in range(d)]).first()]
+    left, right = np.triu_indices(d, 1)
+    names = ["n", "x", "y", "xx", "yy", "xy", "x_low", "x_high", "y_low", "y_high"]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {m: np.zeros((d, d)) for m in ("n", "x", "xx", "xy")}
+        low, high = np.full((d, d), np.inf), np.full((d, d), -np.inf)
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            there = np.isfinite(raw)
+            held = there.astype(float)
+            v = np.where(there, raw - means, 0.0)
+            total["n"] += held.T @ held
+            total["x"] += v.T @ held
+            total["xx"] += (v * v).T @ held
+            total["xy"] += v.T @ v
+            for k in range(d):  # extremes of each column over the rows that hold column k
+                both = there & there[:, [k]]
+                low[:, k] = np.minimum(low[:, k], np.where(both, v, np.inf).min(axis=0, initial=np.inf))
+                high[:, k] = np.maximum(high[:, k], np.where(both, v, -np.inf).max(axis=0, initial=-np.inf))
+        at, back = (left, right), (right, left)
+        columns_of = [total["n"][at], total["x"][at], total["x"][back], total["xx"][at], total["xx"][back], total["xy"][at],
+                      low[at], high[at], low[back], high[back]]
+        yield pa.RecordBatch.from_arrays([pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), *[pa.array(c) for c in columns_of]], ["i", "j", *names])
+
+    parts = rows.mapInArrow(partial, "i int, j int, " + ", ".join(f"{n} double" for n in names))
+    how = {n: F.min if n.endswith("low") else F.max if n.endswith("high") else F.sum for n in names}
+    return parts.groupBy("i", "j").agg(*[how[n](n).alias(n) for n in names])
+
+
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r of every pair (i < j) in long form, in one pass; null for constant columns."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-
-    def pearson(a: str, b: str) -> Column:
-        """Over the rows that hold both values; `corr` itself fails on constants in ANSI mode."""
-        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
-        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y)))
-
-    wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(cells))
+    """Pearson r of every pair (i < j) in long form, over the rows that hold both values; null for constant columns."""
+    c = F.col
+    varies = (c("x_low") < c("x_high")) & (c("y_low") < c("y_high"))
+    r = F.try_divide(c("xy") - c("x") * c("y") / c("n"), F.sqrt((c("xx") - c("x") * c("x") / c("n")) * (c("yy") - c("y") * c("y") / c("n"))))
+    named = F.array(*[F.lit(n) for n in columns])
+    return comoments(df, columns).select(F.get(named, c("i")).alias("a"), F.get(named, c("j")).alias("b"), F.when(varies, r).alias("r"))
 
 
 def high_corr_pairs(df: DataFrame, columns: Sequence[str], above: float = 0.9) -> DataFrame:

@@ -269,3 +269,44 @@ def test_feature_check_sees_the_row_order(spark):
     df = spark.createDataFrame(rows, "engine_id long, cycle long, sensor_1__lag1 double, place long")
     found = {r["check"]: r["violations"] for r in validate_tabular_features(df, 1, ordinal="place").collect()}
     assert found == {"non_finite": 0, "missing": 0, "duplicate_key": 0, "row_order": 1}
+
+
+@pytest.mark.parametrize("leaf,branch", [(16, 10), (3, 8), (5, 6)])
+@pytest.mark.parametrize("start,step", [(0, 1), (-500, 1), (-(1 << 62), 1 << 53)])
+def test_row_order_over_blocks(spark, monkeypatch, leaf, branch, start, step):
+    """Steps down inside blocks, at their edges, across gaps and across zero; ordinals from one end of 64 bits to the other."""
+    from fleethazard.operators import quality
+
+    monkeypatch.setattr(quality, "LEAF_SHIFT", leaf)
+    monkeypatch.setattr(quality, "BRANCH_SHIFT", branch)
+    rng = np.random.default_rng(5)
+    n = 900
+    keys = [(int(e), int(c)) for e, c in zip(np.sort(rng.integers(0, 40, n)), rng.integers(0, 30, n))]
+    rows = [(e, c, start + i * step) for i, (e, c) in enumerate(keys) if rng.random() < 0.8]
+    want = sum(b[:2] < a[:2] for a, b in zip(rows, rows[1:]))
+    df = spark.createDataFrame(rows, "engine_id long, cycle long, nth long").repartition(4)
+    assert want > 100 and quality.check_sorted_by_key(df, "nth").first()["violations"] == want
+    assert quality.check_sorted_by_key(df.limit(0), "nth").first()["violations"] == 0
+
+
+def test_correlation_equals_pairwise_deletion(spark):
+    from fleethazard.operators.eda import comoments, correlation
+
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(size=(500, 6)), columns=list("abcdef"))
+    pdf["b"] += 3 * pdf["a"]
+    pdf["c"] = pdf["c"] * 1e-3 + 1e7  # far from zero
+    pdf["d"] = 4.0
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.3)
+    pdf["f"] = np.where(pdf["a"].isna(), 1.0, np.nan)  # never together with a
+    pdf.loc[3, "e"] = np.inf
+    want = pdf.replace(np.inf, np.nan).assign(c=pdf["c"] - 1e7).corr()
+    df = spark.createDataFrame(pdf).repartition(5)
+    got = correlation(df, list("abcdef")).collect()
+    assert len(got) == 15
+    for r in got:
+        expected = want.loc[r.a, r.b]
+        assert (r.r is None) if np.isnan(expected) else r.r == pytest.approx(expected, abs=1e-9)
+    plan = comoments(df, list("abcdef"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(") == 2 and plan.count("MapInArrow") == 1  # partial and final, of a matrix each
+    assert correlation(df.limit(0), list("ab")).count() in (0, 1)
