@@ -11,10 +11,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleethazard.functions.scalar import logit_loss
 from fleethazard.operators.metrics import class_balanced_weights
 from fleethazard.operators.ordered import lookup_join
 from fleethazard.operators.scaling import fit_scaler, scaler_params
+from fleethazard.operators.sweep import ranking_of, score_counts
 from fleethazard.params import ModelSpec
+from fleethazard.session import written
 
 WEIGHT = "_weight"
 
@@ -90,9 +93,39 @@ def fit_window_classifier(windows: DataFrame, window_length: int, n_features: in
     return Pipeline(stages=[model]).fit(window_features(windows, window_length, n_features))
 
 
+def fit_window_classifier_by_epochs(train: DataFrame, val: DataFrame, window_length: int, n_features: int,
+                                    spec: ModelSpec = ModelSpec()) -> tuple[PipelineModel, DataFrame]:
+    """The network trained epoch by epoch, and its history ``epoch, val_loss, val_pr_auc``.
+
+    An epoch takes ``mlp_steps`` optimiser steps from the weights of the one before. After each, the val windows are scored;
+    training stops after ``mlp_patience`` epochs that improve on neither PR-AUC nor, at the same PR-AUC, loss, and the weights of
+    the best epoch are returned. This is the rule of `early_stop_best_epoch`. Both sets of windows are flattened once."""
+    flat = [written(window_features(w.select("label", "window"), window_length, n_features), "window-vectors") for w in (train, val)]
+    weights, best, history = None, None, []
+    for epoch in range(1, spec.mlp_epochs + 1):
+        network = MultilayerPerceptronClassifier(
+            featuresCol="features", labelCol="label", layers=[window_length * n_features, spec.mlp_hidden, 2],
+            maxIter=spec.mlp_steps, seed=spec.seed)
+        model = (network if weights is None else network.setInitialWeights(weights)).fit(flat[0])
+        weights = model.weights
+        scored = _with_logit(predict_proba(model, flat[1]))
+        counted = score_counts(scored, loss=F.sum(logit_loss(F.col("logit"), F.col("label"))))
+        loss = counted.agg(F.sum("loss") / F.sum("n")).first()[0]
+        area = ranking_of(counted).first()["pr_auc"]
+        history.append((epoch, loss, area))
+        if best is None or (area, -loss) > best[0]:
+            best = (area, -loss), epoch, model
+        if epoch - best[1] >= spec.mlp_patience:
+            break
+    return PipelineModel([best[2]]), train.sparkSession.createDataFrame(history, "epoch int, val_loss double, val_pr_auc double")
+
+
+def _with_logit(scored: DataFrame) -> DataFrame:
+    p = F.least(F.greatest(F.col("y_proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    return scored.withColumn("logit", F.log(p / (1 - p)))
+
+
 def predict_window_proba(model: PipelineModel, windows: DataFrame, window_length: int, n_features: int) -> DataFrame:
     """``y_proba`` and its ``logit`` per window."""
     flat = window_features(windows, window_length, n_features)
-    scored = predict_proba(model, flat).drop("features")
-    p = F.least(F.greatest(F.col("y_proba"), F.lit(1e-15)), F.lit(1 - 1e-15))
-    return scored.withColumn("logit", F.log(p / (1 - p)))
+    return _with_logit(predict_proba(model, flat).drop("features"))

@@ -139,6 +139,16 @@ def thresholds_target_recall(df: DataFrame, target_recall: float, score: str = "
         F.coalesce(F.max(F.when(reached, F.col("threshold"))), F.lit(1.0)).alias("threshold"))
 
 
+def required_thresholds(found: DataFrame, group: Sequence[str], target_recall: float, min_precision: float) -> list:
+    """One row per group (few: models, folds); raises if a group has no threshold."""
+    rows = found.select(*group, "threshold").orderBy(*group).collect()
+    for r in rows:
+        if r["threshold"] is None:
+            raise PolicyError(f"Model too weak for policy: recall {target_recall} and precision {min_precision} are never reached "
+                              f"together by {', '.join(f'{g} {r[g]}' for g in group)}")
+    return rows
+
+
 def _required(found: DataFrame, target_recall: float, min_precision: float) -> float:
     value = found.first()["threshold"]
     if value is None:

@@ -73,7 +73,9 @@ class ModelSpec:
     gbt_step: float = 0.1
     gbt_depth: int = 5
     mlp_hidden: int = 32
-    mlp_epochs: int = 20
+    mlp_epochs: int = 20  # at most
+    mlp_steps: int = 5  # optimiser steps of an epoch
+    mlp_patience: int = 5  # epochs without improvement before training stops
     seed: int = 42
 
 

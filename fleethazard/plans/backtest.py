@@ -13,7 +13,7 @@ from fleethazard.operators.metrics import calibration_bins, compute_metrics, met
 from fleethazard.operators.ordered import lookup_join
 from fleethazard.operators.quality import require_valid_features
 from fleethazard.operators.splits import expanding_folds, train_val_engines
-from fleethazard.operators.sweep import ranking_metrics, select_threshold_max_precision
+from fleethazard.operators.sweep import ranking_metrics, required_thresholds, thresholds_max_precision
 from fleethazard.params import Profile
 from fleethazard.plans.tables import training_table
 from fleethazard.session import checkpointed, written
@@ -21,48 +21,49 @@ from fleethazard.session import checkpointed, written
 KEYS = ["engine_id", "cycle", "label", "remaining", "split"]
 
 
-def _run_fold(table: DataFrame, roles: DataFrame, profile: Profile, features: list[str]) -> tuple[DataFrame, float]:
-    """Test rows scored by the fold's best candidate, and the threshold."""
+def _fold_scores(table: DataFrame, roles: DataFrame, number: int, profile: Profile, features: list[str], names: list[str]) -> DataFrame:
+    """Val and test rows of a fold, scored by every candidate fitted on its train rows."""
     rows = lookup_join(table, roles, ["engine_id"])  # the table is written once; a fold is a filter on it
-    train = rows.where(F.col("split") == "train")
-    names = [c for c in profile.backtest.candidates if c in FITTERS]
-    if not names:
-        raise ValueError("none of the candidates names a known model")
-    fitted = [predict_proba(FITTERS[c](train, features, profile.models), rows.where(F.col("split") != "train"))
-              .select(F.lit(c).alias("model"), *KEYS, "y_proba") for c in names]
-    scored = checkpointed(reduce(DataFrame.unionByName, fitted))
-    val = scored.where(F.col("split") == "val")
-    best = select_best_model(ranking_metrics(val, group=["model"]).withColumn("split", F.lit("val")), names).first()["model"]
-    threshold = select_threshold_max_precision(
-        val.where(F.col("model") == best), profile.policy.target_recall, profile.policy.min_precision)
-    return scored.where((F.col("split") == "test") & (F.col("model") == best)), threshold
+    train, rest = (rows.where(F.col("split") == "train"), rows.where(F.col("split") != "train"))
+    fitted = [predict_proba(FITTERS[c](train, features, profile.models), rest)
+              .select(F.lit(number).alias("fold"), F.lit(c).alias("model"), *KEYS, "y_proba") for c in names]
+    return reduce(DataFrame.unionByName, fitted)
 
 
 def run_backtest(full: DataFrame, profile: Profile) -> dict:
-    """``metrics, errors, calibration, thresholds`` with ``fold`` as a column, or a message when no fold fits."""
-    spec = profile.backtest
+    """``metrics, errors, calibration, folds, scored, thresholds`` with ``fold`` as a column, or a message when no fold fits.
+
+    Models are fitted fold by fold; all their scores make one table, and the best model, the threshold and the reports of
+    all folds are taken from it in sweeps grouped by fold."""
+    spec, policy = profile.backtest, profile.policy
+    names = [c for c in spec.candidates if c in FITTERS]
+    if not names:
+        raise ValueError("none of the candidates names a known model")
     table = written(training_table(full, profile), "training")
     require_valid_features(table.drop("label", "remaining", "failure_cycle"), profile.window_l)
     features = model_feature_columns(table)
     folds = expanding_folds(table, spec.n_folds, spec.train_min_engines, spec.test_engines_per_fold)
     folds = checkpointed(train_val_engines(folds, spec.val_ratio))
-    numbers = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
-    if not numbers:
+    sizes = folds.groupBy("fold").pivot("role", ["train", "val", "test"]).agg(F.count(F.lit(1))).fillna(0)
+    roles = sorted(sizes.collect(), key=lambda r: r["fold"])  # a row per fold
+    if not roles:
         return {"message": "The fleet is too small for a single fold."}
+    if any(not r["val"] for r in roles):
+        raise ValueError("a fold has no engine left to validate on; raise train_min_engines or val_ratio")
 
-    tests, thresholds = [], {}
-    for number in numbers:
-        roles = folds.where(F.col("fold") == number).select("engine_id", F.col("role").alias("split"))
-        if roles.where(F.col("split") == "val").isEmpty():
-            raise ValueError("a fold has no engine left to validate on; raise train_min_engines or val_ratio")
-        scored, thresholds[number] = _run_fold(table, roles, profile, features)
-        tests.append(scored.withColumn("fold", F.lit(number)).withColumn("threshold", F.lit(thresholds[number])))
-    test = reduce(DataFrame.unionByName, tests)
+    of = lambda k: folds.where(F.col("fold") == k).select("engine_id", F.col("role").alias("split"))
+    scored = written(reduce(DataFrame.unionByName, [_fold_scores(table, of(r["fold"]), r["fold"], profile, features, names) for r in roles]), "fold-scores")
+    val = scored.where(F.col("split") == "val")
+    best = select_best_model(ranking_metrics(val, group=["fold", "model"]).withColumn("split", F.lit("val")), names, ["fold"])
+    chosen = lookup_join(scored, best.select("fold", "model"), ["fold", "model"])  # a row per fold
+    found = thresholds_max_precision(chosen.where(F.col("split") == "val"), policy.target_recall, policy.min_precision, group=["fold"])
+    thresholds = {r["fold"]: r["threshold"] for r in required_thresholds(found, ["fold"], policy.target_recall, policy.min_precision)}
+    at = F.create_map(*[F.lit(x) for k in thresholds for x in (k, thresholds[k])])[F.col("fold")]
+    test = written(chosen.where(F.col("split") == "test").withColumn("threshold", at), "fold-tests")
     predicted = test.withColumn("y_pred", (F.col("y_proba") >= F.col("threshold")).cast("int"))
     return {
         "metrics": metrics_long(compute_metrics(test, F.col("threshold"), group=["fold", "model"]), ["fold", "model"]),
         "errors": top_errors(predicted, profile.horizon_n, spec.early_alarm_slack, 20, group=["fold"]),
         "calibration": calibration_bins(test, spec.calibration_bins, spec.calibration_strategy, group=["fold"]),
-        "folds": folds.groupBy("fold").pivot("role", ["train", "val", "test"]).agg(F.count(F.lit(1))),
-        "thresholds": thresholds,
+        "folds": sizes, "thresholds": thresholds, "best": best, "scored": scored, "test": test,
     }
