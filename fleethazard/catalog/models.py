@@ -1,11 +1,12 @@
 """Fitted models, end-to-end runs and streams.
 
 SQL cannot fit a model. These queries return what it can derive all the same: rows and classes behind every report, slopes at
-rest, scores recomputed from what was published. Tests check the rest.
+rest, and whether scores, metrics, thresholds and choices are those worked out again from what was published (`recheck`).
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -13,21 +14,26 @@ from pyspark.sql import functions as F
 from fleethazard.catalog.base import (
     EV, EVENT_SIGNALS, EVL, KEY, SHORT, TRIAL, events, feature_columns, feature_places, feature_sql, query, scratch, split_sql,
 )
+from fleethazard.catalog.recheck import errors_agree, lifts_agree, metrics_again, metrics_agree, threshold_again
+from fleethazard.catalog.tables import REQ, request_bodies
 from fleethazard.functions.columns import model_feature_columns
 from fleethazard.operators.classifiers import (
     FITTERS, WEIGHT, fit_window_classifier, predict_proba, predict_window_proba, with_balanced_weights,
 )
-from fleethazard.operators.isolation_forest import fit_isolation_forest, score_isolation_forest
+from fleethazard.operators.isolation_forest import fit_isolation_forest, recomputed_scores, score_isolation_forest
+from fleethazard.operators.metrics import early_stop_best_epoch
+from fleethazard.operators.requests import parse_window_json, request_features
 from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.sequences import build_sequence_pipeline
 from fleethazard.operators.splits import assign_split, fit_split, split_engines
 from fleethazard.operators.labeling import label_horizon
 from fleethazard.params import BacktestSpec, FeatureSpec, Profile
 from fleethazard.plans.backtest import run_backtest
-from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows, score_latest_with_network
+from fleethazard.plans.scoring import latest_window_rejects, score_latest_windows, score_latest_with_network, score_window_requests
 from fleethazard.plans.training import (
     compare_models, importance_report, prepared_table, run_anomaly, train_select_report, train_window_model,
 )
+from fleethazard.session import written
 from fleethazard.sources.registry import load_active_model, save_model_version, set_active_version
 from fleethazard.streaming.alerts import stream_score_alerts
 from fleethazard.streaming.features import EngineRows, batch_features, parquet_sink, stream_features
@@ -60,12 +66,6 @@ def _logit(fitted):
     return reduce(lambda a, b: a + b, terms, F.lit(float(fitted.intercept)))
 
 
-def _class_sizes(metrics, keys):
-    """Negatives (tn + fp) and positives (tp + fn) behind a long metric report."""
-    pick = lambda *names: F.sum(F.when(F.col("metric").isin(*names), F.col("value")))
-    return metrics.groupBy(*keys).agg(pick("tn", "fp").alias("negatives"), pick("tp", "fn").alias("positives"))
-
-
 def _consistent(responses):
     """Bucket and alert recomputed from score and threshold."""
     low, high = TRIAL.policy.bucket_cutoffs
@@ -129,14 +129,17 @@ def _(spark, d):
                                      F.bool_and(~inner | cut).alias("inside"))
 
 
-@query("score_isolation_forest", f"WITH {EV}, {split_sql('ev')} SELECT engine_id, cycle, split, TRUE AS in_range FROM ev JOIN sp USING (engine_id)")
+@query("score_isolation_forest", f"""WITH {EV}, {split_sql('ev')} SELECT engine_id, cycle, split, TRUE AS in_range, TRUE AS reproduced
+  FROM ev JOIN sp USING (engine_id)""")
 def _(spark, d):
+    """Every row's score against path lengths worked out from the node table by expressions."""
     df = assign_split(events(spark, d), fit_split(events(spark, d)))
     train = df.where("split = 'train'")
-    forest = fit_isolation_forest(train, FOREST_FEATURES)
-    scored = score_isolation_forest(forest, df, FOREST_FEATURES, n_train=train.count())
+    n, forest = train.count(), written(fit_isolation_forest(train, FOREST_FEATURES), "forest")
+    scored = score_isolation_forest(forest, df, FOREST_FEATURES, n_train=n)
+    scored = recomputed_scores(forest, scored, FOREST_FEATURES, n_train=n, name="again")
     score = F.col("anomaly_score")
-    return scored.select(*KEY, "split", ((score > 0) & (score < 1)).alias("in_range"))
+    return scored.select(*KEY, "split", ((score > 0) & (score < 1)).alias("in_range"), (F.abs(score - F.col("again")) < 1e-9).alias("reproduced"))
 
 
 @query("fit_window_classifier", f"WITH {WIN} SELECT engine_id, cycle AS pred_cycle, split, label, TRUE AS in_range FROM win")
@@ -153,23 +156,54 @@ def _(spark, d):
     return scored.select("engine_id", "pred_cycle", "split", "label", fine.alias("in_range"))
 
 
-@query("train_window_model", f"""WITH {WIN} SELECT split, {PER_SPLIT}, TRUE AS policy_met FROM win GROUP BY split""")
+POLICY = TRIAL.policy.target_recall, TRIAL.policy.min_precision
+
+
+@query("train_window_model", f"""WITH {WIN} SELECT split, {PER_SPLIT}, TRUE AS policy_met, TRUE AS metrics_agree FROM win GROUP BY split""")
 def _(spark, d):
-    """Windows by class behind the report, and the policy at the chosen threshold."""
+    """Windows by class behind the report, the policy at the chosen threshold, and the report against the scores."""
     run = train_window_model(events(spark, d), TRIAL, root=scratch(spark, "models"))
     val, policy = run["metadata"]["val_metrics"], TRIAL.policy
     met = val["recall"] >= policy.target_recall and val["precision"] >= policy.min_precision
-    return run["scored"].groupBy("split").agg(
+    again = metrics_again(run["scored"].withColumn("threshold", F.lit(run["metadata"]["threshold"])), ["split"])
+    names = ("pr_auc", "precision", "recall", "f1")
+    same = F.forall(F.array(*[F.abs(F.col(f"r.{m}") - F.col(f"a.{m}")) < 1e-9 for m in names]), lambda x: x)
+    agree = run["metrics"].alias("r").join(again.alias("a"), F.col("r.split") == F.col("a.split")).select("r.split", same.alias("metrics_agree"))
+    sizes = run["scored"].groupBy("split").agg(
         F.sum(1.0 - F.col("label")).alias("negatives"), F.sum(F.col("label").cast("double")).alias("positives"), F.lit(met).alias("policy_met"))
+    return sizes.join(agree, "split")
 
 
-@query("train_select_report", f"WITH {TAB} SELECT split, {PER_SPLIT}, TRUE AS policy_met FROM tab GROUP BY split")
+@query("train_window_model_early_stop", "SELECT TRUE AS stopped_by_rule, TRUE AS best_restored, TRUE AS first_beaten, TRUE AS recorded")
 def _(spark, d):
-    """Rows by class behind the report of each split, and the policy at the chosen threshold."""
+    """The stop rule applied to the published history, and the val score of the weights that were kept against it."""
+    run = train_window_model(events(spark, d), TRIAL)
+    history, limit = run["history"].orderBy("epoch").collect(), TRIAL.models
+    rule = early_stop_best_epoch(run["history"], limit.mlp_patience).first()
+    full = rule["epochs_run"] == limit.mlp_epochs or rule["epochs_run"] - rule["best_epoch"] == limit.mlp_patience
+    again = metrics_again(run["scored"].where("split = 'val'").withColumn("threshold", F.lit(0.5)), ["split"]).first()["pr_auc"]
+    best = history[rule["best_epoch"] - 1]["val_pr_auc"]
+    return spark.createDataFrame([(
+        [r["epoch"] for r in history] == list(range(1, rule["epochs_run"] + 1)) and full, abs(again - best) < 1e-9,
+        best >= history[0]["val_pr_auc"] and best == max(r["val_pr_auc"] for r in history),
+        run["metadata"]["best_epoch"] == rule["best_epoch"] and run["metadata"]["epochs_run"] == len(history))],
+        "stopped_by_rule boolean, best_restored boolean, first_beaten boolean, recorded boolean")
+
+
+@query("train_select_report", f"""WITH {TAB} SELECT split, {PER_SPLIT}, TRUE AS metrics_agree, TRUE AS best_chosen, TRUE AS threshold_agrees, TRUE AS policy_met
+  FROM tab GROUP BY split""")
+def _(spark, d):
+    """The report of each split, the chosen model and the threshold, worked out again from the published scores."""
     run = train_select_report(events(spark, d), TRIAL, root=scratch(spark, "models"))
-    val, policy = run["metadata"]["val_metrics"], TRIAL.policy
-    met = val["recall"] >= policy.target_recall and val["precision"] >= policy.min_precision
-    return _class_sizes(run["metrics"], ["split"]).withColumn("policy_met", F.lit(met))
+    metadata, policy = run["metadata"], TRIAL.policy
+    val = run["scored"].where("split = 'val'")
+    areas = {r["model"]: r["pr_auc"] for r in metrics_again(val.withColumn("threshold", F.lit(0.5)), ["model"]).collect()}
+    chosen = run["scored"].where(F.col("model") == metadata["model_type"]).withColumn("threshold", F.lit(metadata["threshold"]))
+    at = threshold_again(chosen.where("split = 'val'"), ["model"], *POLICY).first()["again"]
+    met = metadata["val_metrics"]["recall"] >= policy.target_recall and metadata["val_metrics"]["precision"] >= policy.min_precision
+    return metrics_agree(run["metrics"].drop("model"), chosen, ["split"]).withColumns({
+        "best_chosen": F.lit(areas[metadata["model_type"]] == max(areas.values())), "threshold_agrees": F.lit(at == metadata["threshold"]),
+        "policy_met": F.lit(met)})
 
 
 def _trial_folds(spark, d) -> Profile:
@@ -181,29 +215,131 @@ def _trial_folds(spark, d) -> Profile:
         backtest=BacktestSpec(test_engines_per_fold=step, train_min_engines=max(2, 4 * n // 10)))
 
 
-@query("run_backtest", f"""WITH {EVL}, en AS (SELECT engine_id, row_number() OVER (ORDER BY engine_id) - 1 AS place, count(*) OVER () AS n
+FOLD_ENGINES = """en AS (SELECT engine_id, row_number() OVER (ORDER BY engine_id) - 1 AS place, count(*) OVER () AS n
     FROM (SELECT DISTINCT engine_id FROM ev)),
   fo AS (SELECT f::INTEGER AS fold, engine_id FROM en, range(0, 3) t(f)
-    WHERE place >= greatest(2, 4 * n // 10) + f * greatest(1, n // 10) AND place < greatest(2, 4 * n // 10) + (f + 1) * greatest(1, n // 10))
-  SELECT fold, {PER_SPLIT} FROM evl JOIN fo USING (engine_id) GROUP BY fold""")
+    WHERE place >= greatest(2, 4 * n // 10) + f * greatest(1, n // 10) AND place < greatest(2, 4 * n // 10) + (f + 1) * greatest(1, n // 10))"""
+
+
+@query("run_backtest", f"""WITH {EVL}, {FOLD_ENGINES}
+  SELECT fold, {PER_SPLIT}, TRUE AS metrics_agree, TRUE AS best_chosen, TRUE AS threshold_agrees FROM evl JOIN fo USING (engine_id) GROUP BY fold""")
+def _(spark, d):
+    """Every fold's report, best model and threshold, worked out again from the published scores."""
+    run = run_backtest(events(spark, d), _trial_folds(spark, d))
+    val = run["scored"].where("split = 'val'")
+    areas = metrics_again(val.withColumn("threshold", F.lit(0.5)), ["fold", "model"])
+    top = areas.groupBy("fold").agg(F.max("pr_auc").alias("top"))
+    best = areas.join(run["best"].select("fold", "model"), ["fold", "model"]).join(top, "fold")
+    at = threshold_again(val.join(best.select("fold", "model"), ["fold", "model"]), ["fold"], *POLICY)
+    shown = spark.createDataFrame(sorted(run["thresholds"].items()), "fold int, shown double")
+    checks = best.join(at, "fold").join(shown, "fold").select(
+        "fold", (F.col("pr_auc") > F.col("top") - 1e-12).alias("best_chosen"), (F.col("again") == F.col("shown")).alias("threshold_agrees"))
+    return metrics_agree(run["metrics"].drop("model"), run["test"], ["fold"]).join(checks, "fold")
+
+
+def _quick_backtest(spark, d):
+    folds = _trial_folds(spark, d)
+    return run_backtest(events(spark, d), replace(folds, backtest=replace(folds.backtest, candidates=("logreg",))))
+
+
+@query("run_backtest_folds", f"""WITH {EVL}, {FOLD_ENGINES}, sizes AS (SELECT fold, min(place) AS before, count(*) AS test FROM fo JOIN en USING (engine_id) GROUP BY fold)
+  SELECT fold, before - greatest(1, ceil(2e-1 * before))::BIGINT AS train, greatest(1, ceil(2e-1 * before))::BIGINT AS val, test FROM sizes""")
 def _(spark, d):
-    """Test rows by class of every fold."""
-    return _class_sizes(run_backtest(events(spark, d), _trial_folds(spark, d))["metrics"], ["fold"])
+    """Engines of each role in every fold."""
+    return _quick_backtest(spark, d)["folds"]
+
+
+@query("run_backtest_errors", f"WITH {EV}, {FOLD_ENGINES} SELECT DISTINCT fold, TRUE AS errors_agree FROM fo")
+def _(spark, d):
+    """The listed errors of every fold against all its wrong rows."""
+    run = _quick_backtest(spark, d)
+    return errors_agree(run["errors"], run["test"], ["fold"])
+
+
+@query("run_backtest_calibration", f"""WITH {EVL}, {FOLD_ENGINES} SELECT fold, count(*) AS n, sum(label)::DOUBLE AS positives, TRUE AS mean_agrees
+  FROM evl JOIN fo USING (engine_id) GROUP BY fold""", ["positives"])
+def _(spark, d):
+    """The bins of every fold hold its test rows: their number, their positives and the sum of their scores."""
+    run = _quick_backtest(spark, d)
+    bins = run["calibration"].groupBy("fold").agg(
+        F.sum("count").alias("n"), F.sum(F.col("count") * F.col("frac_pos")).alias("positives"), F.sum(F.col("count") * F.col("mean_pred")).alias("total"))
+    sums = run["test"].groupBy("fold").agg(F.sum("y_proba").alias("want"))
+    return bins.join(sums, "fold").select("fold", "n", "positives", (F.abs(F.col("total") - F.col("want")) < 1e-6).alias("mean_agrees"))
 
 
 @query("run_anomaly", f"""WITH {TAB}, ss AS (SELECT split, count(*) AS n, sum(label)::BIGINT AS positives FROM tab GROUP BY split)
-  SELECT split, k, n, positives, ceil(k * n)::BIGINT AS m FROM ss, (SELECT unnest([1e-2, 5e-2]) AS k)""")
+  SELECT split, k, n, positives, ceil(k * n)::BIGINT AS m, TRUE AS lifts_agree FROM ss, (SELECT unnest([1e-2, 5e-2]) AS k)""")
 def _(spark, d):
-    """What the lifts of each split are taken from."""
-    return run_anomaly(events(spark, d), TRIAL)["topk"].select("split", "k", "n", "positives", "m")
+    """What the lifts of each split are taken from, and the lifts against a full ranking of the published scores."""
+    run = run_anomaly(events(spark, d), TRIAL)
+    return lifts_agree(run["topk"], run["scored"])
+
+
+LABELED_FEATURES = f"""lf AS (SELECT * FROM ({feature_sql(EVENT_SIGNALS, 'evl', SHORT.features.windows, keep=['label'])}) WHERE cycle >= 10)"""
+N_NULLS = " + ".join(f'("{c}" IS NULL)::INTEGER' for c in MODEL_FEATURES)
+
+
+@query("run_anomaly_report", f"""WITH {EVL}, {split_sql('ev')}, {LABELED_FEATURES}
+  SELECT split, count(*) AS n, sum(label)::BIGINT AS positives, avg(label) AS base_rate, sum({N_NULLS})::BIGINT AS n_nan, 0::BIGINT AS n_inf,
+    TRUE AS top_agrees, TRUE AS stored, TRUE AS reproduced FROM lf JOIN sp USING (engine_id) GROUP BY split""", ["base_rate"])
+def _(spark, d):
+    """Base rates, what was imputed, the ten strangest rows, and the stored scores against path lengths in the stored forest."""
+    root = scratch(spark, "anomaly")
+    run = run_anomaly(events(spark, d), TRIAL, root=root)
+    stored, forest = spark.read.parquet(f"{root}/scores"), spark.read.parquet(f"{root}/forest")
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("anomaly_score")).alias("s"), "engine_id", "cycle")))
+    top = stored.groupBy("split").agg(F.slice(listed, 1, 10).alias("want"), F.count("*").alias("n_stored"))
+    got = run["top_anomalies"].groupBy("split").agg(listed.alias("got"))
+    n_train = stored.where("split = 'train'").count()
+    again = recomputed_scores(forest, run["imputed"], run["features"], TRIAL.forest.max_samples, n_train, "again").select(*KEY, "again")
+    same = stored.join(again, KEY).groupBy("split").agg(F.bool_and(F.abs(F.col("again") - F.col("anomaly_score")) < 1e-9).alias("reproduced"))
+    return (run["base_rates"].join(run["nonfinite"], "split").join(top, "split").join(got, "split").join(same, "split")
+            .select("split", "n", "positives", "base_rate", "n_nan", "n_inf", (F.col("want") == F.col("got")).alias("top_agrees"),
+                    (F.col("n_stored") == F.col("n")).alias("stored"), "reproduced"))
 
 
 @query("compare_models", f"""WITH {WIN}, m AS (SELECT unnest(['logreg', 'gbt']) AS model)
-  SELECT model, split, {PER_SPLIT} FROM tab, m GROUP BY ALL
-  UNION ALL SELECT 'mlp', split, {PER_SPLIT} FROM win GROUP BY split""")
+  SELECT model, split, {PER_SPLIT}, TRUE AS metrics_agree FROM tab, m GROUP BY ALL
+  UNION ALL SELECT 'mlp', split, {PER_SPLIT}, TRUE FROM win GROUP BY split""")
+def _(spark, d):
+    """Every model's report against its published scores and threshold."""
+    run = compare_models(events(spark, d), TRIAL)
+    return metrics_agree(run["metrics"], run["scored"], ["model", "split"])
+
+
+@query("compare_models_choice", "SELECT unnest(['logreg', 'gbt']) AS model, TRUE AS gap_agrees, TRUE AS threshold_agrees, TRUE AS best_agrees")
+def _(spark, d):
+    """Gap, threshold and best model of the comparison, worked out again from the published scores."""
+    run = compare_models(events(spark, d), TRIAL, with_windows=False, with_forest=False)
+    areas = metrics_again(run["scored"], ["model", "split"]).groupBy("model").pivot("split", ["train", "val"]).agg(F.first("pr_auc"))
+    top = areas.agg(F.max("val")).first()[0]
+    at = threshold_again(run["scored"].where("split = 'val'"), ["model"], *POLICY)
+    shown = spark.createDataFrame(sorted(run["thresholds"].items()), "model string, shown double")
+    best = run["best"].first()["model"]
+    return run["gap"].join(areas, "model").join(at, "model").join(shown, "model").select(
+        "model", (F.abs(F.col("gap") - F.col("train") + F.col("val")) < 1e-9).alias("gap_agrees"), (F.col("again") == F.col("shown")).alias("threshold_agrees"),
+        F.when(F.col("model") == best, F.col("val") > top - 1e-12).otherwise(F.lit(True)).alias("best_agrees"))
+
+
+REQUEST_SIGNALS = ["sensor_1", "sensor_2"]
+
+
+@query("score_requests", f"WITH {REQ} SELECT request_id, reject_reason, CASE WHEN reject_reason IS NULL THEN TRUE END AS consistent, "
+       "CASE WHEN reject_reason IS NULL THEN TRUE END AS reproduced FROM rr")
 def _(spark, d):
-    """Rows by class behind every model's report."""
-    return _class_sizes(compare_models(events(spark, d), TRIAL)["metrics"], ["model", "split"])
+    """Every JSON request: its response (bucket and alert recomputed, score against the published coefficients) or why it has none."""
+    run = train_select_report(events(spark, d).select(*KEY, *REQUEST_SIGNALS), TRIAL, candidates=("logreg",))
+    bodies = request_bodies(spark, d)
+    responses, rejected = score_window_requests(bodies, REQUEST_SIGNALS, run["model"], run["metadata"], TRIAL)
+    features, _ = request_features(parse_window_json(bodies), REQUEST_SIGNALS, TRIAL.features, TRIAL.window_l)
+    table = prepared_table(events(spark, d).select(*KEY, *REQUEST_SIGNALS), TRIAL)
+    again = features.withColumn("z", _standardised(table, run["metadata"]["feature_columns"]))
+    again = again.select("request_id", (1 / (1 + F.exp(-_logit(run["model"].stages[-1])))).alias("again"))
+    renamed = responses.withColumns({"engine_id": F.col("request_id"), "cycle": F.lit(1).cast("long")})
+    fine = _consistent(renamed).select(F.col("engine_id").alias("request_id"), "consistent")
+    good = responses.join(again, "request_id").join(fine, "request_id").select(
+        "request_id", F.lit(None).cast("string").alias("reject_reason"), "consistent", (F.abs(F.col("again") - F.col("risk_score")) < 1e-9).alias("reproduced"))
+    return good.unionByName(rejected, allowMissingColumns=True)
 
 
 def _saved(spark, d) -> str:

@@ -150,7 +150,7 @@ def _(spark, d):
     return df.select(*KEY, nonfinite_to_null(_spoiled(df)).alias("x"))
 
 
-def _request_bodies(spark, d):
+def request_bodies(spark, d):
     """All rows as JSON requests of ten cycles each; short blocks and wild values give faulty ones."""
     # a window has 10 rows, 9 when its first reading is above 30
     first = F.max(F.when(F.col("cycle") % 10 == 1, F.col("sensor_1")))
@@ -178,13 +178,13 @@ rr AS (SELECT engine_id AS request_id,
   sum(CASE WHEN sensor_2 <> 99 THEN sensor_2 ELSE 0 END) AS sum_sensor_2 FROM rq GROUP BY ALL""", ["sum_sensor_2"])
 def _(spark, d):
     total = F.aggregate("window", F.lit(0.0), lambda acc, m: acc + F.coalesce(m["sensor_2"], F.lit(0.0)))
-    return parse_window_json(_request_bodies(spark, d)).select(
+    return parse_window_json(request_bodies(spark, d)).select(
         "request_id", F.size("window").alias("n_rows"), total.alias("sum_sensor_2"))
 
 
 @query("validate_window_request", f"WITH {REQ} SELECT request_id, reject_reason FROM rr")
 def _(spark, d):
-    parsed = parse_window_json(_request_bodies(spark, d))
+    parsed = parse_window_json(request_bodies(spark, d))
     return validate_window_request(parsed, ["sensor_1", "sensor_2"], 10).select("request_id", "reject_reason")
 
 
@@ -198,7 +198,7 @@ RQ_FEATURES = feature_columns(["sensor_1", "sensor_2"], S.windows)
   ON rr.request_id = f.engine_id AND f.cycle = 10""", feature_places(RQ_FEATURES))
 def _(spark, d):
     """Valid requests with their features, faulty ones with the reason (the score itself needs a fitted model)."""
-    good, bad = request_features(parse_window_json(_request_bodies(spark, d)), ["sensor_1", "sensor_2"], S, 10)
+    good, bad = request_features(parse_window_json(request_bodies(spark, d)), ["sensor_1", "sensor_2"], S, 10)
     return good.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
 
 
