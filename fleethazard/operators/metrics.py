@@ -195,7 +195,7 @@ def top_fraction(df: DataFrame, k: float, score: str = "anomaly_score", group: S
     rows = df.withColumns({"_s": F.col(score).cast("double"), **({} if group else {"_g": F.lit(1)})})
     counted = score_counts(rows.withColumn("_y", F.lit(0)), "_s", "_y", keys)
     cuts = written(top_cuts(counted, [k], keys).select(*keys, "cut", (F.col("m") - F.col("above")).alias("need"), "tied"), "top-cuts")
-    placed = lookup_join(rows, cuts, keys)
+    placed = rows.join(cuts, keys)  # at rest: a row per group and k
     whole = (F.col("need") == F.col("tied")) & F.col("_s").eqNullSafe(F.col("cut"))
     # scores rank as Spark orders them: NaN above all numbers, null below
     above = (F.col("_s") > F.col("cut")) | (F.col("_s").isNotNull() & F.col("cut").isNull())
@@ -219,9 +219,9 @@ def topk_lift(df: DataFrame, ks: Sequence[float] = (0.01, 0.05), score: str = "a
     found = F.when(F.col("tied_pos") == F.col("tied"), F.col("m") - F.col("above")).otherwise(F.when(F.col("m") - F.col("above") == F.col("tied"), F.col("tied_pos")).otherwise(0))
     if not partly.isEmpty():
         at = partly.select(*group, "k", "cut", (F.col("m") - F.col("above")).alias("need"))
-        ties = lookup_join(rows, at, group).where(F.col("_s").eqNullSafe(F.col("cut")))
+        ties = rows.join(at, list(group)).where(F.col("_s").eqNullSafe(F.col("cut")))
         some = first_of_ties(ties, [*group, "k"]).groupBy(*group, "k").agg(F.sum(F.col(label).cast("long")).alias("_some"))
-        cuts = lookup_join(cuts, some, [*group, "k"], "left")
+        cuts = cuts.join(some, [*group, "k"], "left")
         found = F.coalesce(F.col("_some"), found)
     base, top_pos = F.col("positives") / F.col("n_rows"), F.col("above_pos") + found
     precision = top_pos / F.col("m")

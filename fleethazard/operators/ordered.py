@@ -22,6 +22,7 @@ from fleethazard.session import checkpointed, written
 KEY, ORDER = "engine_id", "cycle"
 BLOCK_SHIFT = 16  # a block spans 2**16 order values, so at most 65,536 rows of one engine
 MAX_PARTS = 256  # value ranges a table of running totals is cut into
+WHOLE_ROWS = 300_000  # a table of at most this many collapsed rows is summed in one pass per group
 
 _BLOCK, _HALO = "_block", "_halo"
 
@@ -163,13 +164,18 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
     the order is): equal values were collapsed before, so cut points on the value
     alone part the rows evenly, and a row's part is an expression. The rows are
     written once, unless they are read from such a table (``at_rest``); cut
-    points, totals and running sums come from there. Otherwise ties may be many; the rows are range-partitioned along the whole order and
+    points, totals and running sums come from there. Up to ``WHOLE_ROWS`` rows
+    need no cuts. Otherwise ties may be many; the rows are range-partitioned along the whole order and
     checkpointed, because those cut points come from a sample and a second
     evaluation could cut elsewhere.
     """
     group = list(group)
     if by is not None:
         df = df if at_rest else written(df, "running-totals")
+        if df.count() <= WHOLE_ROWS:  # of a table at rest, its footers tell
+            along = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+            return df.withColumns({n: F.sum(c).over(along) for n, c in sums.items()}
+                                  | {f"{n}_total": F.sum(c).over(Window.partitionBy(*group)) for n, c in sums.items()})
         cut = df.withColumn("_part", _parts(df, by, descending))
     else:
         cut = df.repartitionByRange(*group, *order) if group else df.repartitionByRange(*order)

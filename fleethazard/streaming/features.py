@@ -34,6 +34,7 @@ class EngineRows:
         self.spark, self.path, self.rows, self.all_every = spark, path, max(rows, 1), all_every
         self.schema = ("engine_id long, cycle long, " + "".join(f"`{s}` double, " for s in signals)
                        + "last_cycle long, dropped long, version long")
+        self.columns = ["engine_id", "cycle", *signals, "last_cycle", "dropped", "version"]
 
     def before(self, batch_id: int, engines: DataFrame | None = None, all_before: int | None = None) -> DataFrame:
         """Each engine's newest version older than ``batch_id``, of the given ``engines`` or all; ``all_before`` leaves out later
@@ -52,13 +53,12 @@ class EngineRows:
         newest = found.groupBy("engine_id").agg(F.max("version").alias("version"))
         return found.join(newest, ["engine_id", "version"]).select(*found.columns)
 
-    def save(self, batch_id: int, rows: DataFrame, totals: DataFrame) -> None:
-        """``rows`` (key and signals) and ``totals`` (``engine_id, last_cycle, dropped``) of the engines of a micro-batch."""
+    def save(self, batch_id: int, rows: DataFrame) -> None:
+        """The engines of a micro-batch: key, signals, ``last_cycle`` and ``dropped`` of their rows."""
         back = F.row_number().over(Window.partitionBy("engine_id").orderBy(F.desc("cycle")))
         # a rank filter this small is applied per task before the shuffle
-        kept = rows.withColumn("_back", back).where(F.col("_back") <= self.rows).drop("_back")
-        kept = kept.join(totals, "engine_id").withColumn("version", F.lit(batch_id).cast("long"))
-        kept.select(*self.spark.createDataFrame([], self.schema).columns).write.mode("overwrite").parquet(f"{self.path}/changed={batch_id}")
+        kept = rows.withColumn("_back", back).where(F.col("_back") <= self.rows).withColumn("version", F.lit(batch_id).cast("long"))
+        kept.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/changed={batch_id}")
         if self.all_every and (batch_id + 1) % self.all_every == 0:
             # a first attempt may have left this very version: it is written anew, and not from itself
             self.before(batch_id + 1, all_before=batch_id).write.mode("overwrite").parquet(f"{self.path}/all={batch_id}")
@@ -69,21 +69,22 @@ def batch_features(batch: DataFrame, batch_id: int, spec: FeatureSpec, state: En
     signals = signal_columns(batch)
     values = F.struct(*[nonfinite_to_null(F.col(s).cast("double")).alias(s) for s in signals])
     arrived = batch.groupBy("engine_id", "cycle").agg(F.min(values).alias("row"), F.count(F.lit(1)).alias("n"))
-    past = state.before(batch_id, batch.select("engine_id").distinct()).persist()
+    past = state.before(batch_id, batch.select("engine_id").distinct())
     heads = past.groupBy("engine_id").agg(F.max("last_cycle").alias("last"), F.max("dropped").alias("dropped_before"))
-    judged = arrived.join(heads, "engine_id", "left").withColumn("late", F.coalesce(F.col("cycle") <= F.col("last"), F.lit(False))).persist()
+    judged = arrived.join(heads, "engine_id", "left").withColumn("late", F.coalesce(F.col("cycle") <= F.col("last"), F.lit(False)))
     totals = judged.groupBy("engine_id").agg(
         F.greatest(F.max("last"), F.max(F.when(~F.col("late"), F.col("cycle")))).alias("last_cycle"),
         (F.coalesce(F.max("dropped_before"), F.lit(0)) + F.sum("n") - F.count_if(~F.col("late"))).alias("dropped"))
     fresh = judged.where("NOT late").select("engine_id", "cycle", "row.*", F.lit(False).alias("_old"))
     rows = fresh.unionByName(past.select("engine_id", "cycle", *signals, F.lit(True).alias("_old")))
+    # read by the features and by the new version; the wide plan then begins here
+    rows = rows.join(totals, "engine_id").persist()
     try:
-        features = feature_frame(rows, spec, keep=["_old"]).where("NOT _old").drop("_old")
-        sink(features.join(totals.select("engine_id", "dropped"), "engine_id"), batch_id)
-        state.save(batch_id, rows.drop("_old"), totals)
+        features = feature_frame(rows, spec, keep=["_old", "dropped"]).where("NOT _old")
+        sink(features.select(*[c for c in features.columns if c not in ("_old", "dropped")], "dropped"), batch_id)
+        state.save(batch_id, rows)
     finally:
-        judged.unpersist()
-        past.unpersist()
+        rows.unpersist()
 
 
 def stream_features(stream: DataFrame, spec: FeatureSpec, sink: Sink, state_path: str, checkpoint: str,

@@ -93,3 +93,21 @@ def test_quantiles_equal_numpy(spark, n):
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
     got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": x})), "x", probs).orderBy("prob").toPandas()
     assert np.allclose(got["quantile"], np.quantile(x, probs), rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("whole", [0, 300_000])
+def test_running_totals_along_values(spark, monkeypatch, whole):
+    """Cut by value, or summed as a whole: the same sums, down and up, with a group that holds a single row."""
+    from fleethazard.operators import ordered
+
+    monkeypatch.setattr(ordered, "WHOLE_ROWS", whole)
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"g": np.where(np.arange(3000) == 7, "c", rng.choice(["a", "b"], 3000)), "k": rng.permutation(3000) / 7.0, "v": rng.integers(0, 9, 3000)})
+    for descending in (False, True):
+        order = F.col("k").desc() if descending else F.col("k")
+        got = running_totals(spark.createDataFrame(pdf), [order], {"s": "v"}, ["g"], by="k", descending=descending).toPandas()
+        want = pdf.sort_values("k", ascending=not descending)
+        want["s"] = want.groupby("g")["v"].cumsum()
+        merged = got.merge(want, on=["g", "k"], suffixes=("", "_want"))
+        assert (merged["s"] == merged["s_want"]).all() and len(merged) == 3000
+        assert (merged["s_total"] == merged["g"].map(pdf.groupby("g")["v"].sum())).all()
