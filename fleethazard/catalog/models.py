@@ -6,6 +6,7 @@ rest, and whether scores, metrics, thresholds and choices are those worked out a
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 from functools import reduce
 
@@ -33,8 +34,8 @@ from fleethazard.plans.scoring import latest_window_rejects, score_latest_window
 from fleethazard.plans.training import (
     compare_models, importance_report, prepared_table, run_anomaly, train_select_report, train_window_model,
 )
-from fleethazard.session import written
-from fleethazard.sources.registry import load_active_model, save_model_version, set_active_version
+from fleethazard.session import replace_file, written
+from fleethazard.sources.registry import load_active_model, save_model_version, set_active_version, write_attempt
 from fleethazard.streaming.alerts import stream_score_alerts
 from fleethazard.streaming.features import EngineRows, batch_features, parquet_sink, stream_features
 
@@ -365,6 +366,33 @@ def _(spark, d):
     return spark.createDataFrame(rows, "version string, model_type string, n_features int, threshold_saved double, active boolean")
 
 
+@query("save_model_version_conflicts", """SELECT * FROM (VALUES ('interrupted', 'not there'), ('saved after it', 'v1 at 0.25'),
+  ('competing', 'refused'), ('after the refusal', 'v1 at 0.25'), ('activated without a commit', 'not there'), ('changed on disk', 'refused')) t(step, outcome)""")
+def _(spark, d):
+    """A save cut short before its commit, one that competes for a version, and a file changed afterwards."""
+    run = train_select_report(events(spark, d), TRIAL, candidates=("logreg",))
+    root, at = scratch(spark, "models"), lambda t: {**run["metadata"], "threshold": t}
+
+    def outcome(step):
+        try:
+            step()
+            _, found = load_active_model(spark, "m", root)
+            return f"{found['version']} at {found['threshold']}"
+        except FileNotFoundError:
+            return "not there"
+        except (FileExistsError, ValueError):
+            return "refused"
+
+    write_attempt(spark, "m", "v1", run["model"], at(0.75), root)
+    rows = [("interrupted", outcome(lambda: None)), ("saved after it", outcome(lambda: save_model_version(spark, "m", "v1", run["model"], at(0.25), root))),
+            ("competing", outcome(lambda: save_model_version(spark, "m", "v1", run["model"], at(0.5), root))), ("after the refusal", outcome(lambda: None)),
+            ("activated without a commit", outcome(lambda: set_active_version(spark, "m", "v2", root)))]
+    set_active_version(spark, "m", "v1", root)
+    kept = json.loads(spark.read.text(f"{root}/m/v1/COMMIT", wholetext=True).first()[0])["folder"]
+    replace_file(spark, f"{root}/m/v1/{kept}/metadata/part-extra.txt", b"{}")
+    return spark.createDataFrame([*rows, ("changed on disk", outcome(lambda: None))], "step string, outcome string")
+
+
 NEWEST = f"WITH {EV} SELECT engine_id, max(cycle) AS cycle, TRUE AS consistent FROM ev GROUP BY engine_id HAVING count(*) >= 10"
 
 

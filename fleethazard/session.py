@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,8 +59,8 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
 
 
-def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
-    """Put a small file in place in one step: readers see the old content or the new."""
+def _put_file(spark: SparkSession, path: str, content: bytes, how: str) -> None:
+    """Write a small file beside its place and rename it there, in one step."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
@@ -67,10 +68,25 @@ def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
     out = files.create(fresh, True)
     out.write(bytearray(content))
     out.close()
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    files_at = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
-    files_at.rename(files.makeQualified(fresh), files.makeQualified(target), overwrite)
+    option = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    option[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, how)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(fresh), files.makeQualified(target), option)
+    except Py4JJavaError as error:
+        files.delete(fresh, False)
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            raise FileExistsError(path) from None
+        raise
+
+
+def replace_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put a small file in place in one step: readers see the old content or the new."""
+    _put_file(spark, path, content, "OVERWRITE")
+
+
+def create_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """Put a small file where there is none, in one step; FileExistsError if there is one."""
+    _put_file(spark, path, content, "NONE")
 
 
 def scratch(spark: SparkSession, what: str) -> str:

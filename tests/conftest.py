@@ -9,8 +9,9 @@ from fleethazard.session import build_session, clean_tables, ship_package  # noq
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("local[4]", **{
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")

@@ -1,3 +1,7 @@
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,16 +11,19 @@ from pyspark.sql import functions as F
 from fleethazard.operators.classifiers import (
     FITTERS, fit_logreg, predict_proba, top_feature_importance, with_balanced_weights,
 )
-from fleethazard.operators.isolation_forest import fit_isolation_forest, mean_path, score_isolation_forest
+from fleethazard.operators.isolation_forest import fit_isolation_forest, mean_path, recomputed_scores, score_isolation_forest
 from fleethazard.operators.scaling import fit_scaler, scaler_params
-from fleethazard.operators.sweep import PolicyError
+from fleethazard.operators.metrics import early_stop_best_epoch
+from fleethazard.operators.sweep import PolicyError, ranking_metrics
 from fleethazard.params import BacktestSpec, FeatureSpec, ForestSpec, ModelSpec, PolicySpec, Profile
 from fleethazard.plans.backtest import run_backtest
 from fleethazard.plans.scoring import score_latest_with_network, score_latest_windows, score_window_requests
 from fleethazard.plans.tables import training_table
 from fleethazard.plans.training import compare_models, run_anomaly, train_select_report, train_window_model
 from fleethazard.streaming.alerts import split_complete
-from fleethazard.sources.registry import get_active_version, load_active_model, save_model_version, set_active_version
+from fleethazard.sources.registry import (
+    get_active_version, load_active_model, load_model_version, save_model_version, set_active_version, write_attempt,
+)
 
 PROFILE = Profile(
     horizon_n=8, window_l=10, features=FeatureSpec(windows=(3, 10), lags=(1,), deltas=(1,)),
@@ -139,6 +146,51 @@ def test_registry_errors(spark, wearing, tmp_path):
     assert get_active_version(spark, "m", str(tmp_path)) == "v1"
 
 
+def test_training_stops_by_its_history(wearing):
+    """Fewer epochs than allowed, the best weights kept, and the rule on the published history says the same."""
+    out = train_window_model(wearing, replace(PROFILE, models=replace(PROFILE.models, mlp_epochs=12, mlp_patience=2, mlp_steps=4)))
+    history = out["history"].orderBy("epoch").collect()
+    rule = early_stop_best_epoch(out["history"], 2).first()
+    assert [r.epoch for r in history] == list(range(1, rule.epochs_run + 1))
+    assert rule.epochs_run in (12, rule.best_epoch + 2)
+    val = out["scored"].where("split = 'val'")
+    assert ranking_metrics(val).first().pr_auc == pytest.approx(rule.best_val_pr_auc, abs=1e-12)
+    assert len({r.val_loss for r in history}) == len(history)  # each epoch goes on from the weights of the one before
+
+
+def test_forest_scores_by_expressions(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(400, 3)), columns=["a", "b", "c"])
+    pdf["engine_id"], pdf["cycle"] = np.arange(400) % 9, np.arange(400)
+    df, spec = spark.createDataFrame(pdf).repartition(3), ForestSpec(n_trees=15, max_samples=64)
+    forest = fit_isolation_forest(df, ["a", "b", "c"], spec)
+    both = recomputed_scores(forest, score_isolation_forest(forest, df, ["a", "b", "c"], 64, 400), ["a", "b", "c"], 64, 400, "again").collect()
+    assert len(both) == 400 and max(abs(r.again - r.anomaly_score) for r in both) < 1e-12
+
+
+def test_a_version_is_committed_once(spark, wearing, tmp_path):
+    """Writers that compete for a version, a crash before the commit, and files that change afterwards."""
+    model = fit_logreg(wearing.withColumn("label", (F.col("sensor_1") > 3).cast("int")), ["sensor_1"], ModelSpec(logreg_max_iter=2))
+    meta = lambda t: {"model_type": "logreg", "featureset_version": "v1", "horizon_n": 8, "window_l": 10, "feature_columns": ["sensor_1"],
+                      "threshold": t, "bucket_cutoffs": [0.2, 0.5], "target_recall": 0.85, "min_precision": 0.3, "val_metrics": None}
+    root = str(tmp_path)
+    write_attempt(spark, "m", "v1", model, meta(0.9), root)  # never committed
+    with pytest.raises(FileNotFoundError):
+        load_model_version(spark, "m", "v1", root)
+    with ThreadPoolExecutor(4) as pool:
+        saves = [pool.submit(save_model_version, spark, "m", "v1", model, meta(t / 10), root) for t in range(4)]
+    failed = [type(s.exception()) for s in saves if s.exception()]
+    assert failed == [FileExistsError] * 3
+    won = next(t for t, s in enumerate(saves) if not s.exception())
+    assert load_active_model(spark, "m", root)[1]["threshold"] == won / 10
+    assert not [p for p in (tmp_path / "m" / "v1").glob("COMMIT.*") if not p.name.endswith(".crc")]
+    part = next(Path(saves[won].result(), "metadata").glob("part-*"))
+    (part.parent / f".{part.name}.crc").unlink()
+    part.write_text(part.read_text().replace("logreg", "gbt"))
+    with pytest.raises(ValueError, match="differs from what was committed"):
+        load_active_model(spark, "m", root)
+
+
 def test_policy_out_of_reach_raises(wearing):
     impossible = Profile(horizon_n=8, window_l=10, features=PROFILE.features, models=PROFILE.models,
                          policy=PolicySpec(target_recall=1.0, min_precision=1.0))
