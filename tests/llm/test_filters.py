@@ -2,6 +2,7 @@
 
 from collections import Counter, defaultdict
 import re
+import time
 import zlib
 
 import pytest
@@ -49,6 +50,17 @@ def test_line_dedup(docs, odd_rows, odd):
     assert Counter(got) == Counter(brute_lines(rows))
 
 
+def test_texts_of_many_lines(docs):
+    """100,000 lines, half of them common: about as long as they take to read; and rows without an id, each on its own."""
+    common = [f"this is the very common line number {i} of more than forty characters" for i in range(50_000)]
+    texts = ["\n".join(x for i, line in enumerate(common) for x in (line, f"own {k} {i}")) for k in range(6)]
+    rows = list(enumerate(texts)) + [(None, texts[0]), (None, "\n".join(common[:3])), (None, common[0]), (None, None), (6, common[1]), (6, common[1] + "\n")]
+    begin = time.perf_counter()
+    got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in line_dedup(docs(rows)).collect()]
+    assert time.perf_counter() - begin < 40
+    assert Counter(got) == Counter(brute_lines(rows))
+
+
 def test_empty_tables_stay_empty(docs, spark):
     empty = docs([])
     bench = spark.createDataFrame([], "item_id long, text string")
