@@ -163,3 +163,58 @@ def test_slot_map_edits_move_little():
     again = rebalanced(grown, later, 9)
     size = {s: b for s, _, b in grown}
     assert max(load(again, 9)) < 1.1 * min(load(again, 9)) and sum(later[s] != again[s] for s in later) < 400
+
+
+def brute_shards(rows, n_shards=8, n_slots=512):
+    """Bytes by slot, largest first to the lightest shard, from the slots the operator reports."""
+    size = Counter()
+    for r in rows:
+        size[r["virtual_slot"]] += r["size"]
+    load, placed = [0] * n_shards, {}
+    for slot in sorted(size, key=lambda s: (-size[s], s)):
+        shard = min(range(n_shards), key=lambda k: (load[k], k))
+        placed[slot] = shard
+        load[shard] += size[slot]
+    return placed
+
+
+def test_first_map_equals_brute_force(docs, odd_rows):
+    rows = odd_rows + [(i, f"text {i} " * (i % 17)) for i in range(1500)]
+    got = shard_documents(docs(rows), n_slots=512).collect()
+    assert {(r["virtual_slot"], r["shard"]) for r in got} == set(brute_shards(got).items())
+    assert len({r["virtual_slot"] for r in got}) <= 512 and {r["map_version"] for r in got} == {0}
+
+
+def test_the_map_outlives_a_run(docs, spark, tmp_path):
+    """The same data read the same map; grown data and another shard edit it; each edit is one more version."""
+    path = str(tmp_path / "map")
+    rows = [(i, f"text {i} " * (1 + i % 17)) for i in range(2000)]
+    more = rows + [(5000 + i, "another text " * (i % 40)) for i in range(1000)]
+    place = lambda got: {r["virtual_slot"]: r["shard"] for r in got}
+    runs = [shard_documents(docs(r), n, n_slots=512, map_path=path).collect() for r, n in ((rows, 8), (rows, 8), (more, 8), (more, 9))]
+    maps = [place(got) for got in runs]
+    versions = [got[0]["map_version"] for got in runs]
+    assert maps[0] == maps[1] and versions[0] == versions[1] == 0 and versions[2] in (0, 1) and versions[3] == versions[2] + 1
+    moved = [s for s in maps[1] if maps[2][s] != maps[1][s]]
+    assert len(moved) < 0.2 * len(maps[1])
+    assert {maps[3][s] for s in maps[2] if maps[3][s] != maps[2][s]} == {8}
+    for got, n in zip(runs, (8, 8, 8, 9)):
+        load = Counter()
+        for r in got:
+            load[r["shard"]] += r["size"]
+        assert max(load.values()) < 1.1 * sum(load.values()) / n
+    assert sorted(p.name for p in (tmp_path / "map").iterdir()) == [f"version={v}" for v in range(versions[3] + 1)]
+    stored = spark.read.parquet(f"{path}/version={versions[3]}")
+    assert {r["virtual_slot"]: r["shard"] for r in stored.collect()} == maps[3]
+    assert stored.selectExpr("sum(n_rows)").first()[0] == 3000
+    with pytest.raises(ValueError, match="more slots or shards"):
+        shard_documents(docs(rows), 4, n_slots=512, map_path=path)
+
+
+def test_rows_without_an_id_don_t_share_a_slot(docs):
+    """A third of the rows lack an id, another third share one: the shards hold nearly the same bytes."""
+    rows = [(None, f"no id {i} " * 20) for i in range(1000)] + [(7, f"one id {i} " * 20) for i in range(1000)] + [(100 + i, f"own {i} " * 20) for i in range(1000)]
+    load = Counter()
+    for r in shard_documents(docs(rows)).collect():
+        load[r["shard"]] += r["size"]
+    assert max(load.values()) < 1.02 * sum(load.values()) / 8
