@@ -1,8 +1,8 @@
 """What the two exact substring deduplications share: rolling hashes, groups of documents in id order, packed hash lists.
 
-Documents are dealt into groups by ranges of their ids, so that of two groups one holds the smaller ids throughout. A group sends
-each distinct hash once, as sorted lists packed by difference, to the bucket that owns the hash's range. The bucket knows
-from the group numbers alone which group holds the smallest id, and answers the other groups only.
+Documents are dealt into groups by ranges of their ids, so that of two groups one holds the smaller ids throughout, or both hold
+rows of one id. A group sends each distinct hash once, as sorted lists packed by difference, to the bucket that owns the hash's
+range. The bucket knows from the group numbers alone which group holds the smallest id, and answers the later groups only.
 """
 
 from __future__ import annotations
@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleethazard.llm.support import packed
+from fleethazard.session import written
 
 WORD = 1 << 64
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
-RANGES = 1024  # id ranges cut by quantiles; each is divided evenly beyond that
+CELLS = 1 << 16  # measured id ranges that the driver holds at most; beyond that they are divided evenly
+SHARES = 1 << 20  # groups that the rows of one id can be dealt to
+ROW_BYTES = 64  # what a row counts beside its text
 SLAB = 1 << 20  # bytes hashed at a time
 
 
@@ -82,29 +85,82 @@ def slabs(texts: list[bytes]) -> Iterator[tuple[int, int]]:
             a, size = b, 0
 
 
+def merged(ranges: pd.DataFrame, limit: int) -> pd.DataFrame:
+    """``ranges`` with neighbours joined while they hold ``limit`` bytes together."""
+    out: list[list[int]] = []
+    for low, high, size in zip(ranges["low"].tolist(), ranges["high"].tolist(), ranges["bytes"].tolist()):
+        if out and out[-1][2] + size <= limit:
+            out[-1][1:] = [high, out[-1][2] + size]
+        else:
+            out.append([low, high, size])
+    return pd.DataFrame(out, columns=["low", "high", "bytes"], dtype="int64")
+
+
+def id_ranges(sizes: DataFrame, limit: int) -> pd.DataFrame:
+    """The ids of ``sizes`` (id, bytes) in ascending ranges, each with its first and last id and its bytes.
+
+    Each range holds at most ``limit`` bytes or one id alone. One that holds more is cut evenly by value, and measured again from
+    the first to the last id in each part, so that it narrows to where the bytes are."""
+    measures = [F.min("id").alias("low"), F.max("id").alias("high"), F.sum("bytes").alias("bytes")]
+    ranges = sizes.agg(*measures).dropna().toPandas()
+    while True:
+        ranges = merged(ranges.sort_values("low"), limit)
+        heavy = (ranges["bytes"] > limit) & (ranges["low"] < ranges["high"])
+        if not heavy.any():
+            return ranges
+        parts = np.where(heavy, 1 + 2 * -(-ranges["bytes"] // limit), 1).tolist()
+        starts = np.array([low + (high + 1 - low) * k // n for low, high, n in zip(ranges["low"].tolist(), ranges["high"].tolist(), parts)
+                           for k in range(n)], dtype=np.int64)
+        ranges = sizes.groupBy(_place(starts)(F.col("id"))).agg(*measures).select("low", "high", "bytes").toPandas()
+
+
+def _place(starts: np.ndarray):
+    """How many of the ascending ``starts`` don't exceed a value."""
+
+    @F.pandas_udf("long")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts, ids.to_numpy(), side="right"))
+
+    return place
+
+
 def grouped_by_id(docs: DataFrame, id_col: str, text_col: str, group_bytes: int) -> tuple[DataFrame, int]:
-    """``docs`` packed, with group number ``g``, and the number of groups.
+    """``docs`` packed, with group number ``g``, and the number of groups that its bytes fill.
 
-    The groups follow the ids: quantiles cut the ids into up to ``RANGES`` ranges, and each is divided evenly until a group has
-    about ``group_bytes`` of text. Rows without an id are spread by their text over groups of their own, below 0."""
+    The groups follow the ids and hold about ``group_bytes`` each, by measured ranges; where the corpus has more than a quarter of
+    ``CELLS`` groups, a range holds several, divided evenly by value. What an id holds beyond a group is dealt by text to groups
+    of the same rank (``rank_of``). Rows without an id are spread by their text over groups of their own, below 0."""
     base = packed(docs, id=id_col, text=text_col)
-    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // group_bytes))
-    ranges = min(n, RANGES)
-    cuts = base.select(F.col("id").cast("double")).dropna().approxQuantile("id", [i / ranges for i in range(ranges + 1)], 0.2 / ranges)
-    cuts = np.array(cuts if cuts else [0.0, 1.0])
-    parts = -(-n // ranges)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    sizes = written(base.select(F.col("id").cast("long").alias("id"), size.alias("bytes")), "id-bytes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    n = max(1, -(-total // group_bytes))
+    ranges = merged(id_ranges(sizes.dropna(), max(1, group_bytes // 4, 4 * total // CELLS)), group_bytes)
+    if not len(ranges):
+        ranges = pd.DataFrame({"low": [0], "high": [0], "bytes": [0]})
+    low, high = ranges["low"].to_numpy(), ranges["high"].to_numpy()
+    pieces = np.maximum(1, -(-ranges["bytes"].to_numpy() // group_bytes))
+    shares = np.where(low == high, np.minimum(pieces, SHARES), 1)
+    parts = np.where(low == high, 1, pieces)
+    rank = np.cumsum(parts) - parts
 
     @F.pandas_udf("long")
-    def group(ids: pd.Series) -> pd.Series:
-        x = ids.to_numpy(dtype=np.float64, na_value=0.0)
-        r = np.clip(np.searchsorted(cuts, x, side="right") - 1, 0, len(cuts) - 2)
-        low, high = cuts[r], cuts[r + 1]
-        part = np.clip(np.floor((x - low) / np.where(high > low, high - low, 1.0) * parts), 0, parts - 1)
-        return pd.Series(r * parts + part.astype(np.int64))
+    def group(ids: pd.Series, dealt: pd.Series) -> pd.Series:
+        x = ids.to_numpy(dtype=np.int64)
+        r = np.maximum(np.searchsorted(low, x, side="right") - 1, 0)
+        first = low[r].astype(np.float64)
+        part = (x.astype(np.float64) - first) / np.maximum(high[r].astype(np.float64) - first, 1.0) * parts[r]
+        part = np.clip(part.astype(np.int64), 0, parts[r] - 1)
+        return pd.Series((rank[r] + part) * SHARES + dealt.to_numpy() % shares[r])
+
+    by_text = F.xxhash64(F.coalesce("text", F.lit("")))
+    known = group(F.coalesce(F.col("id").cast("long"), F.lit(0)), by_text if shares.max() > 1 else F.lit(0).cast("long"))
+    return base.withColumn("g", F.when(F.col("id").isNull(), -1 - F.pmod(by_text, F.lit(n))).otherwise(known)), n
+
 
-    loose = -1 - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(n))
-    return base.withColumn("g", F.when(F.col("id").isNull(), loose).otherwise(group(F.coalesce("id", F.lit(0))))), n
+def rank_of(g: np.ndarray) -> np.ndarray:
+    """Of groups with different ranks, the lower one holds the smaller ids; groups of one rank share a single id."""
+    return g // SHARES
 
 
 def in_id_order(docs: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
@@ -131,10 +187,11 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def bucket_edges(values: np.ndarray, n: int) -> np.ndarray:
-    """Where each of ``n`` even hash ranges begins in the sorted ``values``, and their end."""
-    limits = np.array([(k << 64) // n for k in range(1, n)], dtype=np.uint64)
-    return np.r_[0, np.searchsorted(values, limits), len(values)]
+def by_bucket(values: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Number, start and end of those of ``n`` even hash ranges that the sorted ``values`` reach."""
+    bucket = (values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, dtype=np.int64)
+    return list(zip(bucket[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()))
 
 
 def flags(starts: np.ndarray, n: int, width: int) -> np.ndarray:

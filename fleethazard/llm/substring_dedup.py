@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleethazard.llm.repeats import (SPANS, bucket_edges, byte_values, flags, grouped_by_id, in_id_order, mixed, pack, rolling, runs, slabs,
-                                     span_hashes, spans_array, unpack)
+from fleethazard.llm.repeats import (SPANS, by_bucket, byte_values, flags, grouped_by_id, in_id_order, mixed, pack, rank_of, rolling, runs,
+                                     slabs, span_hashes, spans_array, unpack)
 from fleethazard.llm.support import SPACES, unpacked
 
 
@@ -52,7 +52,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are earlier than none. An empty table gives an empty table; input columns named like an added one give way.
 
     Equal 64-bit hashes count as equal windows: among n windows about n * n / 2^65 wrong matches are expected (0.001 for 10^8).
-    The text is shuffled once, by groups of ids; hashes travel as packed sorted lists of about six bytes, once for each
+    The text is shuffled once, by groups of ids of about ``group_bytes`` each (rows of one id are dealt to several by their
+    text; rows equal in both stay together); hashes travel as packed sorted lists of about six bytes, once for each
     group that holds them, and only lists of removable ones return. A passage shared by any number of documents is one
     hash for each group.
     """
@@ -65,8 +66,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if g >= 0:
             _, _, texts = in_id_order(table)
             hashes = np.unique(windows(texts, width)[0])
-            edges = bucket_edges(hashes, n_groups)
-            out = [(k, g, pack(hashes[a:b])) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+            out = [(k, g, pack(hashes[a:b])) for k, a, b in by_bucket(hashes, n_groups)]
         return pa.Table.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                                      pa.array([o[2] for o in out], pa.binary())], ["bucket", "g", "hashes"])
 
@@ -78,8 +78,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hashes = np.concatenate(lists)
         del lists
         by = np.argsort(hashes, kind="stable")  # of equal hashes, the lowest group comes first
-        later = np.r_[False, hashes[by][1:] == hashes[by][:-1]]
-        hashes, owner = hashes[by][later], owner[by][later]
+        hashes, owner = hashes[by], owner[by]
+        rank = rank_of(groups[order])[owner]
+        head = np.maximum.accumulate(np.where(np.r_[True, hashes[1:] != hashes[:-1]], np.arange(len(hashes)), 0))
+        later = rank > rank[head]
+        hashes, owner = hashes[later], owner[later]
         out = [(int(groups[order[k]]), pack(hashes[owner == k])) for k in np.unique(owner)]
         return pa.Table.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
                                     ["g", "held_before"])

@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleethazard.llm.repeats import (SPANS, bucket_edges, byte_values, flags, grouped_by_id, in_id_order, mixed, pack, rolling,
+from fleethazard.llm.repeats import (SPANS, by_bucket, byte_values, flags, grouped_by_id, in_id_order, mixed, pack, rank_of, rolling,
                                      runs, slabs, span_hashes, spans_array, unpack)
 from fleethazard.llm.support import unpacked
 
 GRAM = 24  # bytes hashed for anchors
+LONGEST = 1_024  # windows of one piece; only periodic stretches have more than width - GRAM + 1 under one anchor
+SHARED = 4  # groups whose packed lists fill a bucket
 SPLIT = 5_000  # different pieces under one anchor beyond which they are sent window by window
 BATCH = 1 << 18  # bytes of candidates in one suffix array
 KNOWN_BEFORE, COMPARE, COMPARE_WINDOWS, FOUND = range(4)
@@ -175,6 +177,10 @@ def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
         change = np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])]
         heads = np.flatnonzero(inside & (change | ~np.r_[False, inside[:-1]]))
         tails = np.flatnonzero(inside & np.r_[change[1:] | ~inside[1:], True]) + 1
+        parts = -(-(tails - heads) // LONGEST)
+        tails = np.repeat(tails, parts)
+        heads = np.repeat(heads, parts) + _counting(parts) * LONGEST
+        tails = np.minimum(tails, heads + LONGEST)
         out["anchor"].append(mixed(least[heads]) >> np.uint64(24))  # minima crowd at the low end; mixed, they fill the buckets evenly
         out["hash"].append(span_hashes(values, heads, tails + width - 1))
         out["owner"].append(owner[heads] + a)
@@ -211,8 +217,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nothing. Rows with the same id are separate documents, neither of them earlier; rows without an id lose nothing and are
     earlier than none. An empty table gives an empty table; input columns named like an added one give way.
 
-    The text is shuffled once, by groups of ids. Anchors and hashes of pieces travel as packed lists; whole pieces are equal if
-    their 64-bit hashes and anchors are, parts of pieces by their bytes. A piece of any number of copies is sent for comparison once.
+    The text is shuffled once, by groups of ids of about ``group_bytes`` each (rows of one id are dealt to several by their text; rows
+    equal in both stay together). Periodic stretches make pieces of at most ``LONGEST`` windows. Anchors and hashes of pieces travel as packed lists; whole pieces are equal if
+    their 64-bit hashes and anchors are, parts of pieces by their bytes. A piece of any number of copies is sent for comparison once (for an
+    id dealt to several groups, once from each).
     Anchors with more than ``SPLIT`` different pieces are compared window by window, spread by the windows' hashes; a group
     sends equal windows once and answers its later documents itself.
     """
@@ -232,8 +240,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             anchors = pieces["anchor"][index]
             by = np.argsort(anchors, kind="stable")
             anchors, hashes = anchors[by], hashes[by]
-            edges = bucket_edges(anchors << np.uint64(24), n_groups)
-            out = [(k, g, pack(anchors[a:b]), hashes[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+            out = [(k, g, pack(anchors[a:b]), hashes[a:b].tobytes())
+                   for k, a, b in by_bucket(anchors << np.uint64(24), max(1, n_groups // SHARED))]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return pa.Table.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["bucket", "g", "anchors", "hashes"])
 
@@ -249,7 +257,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         first = new_anchor | np.r_[True, hashes[1:] != hashes[:-1]]
         number = np.cumsum(new_anchor) - 1
         different = np.bincount(number[first])[number]
-        kind = np.where(~first, KNOWN_BEFORE, np.where(different > SPLIT, COMPARE_WINDOWS, np.where(different > 1, COMPARE, -1)))
+        rank = rank_of(g)
+        head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        kind = np.where(rank > rank[head], KNOWN_BEFORE, np.where(different > SPLIT, COMPARE_WINDOWS, np.where(different > 1, COMPARE, -1)))
         out = []
         for k in (KNOWN_BEFORE, COMPARE, COMPARE_WINDOWS):
             mine = np.flatnonzero(kind == k)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import GroupedData
 
-from fleethazard.llm import simhash, suffix_dedup as suffix
+from fleethazard.llm import repeats, simhash, suffix_dedup as suffix
 from fleethazard.llm.components import connected_components
 from fleethazard.llm.simhash import Probing, fingerprint, hamming_links, linked, simhash_dedup, simhash_groups
 from fleethazard.llm.substring_dedup import substring_dedup
@@ -119,6 +119,76 @@ def test_substring_dedup(docs, odd_rows, width):
     assert all(sum(s["end"] - s["start"] for s in r["removed"]) == r["n_removed"] for r in done)
 
 
+def clustered():
+    """Most ids in one dense run far from a few others, a third of the rows under one id, ids at the ends of their type."""
+    rng = random.Random(3)
+    texts = [t for _, t in passages(4)]
+    ids = [(1 << 50) + k for k in range(50)] + [7] * 30 + [-(1 << 63), (1 << 63) - 1, 0, 1, None, None]
+    return [(i, rng.choice(texts)[rng.randint(0, 40):] + f" {k}") for k, i in enumerate(ids)]
+
+
+@pytest.mark.parametrize("cells", [1 << 16, 40])
+def test_groups_of_clustered_and_repeated_ids(docs, cells, monkeypatch):
+    """Groups are bounded by their bytes and ordered by id; only those of one rank share an id."""
+    monkeypatch.setattr(repeats, "CELLS", cells)
+    rows = clustered()
+    grouped, n = repeats.grouped_by_id(docs(rows), "doc_id", "text", 4000)
+    held = defaultdict(list)
+    for r in grouped.where("g >= 0").collect():
+        held[r["g"]].append((r["id"], len(r["text"].encode()) + repeats.ROW_BYTES))
+    assert n == -(-sum(len(t.encode()) + repeats.ROW_BYTES for _, t in rows) // 4000)
+    if cells > 40:
+        assert max(sum(size for _, size in v) for i, v in held.items() if len({x for x, _ in v}) > 1) <= 4000
+    assert len({g for g, v in held.items() if v[0][0] == 7}) > 2
+    ranked = defaultdict(set)
+    for g, v in held.items():
+        ranked[int(repeats.rank_of(np.array([g]))[0])] |= {i for i, _ in v}
+    order = [ranked[k] for k in sorted(ranked)]
+    assert all(max(a) < min(b) for a, b in zip(order, order[1:]))
+    assert all(len(ranked[g // repeats.SHARES]) == 1 for g in held if g % repeats.SHARES)
+
+
+@pytest.mark.parametrize("cells", [1 << 16, 40])
+def test_dedup_of_clustered_and_repeated_ids(docs, cells, monkeypatch):
+    monkeypatch.setattr(repeats, "CELLS", cells)
+    rows = clustered()
+    done = suffix.suffix_dedup(docs(rows), group_bytes=4000).collect()
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in done]
+    assert Counter(got) == Counter(brute_bytes(rows))
+    done = substring_dedup(docs(rows), width=5, group_bytes=4000).collect()
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], len(r["removed"]), r["text"]) for r in done]
+    assert Counter(got) == Counter(brute_words(rows, 5))
+
+
+def test_id_ranges_narrow_to_the_bytes(spark):
+    rows = [((1 << 40) + k, 10) for k in range(500)] + [(3, 1000), (4, 1), ((1 << 62), 10)]
+    ranges = repeats.id_ranges(spark.createDataFrame(rows, "id long, bytes long"), 100)
+    assert ranges["bytes"].sum() == 6011 and len(ranges) < 2 * 6011 // 100 + 2
+    assert all(r.bytes <= 100 or r.low == r.high for r in ranges.itertuples())
+
+
+def test_buckets_reached():
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 1000, dtype=np.uint64))
+    for n in (1, 7, 5000):
+        got = repeats.by_bucket(values, n)
+        assert [(k, a, b) for k, a, b in got if a == b] == [] and got[0][1] == 0 and got[-1][2] == 1000
+        for k, a, b in got:
+            assert {int(v >> 32) * n >> 32 for v in values[a:b].tolist()} == {k}
+    assert repeats.by_bucket(values[:0], 7) == []
+
+
+def test_periodic_texts_make_short_pieces(docs, monkeypatch):
+    """Long stretches of a period become pieces of bounded length; what is removed stays that of the windows."""
+    long = b"ab" * 400_000
+    pieces = suffix.pieces_of([long], 50)
+    assert pieces["n"].max() <= suffix.LONGEST and pieces["n"].sum() == len(long) - 49
+    monkeypatch.setattr(suffix, "LONGEST", 32)
+    rows = [(5, "z" * 400), (2, "z" * 130 + "y"), (9, "x" + "ab" * 150), (4, "ab" * 60 + "q"), (4, "ba" * 200), (6, "abc" * 99)]
+    done = suffix.suffix_dedup(docs(rows), group_bytes=300).collect()
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in done]
+    assert Counter(got) == Counter(brute_bytes(rows))
+
+
 def test_empty_tables(docs):
     empty = docs([])
     assert suffix.suffix_dedup(empty).count() == substring_dedup(empty).count() == 0
