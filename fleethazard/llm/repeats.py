@@ -196,9 +196,9 @@ def by_bucket(values: np.ndarray, n: int) -> list[tuple[int, int, int]]:
 
 def flags(starts: np.ndarray, n: int, width: int) -> np.ndarray:
     """Of ``n`` places, those within ``width`` places from a start on."""
-    marks = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, np.minimum(starts + width, n), -1)
+    if not len(starts):
+        return np.zeros(n, dtype=bool)
+    marks = np.bincount(starts, minlength=n + 1) - np.bincount(np.minimum(starts + width, n), minlength=n + 1)
     return np.cumsum(marks[:n]) > 0
 
 

@@ -102,9 +102,9 @@ def suffix_array(text: bytes) -> list[int]:
 def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[np.ndarray]:
     """For each piece, the windows whose bytes also occur in a piece with a smaller id, from a suffix array.
 
-    Only runs of windows whose hash occurs under two ids go into the array."""
+    Only runs of windows whose hash occurs under two ids go into the array, each different run once: the smallest id of any run
+    that holds a window settles it for all."""
     found = [np.zeros(0, dtype=np.int64) for _ in pieces]
-    hits: list[list[int]] = [[] for _ in pieces]
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     hashes = rolling(byte_values()[data], width)
     if not len(hashes):
@@ -122,36 +122,31 @@ def repeated_windows(pieces: list[bytes], ids: np.ndarray, width: int) -> list[n
     held = ids[owner[at]]
     differ = np.minimum.reduceat(held, heads) != np.maximum.reduceat(held, heads)
     twice[at[np.repeat(differ, np.diff(np.r_[heads, len(at)]))]] = True
-    texts, origin = [], []
     cut = np.r_[True, owner[1:] != owner[:-1]]
     heads = np.flatnonzero(twice & (cut | ~np.r_[False, twice[:-1]]))
-    tails = np.flatnonzero(twice & np.r_[cut[1:] | ~twice[1:], True]) + 1
-    for a, b in zip(heads.tolist(), tails.tolist()):
-        texts.append(data[a:b + width - 1].tobytes())
-        origin.append(np.r_[np.arange(a, b), np.full(width, -1)])
-    if not texts:
+    if not len(heads):
         return found
-    text = b"\xff".join(texts) + b"\xff"  # a byte that UTF-8 doesn't have
-    origin_of = np.concatenate(origin)
+    sizes = np.flatnonzero(twice & np.r_[cut[1:] | ~twice[1:], True]) + 1 - heads
+    number: dict[bytes, int] = {}  # equal runs go in once
+    run = np.array([number.setdefault(data[a:a + n + width - 1].tobytes(), len(number)) for a, n in zip(heads.tolist(), sizes.tolist())])
+    text = b"\xff".join(number) + b"\xff"  # a byte that UTF-8 doesn't have
+    lengths_in = np.array([len(t) + 1 for t in number])
+    begins_in = np.cumsum(lengths_in) - lengths_in
+    smallest = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, run, ids[owner[heads]])
     order = np.array(suffix_array(text))
-    order = order[origin_of[order] >= 0]
-    head, least, same = b"", 0, []
-
-    def settle():
-        for at in same:
-            k = owner[at]
-            if ids[k] > least:
-                hits[k].append(at - begins[k])
-
-    for at in order.tolist():
-        window, source = text[at:at + width], int(origin_of[at])
-        if window != head:
-            settle()
-            head, least, same = window, ids[owner[source]], []
-        least = min(least, ids[owner[source]])
-        same.append(source)
-    settle()
-    return [np.array(h, dtype=np.int64) for h in hits]
+    starts = np.zeros(len(text), dtype=bool)  # where windows start
+    starts[np.repeat(begins_in, lengths_in - width) + _counting(lengths_in - width)] = True
+    order = order[starts[order]]
+    windows = [text[at:at + width] for at in order.tolist()]
+    first = np.flatnonzero(np.r_[True, [x != y for x, y in zip(windows, windows[1:])]])
+    least = np.zeros(len(text), dtype=np.int64)  # the smallest id that holds a window
+    held = np.repeat(smallest, lengths_in)[order]
+    least[order] = np.repeat(np.minimum.reduceat(held, first), np.diff(np.r_[first, len(order)]))
+    source = np.repeat(owner[heads], sizes)
+    later = least[np.repeat(begins_in[run], sizes) + _counting(sizes)] < ids[source]
+    places = (np.repeat(heads, sizes) + _counting(sizes) - begins[source])[later]
+    return np.split(places, np.searchsorted(source[later], np.arange(1, len(pieces))))
 
 
 def pieces_of(texts: list[bytes], width: int) -> dict[str, np.ndarray]:
@@ -246,12 +241,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.Table.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["bucket", "g", "anchors", "hashes"])
 
     def answer(table: pa.Table) -> pa.Table:
+        table = table.sort_by("g")
         groups = table.column("g").to_numpy()
         lists = [unpack(b.as_py()) for b in table.column("anchors")]
         g = np.repeat(groups, [len(x) for x in lists])
         anchors = np.concatenate(lists)
         hashes = np.concatenate([np.frombuffer(b.as_py(), dtype=np.uint64) for b in table.column("hashes")])
-        by = np.lexsort((g, hashes, anchors))
+        by = np.lexsort((hashes, anchors))  # keeps the order of groups
         anchors, hashes, g = anchors[by], hashes[by], g[by]
         new_anchor = np.r_[True, anchors[1:] != anchors[:-1]]
         first = new_anchor | np.r_[True, hashes[1:] != hashes[:-1]]
