@@ -58,6 +58,13 @@ def with_text_rules(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", covered).drop("words", "hashes", "codes", "repeated")
 
 
+def _among(values: Column, key: Column) -> Column:
+    """Whether the ascending array ``values`` holds ``key``, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(values, at + step - 1) <= key, at + step).otherwise(at))
+    return F.coalesce(F.get(values, place - 1) == key, F.lit(False))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   min_words: int = 50, max_repeat_percent: int = 50, line_min_docs: int = 10,
                   line_percent: int = 2, remain_percent: int = 30) -> DataFrame:
@@ -73,7 +80,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are one document: their words are counted together for the depletion rule. Rows without an id count as no document
     and lose no line. An empty table gives an empty table. Input columns named like an added one give way.
 
-    Only hashes, ids and counts are shuffled to reach a verdict; the text moves only if ``clean_text`` is asked for.
+    A text's lines are looked up among its sorted hashes over the limit, so many lines in one text do no harm. Only hashes, ids and
+    counts are shuffled to reach a verdict; the text moves only if ``clean_text`` is asked for.
     """
     names = {"id": id_col, "text": text_col, "host": host_col}
     base = with_text_rules(packed(docs, **names))
@@ -91,18 +99,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     over = written(over, "host-lines").withColumnsRenamed({"h1": "o1", "h2": "o2"})
     hit = pairs.join(over, (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2")) & F.col("host").eqNullSafe(F.col("site")))
     lost = hit.groupBy(F.col("id").alias("owner")).agg(
-        F.sum("w").alias("lost"), F.collect_set(F.struct("host", "h1", "h2")).alias("drop"))
+        F.sum("w").alias("lost"), F.sort_array(F.collect_set(F.struct("host", "h1", "h2"))).alias("drop"))
     total = base.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("whole")).agg(F.sum("n_words").alias("doc_words"))
     lost = lost.join(total, F.col("owner") == F.col("whole")).drop("whole")
     judged = base.join(lost, F.col("id") == F.col("owner"), "left")
 
-    def stays(line: Column) -> Column:
-        return ~F.array_contains("drop", F.struct(F.col("host"), *hash128(line_key(line))))
-
+    keyed = F.transform(F.split("text", "\n", -1), lambda line: F.struct(
+        line.alias("line"), F.struct(F.col("host").alias("host"), *hash128(line_key(line))).alias("key")))
+    stay = F.transform(F.filter(keyed, lambda x: ~_among(F.col("drop"), x["key"])), lambda x: x["line"])
     depleted = F.coalesce(100 * (F.col("doc_words") - F.col("lost")) < remain_percent * F.col("doc_words"), F.lit(False))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    clean = F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-        F.array_join(F.filter(F.split("text", "\n", -1), stays), "\n"))
+    clean = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     return unpacked(judged, docs, names, {
         **{c: F.col(c) for c in FEATURES}, "base_failed": failed,
         "n_line_words": F.coalesce("lost", F.lit(0)).cast("long"), "clean_text": clean, "kept": ~failed & ~depleted})

@@ -190,9 +190,9 @@ l AS (SELECT doc_id, source, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\
                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
       FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
 h AS (SELECT source, count(DISTINCT doc_id) AS site_docs FROM d GROUP BY source),
-o AS (SELECT source, key FROM l JOIN h USING (source) WHERE w > 0 GROUP BY source, key, site_docs
+o AS (SELECT l.source, key FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source WHERE w > 0 GROUP BY l.source, key, site_docs
       HAVING count(DISTINCT doc_id) >= 10 AND 100 * count(DISTINCT doc_id) >= 2 * site_docs),
-x AS (SELECT doc_id, sum(w) AS lost FROM l JOIN o USING (source, key) WHERE w > 0 GROUP BY doc_id)
+x AS (SELECT doc_id, sum(w) AS lost FROM l JOIN o ON l.source IS NOT DISTINCT FROM o.source AND l.key = o.key WHERE w > 0 GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        coalesce(lost, 0)::BIGINT AS n_line_words,

@@ -1,6 +1,7 @@
 """Line dedup, quality rules, decontamination, sharding."""
 
 from collections import Counter, defaultdict
+import random
 import re
 import time
 import zlib
@@ -101,6 +102,31 @@ def test_lines_of_a_host_deplete_documents(docs):
     assert not got[50]["kept"]
 
 
+def test_clean_text_of_many_lines_and_hosts(spark):
+    """Lines over the limit go wherever they stand, host by host (none included), and texts of many lines stay quick."""
+    rng = random.Random(6)
+    common = [f"common line {k} of the host" for k in range(3000)]
+    rows = []
+    for i in range(36):
+        host = ("a", "b", None)[i % 3]
+        lines = [f"own {i} {k}" for k in range(40)] + ([f" {x.upper()}" if rng.random() < 0.5 else x for x in common] if host != "b" or i < 10 else [])
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), host))
+    rows += [(40, rows[0][1], "b"), (40, rows[0][1], "a"), (None, rows[0][1], "a"), (41, None, None), (42, "\n\n", None)]
+    key = lambda line: lower(line.strip(SPACES))
+    held, site = defaultdict(set), defaultdict(set)
+    for i, t, host in rows:
+        if i is not None:
+            site[host].add(i)
+            for line in (t or "").split("\n"):
+                held[host, key(line)].add(i)
+    over = {k for k, v in held.items() if len(v) >= 10 and 100 * len(v) >= 2 * len(site[k[0]]) and k[1]}
+    want = [(i, host, t if t is None or i is None else "\n".join(x for x in t.split("\n") if (host, key(x)) not in over)) for i, t, host in rows]
+    assert sum(t != w[2] for (_, t, _), w in zip(rows, want)) == 25
+    got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    assert Counter((r["doc_id"], r["source"], r["clean_text"]) for r in got) == Counter(want)
+
+
 def brute_leaks(rows, items, window=10):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
     known = defaultdict(set)
