@@ -17,6 +17,7 @@ from fleethazard.session import written
 
 CELLS = 1 << 14  # hashed byte trigrams
 SLAB = 1 << 20
+DEALT = 1 << 40
 TEXT_EVIDENCE = 200.0  # a text speaks as this many trigrams at most: they are not independent
 
 
@@ -56,39 +57,40 @@ class TextModel:
         return out
 
 
-def fit_text_model(samples: DataFrame, max_docs: int = 20_000) -> TextModel:
-    """Smoothed trigram shares of each language from about ``max_docs`` rows of ``samples`` (id, text, lang), taken by a hash
-    of the id. Rows without language or text are not used."""
+def fit_text_model(samples: DataFrame, max_docs: int = 5_000, max_languages: int = 256) -> TextModel:
+    """Smoothed trigram shares of each language from about ``max_docs`` rows a language of ``samples`` (id, text, lang), taken by a
+    hash of id and text, so that a rare language keeps its rows. Rows without language or text are not used. Of more than
+    ``max_languages`` languages the most frequent are learnt (ties: first by name). The priors count all rows."""
     samples = samples.dropna(subset=["lang", "text"])
-    share = min(1.0, max_docs / max(samples.count(), 1))
-    samples = samples.where(F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1_000_000)) < int(1_000_000 * share))
+    rows_of = samples.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
+    rows_of = {r["lang"]: r["rows"] for r in rows_of}
+    shares = [(lang, int(DEALT * min(1.0, max_docs / n))) for lang, n in rows_of.items()]
+    learnt = F.broadcast(samples.sparkSession.createDataFrame(shares, "lang string, share long"))
+    samples = samples.join(learnt, "lang").where(F.pmod(F.xxhash64(F.lit("language"), "id", "text"), F.lit(DEALT)) < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             texts = np.array(batch.column("text").cast(pa.binary()).to_pylist(), dtype=object)
             for lang in set(langs):
                 mine = list(texts[langs == lang])
-                rows[lang] = rows.get(lang, 0) + len(mine)
                 total = totals.setdefault(lang, np.zeros(CELLS, dtype=np.int64))
                 for _, _, data in _slabs(mine):
                     total += np.bincount(trigram_cells(data), minlength=CELLS)
         for lang, total in totals.items():
-            total = np.append(total, rows[lang])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(total)), pa.array(np.arange(len(total))), pa.array(total)],
                                              ["lang", "cell", "n"])
 
     sums = samples.select("lang", "text").mapInArrow(count, "lang string, cell long, n long")
     sums = sums.groupBy("lang", "cell").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
-    languages = sorted(sums["lang"].unique())
-    counts = np.zeros((CELLS + 1, len(languages)))
+    languages = sorted(rows_of)
+    counts = np.zeros((CELLS, len(languages)))
     for k, lang in enumerate(languages):
         mine = sums[sums["lang"] == lang]
         counts[mine["cell"], k] = mine["n"]
-    smoothed = counts[:CELLS] + 0.5
-    docs = counts[CELLS] + 1.0
+    smoothed = counts + 0.5
+    docs = np.array([rows_of[lang] + 1.0 for lang in languages])
     return TextModel(languages, np.log(smoothed / smoothed.sum(axis=0)), np.log(docs / docs.sum()))
 
 

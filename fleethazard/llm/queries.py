@@ -44,11 +44,13 @@ def sha256(text) -> F.Column:
 
 @query("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page and every document; the text model learns from the documents' declared languages."""
+    """Every page and every document; the text model learns from the languages that documents and pages declare."""
     docs = table(spark, sf_dir, "documents")
-    model = fit_text_model(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    pages = page_evidence(table(spark, sf_dir, "pages"))
+    samples = docs.select(F.col("doc_id").alias("id"), "text", F.lower("lang").alias("lang"))
+    model = fit_text_model(samples.unionByName(pages.select("id", "text", F.col("declared").alias("lang"))))
     none = F.lit(None).cast("long")
-    rows = (page_evidence(table(spark, sf_dir, "pages")).withColumns({"doc_id": none, "page_id": F.col("id")})
+    rows = (pages.withColumns({"doc_id": none, "page_id": F.col("id")})
             .unionByName(document_evidence(docs).withColumns({"doc_id": F.col("id"), "page_id": none})))
     return identify_language(rows.drop("id"), model, ["doc_id", "page_id"])
 

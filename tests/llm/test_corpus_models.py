@@ -1,5 +1,7 @@
 """Language ID, quality classifier, BPE, and the pipeline."""
 
+import functools
+import math
 import random
 import time
 
@@ -92,6 +94,62 @@ def test_language_of_pages(spark):
     assert all(0 <= r["confidence"] <= 1 for r in got)
 
 
+def brute_languages(rows, model, strength=5.0):
+    """Language and confidence of each (id, text, declared, suffix, host, domain), by sums in plain Python."""
+    n = len(model.languages)
+
+    def posterior(logs):
+        parts = [math.exp(x - max(logs)) for x in logs]
+        return [p / sum(parts) for p in parts]
+
+    ll = [model.log_likelihoods([(r[1] or "").encode()])[0].tolist() for r in rows]
+    p = [posterior([a + b for a, b in zip(x, model.log_prior)]) for x in ll]
+    add = lambda pairs: functools.reduce(lambda m, kv: m | {kv[0]: [a + b for a, b in zip(m.get(kv[0], [0.0] * n), kv[1])]}, pairs, {})
+    whole = [sum(x[k] for x in p) for k in range(n)]
+    share = [(x + 1) / (sum(whole) + n) for x in whole]
+    smooth = lambda counts, prior: [(c + strength * q) / (sum(counts) + strength) for c, q in zip(counts, prior)]
+    declared, suffix = (add((r[c], x) for r, x in zip(rows, p) if r[c] is not None) for c in (2, 3))
+    hosts = add(((r[4], r[5]), x) for r, x in zip(rows, p) if r[4] is not None)
+    domains = add((d, x) for (_, d), x in hosts.items() if d is not None)
+    out = []
+    for r, x in zip(rows, ll):
+        logs = list(x)
+        for key, sums in ((r[2], declared), (r[3], suffix)):
+            if key is not None:
+                logs = [v + math.log((sums[key][k] + strength * share[k] * 0.01) / (whole[k] + strength * share[k])) for k, v in enumerate(logs)]
+        prior = share
+        if r[4] is not None:
+            prior = smooth(hosts[r[4], r[5]], smooth(domains[r[5]], share) if r[5] is not None else share)
+        q = posterior([v + math.log(w) for v, w in zip(logs, prior)])
+        out.append((r[0], model.languages[q.index(max(q))], max(q)))
+    return out
+
+
+def test_language_equals_brute_force(spark):
+    samples, table, _ = pages(spark)
+    model = fit_text_model(samples)
+    extra = spark.createDataFrame([(900, None, None), (901, "", ""), (902, "no address", "<b>der die und nicht das</b>"), (904, "http://localhost/", "the"),
+                                   (903, "http://www.site1.example.de/q", '<html lang="xx">le der the'), (903, "http://www.site1.example.de/q", '<html lang="xx">le der the')], table.schema)
+    evidence = page_evidence(table.union(extra)).repartition(3)
+    rows = [tuple(r) for r in evidence.select("id", "text", "declared", "suffix", "host", "domain").collect()]
+    want = sorted(brute_languages(rows, model))
+    got = sorted((r["id"], r["lang"], r["confidence"]) for r in identify_language(evidence, model, ["id"]).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], atol=1e-4)
+
+
+def test_rare_languages_are_learnt(spark):
+    """The bound is one for each language: a rare one keeps all its rows, and the priors still count every row."""
+    words = {"en": "the and with that", "de": "der und nicht das", "nn": "ikkje berre noko eg"}
+    rows = [(i, " ".join([words[lang]] * 3) + f" {i}", lang) for i, lang in enumerate(["en"] * 3000 + ["de"] * 300 + ["nn"] * 2)]
+    samples = spark.createDataFrame(rows + [(None, "x", None), (1, None, "zz")], "id long, text string, lang string")
+    model = fit_text_model(samples, max_docs=20)
+    assert model.languages == ["de", "en", "nn"]
+    assert np.allclose(np.exp(model.log_prior), np.array([301, 3001, 3]) / 3305)
+    assert model.log_likelihoods([b"eg ikkje noko berre"])[0].argmax() == 2
+    assert fit_text_model(samples, max_docs=20, max_languages=2).languages == ["de", "en"]
+
+
 def test_language_without_rows_or_model(spark):
     samples, table, _ = pages(spark)
     model = fit_text_model(samples)
