@@ -23,16 +23,21 @@ KEY, ORDER = "engine_id", "cycle"
 BLOCK_SHIFT = 16  # a block spans 2**16 order values, so at most 65,536 rows of one engine
 MAX_PARTS = 256  # value ranges a table of running totals is cut into
 WHOLE_ROWS = 300_000  # a table of at most this many collapsed rows is summed in one pass per group
+LOOKUP_CELLS = 2_000_000  # lookup tables of more cells are shuffled, however small their files are
 
 _BLOCK, _HALO = "_block", "_halo"
 
 
 def lookup_join(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join a narrow lookup table, evaluated once: it is written to the shared folder, and its size there tells Spark whether it may
-    be broadcast (``spark.sql.autoBroadcastJoinThreshold``). Beyond that both sides are shuffled, and adaptive execution
-    splits the partitions of a hot key.
+    be broadcast (``spark.sql.autoBroadcastJoinThreshold``). Files of sorted keys are many times smaller than their rows, so
+    tables of more than ``LOOKUP_CELLS`` are never broadcast. Then both sides are shuffled, and adaptive execution splits the
+    partitions of a hot key.
     """
-    return df.join(written(side, "lookup"), list(on), how)
+    side = written(side, "lookup")
+    if side.count() * len(side.columns) > LOOKUP_CELLS:  # its footers tell
+        side = side.hint("merge")
+    return df.join(side, list(on), how)
 
 
 def _block_summary(df: DataFrame, keys: Sequence[str], order: str, shift: int) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleethazard.functions.columns import require_columns
-from fleethazard.operators.ordered import drop_halo, with_halo
 from fleethazard.operators.scaling import count_cells
 
 
@@ -35,12 +34,33 @@ def require_no_duplicates(df: DataFrame, keys: Sequence[str] = ("engine_id", "cy
         raise ValueError(f"{n} rows share their key {list(keys)} with a duplicate")
 
 
+LEAF_SHIFT, BRANCH_SHIFT = 16, 10  # ordinals of a block of rows; blocks of a group, at every level above
+
+
+def _level(rows: DataFrame, up: Column, place: Column, fault: Callable[[Column, Column], Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (``keys, at, first, last, bad``) under the group ``up`` they belong to: one row per group, with the faults between
+    neighbours along ``place``, from the last of one row to the first of the next."""
+    rows = rows.withColumn("_up", up)
+    before = F.lag("last").over(Window.partitionBy(*keys, "_up").orderBy(place))
+    marked = rows.withColumn("_step", F.coalesce(fault(F.col("first"), before), F.lit(False)))
+    return marked.groupBy(*keys, "_up").agg(F.min_by("first", place).alias("first"), F.max_by("last", place).alias("last"),
+                                            (F.sum("bad") + F.count_if("_step")).alias("bad")).withColumnRenamed("_up", "at")
+
+
 def check_monotonic_cycle(df: DataFrame, ordinal: str) -> DataFrame:
-    """``engine_id, violations``: rows whose cycle does not exceed the engine's previous one in ingest order."""
-    rows, parts = with_halo(df.select("engine_id", "cycle", ordinal), 1, order=ordinal)
-    before = F.lag("cycle").over(Window.partitionBy(*parts).orderBy(ordinal))
-    marked = drop_halo(rows.withColumn("_bad", (F.col("cycle") <= before)))
-    return marked.groupBy("engine_id").agg(F.count_if("_bad").alias("violations")).where(F.col("violations") > 0)
+    """``engine_id, violations``: rows whose cycle does not exceed the engine's previous one in ingest order.
+
+    An engine's rows are compared in blocks of ordinals, as in `check_sorted_by_key`: no table of blocks is joined or broadcast,
+    however far an engine's ordinals lie apart. Rows of an engine that share an ordinal are taken in order of their cycle."""
+    rows = df.select("engine_id", F.col(ordinal).cast("long").alias("at"), F.col("cycle").alias("first"), F.col("cycle").alias("last"),
+                     F.lit(0).cast("long").alias("bad"))
+    place, back = F.struct("at", "first"), lambda first, before: first <= before
+    rows = _level(rows, F.shiftright("at", LEAF_SHIFT), place, back, ["engine_id"])
+    for _ in range(-(-(64 - LEAF_SHIFT) // BRANCH_SHIFT)):
+        rows = _level(rows, F.shiftright("at", BRANCH_SHIFT), place, back, ["engine_id"])
+    # the ordinals below 0, those from 0 on, and rows without one, which come first
+    rows = _level(rows, F.lit(0).cast("long"), place, back, ["engine_id"])
+    return rows.where(F.col("bad") > 0).select("engine_id", F.col("bad").alias("violations"))
 
 
 def require_monotonic_cycle(df: DataFrame, ordinal: str) -> None:
@@ -49,26 +69,17 @@ def require_monotonic_cycle(df: DataFrame, ordinal: str) -> None:
         raise ValueError(f"cycles of engine {bad['engine_id']} are not monotonic in ingest order")
 
 
-LEAF_SHIFT, BRANCH_SHIFT = 16, 10  # ordinals of a block of rows; blocks of a group, at every level above
-
-
 def check_sorted_by_key(df: DataFrame, ordinal: str) -> DataFrame:
     """``violations``: rows whose (engine_id, cycle) is below that of the row before them in ingest order.
 
     Blocks of 2^16 ordinals are ordered each by itself and leave their first and last key; neighbouring blocks are compared by those,
     level by level, 2^10 at a time. No task orders more than that, however long the table. Ordinals must be unique."""
-    def level(rows: DataFrame, shift: int) -> DataFrame:
-        """Rows (``at, first, last, bad``) under the group they belong to: one row per group, with the steps down between them."""
-        before = F.lag("last").over(Window.partitionBy("_up").orderBy("at"))
-        marked = rows.withColumn("_up", F.shiftright("at", shift)).withColumn("_step", F.coalesce(F.col("first") < before, F.lit(False)))
-        return marked.groupBy("_up").agg(F.min_by("first", "at").alias("first"), F.max_by("last", "at").alias("last"),
-                                         (F.sum("bad") + F.count_if("_step")).alias("bad")).withColumnRenamed("_up", "at")
-
     key = F.struct("engine_id", "cycle")
     rows = df.select(F.col(ordinal).cast("long").alias("at"), key.alias("first"), key.alias("last"), F.lit(0).cast("long").alias("bad"))
-    rows = level(rows, LEAF_SHIFT)
+    down = lambda first, before: first < before
+    rows = _level(rows, F.shiftright("at", LEAF_SHIFT), F.col("at"), down)
     for _ in range(-(-(64 - LEAF_SHIFT) // BRANCH_SHIFT)):
-        rows = level(rows, BRANCH_SHIFT)
+        rows = _level(rows, F.shiftright("at", BRANCH_SHIFT), F.col("at"), down)
     # what is left is at most one group of ordinals from 0 on and one below; the latter comes first
     ends = rows.agg(F.sum("bad").alias("bad"), F.max(F.when(F.col("at") < 0, F.col("last"))).alias("below"), F.max(F.when(F.col("at") >= 0, F.col("first"))).alias("above"))
     return ends.select(F.coalesce(F.col("bad") + F.when(F.col("above") < F.col("below"), 1).otherwise(0), F.lit(0)).alias("violations"))

@@ -111,3 +111,15 @@ def test_running_totals_along_values(spark, monkeypatch, whole):
         merged = got.merge(want, on=["g", "k"], suffixes=("", "_want"))
         assert (merged["s"] == merged["s_want"]).all() and len(merged) == 3000
         assert (merged["s_total"] == merged["g"].map(pdf.groupby("g")["v"].sum())).all()
+
+
+def test_a_lookup_table_beyond_its_cells_is_not_broadcast(spark, monkeypatch):
+    """Its file is far below Spark's broadcast threshold all the same."""
+    from fleethazard.operators import ordered
+
+    df, side = spark.range(5000), spark.range(0, 5000, 2).withColumn("x", F.col("id") + 1)
+    assert "BroadcastHashJoin" in ordered.lookup_join(df, side, ["id"])._jdf.queryExecution().toString()
+    monkeypatch.setattr(ordered, "LOOKUP_CELLS", 4000)
+    for how, n in (("inner", 2500), ("left", 5000), ("left_semi", 2500)):
+        joined = ordered.lookup_join(df, side, ["id"], how)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString() and joined.count() == n

@@ -289,6 +289,27 @@ def test_row_order_over_blocks(spark, monkeypatch, leaf, branch, start, step):
     assert quality.check_sorted_by_key(df.limit(0), "nth").first()["violations"] == 0
 
 
+@pytest.mark.parametrize("leaf,branch", [(16, 10), (3, 8)])
+@pytest.mark.parametrize("start,step", [(0, 1), (-500, 1), (-(1 << 62), 1 << 53)])
+def test_cycle_order_over_blocks(spark, monkeypatch, leaf, branch, start, step):
+    """An engine's cycles against their order from one end of 64 bits to the other, without joining or broadcasting a table of blocks."""
+    from fleethazard.operators import quality
+
+    monkeypatch.setattr(quality, "LEAF_SHIFT", leaf)
+    monkeypatch.setattr(quality, "BRANCH_SHIFT", branch)
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 9)), None if rng.random() < 0.1 else int(rng.integers(0, 30)), start + i * step) for i in range(900)]
+    want, last = {}, {}
+    for e, c, _ in rows:
+        if c is not None and last.get(e) is not None and c <= last[e]:
+            want[e] = want.get(e, 0) + 1
+        last[e] = c
+    df = spark.createDataFrame(rows, "engine_id long, cycle long, nth long").repartition(4)
+    found = check_monotonic_cycle(df, "nth")
+    assert dict(found.collect()) == want and sum(want.values()) > 100
+    assert "Join" not in found._jdf.queryExecution().toString()
+
+
 def test_correlation_equals_pairwise_deletion(spark):
     from fleethazard.operators.eda import comoments, correlation
 
