@@ -196,3 +196,27 @@ def test_long_windows_cost_no_more_than_short_ones(spark):
         return min(times)
 
     assert seconds(4000) < 3 * seconds(100) + 0.5
+
+
+def test_all_windows_share_one_sort(spark):
+    """Short and long windows, lags and deltas: rows are sorted once, before any statistic makes them wide."""
+    df = spark.range(4).selectExpr("id AS engine_id", "explode(sequence(1, 300)) AS cycle").selectExpr("*", "rand(7) AS sensor_1")
+    spec = FeatureSpec(windows=(2, 10, 100, 150), stats=("mean", "std", "min", "count"), lags=(1,), deltas=(1,))
+    plan = feature_frame(df, spec)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+
+
+def test_windows_across_batches(spark):
+    """Batches far shorter than a window, with an engine's rows split between them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = [(e, i, None if (e, i) == (1, 40) else float((i * 37 + e) % 11)) for e in range(3) for i in range(1, 90)]
+        df = spark.createDataFrame(rows, "engine_id long, cycle long, sensor_1 double")
+        got = feature_frame(df, FeatureSpec(windows=(5, 30), stats=("sum", "max"), lags=(), deltas=())).toPandas().sort_values(["engine_id", "cycle"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    values = pd.DataFrame(rows, columns=["engine_id", "cycle", "x"])
+    for w in (5, 30):
+        frames = values.groupby("engine_id").x.rolling(w, min_periods=w)
+        for stat, want in (("sum", frames.sum()), ("max", frames.max())):
+            np.testing.assert_allclose(got[f"sensor_1__roll{w}__{stat}"].astype(float), want.to_numpy(), atol=1e-9)
