@@ -255,6 +255,15 @@ def test_raw_text(spark, tmp_path):
         ingest_processed(spark, str(tmp_path / "twice.txt"), str(tmp_path / "out2"))
 
 
+def test_cells_are_counted_without_interpreted_arrays(spark):
+    from fleethazard.operators.scaling import count_cells
+
+    df = spark.createDataFrame([(1.0, None), (float("nan"), 2.0), (float("inf"), None)], "a double, b double")
+    counted = count_cells(df, ["a", "b"], {"null": lambda v, i: v.isNull(), "own": lambda v, i: v == i + 1})
+    assert {(r.test, r.column): r.n for r in counted.collect()} == {("null", "a"): 0, ("null", "b"): 2, ("own", "a"): 1, ("own", "b"): 1}
+    assert "lambda" not in counted._jdf.queryExecution().toString()
+
+
 def test_a_constant_stays_constant_over_many_partitions(spark):
     """Partial deviations merge with rounding errors; the scaler must not divide by them."""
     df = spark.range(10_000, numPartitions=17).select(
