@@ -244,3 +244,18 @@ def test_rows_without_an_id_don_t_share_a_slot(docs):
     for r in shard_documents(docs(rows)).collect():
         load[r["shard"]] += r["size"]
     assert max(load.values()) < 1.02 * sum(load.values()) / 8
+
+
+def test_quality_rules_cut_a_text_into_lines_once(spark):
+    """The verdict reads the written lines; its words of a document are those of all rows with its id."""
+    from fleethazard.llm.quality_rules import quality_rules
+
+    common = " ".join(f"common{k}" for k in range(40))
+    rows = [(i % 12, f"{common}\n\x0bnumber {i}\tof\r many \n\n" + " ".join(f"w{i}x{k}" for k in range(i)), "h") for i in range(24)]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_words=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 0
+    words = {d: sum(len(t.split()) for e, t, _ in rows if e == d) for d in range(12)}
+    lost = 2 * len(common.split())  # both rows of an id hold the line
+    got = {(r.doc_id, r.n_line_words, r.kept) for r in out.collect()}
+    assert got == {(d, lost, 100 * (n - lost) >= 30 * n) for d, n in words.items()} and len({k for *_, k in got}) == 2
