@@ -16,7 +16,7 @@ from fleethazard.functions.columns import signal_columns
 from fleethazard.functions.scalar import nonfinite_to_null
 from fleethazard.operators.features import feature_frame
 from fleethazard.params import FeatureSpec
-from fleethazard.session import folder_names
+from fleethazard.session import folder_names, remove, scratch
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -64,14 +64,24 @@ class EngineRows:
             self.before(batch_id + 1, all_before=batch_id).write.mode("overwrite").parquet(f"{self.path}/all={batch_id}")
 
 
+def _at_rest(df: DataFrame, what: str, kept: list[str]) -> DataFrame:
+    """``df`` written to the shared folder, at a path that is added to ``kept``."""
+    kept.append(scratch(df.sparkSession, what))
+    df.write.parquet(kept[-1])
+    return df.sparkSession.read.parquet(kept[-1])
+
+
 def batch_features(batch: DataFrame, batch_id: int, spec: FeatureSpec, state: EngineRows, sink: Sink) -> None:
     """Features of one micro-batch into ``sink``, and the engines' new version."""
     signals = signal_columns(batch)
     values = F.struct(*[nonfinite_to_null(F.col(s).cast("double")).alias(s) for s in signals])
     arrived = batch.groupBy("engine_id", "cycle").agg(F.min(values).alias("row"), F.count(F.lit(1)).alias("n"))
-    past = state.before(batch_id, batch.select("engine_id").distinct())
+    # both are read more than once and written before, so that no task holds the sorts and hash tables of all these steps at a time
+    spark, kept = batch.sparkSession, []
+    past = _at_rest(state.before(batch_id, batch.select("engine_id").distinct()), "stream-past", kept)
     heads = past.groupBy("engine_id").agg(F.max("last_cycle").alias("last"), F.max("dropped").alias("dropped_before"))
     judged = arrived.join(heads, "engine_id", "left").withColumn("late", F.coalesce(F.col("cycle") <= F.col("last"), F.lit(False)))
+    judged = _at_rest(judged, "stream-judged", kept)
     totals = judged.groupBy("engine_id").agg(
         F.greatest(F.max("last"), F.max(F.when(~F.col("late"), F.col("cycle")))).alias("last_cycle"),
         (F.coalesce(F.max("dropped_before"), F.lit(0)) + F.sum("n") - F.count_if(~F.col("late"))).alias("dropped"))
@@ -85,6 +95,8 @@ def batch_features(batch: DataFrame, batch_id: int, spec: FeatureSpec, state: En
         state.save(batch_id, rows)
     finally:
         rows.unpersist()
+        for path in kept:
+            remove(spark, path)
 
 
 def stream_features(stream: DataFrame, spec: FeatureSpec, sink: Sink, state_path: str, checkpoint: str,
