@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fleethazard.llm.support import packed, unpacked
+from fleethazard.llm.support import in_small_batches, packed, unpacked
 
 CACHED_WORDS, CACHED_PIECES = 200_000, 200_000  # entries of each half of a Python worker's two caches
 LONGEST_CACHED = 128  # letters; longer words and pieces seldom come again, and would fill the caches
@@ -190,7 +190,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(columns, [*[c for c in part.schema.names if c != "text"], "ids", "decoded"])
 
     names = {"id": id_col, "text": text_col}
-    base = packed(docs, **names)
+    base = in_small_batches(packed(docs, **names))
     base = base.withColumn("whole", F.col("text"))
     schema = base.drop("text").schema.add("ids", "binary").add("decoded", "string")
     done = base.mapInArrow(encode, schema).withColumnRenamed("whole", "text")

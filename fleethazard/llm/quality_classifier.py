@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleethazard.llm.quality_rules import SYMBOLS
-from fleethazard.llm.support import LOWER, SPACES, UPPER, packed, unpacked
+from fleethazard.llm.support import LOWER, SPACES, UPPER, in_small_batches, packed, unpacked
 from fleethazard.session import written
 
 HASHED = 16  # columns for each hashed metadata value
@@ -39,7 +39,7 @@ def with_text_view(df: DataFrame) -> DataFrame:
     def view(texts: pd.Series) -> pd.Series:
         return pd.Series([text_features(t) for t in texts])
 
-    return df.withColumn("view", view("text"))
+    return in_small_batches(df).withColumn("view", view("text"))
 
 
 def text_view() -> Column:

@@ -288,3 +288,23 @@ def test_pipeline(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
     assert 0 < len(last) == now.count() < docs.count()
     assert {r["doc_id"]: r["n_tokens"] for r in last} == {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, SF).collect()}
+
+
+def test_texts_travel_in_batches_of_bounded_bytes(spark):
+    from fleethazard.llm.bpe import bpe_encode
+    from fleethazard.llm.queries import tokenizer_path
+    from fleethazard.llm.quality_classifier import with_text_view
+    import pyarrow as pa
+
+    from fleethazard.llm.support import BATCH_BYTES
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('some words ', 500) AS text").coalesce(1)  # 22 MB
+    for step in (with_text_view, lambda df: bpe_encode(df, tokenizer_path())):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        step(docs)
+        found = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in found) == 4000 and max(r.size for r in found) < 1.1 * BATCH_BYTES
