@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from fleethazard.params import ModelSpec
 from fleethazard.session import written
 
 WEIGHT = "_weight"
+PART_CELLS = 25_000_000  # feature values of the train rows in one task
 
 
 def with_balanced_weights(train: DataFrame, label: str = "label") -> DataFrame:
@@ -28,6 +31,22 @@ def with_balanced_weights(train: DataFrame, label: str = "label") -> DataFrame:
     return lookup_join(train, weights, [label])
 
 
+def _fit_on_even_parts(train: DataFrame, stages: list, model, n_features: int) -> PipelineModel:
+    """``model`` fitted behind ``stages``, which make the vectors once, on class-balanced rows in even parts, as many for each core.
+
+    A fit passes over its rows hundreds of times and a pass ends with its last task: parts as the files were cut leave most cores
+    idle while a larger part, or one more than there are cores, is worked on. Rows are dealt by key; without one, in turn."""
+    keys = [c for c in ("engine_id", "cycle") if c in train.columns]
+    vectors = PipelineModel(stages).transform(with_balanced_weights(train)).select(*keys, "features", "label", WEIGHT)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = cores * max(1, math.ceil(train.count() * n_features / (cores * PART_CELLS)))
+    even = vectors.repartition(parts, *keys).persist(StorageLevel.DISK_ONLY)  # memory is for the fit's own form of the rows
+    try:
+        return PipelineModel([*stages, model.fit(even)])
+    finally:
+        even.unpersist()
+
+
 def _scaled_assembler(params: dict) -> list:
     """Assemble and standardise with population statistics, as saveable pipeline stages."""
     names = params["feature_columns"]
@@ -44,21 +63,31 @@ def _scaled_assembler(params: dict) -> list:
 def fit_logreg(train: DataFrame, feature_columns: Sequence[str], spec: ModelSpec = ModelSpec()) -> PipelineModel:
     """Standardised, class-balanced logistic regression with L2 strength 1 on the summed loss."""
     params = scaler_params(fit_scaler(train, feature_columns))
-    weighted = with_balanced_weights(train)
     n = train.count()
     model = LogisticRegression(
         featuresCol="features", labelCol="label", weightCol=WEIGHT, maxIter=spec.logreg_max_iter,
         regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=[*_scaled_assembler(params), model]).fit(weighted)
+    return _fit_on_even_parts(train, _scaled_assembler(params), model, len(feature_columns))
+
+
+def _varying(train: DataFrame, feature_columns: Sequence[str]) -> list[int]:
+    """Places of the features that hold more than one value; the first feature if none does."""
+    first = train.select(*feature_columns).first()
+    if first is None:
+        return list(range(len(feature_columns)))
+    same = train.agg(*[F.bool_and(F.col(c).eqNullSafe(F.lit(v))).alias(f"c{i}") for i, (c, v) in enumerate(zip(feature_columns, first))]).first()
+    return [i for i, constant in enumerate(same) if not constant] or [0]
 
 
 def fit_gbt(train: DataFrame, feature_columns: Sequence[str], spec: ModelSpec = ModelSpec()) -> PipelineModel:
-    """Class-balanced boosted trees."""
+    """Class-balanced boosted trees. Features that are constant over the train rows can't part them and are left out of the passes."""
     model = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol=WEIGHT, maxIter=spec.gbt_trees, stepSize=spec.gbt_step,
         maxDepth=spec.gbt_depth, seed=spec.seed)
-    assembler = VectorAssembler(inputCols=list(feature_columns), outputCol="features")
-    return Pipeline(stages=[assembler, model]).fit(with_balanced_weights(train))
+    places = _varying(train, feature_columns)
+    stages = [VectorAssembler(inputCols=list(feature_columns), outputCol="all_features"),
+              VectorSlicer(inputCol="all_features", outputCol="features", indices=places)]
+    return _fit_on_even_parts(train, stages, model, len(places))
 
 
 FITTERS = {"logreg": fit_logreg, "gbt": fit_gbt}
@@ -72,8 +101,8 @@ def predict_proba(model: PipelineModel, df: DataFrame, name: str = "y_proba") ->
 
 def top_feature_importance(model: PipelineModel, feature_columns: Sequence[str], spark, top: int = 20) -> DataFrame:
     """Largest gain-based importances of a tree model."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(w)) for c, w in zip(feature_columns, weights)]
+    weights = dict(zip(model.stages[-2].getIndices(), model.stages[-1].featureImportances.toArray()))  # none for constant features
+    rows = [(c, float(weights.get(i, 0.0))) for i, c in enumerate(feature_columns)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc(), "feature").limit(top)
 

@@ -1,17 +1,20 @@
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleethazard.operators import classifiers
 from fleethazard.operators.classifiers import (
     FITTERS, fit_logreg, predict_proba, top_feature_importance, with_balanced_weights,
 )
 from fleethazard.operators.isolation_forest import fit_isolation_forest, mean_path, recomputed_scores, score_isolation_forest
+from fleethazard.operators.quality import require_valid_features
 from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.metrics import early_stop_best_epoch
 from fleethazard.operators.sweep import PolicyError, ranking_metrics
@@ -268,6 +271,63 @@ def test_importance_names_the_informative_sensor(spark, wearing):
     assert predict_proba(model, table).where("y_proba < 0 OR y_proba > 1").isEmpty()
 
 
+def _uneven(spark):
+    """540 rows, nearly all of them in one of five parts; ``c`` is constant and ``b`` nearly so."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"engine_id": np.arange(540) % 9, "cycle": np.arange(540) // 9, "a": rng.normal(size=540), "b": 1.0, "c": 4.0})
+    pdf.loc[7, "b"] = 2.0
+    pdf["label"] = (pdf.a + rng.normal(size=540) > 0).astype(int)
+    many = spark.createDataFrame(pdf).coalesce(1)
+    return reduce(DataFrame.unionByName, [many.where(f"cycle % 60 = {k}") for k in range(4)], many.where("cycle >= 4"))
+
+
+@pytest.mark.parametrize("kind, name", [("gbt", "GBTClassifier"), ("logreg", "LogisticRegression")])
+def test_fits_pass_over_even_parts(spark, monkeypatch, kind, name):
+    """As many parts for each core, however the rows came; trees see no constant feature."""
+    seen, estimator = [], getattr(classifiers, name)
+    fit = estimator.fit
+
+    def spy(self, rows, *rest):
+        seen.append([len(part) for part in rows.rdd.glom().collect()])
+        seen.append({len(r.features) for r in rows.collect()})
+        return fit(self, rows, *rest)
+
+    monkeypatch.setattr(estimator, "fit", spy)
+    FITTERS[kind](_uneven(spark), ["a", "b", "c"], PROFILE.models)
+    sizes, width = seen
+    assert len(sizes) % spark.sparkContext.defaultParallelism == 0 and sum(sizes) == 540
+    assert max(sizes) < 1.3 * sum(sizes) / len(sizes)
+    assert width == ({2} if kind == "gbt" else {3})
+
+
+def test_constant_features_have_no_importance_and_no_effect(spark):
+    df = _uneven(spark)
+    with_c, without = FITTERS["gbt"](df, ["c", "a", "b"], PROFILE.models), FITTERS["gbt"](df, ["a", "b"], PROFILE.models)
+    top = {r.feature: r.importance for r in top_feature_importance(with_c, ["c", "a", "b"], spark, 3).collect()}
+    want = {r.feature: r.importance for r in top_feature_importance(without, ["a", "b"], spark, 3).collect()}
+    assert top == pytest.approx(want | {"c": 0.0}) and want["a"] > 0
+    scores = [predict_proba(m, df).select("engine_id", "cycle", F.round("y_proba", 9)) for m in (with_c, without)]
+    assert scores[0].exceptAll(scores[1]).isEmpty()
+    # missing in one row only is not constant, and a table of constants alone still gives a model
+    flat = df.withColumn("a", F.lit(0.0))
+    assert FITTERS["gbt"](flat, ["c", "a"], PROFILE.models).stages[-1].numFeatures == 1
+    with pytest.raises(Exception, match="null|NaN"):
+        FITTERS["gbt"](df.withColumn("c", F.when(F.col("cycle") != 5, 4.0)), ["a", "c"], PROFILE.models)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf"), float("-inf")])
+def test_one_bad_value_among_sound_ones_is_named(spark, bad):
+    rows = [(1, c, 0.0, -1.5, 3) for c in range(10, 20)]
+    schema = "engine_id long, cycle long, a double, b double, n long"
+    require_valid_features(spark.createDataFrame(rows, schema), 10)
+    with pytest.raises(ValueError, match="duplicate_key"):
+        require_valid_features(spark.createDataFrame([*rows, rows[0]], schema), 10)
+    with pytest.raises(ValueError, match=" on b "):
+        require_valid_features(spark.createDataFrame([*rows, (1, 20, 0.0, bad, 3)], schema), 10)
+    early = spark.createDataFrame([*rows, (1, 3, 0.0, None, 3)], schema)
+    require_valid_features(early, 10)  # before the first window
+
+
 def test_scaler_inside_the_saved_model_is_the_population_scaler(wearing):
     labeled = wearing.withColumn("label", (F.col("sensor_1") > 3).cast("int"))
     model = fit_logreg(labeled, ["sensor_1", "op_setting_1"], ModelSpec(logreg_max_iter=3))
