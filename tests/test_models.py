@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleethazard.operators import classifiers
 from fleethazard.operators.classifiers import (
-    FITTERS, fit_logreg, predict_proba, top_feature_importance, with_balanced_weights,
+    FITTERS, fit_logreg, predict_by_model, predict_proba, top_feature_importance, with_balanced_weights,
 )
 from fleethazard.operators.isolation_forest import fit_isolation_forest, mean_path, recomputed_scores, score_isolation_forest
 from fleethazard.operators.quality import require_valid_features
@@ -19,6 +19,7 @@ from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.metrics import early_stop_best_epoch
 from fleethazard.operators.sweep import PolicyError, ranking_metrics
 from fleethazard.params import BacktestSpec, FeatureSpec, ForestSpec, ModelSpec, PolicySpec, Profile
+from fleethazard.plans import training
 from fleethazard.plans.backtest import run_backtest
 from fleethazard.plans.scoring import score_latest_with_network, score_latest_windows, score_window_requests
 from fleethazard.plans.tables import training_table
@@ -262,6 +263,43 @@ def test_compare(wearing):
     assert best.val_pr_auc == pytest.approx(top)
 
 
+def test_compare_makes_the_training_table_once(wearing, monkeypatch):
+    """The forest reads the table the classifiers were fitted on: same fleet, profile and history."""
+    made, prepare = [], training.prepared_table
+    monkeypatch.setattr(training, "prepared_table", lambda *given, **named: made.append(prepare(*given, **named)) or made[-1])
+    out = compare_models(wearing, PROFILE, candidates=("logreg",), with_windows=False)
+    assert len(made) == 1
+    want = run_anomaly(wearing, PROFILE, history="full")["topk"].select("split", "k", "n", "positives", "m")
+    assert out["topk"].select(*want.columns).exceptAll(want).isEmpty() and want.count() == 6
+
+
+def test_scores_of_several_models_come_from_one_pass(wearing):
+    table = training_table(wearing, PROFILE).withColumn("split", F.lit("train"))
+    models, scored = training.fit_candidates(table, PROFILE, ("logreg", "gbt"))
+    features = predict_by_model(models, table, ["engine_id", "cycle"])
+    plan = features._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1 and "Union" not in plan
+    assert scored.columns == ["model", *training.SCORED, "y_proba"] and scored.count() == 2 * table.count()
+    for name, model in models.items():
+        want = predict_proba(model, table).select("engine_id", "cycle", F.round("y_proba", 12))
+        got = scored.where(F.col("model") == name).select("engine_id", "cycle", F.round("y_proba", 12))
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_epochs_of_the_network_pass_over_even_parts(spark, monkeypatch):
+    seen, fit = [], classifiers.MultilayerPerceptronClassifier.fit
+
+    def spy(self, rows, *rest):
+        seen.append([len(part) for part in rows.rdd.glom().collect()])
+        return fit(self, rows, *rest)
+
+    monkeypatch.setattr(classifiers.MultilayerPerceptronClassifier, "fit", spy)
+    windows = _uneven(spark).select("engine_id", F.col("cycle").alias("pred_cycle"), "label", F.array(F.array("a", "b"), F.array("b", "a")).alias("window"))
+    classifiers.fit_window_classifier_by_epochs(windows, windows, 2, 2, ModelSpec(mlp_epochs=2, mlp_hidden=2))
+    assert len(seen) == 2 and all(len(s) % spark.sparkContext.defaultParallelism == 0 and sum(s) == 540 for s in seen)
+    assert all(max(s) < 1.3 * sum(s) / len(s) for s in seen)
+
+
 def test_importance_names_the_informative_sensor(spark, wearing):
     table = training_table(wearing, PROFILE)
     features = [c for c in table.columns if "__" in c]

@@ -10,10 +10,12 @@ from fleethazard.operators.quality import (
     require_valid_features, validate_tabular_features,
 )
 from fleethazard.operators.requests import parse_window_json, validate_window_request
-from fleethazard.operators.scaling import fit_median_imputer, fit_scaler, impute_median, median_params, scaler_params, standardize
+from fleethazard.operators import scaling
+from fleethazard.operators.scaling import all_finite, fit_median_imputer, fit_scaler, impute_median, median_params, scaler_params, standardize
 from fleethazard.operators.sequences import (
     build_sequence_pipeline, engine_arrays, extract_window, require_valid_index, sequence_index, sequence_windows, validate_sequences,
 )
+from fleethazard.session import compiled_methods
 from fleethazard.operators.splits import (
     assign_split, cap_engines_per_split, check_split_partition, expanding_folds, fit_split, semi_join_split, split_engines, train_val_engines,
 )
@@ -165,6 +167,30 @@ def test_medians_are_exact(spark, n):
     assert np.isfinite(filled.to_numpy()).all()
 
 
+def test_a_bracket_that_misses_the_middle_is_opened(spark, monkeypatch):
+    """The sketch only narrows what is ordered: with one that is wrong for every feature the medians are still exact."""
+    monkeypatch.setattr(scaling.F, "kll_sketch_get_quantile_double", lambda sketch, q: F.array(F.lit(7.0), F.lit(7.5)))
+    df = spark.createDataFrame([(float(i % 5), float(i), -1.0) for i in range(100)], "a double, b double, c double")
+    assert median_params(fit_median_imputer(df, ["a", "b", "c"])) == {"a": 2.0, "b": 49.5, "c": -1.0}
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("-inf")])
+def test_all_finite_sees_one_bad_value(spark, bad):
+    df = spark.createDataFrame([(i, float(i), 1) for i in range(50)], "i int, a double, n int").repartition(3)
+    assert all_finite(df, ["a", "n"]) and all_finite(df.where("i < 0"), ["a", "n"])
+    spoiled = df.withColumn("a", F.when(F.col("i") != 31, F.col("a")).otherwise(F.lit(bad).cast("double")))
+    assert not all_finite(spoiled, ["n", "a"]) and all_finite(spoiled, ["n"])
+
+
+def test_compiled_methods_leave_the_setting_as_it_was(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(KeyError), compiled_methods(spark):
+        assert spark.conf.get(name) == "8000"
+        raise KeyError
+    assert spark.conf.get(name) == before
+
+
 def test_median_of_nothing(spark):
     with pytest.raises(ValueError, match="no finite train value"):
         fit_median_imputer(spark.createDataFrame([(None,)], "a double"), ["a"])
