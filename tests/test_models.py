@@ -19,7 +19,7 @@ from fleethazard.operators.scaling import fit_scaler, scaler_params
 from fleethazard.operators.metrics import early_stop_best_epoch
 from fleethazard.operators.sweep import PolicyError, ranking_metrics
 from fleethazard.params import BacktestSpec, FeatureSpec, ForestSpec, ModelSpec, PolicySpec, Profile
-from fleethazard.plans import training
+from fleethazard.plans import backtest, training
 from fleethazard.plans.backtest import run_backtest
 from fleethazard.plans.scoring import score_latest_with_network, score_latest_windows, score_window_requests
 from fleethazard.plans.tables import training_table
@@ -216,6 +216,26 @@ def test_backtest(wearing):
     assert "too small" in none["message"]
 
 
+def test_backtest_scores_a_fold_in_one_pass(wearing, monkeypatch):
+    passes, predict = [], backtest.predict_by_model
+    monkeypatch.setattr(backtest, "predict_by_model", lambda models, rows, keep: passes.append(sorted(models)) or predict(models, rows, keep))
+    out = run_backtest(wearing, PROFILE)
+    assert passes == [["gbt", "logreg"]] * 2
+    scored = out["scored"].groupBy("fold", "model", "split").count().collect()
+    sizes = {(r["fold"], r["split"], r["count"]) for r in scored}
+    assert len(scored) == 8 and len(sizes) == 4 and {r.split for r in scored} == {"val", "test"}
+
+
+def test_large_train_tables_get_few_rounds_of_parts(spark):
+    """The driver's larger tables: a part for each core up to 100 million values, then rounds of them."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(100).withColumnRenamed("id", "engine_id")
+    for n_rows, rounds in ((2_000_000 * cores, 1), (4_000_000 * cores, 2)):
+        even = classifiers._in_even_parts(rows, ["engine_id", "cycle"], n_rows, 45)
+        assert even.rdd.getNumPartitions() == rounds * cores and even.count() == 100
+        even.unpersist()
+
+
 @pytest.mark.parametrize("history", ["full", "labeled"])
 def test_anomaly_run(wearing, history):
     out = run_anomaly(wearing, PROFILE, history)
